@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reconciled workload is a one-shot batch comparison: the reference has no
+stream source, watermark, window or state. Nothing is built here; every check
+in this library runs unchanged on a static DataFrame read from a streaming
+sink's output table.
+"""
