@@ -11,12 +11,16 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermatch.functions.scalars import col_of
 
 # A calendar side is broadcast only when its row count is known and below this
 # bound (one row per day: 100k rows is 270 years).
 MAX_BROADCAST_DAYS = 100_000
+# Floating measures are summed as this decimal (then returned as DOUBLE), so a
+# reconciliation gives the same answer however the rows are partitioned.
+EXACT_SUM_TYPE = "decimal(38,9)"
 
 
 def _d(v):
@@ -99,16 +103,26 @@ def side_by_side(new: DataFrame, old: DataFrame, keys, measures, agg: str = "sum
     ``in_<new_name>`` / ``in_<old_name>`` presence flags.
     """
     fn = {"sum": F.sum, "max": F.max, "min": F.min}[agg]
+    floating = {m for m in measures for df in (new, old)
+                if m in df.columns and isinstance(df.schema[m].dataType, (T.FloatType, T.DoubleType))}
     tagged = []
     for df, side in ((new, new_name), (old, old_name)):
         cols = [F.col(k) for k in keys]
-        cols += [(F.col(m) if m in df.columns else F.lit(None)).alias(m) for m in measures]
+        for m in measures:
+            c = F.col(m) if m in df.columns else F.lit(None)
+            if agg == "sum" and m in floating:
+                # exact sums: the result must not depend on the order rows arrive in
+                c = c.cast(EXACT_SUM_TYPE)
+            cols.append(c.alias(m))
         tagged.append(df.select(*cols, F.lit(side).alias("__side")))
     u = tagged[0].unionByName(tagged[1])
     aggs = []
     for m in measures:
         for side in (new_name, old_name):
-            aggs.append(fn(F.when(F.col("__side") == side, F.col(m))).alias(f"{m}_{side}"))
+            a = fn(F.when(F.col("__side") == side, F.col(m)))
+            if agg == "sum" and m in floating:
+                a = a.cast("double")
+            aggs.append(a.alias(f"{m}_{side}"))
     for side in (new_name, old_name):
         aggs.append(F.max(F.col("__side") == side).alias(f"in_{side}"))
     if keys:
