@@ -8,6 +8,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermatch.functions.scalars import EXCLUDED_CODES, col_of, concat_codes
 
@@ -42,19 +43,38 @@ def date_window(df: DataFrame, col: str, start: DateLike = None, end: DateLike =
     return df if pred is None else df.filter(pred)
 
 
+def _day_bounds(df: DataFrame, col: str, lo: DateLike, hi: DateLike):
+    """Predicates ``to_date(col) >= lo`` and ``to_date(col) <= hi`` in a form
+    the Parquet reader can push down: on a timestamp column they compare the
+    raw column with midnight bounds (``col >= lo``, ``col < hi + 1 day``)."""
+    c = F.col(col)
+    typ = df.schema[col].dataType
+    if isinstance(typ, (T.TimestampType, T.TimestampNTZType)):
+        tname = "timestamp_ntz" if isinstance(typ, T.TimestampNTZType) else "timestamp"
+        lo_d = lo if isinstance(lo, _dt.date) else _dt.date.fromisoformat(str(lo))
+        hi_d = hi if isinstance(hi, _dt.date) else _dt.date.fromisoformat(str(hi))
+        lo_ts = F.lit(_dt.datetime.combine(lo_d, _dt.time())).cast(tname)
+        hi_ts = F.lit(_dt.datetime.combine(hi_d + _dt.timedelta(days=1), _dt.time())).cast(tname)
+        return c >= lo_ts, c < hi_ts
+    d = F.to_date(c)
+    return d >= _date(lo), d <= _date(hi)
+
+
 def interval_touching(df: DataFrame, start_col: str, end_col: str, lo: DateLike, hi: DateLike) -> DataFrame:
     """Start date in the window OR end date in the window (the reference's test).
 
     Misses intervals that span the whole window; kept for parity (S9).
     """
-    s, e = F.to_date(col_of(start_col)), F.to_date(col_of(end_col))
-    return df.filter(s.between(_date(lo), _date(hi)) | e.between(_date(lo), _date(hi)))
+    s_ge, s_le = _day_bounds(df, start_col, lo, hi)
+    e_ge, e_le = _day_bounds(df, end_col, lo, hi)
+    return df.filter((s_ge & s_le) | (e_ge & e_le))
 
 
 def interval_overlap(df: DataFrame, start_col: str, end_col: str, lo: DateLike, hi: DateLike) -> DataFrame:
     """True overlap ``start <= hi AND end >= lo``; a null end is open."""
-    s, e = F.to_date(col_of(start_col)), F.to_date(col_of(end_col))
-    return df.filter((s <= _date(hi)) & (e.isNull() | (e >= _date(lo))))
+    _, s_le = _day_bounds(df, start_col, lo, hi)
+    e_ge, _ = _day_bounds(df, end_col, lo, hi)
+    return df.filter(s_le & (F.col(end_col).isNull() | e_ge))
 
 
 def rule_filter(df: DataFrame, rules: Iterable[Mapping], cte: str | None = None) -> DataFrame:

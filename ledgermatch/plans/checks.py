@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermatch.operators.joins import side_by_side
-from ledgermatch.sources.catalog import column_catalog
+from ledgermatch.sources.catalog import column_catalog, small_frame
 
 # Fixed value: the key columns whose distinct counts and null rates are compared.
 QUANTITY_KEY_COLUMNS = ["report_date", "masthead", "classification_level_1", "offer_category_name",
@@ -159,7 +159,7 @@ def required_columns(spark: SparkSession, rules: Iterable[Mapping],
             v = r.get(f)
             if v is not None and str(v).strip():
                 texts.append((str(r.get("cte_name", "")), str(v)))
-    df = spark.createDataFrame(texts, "cte_name string, expr string")
+    df = small_frame(spark, texts, "cte_name string, expr string")
     refs = F.regexp_extract_all(F.regexp_replace("expr", "`", ""), F.lit(_REF), 0)
     return (df.select(F.explode(refs).alias("ref"))
               .select(F.lower(F.split("ref", r"\.").getItem(0)).alias("table_alias"),

@@ -89,8 +89,9 @@ def run_query(spark: SparkSession, spec: QuerySpec, df: DataFrame, start=None, e
 
 def _error_row(spark: SparkSession, spec: QuerySpec, exc: Exception) -> DataFrame:
     msg = f"Query execution failed: {type(exc).__name__}: {str(exc).splitlines()[0][:500]}"
-    return spark.createDataFrame(
-        [("query", spec.name, False, None, None, None, None, None, msg)],
+    from ledgermatch.sources.catalog import small_frame
+    return small_frame(
+        spark, [("query", spec.name, False, None, None, None, None, None, msg)],
         "validation_type string, check_name string, passed boolean, total_rows bigint, mismatched_rows bigint, "
         "max_delta double, cdl_value string, target_value string, error_message string")
 

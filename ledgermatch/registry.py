@@ -54,17 +54,32 @@ SPEC_ABS_TOL, SPEC_REL_TOL = 0.01, 0.0001
 
 
 def new_layer(spark, sf):
-    return fx.layer(spark, sf)
+    return fx.at_rest(spark, sf)["layer_new"]
 
 
 def old_layer(spark, sf):
-    return fx.layer(spark, sf, damaged=True)
+    return fx.at_rest(spark, sf)["layer_old"]
+
+
+def sbf(spark, sf):
+    return fx.at_rest(spark, sf)["sbf"]
+
+
+def smf(spark, sf, windowed: bool = False):
+    df = fx.at_rest(spark, sf)["smf"]
+    return PF.date_window(df, "report_date", LO, HI) if windowed else df
+
+
+def cal(spark, sf):
+    return fx.at_rest(spark, sf)["cal"]
+
+
+def snapshot(spark, sf):
+    return J.range_join_calendar(sbf(spark, sf), cal(spark, sf), START, END, LO, HI)
 
 
 def rebuilder(spark, sf) -> Rebuilder:
-    src = {"sbf": fx.subscription_base(spark, sf),
-           "smf": fx.subscription_movement(spark, sf, lo=LO, hi=HI),
-           "cal": fx.load_calendar(fx.calendar(spark, sf))}
+    src = {"sbf": sbf(spark, sf), "smf": smf(spark, sf, windowed=True), "cal": cal(spark, sf)}
     return Rebuilder(src, subscription_rules(), window=(LO, HI))
 
 
@@ -75,15 +90,15 @@ def _suite_query(name: str) -> Q.QuerySpec:
 # ------------------------------------------------------------------ sources
 
 def load_base_touching(spark, sf):
-    return PF.interval_touching(fx.subscription_base(spark, sf), START, END, LO, HI)
+    return PF.interval_touching(sbf(spark, sf), START, END, LO, HI)
 
 
 def load_base_overlap(spark, sf):
-    return PF.interval_overlap(fx.subscription_base(spark, sf), START, END, LO, HI)
+    return PF.interval_overlap(sbf(spark, sf), START, END, LO, HI)
 
 
 def load_movement(spark, sf):
-    return PF.date_window(fx.subscription_movement(spark, sf, lo=LO, hi=HI), "report_date", LO, HI)
+    return PF.date_window(smf(spark, sf, windowed=True), "report_date", LO, HI)
 
 
 def load_calendar(spark, sf):
@@ -95,8 +110,8 @@ def load_target_window(spark, sf):
 
 
 def column_catalog_q(spark, sf):
-    return column_catalog(spark, {"sbf": fx.subscription_base(spark, sf),
-                                  "smf": fx.subscription_movement(spark, sf),
+    return column_catalog(spark, {"sbf": sbf(spark, sf),
+                                  "smf": smf(spark, sf),
                                   "cal": load_calendar(spark, sf)})
 
 
@@ -107,11 +122,11 @@ CSV_SCHEMA = ("masthead string, offer_category_name string, start_text string, e
 def csv_coerce(spark, sf):
     """Write the interval fact as CSV text (with some unparseable start dates)
     to the shared folder and read it back with a declared schema."""
-    sbf = fx.subscription_base(spark, sf)
+    base = sbf(spark, sf)
     start_text = F.when(F.dayofmonth(START) == 13, F.concat(F.lit("13/13/"), F.year(START).cast("string"))) \
                   .otherwise(F.date_format(START, "yyyy-MM-dd"))
     path = shared_dir(spark, "csv_coerce") + "/sbf_csv"
-    (sbf.select("masthead", "offer_category_name", start_text.alias("start_text"),
+    (base.select("masthead", "offer_category_name", start_text.alias("start_text"),
                 F.date_format(END, "yyyy-MM-dd").alias("end_text"), "subscription_count", "ratecard_price")
         .write.mode("overwrite").option("header", True).csv(path))
     df = read_csv_lenient(spark, path, CSV_SCHEMA, {"start_text": "yyyy-MM-dd", "end_text": "yyyy-MM-dd"})
@@ -123,15 +138,15 @@ def csv_coerce(spark, sf):
 
 def data_volume(spark, sf):
     """SC13: rows and date range of the three sources under the same window."""
-    sbf = PF.interval_touching(fx.subscription_base(spark, sf), START, END, LO, HI)
-    smf = PF.date_window(fx.subscription_movement(spark, sf, lo=LO, hi=HI), "report_date", LO, HI)
-    cal = PF.date_window(load_calendar(spark, sf), "report_date", LO, HI)
+    b = PF.interval_touching(sbf(spark, sf), START, END, LO, HI)
+    m = PF.date_window(smf(spark, sf, windowed=True), "report_date", LO, HI)
+    c = PF.date_window(load_calendar(spark, sf), "report_date", LO, HI)
 
     def prof(df, name, d):
         return df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
                       F.min(d).alias("min_date"), F.max(d).alias("max_date"))
-    return (prof(sbf, "sbf", F.to_date(START)).unionByName(prof(smf, "smf", F.col("report_date")))
-            .unionByName(prof(cal, "cal", F.col("report_date"))))
+    return (prof(b, "sbf", F.to_date(START)).unionByName(prof(m, "smf", F.col("report_date")))
+            .unionByName(prof(c, "cal", F.col("report_date"))))
 
 
 # ------------------------------------------------------------------ filters
@@ -149,13 +164,13 @@ RULE_FILTERS = [
 
 
 def rule_filter_q(spark, sf):
-    df = PF.rule_filter(fx.subscription_movement(spark, sf), RULE_FILTERS, cte="smf")
+    df = PF.rule_filter(smf(spark, sf), RULE_FILTERS, cte="smf")
     return df.select("report_date", "masthead", "movement_type_code", "subscription_movement_count_type",
                      "subscription_movement_count_sub_type")
 
 
 def exclude_codes_q(spark, sf):
-    return PF.exclude_codes(fx.subscription_base(spark, sf)).select(
+    return PF.exclude_codes(sbf(spark, sf)).select(
         "dw_source_system_code", "dw_billing_system_code", "masthead", START, END)
 
 
@@ -198,19 +213,19 @@ def accept_windowed(spark, sf):
 # ------------------------------------------------------------- joins, sets
 
 def range_join_calendar_q(spark, sf):
-    return fx.snapshot(spark, sf).groupBy("report_date").agg(
+    return snapshot(spark, sf).groupBy("report_date").agg(
         F.count(F.lit(1)).alias("active_intervals"),
         F.sum("ratecard_price").cast("double").alias("ratecard_total"))
 
 
 def snapshot_by_day(spark, sf):
-    return fx.snapshot(spark, sf).select("report_date", "masthead", START, "subscription_tenure_start_datetime",
+    return snapshot(spark, sf).select("report_date", "masthead", START, "subscription_tenure_start_datetime",
                                          "subscription_count", "fy_week_of_year", "last_day_of_week_date")
 
 
 def movement_calendar_join(spark, sf):
-    smf = fx.subscription_movement(spark, sf, lo=LO, hi=HI)
-    j = J.equi_join(smf, load_calendar(spark, sf), "report_date", "report_date", "inner", "_cal")
+    mv = smf(spark, sf, windowed=True)
+    j = J.equi_join(mv, load_calendar(spark, sf), "report_date", "report_date", "inner", "_cal")
     return j.select("report_date", "movement_type_code", "masthead", "fy_year", "fy_year_cal",
                     "fy_week_of_year", "fy_week_of_year_cal", "last_day_of_week_date")
 
@@ -229,36 +244,35 @@ def union_base_movement(spark, sf):
 def distinct_dims(spark, sf):
     rules = [{"column_name": c, "transformation_type": "simple", "source_expression": c}
              for c in ("masthead", "movement_type_code", "subscription_movement_count_sub_type")]
-    return A.group_by_rules(fx.subscription_movement(spark, sf), rules)
+    return A.group_by_rules(smf(spark, sf), rules)
 
 
 # ------------------------------------------------------------------ scalars
 
 def day_of_week_q(spark, sf):
-    return fx.subscription_movement(spark, sf).select(
+    return smf(spark, sf).select(
         "report_date", S.day_of_week("report_date").alias("day_of_week")).distinct()
 
 
 def sunday_flag_q(spark, sf):
-    return fx.subscription_movement(spark, sf).select(
+    return smf(spark, sf).select(
         "report_date", S.sunday_flag("report_date").alias("sunday_flag")).distinct()
 
 
 def tenure_days_q(spark, sf):
-    smf = fx.subscription_movement(spark, sf)
-    return (smf.select(S.tenure_days("report_date", "subscription_tenure_start_datetime").alias("tenure_days"))
+    return (smf(spark, sf).select(S.tenure_days("report_date", "subscription_tenure_start_datetime").alias("tenure_days"))
                .groupBy("tenure_days").agg(F.count(F.lit(1)).alias("movements")))
 
 
 def tenure_group_q(spark, sf):
     d = S.tenure_days("report_date", "subscription_tenure_start_datetime")
-    return fx.subscription_movement(spark, sf).select(
+    return smf(spark, sf).select(
         d.alias("tenure_days"), S.tenure_group(d).alias("tenure_group")).distinct()
 
 
 def tenure_group_finance_q(spark, sf):
     d = S.tenure_days("report_date", "subscription_tenure_start_datetime")
-    return fx.subscription_movement(spark, sf).select(
+    return smf(spark, sf).select(
         d.alias("tenure_days"), S.tenure_group_finance(d).alias("tenure_group_finance")).distinct()
 
 
@@ -275,7 +289,7 @@ def rule_count(spark, sf):
              {"column_name": "movement_rows", "transformation_type": "aggregation", "source_expression": "count(*)"},
              {"column_name": "with_delivery_medium", "transformation_type": "aggregation",
               "source_expression": "count(smf.delivery_medium_type)"}]
-    return A.group_by_rules(fx.subscription_movement(spark, sf).alias("smf"), rules)
+    return A.group_by_rules(smf(spark, sf).alias("smf"), rules)
 
 
 MOVE_CONDITIONS = {
@@ -292,7 +306,7 @@ MOVE_CONDITIONS = {
 
 
 def cond_sum_movements(spark, sf):
-    return A.conditional_sums(fx.subscription_movement(spark, sf), ["report_date"],
+    return A.conditional_sums(smf(spark, sf), ["report_date"],
                               "subscription_movement_count", MOVE_CONDITIONS)
 
 

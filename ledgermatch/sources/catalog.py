@@ -28,4 +28,13 @@ def column_catalog(spark: SparkSession, tables: dict[str, DataFrame | T.StructTy
     for name, t in tables.items():
         schema = t if isinstance(t, T.StructType) else t.schema
         rows += catalog_rows(schema, name)
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return small_frame(spark, rows, CATALOG_SCHEMA)
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A DataFrame from a handful of driver-side rows (schemas, rule tables),
+    shipped as one Arrow batch: no Python worker is involved."""
+    import pandas as pd
+
+    names = [f.split()[0] for f in schema.split(",")]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
