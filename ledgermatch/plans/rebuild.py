@@ -136,3 +136,30 @@ class Rebuilder:
             elif t in DIMENSION_TYPES or t.endswith("aggregation"):
                 group_rules.append(r)
         return group_by_rules(df, group_rules)
+
+
+def reconcile_rebuild(spark, rebuilder: Rebuilder, target: DataFrame, keys: list[str], metrics: list[str],
+                      tol: float = 0.01, name: str = "final_select") -> DataFrame:
+    """R14 end to end: rebuild ``name`` and reconcile it against ``target``.
+
+    If the rules cannot be built or analysed (a missing column, a bad
+    expression), every metric becomes a failed result row carrying the error
+    (S23) instead of aborting the run.
+    """
+    from pyspark.errors import PySparkException
+
+    from ledgermatch.plans.compare import reconcile_metrics
+    from ledgermatch.sources.catalog import small_frame
+
+    try:
+        built = rebuilder.build(name)
+        shared = [k for k in keys if k in built.columns and k in target.columns]
+        out = reconcile_metrics(built, target, shared, metrics, tol)
+        out.schema  # force analysis here, where the error can still be reported per metric
+        return out
+    except (PySparkException, RuleError) as exc:
+        msg = f"Failed to rebuild {name}: {str(exc).splitlines()[0][:300]}"
+        return small_frame(spark, [("aggregation", m, False, None, None, None, None, None, msg) for m in metrics],
+                           "validation_type string, check_name string, passed boolean, total_rows bigint, "
+                           "mismatched_rows bigint, max_delta double, only_in_source bigint, only_in_cdl bigint, "
+                           "error_message string")

@@ -20,7 +20,7 @@ from ledgermatch.plans import checks as C
 from ledgermatch.plans import compare as CMP
 from ledgermatch.plans import results as R
 from ledgermatch.plans import suites as Q
-from ledgermatch.plans.rebuild import Rebuilder
+from ledgermatch.plans.rebuild import Rebuilder, reconcile_rebuild
 from ledgermatch.plans.subscription_rules import subscription_rules
 from ledgermatch.session import shared_dir
 from ledgermatch.sources import fixtures as fx
@@ -368,8 +368,7 @@ def rebuild_final(spark, sf):
 
 
 def agg_reconcile(spark, sf):
-    return CMP.reconcile_metrics(rebuild_final(spark, sf), old_layer(spark, sf), SHARED_DIMS,
-                                 fx.LAYER_METRICS, TOL)
+    return reconcile_rebuild(spark, rebuilder(spark, sf), old_layer(spark, sf), SHARED_DIMS, fx.LAYER_METRICS, TOL)
 
 
 def abs_rel_tolerance(spark, sf):

@@ -65,3 +65,20 @@ def test_rollup(spark):
                               "validation_type string, check_name string, passed boolean"))
     got = {r["validation_type"]: (r["total"], r["passed"], r["failed"]) for r in R.rollup(res).collect()}
     assert got == {"query": (2, 1, 1), "schema": (1, 1, 0), "ALL": (3, 2, 1)}
+
+
+def test_approx_distinct_opt_in(spark):
+    df = spark.range(0, 5000).selectExpr("id % 1000 AS a")
+    exact = C.quantity_profile(df, ["a"]).first()["distinct_count"]
+    approx = C.quantity_profile(df, ["a"], approx=True).first()["distinct_count"]
+    assert exact == 1000 and abs(approx - 1000) < 100
+
+
+def test_results_sink_writes_maps_as_json(spark, tmp_path):
+    from ledgermatch.sources.files import write_results
+    res = C.schema_checks(spark, T.StructType([T.StructField("a", T.LongType())]),
+                          T.StructType([T.StructField("b", T.LongType())]))
+    out = str(tmp_path / "res")
+    write_results(R.conform(res), out, "csv")
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == 3 and '"cdl_only":"a"' in back.filter("check_name = 'column_names'").first()["details"]

@@ -87,3 +87,20 @@ def test_rebuild_reproduces_reporting_layer(spark):
     a = rebuild_final(spark, SF_SMALL)
     b = layer(spark, SF_SMALL)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_failed_rebuild_is_failed_rows(spark):
+    from ledgermatch.plans.rebuild import reconcile_rebuild
+    a = spark.createDataFrame([("x", 1)], "k string, v int")
+    rules = {"cte_structure": [{"cte_name": "f", "cte_type": "transform", "parent_cte": "a"}],
+             "column_mappings": [{"cte_name": "f", "column_name": "k", "transformation_type": "simple",
+                                  "source_expression": "a.k"},
+                                 {"cte_name": "f", "column_name": "v", "transformation_type": "aggregation",
+                                  "source_expression": "sum(a.no_such_column)"}],
+             "aggregation_rules": [{"cte_name": "f"}]}
+    out = reconcile_rebuild(spark, Rebuilder({"a": a}, rules), a, ["k"], ["v"], name="f").collect()
+    assert len(out) == 1 and out[0]["passed"] is False and "no_such_column" in out[0]["error_message"]
+    ok = reconcile_rebuild(spark, Rebuilder({"a": a}, {**rules, "column_mappings": [
+        rules["column_mappings"][0], {**rules["column_mappings"][1], "source_expression": "sum(a.v)"}]}),
+        a, ["k"], ["v"], name="f").collect()
+    assert ok[0]["passed"] is True
