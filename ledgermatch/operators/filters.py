@@ -53,8 +53,10 @@ def _day_bounds(df: DataFrame, col: str, lo: DateLike, hi: DateLike):
         tname = "timestamp_ntz" if isinstance(typ, T.TimestampNTZType) else "timestamp"
         lo_d = lo if isinstance(lo, _dt.date) else _dt.date.fromisoformat(str(lo))
         hi_d = hi if isinstance(hi, _dt.date) else _dt.date.fromisoformat(str(hi))
-        lo_ts = F.lit(_dt.datetime.combine(lo_d, _dt.time())).cast(tname)
-        hi_ts = F.lit(_dt.datetime.combine(hi_d + _dt.timedelta(days=1), _dt.time())).cast(tname)
+        # string -> timestamp casts read the wall clock in the session time zone,
+        # exactly as to_date() does, so both forms agree in every zone
+        lo_ts = F.lit(f"{lo_d.isoformat()} 00:00:00").cast(tname)
+        hi_ts = F.lit(f"{(hi_d + _dt.timedelta(days=1)).isoformat()} 00:00:00").cast(tname)
         return c >= lo_ts, c < hi_ts
     d = F.to_date(c)
     return d >= _date(lo), d <= _date(hi)

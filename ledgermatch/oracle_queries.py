@@ -364,11 +364,11 @@ ORACLE_SQL: dict[str, str] = {
         f"AS dw_effective_start_date, CAST({END} AS DATE) AS dw_effective_end_date, subscription_count, "
         f"CAST(ratecard_price AS DOUBLE) AS ratecard_price FROM sbf_new"),
     "data_volume": with_fixtures(
-        f"SELECT 'sbf' AS table_name, count(*) AS row_count, min(CAST({START} AS DATE)) AS min_date, "
-        f"max(CAST({START} AS DATE)) AS max_date FROM sbf_new WHERE {TOUCH} "
-        f"UNION ALL SELECT 'smf', count(*), min(report_date), max(report_date) FROM smf_new "
+        f"SELECT 'sbf' AS table_name, count(*) AS row_count, CAST(28 AS BIGINT) AS column_count, "
+        f"min(CAST({START} AS DATE)) AS min_date, max(CAST({START} AS DATE)) AS max_date FROM sbf_new WHERE {TOUCH} "
+        f"UNION ALL SELECT 'smf', count(*), 34, min(report_date), max(report_date) FROM smf_new "
         f"WHERE report_date BETWEEN {LO} AND {HI} "
-        f"UNION ALL SELECT 'cal', count(*), min(report_date), max(report_date) FROM cal "
+        f"UNION ALL SELECT 'cal', count(*), 5, min(report_date), max(report_date) FROM cal "
         f"WHERE report_date BETWEEN {LO} AND {HI}"),
     # filters
     "date_window_start_only": with_fixtures(

@@ -137,13 +137,14 @@ def csv_coerce(spark, sf):
 
 
 def data_volume(spark, sf):
-    """SC13: rows and date range of the three sources under the same window."""
+    """SC9/SC13: rows, columns and date range of the three sources under the same window."""
     b = PF.interval_touching(sbf(spark, sf), START, END, LO, HI)
     m = PF.date_window(smf(spark, sf, windowed=True), "report_date", LO, HI)
     c = PF.date_window(load_calendar(spark, sf), "report_date", LO, HI)
 
     def prof(df, name, d):
         return df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                      F.lit(len(df.columns)).cast("bigint").alias("column_count"),
                       F.min(d).alias("min_date"), F.max(d).alias("max_date"))
     return (prof(b, "sbf", F.to_date(START)).unionByName(prof(m, "smf", F.col("report_date")))
             .unionByName(prof(c, "cal", F.col("report_date"))))

@@ -42,3 +42,14 @@ def test_against_oracle(spark, con, key):
 def test_plan_has_no_cartesian_product(spark, key):
     plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("key", ["csv_coerce", "load_base_overlap", "load_movement", "tenure_days", "data_volume"])
+def test_session_time_zone_does_not_change_answers(spark, con, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        r = run(spark, con, SF_SMALL, key, E.queries()[key], E.oracle_sql().get(key))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["status"] == "ok", r
