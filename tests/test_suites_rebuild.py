@@ -104,3 +104,26 @@ def test_failed_rebuild_is_failed_rows(spark):
         rules["column_mappings"][0], {**rules["column_mappings"][1], "source_expression": "sum(a.v)"}]}),
         a, ["k"], ["v"], name="f").collect()
     assert ok[0]["passed"] is True
+
+
+def test_rules_resolve_case_insensitively(spark):
+    # Mixed-case metric names resolve instead of silently becoming 0
+    a = spark.createDataFrame([("x", 2), ("x", 3)], "k string, Subscription_Count int")
+    rules = {"cte_structure": [{"cte_name": "f", "cte_type": "transform", "parent_cte": "a"}],
+             "column_mappings": [{"cte_name": "f", "column_name": "k", "transformation_type": "simple",
+                                  "source_expression": "A.K"},
+                                 {"cte_name": "f", "column_name": "total", "transformation_type": "aggregation",
+                                  "source_expression": "SUM(a.subscription_count)"}],
+             "aggregation_rules": [{"cte_name": "f"}]}
+    assert rows(Rebuilder({"a": a}, rules).build("f")) == [("x", 5)]
+
+
+def test_rule_join_type_is_honoured(spark):
+    # A LEFT JOIN stays a left join; overlapping right columns get the suffix
+    a = spark.createDataFrame([(1, "p"), (2, "q")], "id int, v string")
+    b = spark.createDataFrame([(1, "r")], "id int, v string")
+    rules = {"join_logic": [{"cte_name": "j", "left_table": "a", "right_table": "b", "join_type": "LEFT JOIN",
+                             "join_condition": "a.id = b.id"}]}
+    out = Rebuilder({"a": a, "b": b}, rules).build("j")
+    assert out.columns == ["id", "v", "id_cal", "v_cal"]
+    assert rows(out) == [(1, "p", 1, "r"), (2, "q", None, None)]
