@@ -41,6 +41,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base
+    try:  # classic sessions also know a directory registered on the context
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # Spark Connect has no SparkContext
+        return None
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
@@ -48,13 +58,25 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     read from the session. Only when it is unset (local tests) is a fresh
     local folder created and registered.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = _checkpoint_dir(spark)
     if not base:
         base = tempfile.mkdtemp(prefix="ledgermatch-")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:
+            pass
         spark.conf.set("spark.checkpoint.dir", base)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    if os.path.isdir(base):
+    if os.path.isdir(base) or not any(base.startswith(p) for p in ("hdfs:", "s3", "gs:", "abfs", "wasb", "dbfs:")):
+        os.makedirs(base, exist_ok=True)
         return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (classic or Spark Connect)."""
+    try:
+        return spark.conf.get("spark.app.id")
+    except Exception:
+        return str(id(spark))

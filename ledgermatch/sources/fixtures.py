@@ -353,7 +353,9 @@ def at_rest(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     each written to the shared folder the first time it is asked for."""
     import os
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    from ledgermatch.session import session_key
+
+    key = (session_key(spark), os.path.abspath(sf_dir))
     if key not in _AT_REST:
         _AT_REST[key] = _TablesAtRest(spark, sf_dir)
     return _AT_REST[key]
