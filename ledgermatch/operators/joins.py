@@ -99,8 +99,9 @@ def side_by_side(new: DataFrame, old: DataFrame, keys, measures, agg: str = "sum
     key is collapsed by partial aggregation before the shuffle, so skew does not
     concentrate rows in one task.
 
-    Output: keys, ``<m>_<new_name>``, ``<m>_<old_name>`` per measure, and
-    ``in_<new_name>`` / ``in_<old_name>`` presence flags.
+    Output: keys, ``<m>_<new_name>``, ``<m>_<old_name>`` per measure,
+    ``in_<new_name>`` / ``in_<old_name>`` presence flags and ``__rows_<side>`` row
+    counts per key.
     """
     fn = {"sum": F.sum, "max": F.max, "min": F.min}[agg]
     floating = {m for m in measures for df in (new, old)
@@ -125,6 +126,7 @@ def side_by_side(new: DataFrame, old: DataFrame, keys, measures, agg: str = "sum
             aggs.append(a.alias(f"{m}_{side}"))
     for side in (new_name, old_name):
         aggs.append(F.max(F.col("__side") == side).alias(f"in_{side}"))
+        aggs.append(F.count_if(F.col("__side") == side).alias(f"__rows_{side}"))
     if keys:
         return u.groupBy(*keys).agg(*aggs)
     return u.agg(*aggs)

@@ -55,7 +55,7 @@ def compare_cells(new: DataFrame, old: DataFrame, keys: list[str] | None, tol: f
     if keys is None:
         keys = [c for c in cols if not isinstance(_dtype(new, c), FLOATING)]
         floats = [c for c in cols if c not in keys]
-        if floats:
+        if floats and keys:
             nk = keys + ["__ord"]
             new = _ordinal(new, keys, floats)
             old = _ordinal(old, keys, floats)
@@ -63,8 +63,10 @@ def compare_cells(new: DataFrame, old: DataFrame, keys: list[str] | None, tol: f
         measures = floats
     else:
         measures = [c for c in cols if c not in keys]
-    if not measures:
-        measures = []
+    if not keys and measures:
+        # A keyless answer is compared as one row; more than one row on a side
+        # is reported as a mismatch instead of pairing rows by a global sort.
+        return _compare_single_row(new, old, measures, tol, new_name, old_name)
     # Keep each measure as its own typed column through the group: with unique
     # keys every group holds at most one row per side, so max() is that row.
     pair = side_by_side(new, old, keys, measures, agg="max", new_name=new_name, old_name=old_name)
@@ -95,9 +97,31 @@ def compare_cells(new: DataFrame, old: DataFrame, keys: list[str] | None, tol: f
 
 
 def _ordinal(df: DataFrame, keys: list[str], floats: list[str]) -> DataFrame:
+    """Position of a row among the rows sharing its key tuple (never a global order)."""
     order = [F.col(c).asc_nulls_last() for c in floats]
-    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-    return df.withColumn("__ord", F.row_number().over(w))
+    return df.withColumn("__ord", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
+def _compare_single_row(new: DataFrame, old: DataFrame, measures: list[str], tol: float,
+                        new_name: str, old_name: str) -> DataFrame:
+    pair = side_by_side(new, old, [], measures, agg="max", new_name=new_name, old_name=old_name)
+    several = (F.col(f"__rows_{new_name}") > 1) | (F.col(f"__rows_{old_name}") > 1)
+    inn, ino = F.col(f"in_{new_name}"), F.col(f"in_{old_name}")
+    cells = []
+    for m in measures:
+        dt_n, dt_o = _dtype(new, m), _dtype(old, m)
+        numeric = isinstance(dt_n, NUMERIC) and isinstance(dt_o, NUMERIC)
+        floating = isinstance(dt_n, FLOATING) or isinstance(dt_o, FLOATING)
+        a, b = F.col(f"{m}_{new_name}"), F.col(f"{m}_{old_name}")
+        delta = F.abs(a.cast("double") - b.cast("double")) if numeric else F.lit(None).cast("double")
+        status = (F.when(inn & ~ino, f"only_{new_name}").when(ino & ~inn, f"only_{old_name}")
+                  .when(several, "mismatch")
+                  .when(cell_match(a, b, floating, numeric, tol), "match").otherwise("mismatch"))
+        cells.append(F.struct(F.lit(m).alias("column_name"), a.cast("string").alias("nv"),
+                              b.cast("string").alias("ov"), delta.alias("delta"), status.alias("status")))
+    return pair.filter(inn | ino).select(F.explode(F.array(*cells)).alias("c")).select(
+        F.col("c.column_name").alias("column_name"), F.col("c.nv").alias(f"{new_name}_value"),
+        F.col("c.ov").alias(f"{old_name}_value"), F.col("c.delta").alias("delta"), F.col("c.status").alias("status"))
 
 
 def summarize_cells(cells: DataFrame, check_name: str, validation_type: str = "query") -> DataFrame:

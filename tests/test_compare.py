@@ -67,3 +67,16 @@ def test_abs_rel(spark):
     old = spark.createDataFrame([("a", 10000.5), ("b", 10.5)], "k string, m double")
     r = CMP.reconcile_abs_rel(new, old, ["k"], ["m"], 0.01, 0.0001).first()
     assert r["mismatched_rows"] == 1 and r["passed"] is False
+
+
+def test_keyless_float_answers_compare_as_one_row(spark):
+    a = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
+    b = spark.createDataFrame([(1.001, 2.5)], "x double, y double")
+    st = {r["column_name"]: r["status"] for r in CMP.compare_cells(a, b, None).collect()}
+    assert st == {"x": "match", "y": "mismatch"}
+    two = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0)], "x double, y double")
+    assert {r["status"] for r in CMP.compare_cells(two, a, None).collect()} == {"mismatch"}
+    empty = spark.createDataFrame([], "x double, y double")
+    assert CMP.compare_cells(empty, empty, None).count() == 0
+    plan = CMP.compare_cells(a, b, None)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
