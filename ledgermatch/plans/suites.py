@@ -8,7 +8,8 @@ the query, where Catalyst pushes it into the scan).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -82,9 +83,40 @@ DEFAULT_SUITE = [QuerySpec(q.name, q.sql, True, q.keys) for q in EXAMPLE_SUITE[:
 
 
 def run_query(spark: SparkSession, spec: QuerySpec, df: DataFrame, start=None, end=None,
-              date_col: str = "report_date") -> DataFrame:
-    """One suite query on one table, after the optional date window."""
-    return spark.sql(spec.sql, table=date_window(df, date_col, start, end))
+              date_col: str = "report_date", ordered: bool = True) -> DataFrame:
+    """One suite query on one table, after the optional date window.
+
+    ``ordered=False`` drops a trailing presentation ``ORDER BY`` (one with no
+    ``LIMIT`` after it): comparisons are order-insensitive, and the sort would
+    cost a range shuffle per side.
+    """
+    sql = spec.sql if ordered else without_final_order_by(spec.sql)
+    return spark.sql(sql, table=date_window(df, date_col, start, end))
+
+
+def without_final_order_by(sql: str) -> str:
+    """Remove a top-level trailing ORDER BY clause that no LIMIT/OFFSET follows."""
+    depth, quote, last = 0, None, -1
+    upper = sql.upper()
+    i = 0
+    while i < len(sql):
+        ch = sql[i]
+        if quote:
+            if ch == quote:
+                quote = None
+        elif ch in "'\"`":
+            quote = ch
+        elif ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        elif depth == 0 and upper.startswith("ORDER", i) and re.match(r"ORDER\s+BY\b", upper[i:]) \
+                and (i == 0 or not (upper[i - 1].isalnum() or upper[i - 1] == "_")):
+            last = i
+        i += 1
+    if last < 0 or re.search(r"\b(LIMIT|OFFSET)\b", upper[last:]):
+        return sql
+    return sql[:last].rstrip()
 
 
 def _error_row(spark: SparkSession, spec: QuerySpec, exc: Exception) -> DataFrame:
@@ -101,8 +133,8 @@ def compare_query(spark: SparkSession, spec: QuerySpec, new: DataFrame, old: Dat
     """R8-R10 for one query: a result row (lazy). A query that fails to analyse
     becomes a failed row and the suite goes on (R7)."""
     try:
-        a = run_query(spark, spec, new, start, end)
-        b = run_query(spark, spec, old, start, end)
+        a = run_query(spark, spec, new, start, end, ordered=False)
+        b = run_query(spark, spec, old, start, end, ordered=False)
         if list(a.columns) != list(b.columns):
             raise ValueError(f"Column mismatch: {a.columns} vs {b.columns}")
         if len(a.columns) == 1 and spec.keys == ():
