@@ -490,9 +490,9 @@ ORACLE_SQL: dict[str, str] = {
     # end to end
     "rebuild_final": with_fixtures("SELECT * FROM layer_new"),
     "acceptance_rows": with_fixtures(
-        "SELECT 'new' AS cdl_table, 'old' AS prstn_table, check_name AS metric, "
+        "SELECT 'new' AS cdl_table, 'old' AS target_table, check_name AS metric, "
         "CASE WHEN NOT passed AND error_message IS NOT NULL AND cdl_value IS NULL THEN error_message "
-        "ELSE cdl_value END AS cdl_value, target_value AS prstn_value, max_delta AS variance, "
+        "ELSE cdl_value END AS cdl_value, target_value, max_delta AS variance, "
         "CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS result FROM acc_all", suite_ctes("acc", ACCEPT)),
     "acceptance_decision": _decision(),
     "results_rollup": _rollup(),

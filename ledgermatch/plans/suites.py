@@ -167,14 +167,14 @@ def run_suite(spark: SparkSession, suite: list[QuerySpec], new: DataFrame, old:
     return out
 
 
-def acceptance_rows(results: DataFrame, cdl_table: str = "new", prstn_table: str = "old") -> DataFrame:
+def acceptance_rows(results: DataFrame, cdl_table: str = "new", target_table: str = "old") -> DataFrame:
     """SK3: one report row per query; on error the message stands in the CDL value."""
     failed_err = (~F.col("passed")) & F.col("error_message").isNotNull() & F.col("cdl_value").isNull()
     return results.select(
-        F.lit(cdl_table).alias("cdl_table"), F.lit(prstn_table).alias("prstn_table"),
+        F.lit(cdl_table).alias("cdl_table"), F.lit(target_table).alias("target_table"),
         F.col("check_name").alias("metric"),
         F.when(failed_err, F.col("error_message")).otherwise(F.col("cdl_value")).alias("cdl_value"),
-        F.col("target_value").alias("prstn_value"),
+        F.col("target_value").alias("target_value"),
         F.col("max_delta").alias("variance"),
         F.when(F.col("passed"), "PASS").otherwise("FAIL").alias("result"))
 

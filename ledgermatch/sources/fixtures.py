@@ -64,7 +64,7 @@ MOVEMENT_RULES = [
     ("reactivation_30day_acquisition_count", "Acquisition", "reactivation_30day"),
 ]
 
-# Derived-metric formulas (F15), as Spark SQL over the metric columns.
+# The derived-metric formulas (F15), as Spark SQL over the metric columns.
 DERIVED_FORMULAS = {
     "TotalAcquisition": "acquisition_count + free_to_paid_conversion_count",
     "NetAcquisition": ("acquisition_count + free_to_paid_conversion_count"
