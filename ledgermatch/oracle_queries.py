@@ -289,7 +289,7 @@ def _mismatch_sample():
     order = _j(["delta DESC"] + [f"{k} ASC NULLS FIRST" for k in SHARED])
     return with_fixtures(
         f"SELECT column_name, sample_rank, {_j(SHARED)}, source_value, cdl_value, delta FROM ("
-        f"SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY {order}) AS sample_rank "
+        f"SELECT *, CAST(row_number() OVER (PARTITION BY column_name ORDER BY {order}) AS INTEGER) AS sample_rank "
         f"FROM ms_rows WHERE delta > {TOL}) r WHERE sample_rank <= 5",
         [pair, ("ms_rows", rows)])
 
