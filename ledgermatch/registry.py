@@ -177,25 +177,37 @@ def exclude_codes_q(spark, sf):
 
 def missing_columns_q(spark, sf):
     """Columns the rules read from each source, whether the source has
-    them, and how many rows hold a value (one aggregate per source)."""
+    them, and how many rows hold a value.
+
+    The required (alias, column) pairs come from the rule table (tens of rows,
+    collected to build the plan); each source is then read once, for exactly
+    the required columns it has (the scan is pruned to them).
+    """
     rb = rebuilder(spark, sf)
-    required = C.required_columns(spark, [r for t in ("column_mappings", "join_logic", "filter_logic")
-                                          for r in subscription_rules()[t]])
-    required = required.filter(F.col("table_alias").isin(*rb.sources))
+    rules = [r for t in ("column_mappings", "join_logic", "filter_logic") for r in subscription_rules()[t]]
+    required = C.required_columns(spark, rules).filter(F.col("table_alias").isin(*rb.sources))
+    wanted: dict[str, list[str]] = {}
+    for alias, col in required.collect():
+        wanted.setdefault(alias, []).append(col)
     parts = []
-    for alias, df in rb.sources.items():
-        cols = {c.lower(): c for c in df.columns}
-        one = df.agg(*[F.count(F.col(c)).alias(f"p_{lc}") for lc, c in cols.items()])
-        stacked = one.select(F.explode(F.array(*[
-            F.struct(F.lit(alias).alias("table_alias"), F.lit(lc).alias("column_name"),
-                     F.col(f"p_{lc}").alias("populated_rows")) for lc in cols])).alias("r")).select("r.*")
-        parts.append(stacked)
-    avail = parts[0]
+    for alias, cols in sorted(wanted.items()):
+        df = rb.sources[alias]
+        present = {c.lower(): c for c in df.columns}
+        have = [c for c in sorted(set(cols)) if c in present]
+        entries = [F.struct(F.lit(alias).alias("table_alias"), F.lit(c).alias("column_name"),
+                            F.lit(True).alias("present"), F.col(f"p{i}").alias("populated_rows"))
+                   for i, c in enumerate(have)]
+        entries += [F.struct(F.lit(alias).alias("table_alias"), F.lit(c).alias("column_name"),
+                             F.lit(False).alias("present"), F.lit(None).cast("bigint").alias("populated_rows"))
+                    for c in sorted(set(cols)) if c not in present]
+        # with no required column present there is nothing to scan: one constant row carries the report
+        one = df.agg(*[F.count(F.col(present[c])).alias(f"p{i}") for i, c in enumerate(have)]) if have \
+            else spark.range(1)
+        parts.append(one.select(F.explode(F.array(*entries)).alias("r")).select("r.*"))
+    out = parts[0]
     for p in parts[1:]:
-        avail = avail.unionByName(p)
-    return (required.join(avail, ["table_alias", "column_name"], "left")
-            .select("table_alias", "column_name", F.col("populated_rows").isNotNull().alias("present"),
-                    "populated_rows"))
+        out = out.unionByName(p)
+    return out
 
 
 # ----------------------------------------------------------- suite, one side
