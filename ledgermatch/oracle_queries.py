@@ -501,3 +501,47 @@ ORACLE_SQL: dict[str, str] = {
         "target_value, error_message FROM mc0_res", compare_ctes("mc0", *ACCEPT[3][:4], "layer_new", "layer_old",
                                                                  True)),
 }
+
+
+# ------------------------------------------------------------ schema checks ----
+# DuckDB describes a query's result; its type names are mapped to Spark's
+# spelling for the catalog. Schema checks compare each engine's own names.
+_SPARK_TYPE = ("CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' "
+               "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END")
+
+
+def _describe(body: str) -> str:
+    return f"(DESCRIBE {with_fixtures(body)})"
+
+
+def _catalog() -> str:
+    parts = [f"SELECT '{name}' AS table_name, CAST(row_number() OVER () AS INTEGER) AS ordinal_position, "
+             f"column_name, {_SPARK_TYPE} AS data_type, \"null\" AS is_nullable FROM {_describe(body)} d"
+             for name, body in (("sbf", "SELECT * FROM sbf_new"), ("smf", "SELECT * FROM smf_new"),
+                                ("cal", "SELECT * FROM cal"))]
+    return " UNION ALL ".join(f"SELECT * FROM ({p}) t{i}" for i, p in enumerate(parts))
+
+
+def _schema_check(name: str) -> str:
+    both = "n.column_name IS NOT NULL AND o.column_name IS NOT NULL"
+    mm = {"column_names": "count(*) FILTER (WHERE n.column_name IS NULL OR o.column_name IS NULL)",
+          "data_types": f"count(*) FILTER (WHERE {both} AND n.t <> o.t)",
+          "nullability": f"count(*) FILTER (WHERE {both} AND n.nl <> o.nl)"}[name]
+    msg = {"column_names": "printf('Column mismatch: %d in CDL only, %d in target only', cn, co)",
+           "data_types": "printf('%d data type mismatches', mm)",
+           "nullability": "printf('%d nullability mismatches', mm)"}[name]
+    n = f"SELECT column_name, column_type AS t, \"null\" AS nl FROM {_describe('SELECT * FROM layer_new')} a"
+    o = f"SELECT column_name, column_type AS t, \"null\" AS nl FROM {_describe('SELECT * FROM layer_old')} b"
+    return (f"SELECT 'schema' AS validation_type, '{name}' AS check_name, mm = 0 AS passed, common AS total_rows, "
+            f"mm AS mismatched_rows, CASE WHEN mm > 0 THEN {msg} END AS error_message FROM ("
+            f"SELECT {mm} AS mm, count(*) FILTER (WHERE o.column_name IS NULL) AS cn, "
+            f"count(*) FILTER (WHERE n.column_name IS NULL) AS co, count(*) FILTER (WHERE {both}) AS common "
+            f"FROM ({n}) n FULL OUTER JOIN ({o}) o ON n.column_name = o.column_name) s")
+
+
+ORACLE_SQL.update({
+    "column_catalog": _catalog(),
+    "schema_names": _schema_check("column_names"),
+    "schema_types": _schema_check("data_types"),
+    "schema_nullability": _schema_check("nullability"),
+})

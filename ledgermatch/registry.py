@@ -110,9 +110,7 @@ def load_target_window(spark, sf):
 
 
 def column_catalog_q(spark, sf):
-    return column_catalog(spark, {"sbf": sbf(spark, sf),
-                                  "smf": smf(spark, sf),
-                                  "cal": load_calendar(spark, sf)})
+    return column_catalog(spark, {"sbf": sbf(spark, sf), "smf": smf(spark, sf), "cal": cal(spark, sf)})
 
 
 CSV_SCHEMA = ("masthead string, offer_category_name string, start_text string, end_text string, "
@@ -339,7 +337,8 @@ def profile_numeric(spark, sf):
 
 def _schema_row(name):
     return lambda spark, sf: C.schema_checks(spark, new_layer(spark, sf), old_layer(spark, sf)) \
-        .filter(F.col("check_name") == name)
+        .filter(F.col("check_name") == name) \
+        .select("validation_type", "check_name", "passed", "total_rows", "mismatched_rows", "error_message")
 
 
 def observed_nulls_q(spark, sf):
