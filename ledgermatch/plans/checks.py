@@ -147,7 +147,8 @@ def quantity_compare(new: DataFrame, old: DataFrame, columns=QUANTITY_KEY_COLUMN
 
 # ----------------------------------------------------- required columns ----
 
-_REF = r"\b([A-Za-z_][A-Za-z0-9_]*)\.([A-Za-z_][A-Za-z0-9_]*)\b"
+# ``alias.column`` references in rule text
+COLUMN_REF = r"\b([A-Za-z_][A-Za-z0-9_]*)\.([A-Za-z_][A-Za-z0-9_]*)\b"
 
 
 def required_columns(spark: SparkSession, rules: Iterable[Mapping],
@@ -164,7 +165,7 @@ def required_columns(spark: SparkSession, rules: Iterable[Mapping],
             if v is not None and str(v).strip():
                 texts.append((str(r.get("cte_name", "")), str(v)))
     df = small_frame(spark, texts, "cte_name string, expr string")
-    refs = F.regexp_extract_all(F.regexp_replace("expr", "`", ""), F.lit(_REF), 0)
+    refs = F.regexp_extract_all(F.regexp_replace("expr", "`", ""), F.lit(COLUMN_REF), 0)
     return (df.select(F.explode(refs).alias("ref"))
               .select(F.lower(F.split("ref", r"\.").getItem(0)).alias("table_alias"),
                       F.lower(F.split("ref", r"\.").getItem(1)).alias("column_name"))

@@ -177,35 +177,39 @@ def missing_columns_q(spark, sf):
     """Columns the rules read from each source, whether the source has
     them, and how many rows hold a value.
 
-    The required (alias, column) pairs come from the rule table (tens of rows,
-    collected to build the plan); each source is then read once, for exactly
-    the required columns it has (the scan is pruned to them).
+    The required (alias, column) pairs are extracted by ``required_columns``
+    (PF13) as a DataFrame; the per-source counts are one aggregate per source
+    over exactly the columns the rules name (resolved at plan time from the
+    same rule texts, so each scan is pruned to them).
     """
+    import re
+
     rb = rebuilder(spark, sf)
     rules = [r for t in ("column_mappings", "join_logic", "filter_logic") for r in subscription_rules()[t]]
     required = C.required_columns(spark, rules).filter(F.col("table_alias").isin(*rb.sources))
-    wanted: dict[str, list[str]] = {}
-    for alias, col in required.collect():
-        wanted.setdefault(alias, []).append(col)
+    wanted: dict[str, set[str]] = {}
+    for r in rules:
+        for f in ("source_expression", "join_condition", "filter_expression"):
+            for alias, col in re.findall(C.COLUMN_REF, str(r.get(f) or "").replace("`", "")):
+                if alias.lower() in rb.sources:
+                    wanted.setdefault(alias.lower(), set()).add(col.lower())
     parts = []
     for alias, cols in sorted(wanted.items()):
         df = rb.sources[alias]
         present = {c.lower(): c for c in df.columns}
-        have = [c for c in sorted(set(cols)) if c in present]
-        entries = [F.struct(F.lit(alias).alias("table_alias"), F.lit(c).alias("column_name"),
-                            F.lit(True).alias("present"), F.col(f"p{i}").alias("populated_rows"))
-                   for i, c in enumerate(have)]
-        entries += [F.struct(F.lit(alias).alias("table_alias"), F.lit(c).alias("column_name"),
-                             F.lit(False).alias("present"), F.lit(None).cast("bigint").alias("populated_rows"))
-                    for c in sorted(set(cols)) if c not in present]
-        # with no required column present there is nothing to scan: one constant row carries the report
-        one = df.agg(*[F.count(F.col(present[c])).alias(f"p{i}") for i, c in enumerate(have)]) if have \
-            else spark.range(1)
-        parts.append(one.select(F.explode(F.array(*entries)).alias("r")).select("r.*"))
-    out = parts[0]
+        have = sorted(c for c in cols if c in present)
+        if not have:
+            continue
+        one = df.agg(*[F.count(F.col(present[c])).alias(f"p{i}") for i, c in enumerate(have)])
+        parts.append(one.select(F.explode(F.array(*[
+            F.struct(F.lit(alias).alias("table_alias"), F.lit(c).alias("column_name"),
+                     F.col(f"p{i}").alias("populated_rows")) for i, c in enumerate(have)])).alias("r")).select("r.*"))
+    avail = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        avail = avail.unionByName(p)
+    return (required.join(F.broadcast(avail), ["table_alias", "column_name"], "left")
+            .select("table_alias", "column_name", F.col("populated_rows").isNotNull().alias("present"),
+                    "populated_rows"))
 
 
 # ----------------------------------------------------------- suite, one side
