@@ -97,9 +97,32 @@ def compare_cells(new: DataFrame, old: DataFrame, keys: list[str] | None, tol: f
 
 
 def _ordinal(df: DataFrame, keys: list[str], floats: list[str]) -> DataFrame:
-    """Position of a row among the rows sharing its key tuple (never a global order)."""
-    order = [F.col(c).asc_nulls_last() for c in floats]
-    return df.withColumn("__ord", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    """Position (1, 2, ...) of a row among the rows sharing its key tuple, in
+    the order of ``floats`` -- without gathering a key tuple into one task.
+
+    Rows are range-partitioned on (keys, floats) and checkpointed, so every
+    consumer sees the same partitions. Rows are numbered within (key tuple,
+    partition) -- a group never larger than one partition -- and each
+    (key tuple, partition) gets the count of the key's rows in earlier
+    partitions as its offset, from the small table of per-partition counts.
+    """
+    from ledgermatch.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_last() for c in keys + floats]
+    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+    local = ranged.withColumn("__local", F.row_number().over(
+        Window.partitionBy(*keys, "__pid").orderBy(*[F.col(c).asc_nulls_last() for c in floats])))
+    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__n"))
+                     .withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+                     .drop("__n"))
+    cond = [local[k].eqNullSafe(offsets[k]) for k in keys] + [local["__pid"] == offsets["__pid"]]
+    joined = local.join(offsets, cond).select(*[local[c] for c in local.columns], offsets["__off"])
+    return joined.withColumn("__ord", (F.col("__off") + F.col("__local")).cast("int")) \
+                 .drop("__pid", "__local", "__off")
 
 
 def _compare_single_row(new: DataFrame, old: DataFrame, measures: list[str], tol: float,

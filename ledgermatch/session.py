@@ -80,3 +80,15 @@ def session_key(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id")
     except Exception:
         return str(id(spark))
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint()`` usable: register the session's shared
+    folder on the context when the context has none yet."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect manages checkpoint storage itself
+        return
+    if not sc.getCheckpointDir():
+        base = spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark, "checkpoints")
+        sc.setCheckpointDir(base)

@@ -79,3 +79,18 @@ def test_keyless_float_answers_compare_as_one_row(spark):
     assert CMP.compare_cells(empty, empty, None).count() == 0
     plan = CMP.compare_cells(a, b, None)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_ordinal_is_per_key_and_distributed(spark):
+    # a hot key tuple with many duplicates: ordinals are 1..n per key, in value order
+    rows_ = [("hot", float(i % 50)) for i in range(3000)] + [("cold", 1.0), ("cold", 0.5), (None, 2.0)]
+    df = spark.createDataFrame(rows_, "k string, f double")
+    got = CMP._ordinal(df, ["k"], ["f"]).collect()
+    by_key = {}
+    for r in got:
+        by_key.setdefault(r["k"], []).append((r["__ord"], r["f"]))
+    for k, pairs in by_key.items():
+        pairs.sort()
+        assert [o for o, _ in pairs] == list(range(1, len(pairs) + 1))
+        assert [v for _, v in pairs] == sorted(v for _, v in pairs)
+    assert len(by_key["hot"]) == 3000 and by_key[None] == [(1, 2.0)]
