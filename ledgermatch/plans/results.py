@@ -23,12 +23,17 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def union_all(dfs: list[DataFrame]) -> DataFrame:
+    """Union by name as a balanced tree: each step analyses a plan of log depth,
+    not the ever-growing left-deep chain."""
+    dfs = list(dfs)
+    while len(dfs) > 1:
+        dfs = [dfs[i].unionByName(dfs[i + 1]) if i + 1 < len(dfs) else dfs[i] for i in range(0, len(dfs), 2)]
+    return dfs[0]
+
+
 def union_results(*dfs: DataFrame) -> DataFrame:
-    out = None
-    for d in dfs:
-        d = conform(d)
-        out = d if out is None else out.unionByName(d)
-    return out
+    return union_all([conform(d) for d in dfs])
 
 
 def rollup(results: DataFrame) -> DataFrame:

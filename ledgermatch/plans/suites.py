@@ -159,12 +159,11 @@ def run_suite(spark: SparkSession, suite: list[QuerySpec], new: DataFrame, old:
               tol: float = 0.01, start=None, end=None) -> DataFrame:
     """All queries of a suite on both tables: one result row per query, plus
     ``critical`` and the suite position ``ordinal``."""
-    out = None
-    for i, spec in enumerate(suite):
-        r = compare_query(spark, spec, new, old, tol, start, end).select(
-            "*", F.lit(bool(spec.critical)).alias("critical"), F.lit(i + 1).alias("ordinal"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    from ledgermatch.plans.results import union_all
+
+    return union_all([compare_query(spark, spec, new, old, tol, start, end).select(
+        "*", F.lit(bool(spec.critical)).alias("critical"), F.lit(i + 1).alias("ordinal"))
+        for i, spec in enumerate(suite)])
 
 
 def acceptance_rows(results: DataFrame, cdl_table: str = "new", target_table: str = "old") -> DataFrame:
