@@ -94,3 +94,16 @@ def test_ordinal_is_per_key_and_distributed(spark):
         assert [o for o, _ in pairs] == list(range(1, len(pairs) + 1))
         assert [v for _, v in pairs] == sorted(v for _, v in pairs)
     assert len(by_key["hot"]) == 3000 and by_key[None] == [(1, 2.0)]
+
+
+def test_reconciliation_is_one_shuffle(spark, tmp_path):
+    a = spark.createDataFrame([(k % 7, k % 3, float(k)) for k in range(200)], "k1 int, k2 int, m double")
+    a.write.parquet(str(tmp_path / "a"))
+    a.write.parquet(str(tmp_path / "b"))
+    new, old = spark.read.parquet(str(tmp_path / "a")), spark.read.parquet(str(tmp_path / "b"))
+    plan = CMP.reconcile_metrics(new, old, ["k1", "k2"], ["m"])._jdf.queryExecution().executedPlan().toString()
+    exchanges = [ln for ln in plan.splitlines() if "Exchange" in ln]
+    assert len(exchanges) == 2, plan
+    assert sum("hashpartitioning(k1" in ln for ln in exchanges) == 1
+    assert sum("SinglePartition" in ln for ln in exchanges) == 1
+    assert "Join" not in plan
