@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,37 +42,52 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def _checkpoint_dir(spark: SparkSession) -> str | None:
+_LOCAL_BASE: dict[str, str] = {}
+
+
+def checkpoint_base(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session,
+    as it is written there (any URI scheme).
+
+    Where it is unset, a local master gets one temporary folder per
+    application, remembered here (no configuration is changed) and removed at
+    exit; on a cluster master a machine-local folder would be wrong, so that
+    is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
-        return base
-    try:  # classic sessions also know a directory registered on the context
-        return spark.sparkContext.getCheckpointDir()
-    except Exception:  # Spark Connect has no SparkContext
-        return None
+        return base.rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    key = session_key(spark)
+    if key not in _LOCAL_BASE:
+        _LOCAL_BASE[key] = tempfile.mkdtemp(prefix="ledgermatch-")
+        atexit.register(shutil.rmtree, _LOCAL_BASE[key], ignore_errors=True)
+    return _LOCAL_BASE[key]
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the cluster's shared checkpoint location.
+    """A new folder name under ``checkpoint_base``; Spark makes the folder when
+    something is written to it. It is deleted when the application ends."""
+    path = f"{checkpoint_base(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    except AttributeError:  # Spark Connect has no JVM handle; the folder's owner cleans it
+        pass
+    return path
 
-    ``spark.checkpoint.dir`` names the folder every executor can reach; it is
-    read from the session. Only when it is unset (local tests) is a fresh
-    local folder created and registered.
-    """
-    base = _checkpoint_dir(spark)
-    if not base:
-        base = tempfile.mkdtemp(prefix="ledgermatch-")
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:
-            pass
-        spark.conf.set("spark.checkpoint.dir", base)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if os.path.isdir(base) or not any(base.startswith(p) for p in ("hdfs:", "s3", "gs:", "abfs", "wasb", "dbfs:")):
-        os.makedirs(base, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: cuts the
+    lineage without depending on any single executor's disk."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    # read with the written schema: no footer-inference job, same column order
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def session_key(spark: SparkSession) -> str:
@@ -90,5 +106,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     except Exception:  # Spark Connect manages checkpoint storage itself
         return
     if not sc.getCheckpointDir():
-        base = spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark, "checkpoints")
-        sc.setCheckpointDir(base)
+        sc.setCheckpointDir(checkpoint_base(spark))
