@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import bpe, chat, exact_dedup
+from ledgermatch.llm import bpe, chat, exact_dedup, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,4 +36,8 @@ def op4_chat_format(spark, sf_dir):
     return chat.digests(turns.unionByName(spark.sql(CONTROL_CASE)))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op4_chat_format)}
+def op8_secret_scan(spark, sf_dir):
+    return secrets.digests(table(spark, sf_dir, "documents"), *public_bpe())
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op4_chat_format, op8_secret_scan)}
