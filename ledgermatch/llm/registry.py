@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import bpe, chat, exact_dedup, secrets
+from ledgermatch.llm import bpe, chat, exact_dedup, langid, mixing, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,8 +36,19 @@ def op4_chat_format(spark, sf_dir):
     return chat.digests(turns.unionByName(spark.sql(CONTROL_CASE)))
 
 
+def op5_source_mix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op8_secret_scan(spark, sf_dir):
     return secrets.digests(table(spark, sf_dir, "documents"), *public_bpe())
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op4_chat_format, op8_secret_scan)}
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op4_chat_format, op5_source_mix,
+                                   op8_secret_scan, op10_language_id)}
