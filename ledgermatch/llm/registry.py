@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import bpe, chat, exact_dedup, langid, mixing, secrets
+from ledgermatch.llm import bpe, chat, class_lm, exact_dedup, langid, mixing, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op5_source_mix(spark, sf_dir):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op6_class_lm(spark, sf_dir):
+    return class_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark, sf_dir):
     return secrets.digests(table(spark, sf_dir, "documents"), *public_bpe())
 
@@ -50,5 +54,5 @@ def op10_language_id(spark, sf_dir):
     return langid.predict(docs, langid.fit(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op4_chat_format, op5_source_mix,
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op4_chat_format, op5_source_mix, op6_class_lm,
                                    op8_secret_scan, op10_language_id)}
