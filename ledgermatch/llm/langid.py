@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermatch.llm.arrow import slices
+
 DIMENSIONS = 1 << 13     # hashed n-gram features
 ORDERS = (1, 2, 3)       # characters of an n-gram
 BLOCK = 1 << 20          # code points hashed at a time
@@ -87,7 +89,7 @@ def is_training(id_col: str, modulus: int = 4, held_out: int = 2) -> Column:
 def _frequencies(batches):
     """mapInArrow: document frequency of each feature in this task."""
     df, n = np.zeros(DIMENSIONS, np.int64), 0
-    for b in batches:
+    for b in slices(batches):
         for t in b.column("text").to_pylist():
             df += ngram_counts(t) > 0
             n += 1
@@ -99,7 +101,7 @@ def _frequencies(batches):
 
 def _vectors(idf: np.ndarray):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             x = [tf_idf(t, idf) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("h"), b.column("label"), pa.array([at.astype("<i4").tobytes() for at, _ in x], pa.binary()),
@@ -191,7 +193,7 @@ def _predictor(model: Model):
             k = int(p.argmax())
             return model.labels[k], float(p[k])
 
-        for b in batches:
+        for b in slices(batches):
             out = [label(t) for t in b.column("text").to_pylist()]
             keep = [i for i, f in enumerate(b.schema.names) if f != "text"]
             yield pa.RecordBatch.from_arrays(

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermatch.llm.arrow import slices
 from ledgermatch.llm.bpe import _encoding
 
 # The patterns and least lengths of the base kinds, in order.
@@ -71,7 +72,7 @@ def _scanner(ranks_path: str, pattern: str, ratio: float, least: int):
             return base, sorted(base + added)
 
         names = ["doc_id", "n_assign", "n_access", "n_hex", "n_random", "base", "spans"]
-        for b in batches:
+        for b in slices(batches):
             rows = [spans(t or "") for t in b.column("text").to_pylist()]
             text = [",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in x) for r in rows for x in r]
             counts = [pa.array([sum(k == n for _, k, _ in r[1]) for r in rows], pa.int64()) for n in range(4)]
