@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import bpe, chat, class_lm, exact_dedup, langid, mixing, secrets
+from ledgermatch.llm import bpe, chat, class_lm, exact_dedup, fingerprint, langid, mixing, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,10 +49,14 @@ def op8_secret_scan(spark, sf_dir):
     return secrets.digests(table(spark, sf_dir, "documents"), *public_bpe())
 
 
+def op9_fingerprint(spark, sf_dir):
+    return fingerprint.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op4_chat_format, op5_source_mix, op6_class_lm,
-                                   op8_secret_scan, op10_language_id)}
+                                   op8_secret_scan, op9_fingerprint, op10_language_id)}
