@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import bpe, chat, class_lm, exact_dedup, fingerprint, langid, mixing, secrets
+from ledgermatch.llm import bpe, chat, class_lm, exact_dedup, fingerprint, langid, mixing, near_dedup, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op6_class_lm(spark, sf_dir):
     return class_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark, sf_dir):
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark, sf_dir):
     return secrets.digests(table(spark, sf_dir, "documents"), *public_bpe())
 
@@ -58,5 +62,5 @@ def op10_language_id(spark, sf_dir):
     return langid.predict(docs, langid.fit(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op4_chat_format, op5_source_mix, op6_class_lm,
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op4_chat_format, op5_source_mix, op6_class_lm, op7_near_dedup,
                                    op8_secret_scan, op9_fingerprint, op10_language_id)}
