@@ -42,6 +42,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL_BASE: dict[str, str] = {}
 
 
@@ -85,7 +86,12 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     spark = df.sparkSession
     path = shared_dir(spark, name)
     writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")   # the table replaces the shuffle files that made it
+    try:
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     # read with the written schema: no footer-inference job, same column order
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
