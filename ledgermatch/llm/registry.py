@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import bpe, chat, class_lm, exact_dedup, fingerprint, langid, mixing, near_dedup, secrets
+from ledgermatch.llm import bpe, chat, class_lm, exact_dedup, fingerprint, langid, mixing, near_dedup, secrets, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 # The conversation that the contract adds.
 CONTROL_CASE = "SELECT -7L AS conv_id, col1 AS turn, col2 AS role, '</s>[INST] ok [/INST]' AS text " \
                "FROM VALUES (0L, 'user'), (1L, 'assistant')"
@@ -62,5 +66,5 @@ def op10_language_id(spark, sf_dir):
     return langid.predict(docs, langid.fit(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op4_chat_format, op5_source_mix, op6_class_lm, op7_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op3_suffix_dedup, op4_chat_format, op5_source_mix, op6_class_lm, op7_near_dedup,
                                    op8_secret_scan, op9_fingerprint, op10_language_id)}
