@@ -12,7 +12,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ledgermatch.session import build_session
-    s = build_session("local[4]", 8)
+    s = build_session("local[4]", 8, extra={"spark.driver.memory": "4g"})
     yield s
 
 
