@@ -15,6 +15,7 @@ target 0. Empty tables give empty tables; other columns are ignored.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,46 +27,46 @@ WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)       # by the source's place, repeating
 CAP = 3                   # a target is at most so many times its source's size
 SEED = 20240229
-RESERVE = 4096            # words left to the dynamic programme
+RESERVE = (4096, 200_000)  # least and most words left to the dynamic programme
+WORK = 10 ** 9             # lengths times words that it may look at
 BLOCK = 20000             # rows of one length that are ranked together
 
 
-def fit_budget(sizes: list[int], counts: list[int], budget: int, reserve: int = RESERVE) -> list[int]:
+def fit_budget(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     """How many documents of each size to take so that their sizes add up to
-    ``budget`` or as closely below as possible; at most ``counts`` of each."""
+    ``budget`` or as close to it as possible; at most ``counts`` of each."""
     total = sum(s * c for s, c in zip(sizes, counts))
     if budget >= total:
         return list(counts)
     if not total:
         return [0] * len(sizes)
-    take = [c * budget // total for c in counts]
+    reserve = min(max(WORK // len(sizes), RESERVE[0]), RESERVE[1])
+    # In proportion, but for what the dynamic programme fills.
+    take = [c * max(0, budget - reserve) // total for c in counts]
     left = budget - sum(t * s for t, s in zip(take, sizes))
     down = sorted((s, i) for i, s in enumerate(sizes) if s > 0)[::-1]
     for s, i in down:
         more = min(counts[i] - take[i], max(0, left - reserve) // s)
         take[i] += more
         left -= more * s
-    # Bounded knapsack on the rest: bit b of ``reach`` says that b words can be
-    # filled; ``first[b]`` is the item that first reached b, so walking back
-    # uses each item once.
-    items = []
+    # Bounded knapsack on the rest: reach[b] says that b words can be filled;
+    # first[b] is the item that first reached b, so walking back uses each once.
+    items, room = [], left + min(left, RESERVE[0])   # a little above may be closer
     for s, i in down:
-        n, k = min(counts[i] - take[i], left // s), 1
+        n, k = min(counts[i] - take[i], room // s), 1
         while n > 0:
             k = min(k, n)
             items.append((s * k, i, k))
             n, k = n - k, k * 2
-    reach, mask, first = 1, (1 << (left + 1)) - 1, {}
+    reach, first = np.zeros(room + 1, bool), np.full(room + 1, -1, np.int32)
+    reach[0] = True
     for number, (w, _, _) in enumerate(items):
-        new = (reach << w) & mask & ~reach
-        reach |= new
-        while new:
-            bit = new & -new
-            first[bit.bit_length() - 1] = number
-            new ^= bit
-        if reach >> left & 1:
+        new = np.flatnonzero(reach[: room + 1 - w] & ~reach[w:]) + w
+        reach[new], first[new] = True, number
+        if reach[left]:
             break
-    at = reach.bit_length() - 1
+    found = np.flatnonzero(reach)
+    at = int(found[np.abs(found - left).argmin()])
     while at:
         w, i, k = items[first[at]]
         take[i] += k

@@ -136,6 +136,8 @@ def _notes(buckets: int, length: int, gram: int):
 
         def out():
             m, ids = np.concatenate(m_all), np.concatenate(id_all)
+            if not len(m):
+                return
             order = np.lexsort((ids, m))
             m, ids = m[order], ids[order]
             keep = np.append(True, (m[1:] != m[:-1]) | (ids[1:] != ids[:-1]))
