@@ -7,6 +7,7 @@ there is no expression parser here.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -17,11 +18,42 @@ METRIC_TYPES = ("aggregation", "complex_aggregation")
 
 
 def metric_expr(text: str, name: str) -> Column:
-    """An aggregate rule as a column; a SUM over no rows or only nulls reads 0."""
-    e = F.expr(text)
-    if text.strip().lower().startswith("sum("):
-        e = F.coalesce(e, F.lit(0))
-    return e.alias(name)
+    """An aggregate rule as a column; each SUM over no rows or only nulls reads
+    0 (A11, S7), also inside a larger expression such as ``sum(a) + sum(b)``."""
+    return F.expr(_zero_sums(text)).alias(name)
+
+
+def _zero_sums(text: str) -> str:
+    """``text`` with every ``sum(...)`` outside quotes wrapped in coalesce(..., 0)."""
+    out, at = [], 0
+    while m := _SUM.search(text, at):
+        out.append(text[at:m.start()])
+        at = m.end()
+        if not m["sum"]:
+            out.append(m.group())
+            continue
+        end = _closing(text, at)
+        inner = _zero_sums(text[at:end - 1])
+        at = end
+        while tail := _TAIL.match(text, at):     # sum(x) FILTER (WHERE ...), OVER (...)
+            at = _closing(text, tail.end())
+        out.append(f"coalesce({m['sum']}{inner}){text[end:at]}, 0)")
+    return "".join(out) + text[at:]
+
+
+def _closing(text: str, at: int) -> int:
+    """Position after the bracket that closes the one opened before ``at``."""
+    depth = 1
+    while at < len(text) and depth:
+        q = _QUOTED.match(text, at)
+        depth += 0 if q else {"(": 1, ")": -1}.get(text[at], 0)
+        at = q.end() if q else at + 1
+    return at
+
+
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.)*'|`[^`]*`|\"[^\"]*\"")
+_TAIL = re.compile(r"\s*(?:filter|over)\s*\(", re.I)
+_SUM = re.compile(_QUOTED.pattern + r"|(?P<sum>\bsum\s*\()", re.I)
 
 
 def group_by_rules(df: DataFrame, column_rules: Iterable[Mapping]) -> DataFrame:

@@ -19,8 +19,15 @@ from ledgermatch.functions.scalars import col_of
 # bound (one row per day: 100k rows is 270 years).
 MAX_BROADCAST_DAYS = 100_000
 # Floating measures are summed as this decimal (then returned as DOUBLE), so a
-# reconciliation gives the same answer however the rows are partitioned.
-EXACT_SUM_TYPE = "decimal(38,9)"
+# reconciliation gives the same answer however the rows are partitioned. A sum
+# with a value or a total that the decimal cannot hold is the plain DOUBLE sum.
+EXACT_SUM_TYPE = "decimal(38,15)"
+
+
+def exact_sum(col: Column) -> Column:
+    dec = col.try_cast(EXACT_SUM_TYPE)
+    whole = F.count(col) == F.count(dec)
+    return F.when(whole, F.try_sum(dec).cast("double")).otherwise(F.sum(col.cast("double")))
 
 
 def _d(v):
@@ -111,18 +118,14 @@ def side_by_side(new: DataFrame, old: DataFrame, keys, measures, agg: str = "sum
         cols = [F.col(k) for k in keys]
         for m in measures:
             c = F.col(m) if m in df.columns else F.lit(None)
-            if agg == "sum" and m in floating:
-                # exact sums: the result must not depend on the order rows arrive in
-                c = c.cast(EXACT_SUM_TYPE)
             cols.append(c.alias(m))
         tagged.append(df.select(*cols, F.lit(side).alias("__side")))
     u = tagged[0].unionByName(tagged[1])
     aggs = []
     for m in measures:
         for side in (new_name, old_name):
-            a = fn(F.when(F.col("__side") == side, F.col(m)))
-            if agg == "sum" and m in floating:
-                a = a.cast("double")
+            value = F.when(F.col("__side") == side, F.col(m))
+            a = exact_sum(value) if agg == "sum" and m in floating else fn(value)
             aggs.append(a.alias(f"{m}_{side}"))
     for side in (new_name, old_name):
         aggs.append(F.max(F.col("__side") == side).alias(f"in_{side}"))

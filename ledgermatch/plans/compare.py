@@ -1,8 +1,8 @@
 """Comparison of two tables or two query answers.
 
-All comparisons align the sides with ``operators.joins.side_by_side`` (tag,
-union, group by key): one shuffle, null keys equal, duplicate keys summed,
-hot keys pre-aggregated map-side. Per-metric summaries are computed as one
+Answers are compared as multisets of rows. Metrics are aligned with
+``operators.joins.side_by_side`` (tag, union, group by key): one shuffle, null
+keys equal, duplicate keys summed, hot keys pre-aggregated map-side. Per-metric summaries are computed as one
 global aggregate whose single row is then unpivoted, so no step gathers a
 metric's rows into one task.
 """
@@ -25,133 +25,127 @@ def _dtype(df: DataFrame, col: str):
 
 
 def cell_match(a: Column, b: Column, floating: bool, numeric: bool, tol: float) -> Column:
-    """Both null match, one-sided null mismatches; floats within ``tol``,
-    integers and decimals exactly; other types by equality."""
+    """Both null match, one-sided null mismatches; floats within ``tol``
+    (equal infinities match, NaN is read as null), all other types exactly."""
+    same = a == b
     if numeric and floating:
-        same = F.abs(a.cast("double") - b.cast("double")) <= F.lit(tol)
-    elif numeric:
-        same = a.cast("decimal(38,10)") == b.cast("decimal(38,10)")
-    else:
-        same = a.cast("string") == b.cast("string")
+        same = same | (F.abs(a - b) <= F.lit(tol))
     return (F.when(a.isNull() & b.isNull(), F.lit(True))
             .when(a.isNull() | b.isNull(), F.lit(False))
             .otherwise(same))
 
 
+def cell_delta(a: Column, b: Column, floating: bool, numeric: bool) -> Column:
+    """Absolute difference as DOUBLE, taken in the exact type of the cells."""
+    if not numeric:
+        return F.lit(None).cast("double")
+    if floating:
+        return F.when(a == b, F.lit(0.0)).otherwise(F.abs(a.cast("double") - b.cast("double")))
+    exact = F.try_subtract(a.cast("decimal(38,0)"), b.cast("decimal(38,0)")) if floating is None else F.try_subtract(a, b)
+    return F.abs(F.coalesce(exact.cast("double"), a.cast("double") - b.cast("double")))
+
+
+def _kind(new: DataFrame, old: DataFrame, col: str) -> tuple[bool | None, bool]:
+    """(floating, numeric) of a cell pair; floating is None for whole numbers."""
+    types = (_dtype(new, col), _dtype(old, col))
+    numeric = all(isinstance(t, NUMERIC) for t in types)
+    floating = any(isinstance(t, FLOATING) for t in types)
+    whole = numeric and not floating and not any(isinstance(t, T.DecimalType) for t in types)
+    return (None if whole else floating), numeric
+
+
+def _row_counts(new: DataFrame, old: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct rows of both sides with how often each side has them.
+
+    Each side is counted on its own first: copies are combined before any
+    shuffle, and Catalyst drops a presentation sort under the count.
+    """
+    def side(df, n_new, n_old):
+        values = [F.when(F.isnan(c), None).otherwise(F.col(c)).alias(c) if isinstance(_dtype(df, c), FLOATING) else F.col(c) for c in cols]
+        counted = df.select(*values).groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+        return counted.select(*cols, (F.col("__n") * n_new).alias("__new"), (F.col("__n") * n_old).alias("__old"))
+    both = side(new, 1, 0).unionByName(side(old, 0, 1))
+    return both.groupBy(*cols).agg(F.sum("__new").alias("__new"), F.sum("__old").alias("__old"))
+
+
+def _paired(counts: DataFrame, keys: list[str], measures: list[str], new_name: str, old_name: str) -> DataFrame:
+    """Rows of repeated keys (or of an answer without keys) paired in the order
+    of their measures. The window sees distinct rows only; a row that occurs
+    n times takes n places."""
+    place = Window.partitionBy(*keys).orderBy(*[F.col(m).asc_nulls_last() for m in measures])
+    sides = []
+    for n, side in (("__new", new_name), ("__old", old_name)):
+        rows = counts.filter(F.col(n) > 0).withColumn("__end", F.sum(n).over(place.rowsBetween(Window.unboundedPreceding, 0)))
+        rows = rows.withColumn("__ord", F.explode(F.sequence(F.col("__end") - F.col(n) + 1, F.col("__end"))))
+        sides.append(rows.select(*keys, "__ord", *measures, F.lit(side).alias("__side")))
+    u = sides[0].unionByName(sides[1])
+    return u.groupBy(*keys, "__ord").agg(
+        *[F.max(F.when(F.col("__side") == s, F.col(m))).alias(f"{m}_{s}") for m in measures for s in (new_name, old_name)],
+        *[F.max(F.col("__side") == s).alias(f"in_{s}") for s in (new_name, old_name)])
+
+
 def compare_cells(new: DataFrame, old: DataFrame, keys: list[str] | None, tol: float = 0.01,
                   new_name: str = "new", old_name: str = "old") -> DataFrame:
     """Cell-by-cell comparison of two answers with the same columns.
 
-    ``keys`` are the answer's grouping columns (unique per side). When unknown
-    (``None``), all non-floating columns act as keys and duplicate key tuples
-    are paired by their order on the floating columns (survey §4.3): the
-    ordinal is computed per key tuple, never over the whole table.
+    Rows are compared as multisets: a row on one side only is reported,
+    however often its key or its copies occur. ``keys`` are the answer's
+    grouping columns; when unknown (``None``), all non-floating columns act as
+    keys. Rows of a key that a side has more than once are paired by the order
+    of their measures (survey §4.3).
 
     Output: keys, ``column_name``, ``<new>_value``, ``<old>_value`` (strings),
     ``delta`` (double, numeric cells), ``status`` in match / mismatch /
-    only_<new> / only_<old>.
+    only_<new> / only_<old>. An answer of keys alone has one row per distinct
+    key, which matches if both sides have it equally often.
     """
     cols = [c for c in new.columns if c in old.columns]
     if keys is None:
-        keys = [c for c in cols if not isinstance(_dtype(new, c), FLOATING)]
-        floats = [c for c in cols if c not in keys]
-        if floats and keys:
-            nk = keys + ["__ord"]
-            new = _ordinal(new, keys, floats)
-            old = _ordinal(old, keys, floats)
-            keys = nk
-        measures = floats
+        keys = [c for c in cols if not isinstance(_dtype(new, c), FLOATING) and not isinstance(_dtype(old, c), FLOATING)]
+    measures = [c for c in cols if c not in keys]
+    counts = _row_counts(new, old, cols)
+    if not measures:
+        status = (F.when(F.col("__new") == F.col("__old"), "match").when(F.col("__old") == 0, f"only_{new_name}")
+                  .when(F.col("__new") == 0, f"only_{old_name}").otherwise("mismatch"))
+        none = F.lit(None).cast("string")
+        return counts.select(*keys, none.alias("column_name"), none.alias(f"{new_name}_value"), none.alias(f"{old_name}_value"),
+                             F.lit(None).cast("double").alias("delta"), status.alias("status"))
+    if keys:
+        per_key = counts.groupBy(*keys).agg(
+            F.sum("__new").alias("__new"), F.sum("__old").alias("__old"),
+            *[F.max(F.when(F.col(n) > 0, F.col(m))).alias(f"{m}_{s}") for m in measures for n, s in (("__new", new_name), ("__old", old_name))])
+        single = (F.col("__new") <= 1) & (F.col("__old") <= 1)
+        once = per_key.filter(single).withColumns({f"in_{new_name}": F.col("__new") > 0, f"in_{old_name}": F.col("__old") > 0})
+        repeated = per_key.filter(~single).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+        cond = None
+        for i, k in enumerate(keys):
+            c = counts[k].eqNullSafe(repeated[f"__k{i}"])
+            cond = c if cond is None else cond & c
+        again = _paired(counts.join(repeated, cond, "left_semi"), keys, measures, new_name, old_name)
+        pair = once.select(*again.drop("__ord").columns).unionByName(again.drop("__ord"))
     else:
-        measures = [c for c in cols if c not in keys]
-        if keys and measures:
-            # Group each side by its keys first. For a grouped answer this is a
-            # no-op on the rows, but it lets Catalyst drop a presentation sort
-            # under it (EliminateSorts) and keeps each side's hash partitioning,
-            # so the alignment below adds no shuffle of its own.
-            new = new.groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures])
-            old = old.groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures])
-    if not keys and measures:
-        # A keyless answer is compared as one row; more than one row on a side
-        # is reported as a mismatch instead of pairing rows by a global sort.
-        return _compare_single_row(new, old, measures, tol, new_name, old_name)
-    # Keep each measure as its own typed column through the group: with unique
-    # keys every group holds at most one row per side, so max() is that row.
-    pair = side_by_side(new, old, keys, measures, agg="max", new_name=new_name, old_name=old_name)
+        pair = _paired(counts, [], measures, new_name, old_name).drop("__ord")
     inn, ino = F.col(f"in_{new_name}"), F.col(f"in_{old_name}")
-    key_out = [k for k in keys if k != "__ord"]
-    if not measures:
-        # Key-only answer: a key present on one side is the whole finding.
-        status = (F.when(inn & ino, "match").when(inn, f"only_{new_name}").otherwise(f"only_{old_name}"))
-        return pair.select(*key_out, F.lit(None).cast("string").alias("column_name"),
-                           F.lit(None).cast("string").alias(f"{new_name}_value"),
-                           F.lit(None).cast("string").alias(f"{old_name}_value"),
-                           F.lit(None).cast("double").alias("delta"), status.alias("status"))
     cells = []
     for m in measures:
-        dt = _dtype(new, m)
-        numeric = isinstance(dt, NUMERIC) and isinstance(_dtype(old, m), NUMERIC)
-        floating = isinstance(dt, FLOATING) or isinstance(_dtype(old, m), FLOATING)
+        floating, numeric = _kind(new, old, m)
         a, b = F.col(f"{m}_{new_name}"), F.col(f"{m}_{old_name}")
-        delta = F.abs(a.cast("double") - b.cast("double")) if numeric else F.lit(None).cast("double")
         status = (F.when(inn & ~ino, f"only_{new_name}").when(ino & ~inn, f"only_{old_name}")
-                  .when(cell_match(a, b, floating, numeric, tol), "match").otherwise("mismatch"))
-        cells.append(F.struct(F.lit(m).alias("column_name"), a.cast("string").alias("nv"),
-                              b.cast("string").alias("ov"), delta.alias("delta"), status.alias("status")))
-    exploded = pair.select(*key_out, F.explode(F.array(*cells)).alias("c"))
-    return exploded.select(*key_out, F.col("c.column_name").alias("column_name"),
+                  .when(cell_match(a, b, bool(floating), numeric, tol), "match").otherwise("mismatch"))
+        cells.append(F.struct(F.lit(m).alias("column_name"), a.cast("string").alias("nv"), b.cast("string").alias("ov"),
+                              cell_delta(a, b, floating, numeric).alias("delta"), status.alias("status")))
+    exploded = pair.select(*keys, F.explode(F.array(*cells)).alias("c"))
+    return exploded.select(*keys, F.col("c.column_name").alias("column_name"),
                            F.col("c.nv").alias(f"{new_name}_value"), F.col("c.ov").alias(f"{old_name}_value"),
                            F.col("c.delta").alias("delta"), F.col("c.status").alias("status"))
 
 
-def _ordinal(df: DataFrame, keys: list[str], floats: list[str]) -> DataFrame:
-    """Position (1, 2, ...) of a row among the rows sharing its key tuple, in
-    the order of ``floats`` -- without gathering a key tuple into one task.
-
-    Rows are range-partitioned on (keys, floats) and checkpointed, so every
-    consumer sees the same partitions. Rows are numbered within (key tuple,
-    partition) -- a group never larger than one partition -- and each
-    (key tuple, partition) gets the count of the key's rows in earlier
-    partitions as its offset, from the small table of per-partition counts.
-    """
-    from ledgermatch.session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c).asc_nulls_last() for c in keys + floats]
-    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
-    local = ranged.withColumn("__local", F.row_number().over(
-        Window.partitionBy(*keys, "__pid").orderBy(*[F.col(c).asc_nulls_last() for c in floats])))
-    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__n"))
-                     .withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-                     .drop("__n"))
-    cond = [local[k].eqNullSafe(offsets[k]) for k in keys] + [local["__pid"] == offsets["__pid"]]
-    joined = local.join(offsets, cond).select(*[local[c] for c in local.columns], offsets["__off"])
-    return joined.withColumn("__ord", (F.col("__off") + F.col("__local")).cast("int")) \
-                 .drop("__pid", "__local", "__off")
-
-
-def _compare_single_row(new: DataFrame, old: DataFrame, measures: list[str], tol: float,
-                        new_name: str, old_name: str) -> DataFrame:
-    pair = side_by_side(new, old, [], measures, agg="max", new_name=new_name, old_name=old_name)
-    several = (F.col(f"__rows_{new_name}") > 1) | (F.col(f"__rows_{old_name}") > 1)
-    inn, ino = F.col(f"in_{new_name}"), F.col(f"in_{old_name}")
-    cells = []
-    for m in measures:
-        dt_n, dt_o = _dtype(new, m), _dtype(old, m)
-        numeric = isinstance(dt_n, NUMERIC) and isinstance(dt_o, NUMERIC)
-        floating = isinstance(dt_n, FLOATING) or isinstance(dt_o, FLOATING)
-        a, b = F.col(f"{m}_{new_name}"), F.col(f"{m}_{old_name}")
-        delta = F.abs(a.cast("double") - b.cast("double")) if numeric else F.lit(None).cast("double")
-        status = (F.when(inn & ~ino, f"only_{new_name}").when(ino & ~inn, f"only_{old_name}")
-                  .when(several, "mismatch")
-                  .when(cell_match(a, b, floating, numeric, tol), "match").otherwise("mismatch"))
-        cells.append(F.struct(F.lit(m).alias("column_name"), a.cast("string").alias("nv"),
-                              b.cast("string").alias("ov"), delta.alias("delta"), status.alias("status")))
-    return pair.filter(inn | ino).select(F.explode(F.array(*cells)).alias("c")).select(
-        F.col("c.column_name").alias("column_name"), F.col("c.nv").alias(f"{new_name}_value"),
-        F.col("c.ov").alias(f"{old_name}_value"), F.col("c.delta").alias("delta"), F.col("c.status").alias("status"))
+def row_count_verdict(new: DataFrame, old: DataFrame, check_name: str = "row_count") -> DataFrame:
+    """Both answers' row counts in one row; passes iff they are equal."""
+    pair = side_by_side(new.select(F.lit(1).alias("x")), old.select(F.lit(1).alias("x")), [], [])
+    a, b = F.col("__rows_new"), F.col("__rows_old")
+    return pair.select(F.lit("query").alias("validation_type"), F.lit(check_name).alias("check_name"), (a == b).alias("passed"),
+                       a.alias("cdl_rows"), b.alias("target_rows"), F.abs(a - b).alias("row_difference"))
 
 
 def summarize_cells(cells: DataFrame, check_name: str, validation_type: str = "query") -> DataFrame:
@@ -169,18 +163,22 @@ def compare_scalar(new: DataFrame, old: DataFrame, tol: float = 0.01, check_name
     """1x1 answers (R9): both null match; floats within ``tol``, integers exactly.
 
     Returns one row with both values, the absolute difference and the verdict.
+    An answer of several rows is compared row by row; its values are not shown.
     """
     (cn,), (co,) = new.columns, old.columns
-    dn, do = _dtype(new, cn), _dtype(old, co)
-    numeric = isinstance(dn, NUMERIC) and isinstance(do, NUMERIC)
-    floating = isinstance(dn, FLOATING) or isinstance(do, FLOATING)
-    pair = side_by_side(new.select(F.col(cn).alias("v")), old.select(F.col(co).alias("v")), [], ["v"], agg="max")
-    a, b = F.col("v_new"), F.col("v_old")
-    return pair.select(
+    cells = compare_cells(new.select(F.col(cn).alias("v")), old.select(F.col(co).alias("v")), [], tol)
+    one = F.count(F.lit(1)) == 1
+    return cells.agg(
         F.lit("query").alias("validation_type"), F.lit(check_name).alias("check_name"),
-        cell_match(a, b, floating, numeric, tol).alias("passed"),
-        a.cast("string").alias("cdl_value"), b.cast("string").alias("target_value"),
-        (F.abs(a.cast("double") - b.cast("double")) if numeric else F.lit(None).cast("double")).alias("max_delta"))
+        (F.count_if(F.col("status") != "match") == 0).alias("passed"),
+        F.when(one, F.max("new_value")).alias("cdl_value"), F.when(one, F.max("old_value")).alias("target_value"),
+        F.max("delta").alias("max_delta"))
+
+
+def _metric_delta(source: DataFrame, target: DataFrame, metric: str, a: Column, b: Column) -> Column:
+    """Difference of two sums, a missing one read as 0 (S13), in their own type."""
+    a, b = (F.coalesce(x, F.lit(0).cast("double" if _kind(source, target, metric)[0] else "bigint")) for x in (a, b))
+    return cell_delta(a, b, *_kind(source, target, metric))
 
 
 def reconcile_metrics(source: DataFrame, target: DataFrame, keys: list[str], metrics: list[str],
@@ -197,8 +195,7 @@ def reconcile_metrics(source: DataFrame, target: DataFrame, keys: list[str], met
             F.count_if(ins & ~inc).alias("only_in_source"),
             F.count_if(inc & ~ins).alias("only_in_cdl")]
     for i, m in enumerate(metrics):
-        d = F.abs(F.coalesce(F.col(f"{m}_{source_name}").cast("double"), F.lit(0.0))
-                  - F.coalesce(F.col(f"{m}_{target_name}").cast("double"), F.lit(0.0)))
+        d = _metric_delta(source, target, m, F.col(f"{m}_{source_name}"), F.col(f"{m}_{target_name}"))
         aggs += [F.count_if(d > F.lit(tol)).alias(f"mm{i}"), F.max(d).alias(f"md{i}")]
     one = pair.agg(*aggs)
     per = F.explode(F.array(*[
@@ -218,10 +215,9 @@ def metric_deltas(source: DataFrame, target: DataFrame, keys: list[str], metrics
     pair = side_by_side(source, target, keys, metrics, agg="sum", new_name=source_name, old_name=target_name)
     rows = []
     for m in metrics:
-        s = F.col(f"{m}_{source_name}").cast("double")
-        t = F.col(f"{m}_{target_name}").cast("double")
-        rows.append(F.struct(F.lit(m).alias("column_name"), s.alias("source_value"), t.alias("cdl_value"),
-                             F.abs(F.coalesce(s, F.lit(0.0)) - F.coalesce(t, F.lit(0.0))).alias("delta")))
+        s, t = F.col(f"{m}_{source_name}"), F.col(f"{m}_{target_name}")
+        rows.append(F.struct(F.lit(m).alias("column_name"), s.cast("double").alias("source_value"), t.cast("double").alias("cdl_value"),
+                             _metric_delta(source, target, m, s, t).alias("delta")))
     return pair.select(*keys, f"in_{source_name}", f"in_{target_name}", F.explode(F.array(*rows)).alias("r")) \
                .select(*keys, f"in_{source_name}", f"in_{target_name}", "r.*")
 

@@ -68,32 +68,83 @@ def test_abs_rel(spark):
     assert r["mismatched_rows"] == 1 and r["passed"] is False
 
 
-def test_keyless_float_answers_compare_as_one_row(spark):
+def test_keyless_float_answers(spark):
     a = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
     b = spark.createDataFrame([(1.001, 2.5)], "x double, y double")
     st = {r["column_name"]: r["status"] for r in CMP.compare_cells(a, b, None).collect()}
     assert st == {"x": "match", "y": "mismatch"}
     two = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0)], "x double, y double")
-    assert {r["status"] for r in CMP.compare_cells(two, a, None).collect()} == {"mismatch"}
+    assert sorted(r["status"] for r in CMP.compare_cells(two, a, None).collect()) == ["match", "match", "only_new", "only_new"]
+    assert {r["status"] for r in CMP.compare_cells(two, two, None).collect()} == {"match"}
     empty = spark.createDataFrame([], "x double, y double")
     assert CMP.compare_cells(empty, empty, None).count() == 0
-    plan = CMP.compare_cells(a, b, None)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
-
-
-def test_ordinal_is_per_key_and_distributed(spark):
-    # a hot key tuple with many duplicates: ordinals are 1..n per key, in value order
-    rows_ = [("hot", float(i % 50)) for i in range(3000)] + [("cold", 1.0), ("cold", 0.5), (None, 2.0)]
-    df = spark.createDataFrame(rows_, "k string, f double")
-    got = CMP._ordinal(df, ["k"], ["f"]).collect()
-    by_key = {}
-    for r in got:
-        by_key.setdefault(r["k"], []).append((r["__ord"], r["f"]))
-    for k, pairs in by_key.items():
-        pairs.sort()
-        assert [o for o, _ in pairs] == list(range(1, len(pairs) + 1))
-        assert [v for _, v in pairs] == sorted(v for _, v in pairs)
-    assert len(by_key["hot"]) == 3000 and by_key[None] == [(1, 2.0)]
+
+
+def _cells(spark, new, old, schema, keys, tol=0.01):
+    return CMP.compare_cells(spark.createDataFrame(new, schema), spark.createDataFrame(old, schema), keys, tol)
+
+
+def _passes(spark, new, old, schema, keys, tol=0.01):
+    return CMP.summarize_cells(_cells(spark, new, old, schema, keys, tol), "q").first()["passed"]
+
+
+def test_repeated_rows_never_collapse(spark):
+    kv = "k string, v int"
+    assert not _passes(spark, [("a", 1), ("a", 2)], [("a", 2)], kv, ["k"])
+    assert not _passes(spark, [("a", 1), ("a", 2)], [("a", 2), ("a", 2)], kv, ["k"])
+    assert _passes(spark, [("a", 1), ("a", 2)], [("a", 2), ("a", 1)], kv, ["k"])
+    assert not _passes(spark, [("x",), ("x",)], [("x",)], "k string", None)
+    assert _passes(spark, [("x",), ("x",)], [("x",), ("x",)], "k string", None)
+    one, two = (spark.createDataFrame([(v,) for v in x], "v bigint") for x in ([5], [1, 5]))
+    assert CMP.compare_scalar(two, one).first()["passed"] is False
+    assert CMP.compare_scalar(two, two).first()["passed"] is True
+
+
+def test_identity_on_floats_and_nan(spark):
+    nan, inf = float("nan"), float("inf")
+    rows_ = [(1.0,), (1.0,), (2.5,), (nan,), (None,), (inf,), (-inf,)]
+    assert _passes(spark, rows_, rows_, "v double", None)
+    st = {r["column_name"]: r["status"] for r in _cells(spark, [("a", nan)], [("a", None)], "k string, v double", ["k"]).collect()}
+    assert st == {"v": "match"}
+    assert not _passes(spark, [("a", inf)], [("a", -inf)], "k string, v double", ["k"])
+    dup = [("a", 1.0), ("a", 2.0), (None, nan), (None, 3.0)]
+    assert _passes(spark, dup, dup[::-1], "k string, v double", ["k"])
+
+
+def test_swap_on_repeated_rows(spark):
+    new, old, schema = [("a", 1.0), ("a", 2.0), ("b", nan := float("nan"))], [("a", 2.0), ("b", nan), ("b", 1.0), ("c", 0.0)], "k string, v double"
+    flip = {"only_new": "only_old", "only_old": "only_new"}
+    ab = sorted((r["k"], r["status"]) for r in _cells(spark, new, old, schema, ["k"]).collect())
+    ba = sorted((r["k"], flip.get(r["status"], r["status"])) for r in _cells(spark, old, new, schema, ["k"]).collect())
+    assert ab == ba and {s for _, s in ab} > {"only_new", "only_old"}
+
+
+def test_exact_types_stay_exact(spark):
+    from decimal import Decimal as D
+
+    assert not _passes(spark, [("a", D("1.1E-11"))], [("a", D("1.2E-11"))], "k string, v decimal(38,20)", ["k"])
+    big = D("12345678901234567890123456789012345")
+    assert _passes(spark, [("a", big)], [("a", big)], "k string, v decimal(38,0)", ["k"])
+    assert not _passes(spark, [("a", big)], [("a", big + 1)], "k string, v decimal(38,0)", ["k"])
+    a, b = (spark.createDataFrame([("a", v)], "k string, m bigint") for v in (2 ** 53 + 1, 2 ** 53))
+    got = CMP.reconcile_metrics(a, b, ["k"], ["m"]).first()
+    assert got["passed"] is False and got["max_delta"] == 1.0
+    huge, less = (spark.createDataFrame([("a", v)], "k string, m double") for v in (1e30, 0.5e30))
+    assert CMP.reconcile_metrics(huge, huge, ["k"], ["m"]).first()["passed"] is True
+    assert CMP.reconcile_metrics(huge, less, ["k"], ["m"]).first()["max_delta"] == 0.5e30
+
+
+def test_many_copies_of_a_row(spark):
+    a = [("hot", float(i % 50)) for i in range(3000)] + [("cold", 1.0), ("cold", 0.5), (None, 2.0)]
+    got = _cells(spark, a, a[:-1] + [("hot", 7.0)], "k string, f double", ["k"]).groupBy("k", "status").count().collect()
+    got = {(r["k"], r["status"]): r["count"] for r in got}
+    assert got[("cold", "match")] == 2 and got[(None, "only_new")] == 1 and got[("hot", "only_old")] == 1
+
+
+def test_row_count_verdict(spark):
+    r = CMP.row_count_verdict(spark.range(5), spark.range(3)).first()
+    assert (r["passed"], r["cdl_rows"], r["target_rows"], r["row_difference"]) == (False, 5, 3, 2)
+    assert CMP.row_count_verdict(spark.range(0), spark.range(0)).first()["passed"] is True
 
 
 def test_reconciliation_is_one_shuffle(spark, tmp_path):

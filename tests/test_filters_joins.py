@@ -97,3 +97,15 @@ def test_side_by_side_null_keys_and_duplicates(spark):
     assert got["b"] == (None, 1, False, True)
     anti = rows(J.anti_join(new, old, ["k"]), "k")
     assert anti == [("a",)]
+
+
+def test_sums_inside_a_formula_read_zero(spark):
+    from ledgermatch.operators import aggregates as A
+
+    df = spark.createDataFrame([("x", 5, None), ("x", None, None), ("y", None, 2)], "k string, a int, b int")
+    rules = [{"column_name": "k", "transformation_type": "simple", "source_expression": "k"},
+             {"column_name": "t", "transformation_type": "aggregation", "source_expression": "SUM(a) + sum( b )"},
+             {"column_name": "f", "transformation_type": "aggregation", "source_expression": "sum(a) FILTER (WHERE b > 0) + 1"},
+             {"column_name": "s", "transformation_type": "aggregation", "source_expression": "concat(max('sum(x'), sum(abs(a)))"}]
+    got = {r["k"]: (r["t"], r["f"], r["s"]) for r in A.group_by_rules(df, rules).collect()}
+    assert got == {"x": (5, 1, "sum(x5"), "y": (2, 3 - 2, "sum(x0")}
