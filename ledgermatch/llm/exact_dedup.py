@@ -1,8 +1,9 @@
 """Exact dedup by content sort, in DataFrame operations only.
 
-The normalised bytes are range-partitioned by splitters that Spark samples,
-sorted (spilling to disk), so equal texts are neighbours, and the sorted
-stream's neighbouring full comparisons form the groups. Of a group the row
+The normalised texts are range-partitioned by splitters that Spark samples,
+sorted (spilling to disk) by their first characters, hash and full bytes, so
+equal texts are neighbours, and the sorted stream's neighbouring full
+comparisons form the groups. Of a group the row
 with the largest identifier stays (or the smallest, by parameter).
 
 A text with very many copies would land in one range. Rows are first counted
@@ -27,6 +28,7 @@ from ledgermatch.llm.text import lower_ascii, whole_text
 
 HOT_SHARE = 0.001     # a text with more than this share of all rows is hot
 HOT_LEAST = 100       # and has at least so many rows
+HEAD = 32             # characters in a splitter
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: bool = True,
@@ -43,22 +45,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # ever counts too many rows as copies.
     by_hash = F.xxhash64(F.lower("text"))
     counts = src.groupBy(by_hash.alias("hot_h")).agg(F.count(F.lit(1)).alias("n"))
-    limit = docs.select(F.greatest(F.count(F.lit(1)) * F.lit(HOT_SHARE), F.lit(HOT_LEAST)).alias("limit"))
-    hot = counts.join(F.broadcast(limit), F.col("n") > F.col("limit")).select("hot_h")
+    hot = counts.where(F.col("n") > max(HOT_LEAST, HOT_SHARE * docs.count())).select("hot_h")
     # The row number breaks ties between rows that repeat an identifier.
     rows = (src.withColumn("nr", F.monotonically_increasing_id())
             .join(F.broadcast(hot), by_hash == F.col("hot_h"), "left"))
     norm = rows.withColumn("norm", lower_ascii(F.col("text"))).drop("text")
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cold = norm.where(F.col("hot_h").isNull()).drop("hot_h").repartitionByRange(n, "norm")
-    # The range partitioning clusters norm already: the window only sorts.
-    group = Window.partitionBy("norm")
+    # Splitters are sampled from the first characters and, for texts that begin
+    # alike, the hash: small keys, so the sample stays small for long texts.
+    cold = (norm.where(F.col("hot_h").isNull()).drop("hot_h")
+            .withColumns({"head": F.substring("norm", 1, HEAD), "h": F.xxhash64("norm")}).repartitionByRange(n, "head", "h"))
+    # The range partitioning clusters these keys already: the window only sorts.
+    ordered = Window.partitionBy("head", "h", "norm").orderBy(order("id"), order("nr"))
     cold_out = cold.select(
         "id", "nr", *carried, F.sha2("norm", 256).alias("text_sha256"),
-        F.count(F.lit(1)).over(group).alias("group_size"),
-        F.first(F.struct("id", "nr")).over(group.orderBy(order("id"), order("nr"))
-                                           .rowsBetween(Window.unboundedPreceding, 0)).alias("best"))
+        F.count(F.lit(1)).over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("group_size"),
+        F.first(F.struct("id", "nr")).over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("best"))
 
     hot_rows = norm.where(F.col("hot_h").isNotNull()).withColumn("text_sha256", F.sha2("norm", 256))
     hot_groups = hot_rows.groupBy("text_sha256").agg(

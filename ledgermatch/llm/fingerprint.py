@@ -10,8 +10,9 @@ sketches are made again, larger and with other cell hashes. The likeness is
 common / (common + differing) digests.
 
 A text with more than ``BLOCKS`` paragraphs is sketched in runs of paragraphs,
-cut where a digest is divisible by a power of four; both texts of a comparison
-use the coarser cut of the two. So the work per text is linear beyond that.
+cut where a digest is divisible by a power of four, so that a sketch has about
+as many digests for a long text as for a short one; both texts of a comparison
+use the coarser cut of the two.
 
 Defined results: null and empty texts have no paragraphs; two texts without
 paragraphs are alike (1.0). Repeated paragraphs count once. Next documents go
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgermatch.llm.text import whole_text
 
 PARAGRAPH = r"(?<=[.!?])\\s+|\\n+"     # as an SQL string
-BLOCKS = 256
+BLOCKS = 32                           # paragraphs of a text that are sketched one by one
 BASE_WIDTH = 8                        # cells of a subtable of the published sketch
 ROUNDS = 10                           # peeling rounds
 
@@ -57,10 +58,13 @@ def _places(k: str, w: str, salt: int) -> str:
 
 def cells(keys: str, w: str, salt: int) -> str:
     """Sketch of an array of digests: 3 w cells (n, k, h)."""
-    placed = f"transform({keys}, k -> struct(k AS k, xxhash64(k, -1) AS h, {_places('k', w, salt)}))"
     zero = "named_struct('n', 0, 'k', 0L, 'h', 0L)"
-    return (f"transform(array({placed}), p -> transform(sequence(0, cast(3 * {w} as int) - 1), c -> aggregate(p, {zero}, (a, x) -> "
-            f"if(x.i0 = c or x.i1 = c or x.i2 = c, named_struct('n', a.n + 1, 'k', a.k ^ x.k, 'h', a.h ^ x.h), a))))[0]")
+    tables = []
+    for j in range(3):
+        placed = f"transform({keys}, k -> struct(cast(pmod(xxhash64(k, {3 * salt + j}), {w}) as int) AS i, k AS k, xxhash64(k, -1) AS h))"
+        tables.append(f"transform(array({placed}), p -> transform(sequence(0, cast({w} as int) - 1), c -> aggregate(filter(p, x -> x.i = c), "
+                      f"{zero}, (a, x) -> named_struct('n', a.n + 1, 'k', a.k ^ x.k, 'h', a.h ^ x.h))))[0]")
+    return f"concat({', '.join(tables)})"
 
 
 def minus(a: str, b: str) -> str:
@@ -68,28 +72,46 @@ def minus(a: str, b: str) -> str:
 
 
 def peel(diff: str, w: str, salt: int) -> str:
-    """(c, got): the cells left and the number of digests recovered. Steps
-    alternate between finding the single cells and taking their digests out."""
+    """(c, got): the cells left and the number of digests recovered. A step
+    finds the single cells (p) or takes their digests out; after a search
+    without a find (z = 1 and p empty) nothing changes any more."""
     pure = (f"array_distinct(transform(filter(s.c, x -> abs(x.n) = 1 and xxhash64(x.k, -1) = x.h), x -> "
             f"struct(x.n AS n, x.k AS k, x.h AS h, {_places('x.k', w, salt)})))")
     taken = ("transform(s.c, (x, c) -> aggregate(s.p, x, (a, p) -> if(p.i0 = c or p.i1 = c or p.i2 = c, "
              "named_struct('n', a.n - p.n, 'k', a.k ^ p.k, 'h', a.h ^ p.h), a)))")
     none = "cast(array() as array<struct<n: int, k: bigint, h: bigint, i0: int, i1: int, i2: int>>)"
-    return (f"aggregate(sequence(1, {2 * ROUNDS}), named_struct('c', {diff}, 'got', 0, 'p', {none}), (s, r) -> "
-            f"if(size(s.p) = 0, named_struct('c', s.c, 'got', s.got, 'p', {pure}), "
-            f"named_struct('c', {taken}, 'got', s.got + size(s.p), 'p', {none})), s -> named_struct('c', s.c, 'got', s.got))")
+    return (f"aggregate(sequence(1, {2 * ROUNDS}), named_struct('c', {diff}, 'got', 0, 'p', {none}, 'z', 0), (s, r) -> "
+            f"CASE WHEN size(s.p) > 0 THEN named_struct('c', {taken}, 'got', s.got + size(s.p), 'p', {none}, 'z', 0) "
+            f"WHEN s.z = 1 THEN s ELSE named_struct('c', s.c, 'got', s.got, 'p', {pure}, 'z', 1) END, "
+            "s -> named_struct('c', s.c, 'got', s.got))")
+
+
+def with_sketch(df: DataFrame, d: str) -> DataFrame:
+    """``df`` with ``d``_q (the cut), ``d``_k (digests) and ``d``_c (cells of
+    the smallest sketch) for the digest array ``d``."""
+    df = df.withColumn(f"{d}_q", F.expr(cut_for(f"size({d})")))
+    df = df.withColumn(f"{d}_k", F.expr(keys_of(d, f"{d}_q")))
+    return df.withColumn(f"{d}_c", F.expr(cells(f"{d}_k", str(BASE_WIDTH), 0)))
+
+
+def published(d: str) -> Column:
+    """The fingerprint as text: number of digests, cut, and the cells in hexadecimal."""
+    return F.expr(f"concat_ws(':', size({d}_k), {d}_q, array_join(transform({d}_c, x -> concat_ws('.', hex(x.n), hex(x.k), hex(x.h))), ','))")
 
 
 def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
-    """``df`` with ``out``: likeness of the digest arrays in columns ``a`` and
+    """``df`` with ``out``: likeness of the sketched digest arrays ``a`` and
     ``b`` by subtracting and peeling, retrying larger until nothing is left."""
     q, ka, kb, r = (f"__{out}_{x}" for x in ("q", "a", "b", "r"))
-    df = df.withColumn(q, F.expr(f"greatest({cut_for(f'size({a})')}, {cut_for(f'size({b})')})"))
-    df = df.withColumn(ka, F.expr(keys_of(a, q))).withColumn(kb, F.expr(keys_of(b, q)))
+    df = df.withColumn(q, F.greatest(f"{a}_q", f"{b}_q"))
+    for x, k in ((a, ka), (b, kb)):
+        df = df.withColumn(k, F.expr(f"CASE WHEN {x}_q = {q} THEN {x}_k ELSE {keys_of(x, q)} END"))
     need = f"(size({ka}) + size({kb}))"
-    widths = [str(BASE_WIDTH), str(4 * BASE_WIDTH), f"(64 + {need})", f"(256 + 2 * {need})"]
+    widths = [str(BASE_WIDTH), f"({BASE_WIDTH} + {need} div 2)", f"(24 + {need})", f"(64 + 2 * {need})"]
     for salt, w in enumerate(widths):
-        attempt = peel(minus(cells(ka, w, salt), cells(kb, w, salt)), w, salt)
+        ca, cb = (cells(k, w, salt) if salt else f"CASE WHEN {x}_q = {q} THEN {x}_c ELSE {cells(k, w, salt)} END"
+                  for x, k in ((a, ka), (b, kb)))
+        attempt = peel(minus(ca, cb), w, salt)
         done = f"forall({r}.c, x -> x.n = 0 and x.k = 0 and x.h = 0)"
         df = df.withColumn(r, F.expr(f"CASE WHEN {done} THEN {r} ELSE {attempt} END" if salt else attempt))
     # What four sizes left (never seen) still counts as differing: three cells a digest.
@@ -99,18 +121,10 @@ def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
         .drop(q, ka, kb, r)
 
 
-def sketch(d: str) -> Column:
-    """The published fingerprint of a digest array: its number of distinct
-    digests, its cut, and the cells of the smallest sketch in hexadecimal."""
-    q = cut_for(f"size({d})")
-    whole = f"transform(array({keys_of(d, q)}), k -> named_struct('n', size(k), 'c', {cells('k', str(BASE_WIDTH), 0)}))[0]"
-    return F.expr(f"transform(array({whole}), s -> concat_ws(':', s.n, {q}, array_join(transform(s.c, x -> "
-                  "concat_ws('.', hex(x.n), hex(x.k), hex(x.h))), ',')))[0]")
-
-
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, d, next_text, next_d): each row with its next document by
-    descending identifier, after the last the first.
+    """(id, text, d, next_text, and d's sketch; n and n's sketch of the next
+    document): each row with its next document by descending identifier, after
+    the last the first.
 
     Rows go to ranges of identifiers between sampled quantiles; the first row
     of each range also goes, as a guest, to the end of the range before.
@@ -132,14 +146,16 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
               .select("id", "text", F.posexplode(F.array_compact(F.array(part, F.col("host")))).alias("guest", "part"))
               .repartition(n, "part").withColumn("d", digests_of(F.col("text"))))
     order = Window.partitionBy("part").orderBy("guest", F.col("id").desc_nulls_last(), "text")
-    return (placed.withColumn("next_text", F.lead("text").over(order)).withColumn("next_d", F.lead("d").over(order))
+    parts = ["", "_q", "_k", "_c"]
+    return (with_sketch(placed, "d").withColumn("next_text", F.lead("text").over(order))
+            .withColumns({f"n{x}": F.lead(f"d{x}").over(order) for x in parts})
             .where(F.col("guest") == 0).drop("guest", "part"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``id_col``, fingerprint (see ``sketch``)."""
-    return (docs.select(F.col(id_col), digests_of(whole_text(text_col)).alias("d"))
-            .select(id_col, sketch("d").alias("fingerprint")))
+    """Per row: ``id_col``, fingerprint (see ``published``)."""
+    return (with_sketch(docs.select(F.col(id_col).alias("id"), digests_of(whole_text(text_col)).alias("d")), "d")
+            .select(F.col("id").alias(id_col), published("d").alias("fingerprint")))
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,7 +166,8 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - cut).cast("int")),
                                               F.substring(F.col("next_text"), F.lit(1), cut)))
-    rows = rows.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "d", "next_d", digests_of(F.col("edited")).alias("e"))
-    rows = rows.withColumn("fingerprint", sketch("d")).withColumn("edited_fingerprint", sketch("e"))
-    rows = with_likeness(with_likeness(rows, "d", "e", "near_edited"), "d", "next_d", "near_next")
-    return rows.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    sketched = [f"{d}{x}" for d in ("d", "n") for x in ("", "_q", "_k", "_c")]
+    rows = rows.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *sketched, digests_of(F.col("edited")).alias("e"))
+    rows = with_likeness(with_likeness(with_sketch(rows, "e"), "d", "e", "near_edited"), "d", "n", "near_next")
+    return rows.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", published("d").alias("fingerprint"),
+                       published("e").alias("edited_fingerprint"), "near_edited", "near_next")

@@ -4,15 +4,17 @@ A document's set is its distinct shingles of four words (64-bit hashes).
 Documents with equal sets are one class. Each class has a signature of
 ``TREES * DEPTH`` minima. A tree of the forest orders the classes by its
 ``DEPTH`` minima in turn; a region is a run with a common prefix of the least
-depth, and a region with many classes is split at the next depth, as often as
-needed. Candidates are the neighbours in this order (their common prefix is
-the longest that either has) and each class with its region's smallest one.
-
-Candidates are confirmed on whole sets. First each class is compared with its
-most promising candidates; links found make components. Then all classes of a
-region that are still in different components are compared as well, so a link
-that would join two components is not lost to the choice of neighbours. A pair
-inside a component needs no comparison: it cannot change the result.
+depth. Candidates are the nearest neighbours in this order (no others have a
+longer common prefix), and each class with its region's centre, which lies in
+the branch that is most crowded at the next depths. A region of up to
+``REACH`` + 1 classes is compared completely; in a denser one the descent goes
+deeper, so the work stays in proportion to the rows there.
+
+Candidates are confirmed on whole sets. First each class is compared with the
+centre and the partner that it meets in most trees; links found make
+components. Then all candidates that are still in different components are
+compared. A pair inside a component needs no comparison: it cannot change the
+result.
 
 Least depth 4 in 24 trees: a pair at similarity 0.8 shares no region with a
 probability of (1 - 0.8^4)^24 = 3e-6.
@@ -39,7 +41,7 @@ from ledgermatch.session import materialize
 SHINGLE = 4
 PERCENT = 80
 TREES, DEPTH, LEAST_DEPTH = 24, 6, 4
-CROWD = 64            # classes of a region above which it is split at the next depth
+REACH = 8             # rows before it in its region that a row is compared with, per tree
 HOPEFUL = 0.6         # share of equal minima below which a pair is not compared (five deviations below 0.8)
 U64 = np.uint64
 
@@ -90,7 +92,7 @@ def _signatures(width: int, trees: int, depth: int):
     return run
 
 
-def _trees(trees: int, depth: int, least: int, extra: tuple[str, ...] = ()):
+def _trees(trees: int, depth: int, least: int):
     """mapInArrow: a row per tree: the hashes of the prefixes of the least
     depth, of one more, and of the full depth."""
     marks = (least, min(least + 1, depth), depth)
@@ -105,8 +107,8 @@ def _trees(trees: int, depth: int, least: int, extra: tuple[str, ...] = ()):
                 if d + 1 in marks:
                     found += [h.ravel().view(np.int64)] * marks.count(d + 1)
             again = pa.array(np.repeat(np.arange(len(b)), trees))
-            yield pa.RecordBatch.from_arrays([pa.array(f) for f in found] + [b.column(c).take(again) for c in ("key", "n", *extra)],
-                                             names=["h1", "h2", "h3", "key", "n", *extra])
+            yield pa.RecordBatch.from_arrays([pa.array(f) for f in found] + [b.column(c).take(again) for c in ("key", "n")],
+                                             names=["h1", "h2", "h3", "key", "n"])
     return run
 
 
@@ -117,45 +119,54 @@ def _could_link(a, b, percent: int):
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
-def _neighbours(percent: int):
-    """mapInArrow over a sorted partition: candidate pairs (kind 0: neighbours
-    in the order, 1: with the region's first class here) and the region's
-    first classes (kind 2), which are linked across partitions afterwards."""
+FOUND = "kind int, a binary, b binary, h1 long, h2 long, h3 long, n long"
+
+
+def _neighbours(percent: int, reach: int):
+    """mapInArrow over a sorted partition. Kind 0: candidate pairs of a row and
+    the ``reach`` rows before it in its region; with more rows before it there,
+    the row just before it and those that share the next depth. Kind 1: the rows of regions
+    with several rows (and the partition's first and last row, whose region
+    may go on in another partition)."""
+    def rows(kind, a, b, *numbers_of):
+        m = len(a)
+        longs = [pa.array(x, pa.int64()) for x in numbers_of] or [pa.nulls(m, pa.int64())] * 4
+        return pa.RecordBatch.from_arrays([pa.array([kind] * m, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary()), *longs],
+                                          names=["kind", "a", "b", "h1", "h2", "h3", "n"])
+
     def run(batches):
-        last = None          # (h1, key, n) of the row before
-        head = None          # (h1, key, n) of the region's first row
+        key, nums, met = np.zeros(0, object), np.zeros((4, 0), np.int64), np.zeros(0, bool)   # the rows before
+        last = None
         for t in batches:
             if not len(t):
                 continue
-            h = t.column("h1").to_numpy()
-            n = t.column("n").to_numpy()
-            key = np.array(t.column("key").to_pylist(), dtype=object)
-            before_h = np.concatenate([[h[0] if last is None else last[0]], h[:-1]])
-            same = before_h == h
-            same[0] &= last is not None
-            starts = np.flatnonzero(~same)
-            # The row that heads each row's region, in this batch or carried over.
-            at = np.maximum.accumulate(np.where(same, -1, np.arange(len(h))))
-            head_key, head_n = key[np.maximum(at, 0)].copy(), n[np.maximum(at, 0)].copy()
-            if head is not None:
-                head_key[at < 0], head_n[at < 0] = head[1], head[2]
-            prev_key = np.concatenate([np.array([None if last is None else last[1]], object), key[:-1]])
-            prev_n = np.concatenate([[0 if last is None else last[2]], n[:-1]])
-            rows = [(prev_key, prev_n, 0), (head_key, head_n, 1)]
-            for other, other_n, kind in rows:
-                ok = np.flatnonzero(same & _could_link(n, other_n, percent))
-                ok = ok[[other[i] != key[i] for i in ok]] if len(ok) else ok
-                yield _pairs([min(other[i], key[i]) for i in ok], [max(other[i], key[i]) for i in ok], kind, h[ok], n[ok])
-            yield _pairs(list(key[starts]), list(key[starts]), 2, h[starts], n[starts])
-            last, head = (h[-1], key[-1], n[-1]), (h[-1], head_key[-1], head_n[-1])
+            old = len(key)
+            key = np.append(key, np.array(t.column("key").to_pylist(), dtype=object))
+            nums = np.concatenate([nums, np.stack([t.column(c).to_numpy() for c in ("h1", "h2", "h3", "n")])], axis=1)
+            h, n = nums[0], nums[3]
+            for d in range(1, min(reach, len(key) - 1) + 1):
+                at = np.arange(max(old, d), len(key))
+                at = at[(h[at] == h[at - d]) & _could_link(n[at], n[at - d], percent)]
+                # Deep in a crowded region only the next row, or rows of the same branch.
+                crowded = (at >= reach) & (h[at - reach] == h[at]) & (d > 1)
+                at = at[~crowded | (nums[1, at] == nums[1, at - d])]
+                x, y = key[at], key[at - d]
+                ok = x != y
+                yield rows(0, np.minimum(x, y)[ok], np.maximum(x, y)[ok])
+            # Rows with a neighbour in their region; the last one waits for the next batch.
+            same = np.append(False, h[1:] == h[:-1])
+            met = np.append(met, np.zeros(len(key) - old, bool)) | same | np.append(same[1:], False)
+            met[0] |= last is None
+            send = np.arange(max(old - 1, 0), len(key) - 1)
+            send = send[met[send]]
+            yield rows(1, key[send], key[send], *nums[:, send])
+            last = (key[-1], nums[:, -1])
+            key, nums, met = key[-reach - 1:], nums[:, -reach - 1:], met[-reach - 1:]
+        if last is not None:
+            yield rows(1, [last[0]], [last[0]], *last[1].reshape(4, 1))
     return run
 
 
-def _pairs(a, b, kind, h, n):
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array([kind] * len(a), pa.int32()),
-                                       pa.array(h, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "kind", "h1", "n"])
-
-
 def _sets(width: int):
     """mapInArrow: (key, set) with the sorted shingle hashes as bytes."""
     def run(batches):
@@ -211,19 +222,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     orders = (classes.mapInArrow(_trees(TREES, DEPTH, LEAST_DEPTH), TREE_ROW)
               .repartitionByRange(n_parts, "h1", "h2", "h3", "key").sortWithinPartitions("h1", "h2", "h3", "key"))
-    found = materialize(orders.mapInArrow(_neighbours(percent), "a binary, b binary, kind int, h1 long, n long"), "found")
-    # A region that spans partitions has several first classes: the smallest meets the others.
-    heads = found.where(F.col("kind") == 2).select("h1", F.col("a").alias("key"), "n")
-    first = heads.groupBy("h1").agg(F.min(F.struct("key", "n")).alias("f"), F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
-    across = (heads.join(first.select("h1", "f.key", F.col("f.n").alias("fn")).withColumnRenamed("key", "first"), "h1")
-              .where((F.col("key") != F.col("first")) & (100 * F.least("n", "fn") >= percent * F.greatest("n", "fn")))
-              .select(F.col("first").alias("a"), F.col("key").alias("b"), F.lit(1).alias("kind")))
-    candidates = materialize(found.where(F.col("kind") < 2).select("a", "b", "kind").unionByName(across)
-                             .groupBy("a", "b").agg(F.count_if(F.col("kind") == 0).alias("near"), F.count(F.lit(1)).alias("met")),
-                             "candidates")
-    # Each class' most frequent neighbour and most frequent partner overall.
-    sided = candidates.select("a", "b", "near", "met", F.explode(F.array("a", "b")).alias("x"))
-    best = sided.groupBy("x").agg(F.max(F.struct("near", "a", "b")).alias("p"), F.max(F.struct("met", "a", "b")).alias("q"))
+    found = materialize(orders.mapInArrow(_neighbours(percent, REACH), FOUND), "found")
+    # A region's centre: in its most crowded branch of the next depth, the most
+    # crowded branch below, the smallest class.
+    members = found.where(F.col("kind") == 1).select(F.col("a").alias("key"), "h1", "h2", "h3", "n")
+    leaf = members.groupBy("h1", "h2", "h3").agg(F.count(F.lit(1)).alias("c3"), F.min(F.struct("key", "n")).alias("k"))
+    branch = leaf.groupBy("h1", "h2").agg(F.sum("c3").alias("c2"), F.max(F.struct("c3", "k")).alias("k"))
+    centre = (branch.groupBy("h1").agg(F.sum("c2").alias("c"), F.max(F.struct("c2", "k")).alias("k")).where(F.col("c") > 1)
+              .select("h1", F.col("k.k.k.key").alias("centre"), F.col("k.k.k.n").alias("cn")))
+    stars = (members.join(centre, "h1").where((F.col("key") != F.col("centre"))
+                                              & (100 * F.least("n", "cn") >= percent * F.greatest("n", "cn")))
+             .select(F.lit(1).alias("kind"), F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")))
+    candidates = materialize(found.where(F.col("kind") == 0).select("kind", "a", "b").unionByName(stars)
+                             .groupBy("a", "b").agg(F.sum("kind").alias("star"), F.count(F.lit(1)).alias("met")), "candidates")
+    # Each class with the centre it meets most and the partner it meets most.
+    sided = candidates.select("a", "b", "star", "met", F.explode(F.array("a", "b")).alias("x"))
+    best = sided.groupBy("x").agg(F.max(F.struct("star", "met", "a", "b")).alias("p"), F.max(F.struct("met", "a", "b")).alias("q"))
     first_pairs = materialize(best.select(F.explode(F.array(F.struct("p.a", "p.b"), F.struct("q.a", "q.b"))).alias("p"))
                               .select("p.*").distinct(), "first-pairs")
 
@@ -241,25 +255,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     links = materialize(confirmed(first_pairs), "links")
     comp = components(links)
-    # Regions whose classes are in several components: compare across them.
-    here = involved.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    rows = materialize(here.mapInArrow(_trees(TREES, DEPTH, LEAST_DEPTH, ("comp",)), TREE_ROW + ", comp binary"), "regions")
-
-    def mixed(col):
-        return rows.groupBy(col).agg(F.count(F.lit(1)).alias(f"c_{col}"), (F.min("comp") != F.max("comp")).alias(f"m_{col}")) \
-            .where(f"m_{col}").drop(f"m_{col}")
-    # Adaptive depth: a crowded region is split at the next depth, the crowded parts again.
-    deep = rows.join(mixed("h1"), "h1").join(mixed("h2"), "h2", "left").withColumn(
-        "region", F.when(F.col("c_h1") <= CROWD, F.col("h1")).when(F.coalesce("c_h2", F.lit(0)) <= CROWD, F.col("h2")).otherwise(F.col("h3")))
-    left = deep.select("region", F.col("key").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    right = deep.select("region", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    cross = (left.join(right, "region").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                              & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-             .select("a", "b").unionByName(candidates.select("a", "b")
-                                           .join(here.select(F.col("key").alias("a"), F.col("comp").alias("ca")), "a")
-                                           .join(here.select(F.col("key").alias("b"), F.col("comp").alias("cb")), "b")
-                                           .where(F.col("ca") != F.col("cb")).select("a", "b"))
-             .distinct().join(first_pairs, ["a", "b"], "left_anti"))
+    # Candidates that would still join two components are compared as well.
+    here = involved.select("key").join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    cross = (candidates.select("a", "b").join(here.select(F.col("key").alias("a"), F.col("comp").alias("ca")), "a")
+             .join(here.select(F.col("key").alias("b"), F.col("comp").alias("cb")), "b").where(F.col("ca") != F.col("cb"))
+             .select("a", "b").join(first_pairs, ["a", "b"], "left_anti"))
     second = materialize(_with_both(cross, involved, "sig").mapInArrow(_hopeful(HOPEFUL), "a binary, b binary"), "second-pairs")
     all_links = materialize(links.unionByName(confirmed(second)), "all-links")
     groups = components(all_links).withColumnRenamed("node", "key")

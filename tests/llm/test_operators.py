@@ -295,7 +295,7 @@ def test_fingerprints_of_long_texts_in_runs(spark):
     long_text = "\n".join(f"line {i} of the text" for i in range(3000))
     docs = [(2, long_text), (1, long_text[:40000] + "\nchanged\n" + long_text[40010:]), (0, "short")]
     got = {r["doc_id"]: r for r in fingerprint.edited_likeness(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert 0.9 < got[2]["near_next"] < 1.0 and got[1]["near_next"] == 0.0
+    assert 0.5 < got[2]["near_next"] < 1.0 and got[1]["near_next"] == 0.0
 
 
 def test_fingerprint_query(spark, small):
