@@ -1,7 +1,7 @@
 """Joins (J1-J8).
 
-The range join of an interval fact against a calendar is planned as
-clip-to-window + ``explode(sequence)`` + equi join, so its cost is the number
+The range join of an interval fact against dates or timestamps is planned as
+clip to their range + ``explode(sequence)`` + equi join, so its cost is the number
 of matching (interval, day) pairs and never intervals x days.
 """
 
@@ -14,10 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermatch.functions.scalars import col_of
+from ledgermatch.operators.filters import interval_overlap
 
-# A calendar side is broadcast only when its row count is known and below this
-# bound (one row per day: 100k rows is 270 years).
-MAX_BROADCAST_DAYS = 100_000
 # Floating measures are summed as this decimal (then returned as DOUBLE), so a
 # reconciliation gives the same answer however the rows are partitioned. A sum
 # with a value or a total that the decimal cannot hold is the plain DOUBLE sum.
@@ -50,19 +48,35 @@ def expand_intervals(df: DataFrame, start_col: str, end_col: str, lo, hi,
               .drop("__s", "__e"))
 
 
+def _interval_days(points: DataFrame, intervals: DataFrame, point: str, start_col: str, end_col: str) -> DataFrame:
+    """The intervals that touch the points' own date range, one row per day of
+    it in ``__day``. The range is a one-row aggregate of the points; as a
+    literal it reaches the scan of the intervals."""
+    r = points.agg(F.min(F.to_date(point)).alias("lo"), F.max(F.to_date(point)).alias("hi")).first()
+    lo, hi = (r["lo"], r["hi"]) if r["lo"] else (_dt.date(1970, 1, 1), _dt.date(1970, 1, 1))
+    return expand_intervals(interval_overlap(intervals, start_col, end_col, lo, hi), start_col, end_col, lo, hi, out_col="__day")
+
+
 def range_join_calendar(df: DataFrame, cal: DataFrame, start_col: str, end_col: str,
-                        lo, hi, date_col: str = "report_date") -> DataFrame:
+                        date_col: str = "report_date") -> DataFrame:
     """``cal.date BETWEEN to_date(start) AND to_date(end)`` as an equi join.
 
-    ``lo``/``hi`` are the calendar's bounds. The calendar has at most one row per
-    day of ``[lo, hi]``, a size known at plan time, so it is broadcast when that
-    bound is small; otherwise both sides shuffle on the date.
+    The bounds are the calendar's own, so none of its rows is lost. A fact
+    column of the calendar's date name is kept with the suffix ``_fact``.
     """
-    exploded = expand_intervals(df, start_col, end_col, lo, hi, out_col=date_col)
-    lo_d = lo if isinstance(lo, _dt.date) else _dt.date.fromisoformat(str(lo))
-    hi_d = hi if isinstance(hi, _dt.date) else _dt.date.fromisoformat(str(hi))
-    right = F.broadcast(cal) if (hi_d - lo_d).days + 1 <= MAX_BROADCAST_DAYS else cal
-    return exploded.join(right, on=date_col, how="inner")
+    days = _interval_days(cal, df, date_col, start_col, end_col)
+    if date_col in df.columns:
+        days = days.withColumnRenamed(date_col, f"{date_col}_fact")
+    return cal.join(days, cal[date_col] == days["__day"]).drop("__day")
+
+
+def range_join_points(points: DataFrame, intervals: DataFrame, point: str, start_col: str, end_col: str) -> DataFrame:
+    """``point BETWEEN start AND end`` for timestamps: equi join on the day,
+    then the exact condition. A null end is open; clashing interval columns
+    must be renamed before."""
+    days = _interval_days(points, intervals, point, start_col, end_col)
+    joined = points.withColumn("__at", F.to_date(point)).join(days, F.col("__at") == F.col("__day")).drop("__at", "__day")
+    return joined.filter((F.col(point) >= F.col(start_col)) & (F.col(end_col).isNull() | (F.col(point) <= F.col(end_col))))
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,

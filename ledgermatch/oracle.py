@@ -150,8 +150,7 @@ FROM lgrp_{x}"""),
 
 
 _BASE = [
-    ("cal_bounds", f"""SELECT greatest({LO}, CAST(min(o_orderdate) AS DATE)) AS lo,
-  least({HI}, CAST(max(o_orderdate) AS DATE)) AS hi FROM orders"""),
+    ("cal_bounds", "SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders"),
     ("cal_raw", f"""SELECT d AS calendar_date, d + CAST(6 - dayofweek(d) AS INTEGER) AS last_day_of_week, {fy_cols('d')}
 FROM (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
       FROM cal_bounds)"""),

@@ -345,19 +345,23 @@ def _missing_columns():
   count(report_date) AS populated_rows FROM cal
 UNION ALL SELECT 'sbf', '{END}', true, count({END}) FROM sbf_new
 UNION ALL SELECT 'sbf', '{START}', true, count({START}) FROM sbf_new
-UNION ALL SELECT 'smf', 'report_date', true, count(report_date) FROM smf_new WHERE report_date BETWEEN {LO} AND {HI}""")
+UNION ALL SELECT 'smf', 'report_date', true, count(report_date) FROM smf_new""")
 
 
 TOUCH = (f"(CAST({START} AS DATE) BETWEEN {LO} AND {HI} OR CAST({END} AS DATE) BETWEEN {LO} AND {HI})")
 TD = TENURE_DAYS
 
+_LINE_ORD = "row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity NULLS LAST, l_returnflag NULLS LAST)"
+_LINES_OLD = ("SELECT l_orderkey, l_linenumber, l_quantity + CASE WHEN l_orderkey % 101 = 0 THEN 1 ELSE 0 END AS l_quantity, l_returnflag "
+              "FROM lineitem WHERE l_orderkey % 89 <> 0")
+
 ORACLE_SQL: dict[str, str] = {
     # sources
     "load_base_touching": with_fixtures(f"SELECT * FROM sbf_new WHERE {TOUCH}"),
     "load_base_overlap": with_fixtures(
         f"SELECT * FROM sbf_new WHERE CAST({START} AS DATE) <= {HI} AND ({END} IS NULL OR CAST({END} AS DATE) >= {LO})"),
     "load_movement": with_fixtures(f"SELECT * FROM smf_new WHERE report_date BETWEEN {LO} AND {HI}"),
-    "load_calendar": with_fixtures("SELECT * FROM cal"),
+    "load_calendar": with_fixtures(f"SELECT * FROM cal WHERE report_date BETWEEN {LO} AND {HI}"),
     "load_target_window": with_fixtures(f"SELECT * FROM layer_new WHERE report_date BETWEEN {MONTH}"),
     "csv_coerce": with_fixtures(
         f"SELECT masthead, offer_category_name, CASE WHEN day({START}) = 13 THEN NULL ELSE CAST({START} AS DATE) END "
@@ -393,17 +397,39 @@ ORACLE_SQL: dict[str, str] = {
         "FROM aw_all",
         suite_ctes("aw", ACCEPT, f"(SELECT * FROM layer_new WHERE report_date BETWEEN {MONTH})",
                    f"(SELECT * FROM layer_old WHERE report_date BETWEEN {MONTH})")),
+    "default_suite_rows": with_fixtures(
+        "SELECT check_name, passed, total_rows, mismatched_rows, max_delta, cdl_value, target_value, critical FROM ds_all",
+        suite_ctes("ds", EXAMPLES[:7])),
+    "grid_compare_duplicates": f"""WITH n AS (SELECT *, {_LINE_ORD} AS ord FROM lineitem), o AS (SELECT *, {_LINE_ORD} AS ord FROM ({_LINES_OLD})),
+p AS (SELECT n.ord AS n_ord, o.ord AS o_ord, n.l_quantity AS nq, o.l_quantity AS oq, n.l_returnflag AS nf, o.l_returnflag AS f2
+  FROM n FULL JOIN o ON n.l_orderkey = o.l_orderkey AND n.l_linenumber = o.l_linenumber AND n.ord = o.ord),
+c AS (SELECT 'l_quantity' AS column_name, n_ord, o_ord, abs(nq - oq) <= 0.01 AS same FROM p
+  UNION ALL SELECT 'l_returnflag', n_ord, o_ord, nf = f2 FROM p)
+SELECT column_name, CASE WHEN o_ord IS NULL THEN 'only_new' WHEN n_ord IS NULL THEN 'only_old' WHEN same THEN 'match' ELSE 'mismatch' END AS status,
+  count(*) AS cells FROM c GROUP BY ALL""",
+    "grid_compare_no_keys": f"""WITH u AS (SELECT l_returnflag, l_linenumber, 1 AS n, 0 AS o FROM lineitem
+  UNION ALL SELECT l_returnflag, l_linenumber, 0, 1 FROM ({_LINES_OLD}))
+SELECT l_returnflag, l_linenumber, CASE WHEN sum(n) = sum(o) THEN 'match' WHEN sum(o) = 0 THEN 'only_new' WHEN sum(n) = 0 THEN 'only_old'
+  ELSE 'mismatch' END AS status FROM u GROUP BY ALL""",
+    "row_count_verdict": f"""SELECT 'query' AS validation_type, 'lineitem' AS check_name, a = b AS passed, a AS cdl_rows, b AS target_rows,
+  abs(a - b) AS row_difference FROM (SELECT count(*) AS a FROM lineitem), (SELECT count(*) AS b FROM ({_LINES_OLD}))""",
+    "range_join_timestamps": with_fixtures(
+        "SELECT l_returnflag, masthead, count(*) AS pairs FROM lineitem JOIN sbf_new ON l_shipdate BETWEEN dw_effective_start_datetime "
+        "AND dw_effective_end_datetime WHERE ratecard_price > 400000 AND is_paying_flag = 'Y' "
+        f"AND l_shipdate >= {LO} AND l_shipdate < {LO} + 7 GROUP BY ALL"),
+    "rebuild_two_joins": """SELECT n_name AS nation, count(o_orderkey) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
+LEFT JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 AND o_orderstatus <> 'P' GROUP BY n_name""",
     # joins, sets
     "range_join_calendar": with_fixtures(
         "SELECT report_date, count(*) AS active_intervals, CAST(sum(ratecard_price) AS DOUBLE) AS ratecard_total "
-        "FROM snap_new GROUP BY report_date"),
+        f"FROM snap_new WHERE report_date BETWEEN {LO} AND {HI} GROUP BY report_date"),
     "snapshot_by_day": with_fixtures(
         f"SELECT report_date, masthead, {START}, subscription_tenure_start_datetime, subscription_count, "
-        f"fy_week_of_year, last_day_of_week_date FROM snap_new"),
+        f"fy_week_of_year, last_day_of_week_date FROM snap_new WHERE report_date BETWEEN {LO} AND {HI}"),
     "movement_calendar_join": with_fixtures(
         "SELECT m.report_date, m.movement_type_code, m.masthead, m.fy_year, c.fy_year AS fy_year_cal, "
         "m.fy_week_of_year, c.fy_week_of_year AS fy_week_of_year_cal, c.last_day_of_week_date "
-        "FROM smf_new m JOIN cal c ON m.report_date = c.report_date"),
+        f"FROM smf_new m JOIN cal c ON m.report_date = c.report_date WHERE c.report_date BETWEEN {LO} AND {HI}"),
     "only_in_new": with_fixtures(
         f"SELECT {_j(SHARED)} FROM (SELECT {_j(SHARED)}, 1 AS n, 0 AS o FROM layer_new UNION ALL "
         f"SELECT {_j(SHARED)}, 0, 1 FROM layer_old) u GROUP BY {_j(SHARED)} HAVING max(n) = 1 AND max(o) = 0"),

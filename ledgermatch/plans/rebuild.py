@@ -15,10 +15,11 @@ parent, then WHERE filters, then medium/complex columns, then the rule
 group-by if the CTE is listed in ``aggregation_rules``. A union CTE applies its
 own rules after the union (S22).
 
-Joins: ``RANGE JOIN`` with condition ``d BETWEEN start AND end`` uses the
-interval expansion of ``operators.joins`` (no nested-loop join); any other
-condition is a Spark SQL boolean over the two aliases, so equi conditions
-plan as hash or sort-merge joins. A condition is required: an empty one is
+Joins: the rules of a CTE are folded in order. ``d BETWEEN start AND end`` on
+dates or timestamps (casts to date allowed) uses the interval expansion of
+``operators.joins`` (no nested-loop join); any other condition is a Spark SQL
+boolean over the aliases, so equi conditions plan as hash or sort-merge joins.
+Filters and columns of the CTE may use the aliases of its tables. A condition is required: an empty one is
 an error, never a silent cross product (S10).
 """
 
@@ -29,13 +30,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermatch.operators.aggregates import DIMENSION_TYPES, group_by_rules
 from ledgermatch.operators.filters import rule_filter
-from ledgermatch.operators.joins import range_join_calendar
+from ledgermatch.operators.joins import range_join_calendar, range_join_points
 
-_BETWEEN = re.compile(r"^\s*(?:(\w+)\.)?(\w+)\s+between\s+(?:(\w+)\.)?(\w+)\s+and\s+(?:(\w+)\.)?(\w+)\s*$",
-                      re.IGNORECASE)
+_OPERAND = r"(?:cast\(\s*)?(?:(\w+)\.)?(\w+)(?:\s+as\s+date\s*\))?"
+_BETWEEN = re.compile(rf"^\s*{_OPERAND}\s+between\s+{_OPERAND}\s+and\s+{_OPERAND}\s*$", re.IGNORECASE)
 _HOW = {"INNER JOIN": "inner", "LEFT JOIN": "left", "LEFT OUTER JOIN": "left", "RIGHT JOIN": "right",
         "FULL JOIN": "full_outer", "FULL OUTER JOIN": "full_outer", "RANGE JOIN": "inner"}
 
@@ -45,11 +47,9 @@ class RuleError(ValueError):
 
 
 class Rebuilder:
-    def __init__(self, sources: Mapping[str, DataFrame], rules: Mapping[str, list], window=None,
-                 suffix: str = "_cal"):
+    def __init__(self, sources: Mapping[str, DataFrame], rules: Mapping[str, list], suffix: str = "_cal"):
         self.sources = dict(sources)
         self.rules = {k: list(v) for k, v in rules.items()}
-        self.window = window
         self.suffix = suffix
         self.built: dict[str, DataFrame] = {}
         self._stack: list[str] = []
@@ -82,39 +82,68 @@ class Rebuilder:
             for p in parents[1:]:
                 df = df.unionByName(self.build(p), allowMissingColumns=True)
         elif joins:
-            df = self._join(joins[0])
+            df = None
+            for j in joins:
+                df = self._join(df, j)
         elif struct and struct[0].get("parent_cte"):
             df = self.build(str(struct[0]["parent_cte"]).strip())
         else:
             raise RuleError(f"no source, join or parent for {name}")
-        return self._transform(df, name, struct[0].get("parent_cte") if struct and kind != "union" else None)
-
-    def _join(self, j: Mapping) -> DataFrame:
-        lt, rt = j["left_table"], j["right_table"]
-        how_text = str(j.get("join_type", "INNER JOIN")).upper().strip()
-        how = _HOW.get(how_text)
-        if how is None:
-            raise RuleError(f"unsupported join type {how_text!r}")
+        df = self._transform(df, name, struct[0].get("parent_cte") if struct and kind != "union" else None)
+        return df.drop(*{str(j[side]).strip() for j in joins for side in ("left_table", "right_table")})
+
+    def _join(self, left: DataFrame | None, j: Mapping) -> DataFrame:
+        """``left`` (what the CTE's joins gave so far, at first the left table)
+        joined with the rule's right table.
+
+        The result has each column once by its plain name (a clashing right
+        column gets the suffix) and, for the CTE's own rules, each table as a
+        struct under its alias; the structs cost nothing unless read.
+        """
+        lt, rt = str(j["left_table"]).strip(), str(j["right_table"]).strip()
+        how_text = str(j.get("join_type") or "INNER JOIN").strip().upper()
+        if how_text not in _HOW:
+            raise RuleError(f"unknown join type {how_text!r}")
+        how = _HOW[how_text]
         cond = str(j.get("join_condition") or "").strip()
         if not cond:
             raise RuleError(f"join {lt} x {rt} has no condition; cross products are not built")
-        left, right = self.build(lt), self.build(rt)
+        first = left is None
+        left, right = self.build(lt) if first else left, self.build(rt)
+        taken = list(left.columns)
+        names = {}
+        for c in right.columns:
+            new = next(n for n in (c, c + self.suffix, f"{c}_{rt}") if n not in taken)
+            names[c] = new
+            taken.append(new)
+        tables = {rt: [(c, names[c]) for c in right.columns], **({lt: [(c, c) for c in left.columns]} if first else {})}
         m = _BETWEEN.match(cond)
-        if how_text == "RANGE JOIN" or (m and how == "inner"):
-            if not m:
-                raise RuleError(f"range join needs 'd BETWEEN start AND end', got {cond!r}")
-            if self.window is None:
-                raise RuleError("range join needs the calendar window (lo, hi)")
-            d_alias, d, s_alias, s, e_alias, e = m.groups()
-            # the side holding the interval is the one the start column belongs to
-            facts, cal = (left, right) if s in left.columns else (right, left)
-            cal = cal.withColumnsRenamed({c: c + self.suffix for c in cal.columns if c in facts.columns and c != d})
-            return range_join_calendar(facts, cal, s, e, self.window[0], self.window[1], date_col=d)
-        l, r = left.alias(lt), right.alias(rt)
-        out = l.join(r, F.expr(cond), how)
-        lcols = set(left.columns)
-        return out.select(*[F.col(f"{lt}.{c}") for c in left.columns],
-                          *[F.col(f"{rt}.{c}").alias(c + self.suffix if c in lcols else c) for c in right.columns])
+        if how_text == "RANGE JOIN" and not m:
+            raise RuleError(f"range join needs 'd BETWEEN start AND end', got {cond!r}")
+        out = None
+        if m and how == "inner":
+            out = self._range_join(left, right.withColumnsRenamed(names), names, rt, *m.groups())
+        if out is None:
+            l, r = (left.alias(lt) if first else left), right.alias(rt)
+            joined = l.join(r, F.expr(cond), how)
+            out = joined.select(*[F.col(f"{lt}.{c}" if first else c) for c in left.columns],
+                                *[F.col(f"{rt}.{c}").alias(n) for c, n in names.items()])
+        return out.select("*", *[F.struct(*[F.col(f"`{n}`").alias(c) for c, n in cols]).alias(t)
+                                 for t, cols in tables.items() if t not in out.columns])
+
+    def _range_join(self, left, right, names, rt, p_alias, p, s_alias, s, e_alias, e) -> DataFrame | None:
+        """A BETWEEN condition on dates or timestamps by days; None for other types."""
+        fact_right = s_alias.lower() == rt.lower() if s_alias else s not in left.columns
+        spans, points = (right, left) if fact_right else (left, right)
+        new = {k.lower(): v for k, v in names.items()}
+        s, e = (new.get(s.lower(), s), new.get(e.lower(), e)) if fact_right else (s, e)
+        p = p if fact_right else new.get(p.lower(), p)
+        kind = {f.name.lower(): f.dataType for f in points.schema.fields}.get(p.lower())
+        if isinstance(kind, T.DateType):
+            return range_join_calendar(spans, points, s, e, date_col=p).select(*left.columns, *right.columns)
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return range_join_points(points, spans, p, s, e).select(*left.columns, *right.columns)
+        return None
 
     def _transform(self, df: DataFrame, name: str, parent) -> DataFrame:
         alias = str(parent).strip() if parent else name
@@ -158,7 +187,7 @@ def reconcile_rebuild(spark, rebuilder: Rebuilder, target: DataFrame, keys: list
         out.schema  # force analysis here, where the error can still be reported per metric
         return out
     except (PySparkException, RuleError) as exc:
-        msg = f"Failed to rebuild {name}: {str(exc).splitlines()[0][:300]}"
+        msg = f"Failed to rebuild {name}: {exc}"
         return small_frame(spark, [("aggregation", m, False, None, None, None, None, None, msg) for m in metrics],
                            "validation_type string, check_name string, passed boolean, total_rows bigint, "
                            "mismatched_rows bigint, max_delta double, only_in_source bigint, only_in_cdl bigint, "

@@ -88,7 +88,7 @@ def run_query(spark: SparkSession, spec: QuerySpec, df: DataFrame, start=None, e
 
 
 def _error_row(spark: SparkSession, spec: QuerySpec, exc: Exception) -> DataFrame:
-    msg = f"Query execution failed: {type(exc).__name__}: {str(exc).splitlines()[0][:500]}"
+    msg = f"Query execution failed: {type(exc).__name__}: {exc}"
     from ledgermatch.sources.catalog import small_frame
     return small_frame(
         spark, [("query", spec.name, False, None, None, None, None, None, msg)],

@@ -26,6 +26,7 @@ from ledgermatch.session import shared_dir
 from ledgermatch.sources import fixtures as fx
 from ledgermatch.sources.catalog import column_catalog
 from ledgermatch.sources.files import read_csv_lenient
+from ledgermatch.sources.tables import read_table
 
 TOL = 0.01
 LO, HI = fx.WINDOW_LO, fx.WINDOW_HI
@@ -74,13 +75,18 @@ def cal(spark, sf):
     return fx.at_rest(spark, sf)["cal"]
 
 
+def window_calendar(spark, sf):
+    return PF.date_window(cal(spark, sf), "report_date", LO, HI)
+
+
 def snapshot(spark, sf):
-    return J.range_join_calendar(sbf(spark, sf), cal(spark, sf), START, END, LO, HI)
+    """The snapshot of the window's days."""
+    return J.range_join_calendar(sbf(spark, sf), window_calendar(spark, sf), START, END)
 
 
 def rebuilder(spark, sf) -> Rebuilder:
-    src = {"sbf": sbf(spark, sf), "smf": smf(spark, sf, windowed=True), "cal": cal(spark, sf)}
-    return Rebuilder(src, subscription_rules(), window=(LO, HI))
+    src = {"sbf": sbf(spark, sf), "smf": smf(spark, sf), "cal": cal(spark, sf)}
+    return Rebuilder(src, subscription_rules())
 
 
 def _suite_query(name: str) -> Q.QuerySpec:
@@ -98,15 +104,15 @@ def load_base_overlap(spark, sf):
 
 
 def load_movement(spark, sf):
-    return PF.date_window(smf(spark, sf, windowed=True), "report_date", LO, HI)
+    return smf(spark, sf, windowed=True)
 
 
 def load_calendar(spark, sf):
-    return fx.load_calendar(fx.calendar(spark, sf))
+    return fx.load_calendar(fx.calendar(spark, sf, LO, HI))
 
 
 def load_target_window(spark, sf):
-    return PF.date_window(new_layer(spark, sf), "report_date", MONTH_LO, MONTH_HI).orderBy("report_date")
+    return PF.date_window(new_layer(spark, sf), "report_date", MONTH_LO, MONTH_HI).sortWithinPartitions("report_date")
 
 
 def column_catalog_q(spark, sf):
@@ -137,7 +143,7 @@ def csv_coerce(spark, sf):
 def data_volume(spark, sf):
     """SC9/SC13: rows, columns and date range of the three sources under the same window."""
     b = PF.interval_touching(sbf(spark, sf), START, END, LO, HI)
-    m = PF.date_window(smf(spark, sf, windowed=True), "report_date", LO, HI)
+    m = smf(spark, sf, windowed=True)
     c = PF.date_window(load_calendar(spark, sf), "report_date", LO, HI)
 
     def prof(df, name, d):
@@ -379,6 +385,80 @@ def grid_compare(spark, sf):
                              Q.run_query(spark, spec, old_layer(spark, sf)), list(spec.keys), TOL)
 
 
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def _lines(spark, sf, published: bool):
+    """Line items, whose (l_orderkey, l_linenumber) repeats; the published copy
+    lost some and has other quantities for some."""
+    li = read_table(spark, sf, "lineitem").select(*LINE_KEYS, "l_quantity", "l_returnflag")
+    if not published:
+        return li
+    return (li.filter(F.col("l_orderkey") % 89 != 0)
+            .withColumn("l_quantity", F.col("l_quantity") + F.when(F.col("l_orderkey") % 101 == 0, 1).otherwise(0)))
+
+
+def grid_compare_duplicates(spark, sf):
+    """J6, R10 on keys that repeat: status counts per column."""
+    cells = CMP.compare_cells(_lines(spark, sf, False), _lines(spark, sf, True), LINE_KEYS, TOL)
+    return cells.groupBy("column_name", "status").agg(F.count(F.lit(1)).alias("cells"))
+
+
+def grid_compare_no_keys(spark, sf):
+    """L2, R10 on answers without keys: rows compare as a multiset."""
+    new, old = (_lines(spark, sf, p).select("l_returnflag", "l_linenumber") for p in (False, True))
+    return CMP.compare_cells(new, old, None, TOL).select("l_returnflag", "l_linenumber", "status")
+
+
+def row_count_verdict(spark, sf):
+    """Row counts of two answers before their cells."""
+    return CMP.row_count_verdict(_lines(spark, sf, False), _lines(spark, sf, True), "lineitem")
+
+
+RANGE_RULES = {
+    "join_logic": [{"cte_name": "shipped", "left_table": "li", "right_table": "sbf", "join_type": "INNER JOIN",
+                    "join_condition": "li.l_shipdate between sbf.dw_effective_start_datetime and sbf.dw_effective_end_datetime"}],
+    "filter_logic": [{"cte_name": "shipped", "filter_type": "WHERE", "filter_expression": "sbf.is_paying_flag = 'Y'"}],
+    "column_mappings": [{"cte_name": "shipped", "column_name": "l_returnflag", "transformation_type": "simple", "source_expression": "li.l_returnflag"},
+                        {"cte_name": "shipped", "column_name": "masthead", "transformation_type": "simple", "source_expression": "sbf.masthead"},
+                        {"cte_name": "shipped", "column_name": "pairs", "transformation_type": "aggregation", "source_expression": "count(*)"}],
+    "aggregation_rules": [{"cte_name": "shipped"}],
+}
+
+
+def range_join_timestamps(spark, sf):
+    """A BETWEEN rule on timestamps: shipments of the window within the
+    validity of large orders' intervals."""
+    lo, hi = (F.lit(str(d)).cast("timestamp_ntz") for d in (LO, LO + dt.timedelta(days=7)))
+    li = read_table(spark, sf, "lineitem").select("l_shipdate", "l_returnflag").filter((F.col("l_shipdate") >= lo) & (F.col("l_shipdate") < hi))
+    spans = sbf(spark, sf).filter("ratecard_price > 400000")
+    return Rebuilder({"li": li, "sbf": spans}, RANGE_RULES).build("shipped")
+
+
+TWO_JOIN_RULES = {
+    "join_logic": [{"cte_name": "placed", "left_table": "o", "right_table": "c", "join_type": "INNER JOIN",
+                    "join_condition": "o.o_custkey = c.c_custkey"},
+                   {"cte_name": "placed", "left_table": "c", "right_table": "n", "join_type": "LEFT JOIN",
+                    "join_condition": "c.c_nationkey = n.n_nationkey"}],
+    "filter_logic": [{"cte_name": "placed", "filter_type": "WHERE", "filter_expression": "c.c_acctbal > 0 AND o.o_orderstatus <> 'P'"}],
+    "column_mappings": [{"cte_name": "placed", "column_name": "nation", "transformation_type": "simple", "source_expression": "n.n_name"},
+                        {"cte_name": "placed", "column_name": "orders", "transformation_type": "aggregation", "source_expression": "count(o.o_orderkey)"}],
+    "aggregation_rules": [{"cte_name": "placed"}],
+}
+
+
+def rebuild_two_joins(spark, sf):
+    """Both join rules of a CTE, and its tables' aliases in filters and columns."""
+    src = {"o": read_table(spark, sf, "orders"), "c": read_table(spark, sf, "customer"), "n": read_table(spark, sf, "nation")}
+    return Rebuilder(src, TWO_JOIN_RULES).build("placed")
+
+
+def default_suite_rows(spark, sf):
+    """The built-in suite on both tables, a result row per query."""
+    return Q.run_suite(spark, Q.DEFAULT_SUITE, new_layer(spark, sf), old_layer(spark, sf), TOL).select(
+        "check_name", "passed", "total_rows", "mismatched_rows", "max_delta", "cdl_value", "target_value", "critical")
+
+
 def rebuild_final(spark, sf):
     return rebuilder(spark, sf).build("final_select")
 
@@ -518,6 +598,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dimension_values": dimension_values_q,
     # end to end
     "rebuild_final": rebuild_final,
+    "rebuild_two_joins": rebuild_two_joins,
+    "range_join_timestamps": range_join_timestamps,
+    "default_suite_rows": default_suite_rows,
+    "grid_compare_duplicates": grid_compare_duplicates,
+    "grid_compare_no_keys": grid_compare_no_keys,
+    "row_count_verdict": row_count_verdict,
     "acceptance_rows": acceptance_rows_q,
     "acceptance_decision": acceptance_decision_q,
     "results_rollup": results_rollup,

@@ -73,10 +73,10 @@ def test_range_join_equals_brute_force(spark):
         data.append((i, TS.combine(s, dt.time(rnd.choice([0, 18]))), TS.combine(e, dt.time())))
     iv = spark.createDataFrame(data, SCH)
     cal = spark.createDataFrame([(LO + dt.timedelta(days=k), k) for k in range(31)], "report_date date, k int")
-    got = rows(J.range_join_calendar(iv, cal, "s", "e", LO, HI), "id", "report_date")
+    got = rows(J.range_join_calendar(iv, cal, "s", "e"), "id", "report_date")
     want = rows(iv.join(cal, F.col("report_date").between(F.to_date("s"), F.to_date("e"))), "id", "report_date")
     assert got == want and len(got) > 1000
-    plan = J.range_join_calendar(iv, cal, "s", "e", LO, HI)._jdf.queryExecution().executedPlan().toString()
+    plan = J.range_join_calendar(iv, cal, "s", "e")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
