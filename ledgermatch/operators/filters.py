@@ -38,9 +38,19 @@ def window_predicate(col, start: DateLike = None, end: DateLike = None) -> Colum
 
 
 def date_window(df: DataFrame, col: str, start: DateLike = None, end: DateLike = None) -> DataFrame:
-    """Filter a table to a date window before any query runs on it (PF5)."""
-    pred = window_predicate(col, start, end)
-    return df if pred is None else df.filter(pred)
+    """Filter a table to a date window before any query runs on it (PF5).
+
+    On a timestamp column the end day counts to its last instant.
+    """
+    if start is None and end is None:
+        return df
+    if isinstance(df.schema[col].dataType, (T.TimestampType, T.TimestampNTZType)):
+        lo, hi = _day_bounds(df, col, start or end, end or start)
+        preds = [p for p, given in ((lo, start), (hi, end)) if given is not None]
+        for p in preds:
+            df = df.filter(p)
+        return df
+    return df.filter(window_predicate(col, start, end))
 
 
 def _day_bounds(df: DataFrame, col: str, lo: DateLike, hi: DateLike):

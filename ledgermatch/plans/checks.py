@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -232,12 +233,14 @@ def derived_metric_check(df: DataFrame, formulas: Mapping[str, str], tol: float
     A formula whose inputs or target are missing fails with a message (S15);
     a null recomputation against a value counts as a mismatch (S14).
     """
-    cols = set(df.columns)
     ok, broken = [], []
     for name, expr in formulas.items():
-        refs = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", expr))
-        missing = sorted((refs | {name}) - cols)
-        (broken if missing else ok).append((name, expr, missing))
+        try:   # Catalyst knows functions, cases of names and types
+            df.select(F.expr(expr).cast("double"), F.col(name).cast("double")).schema
+            ok.append((name, expr, None))
+        except PySparkException as exc:
+            missing = (exc.getMessageParameters() or {}).get("objectName") if "UNRESOLVED_COLUMN" in str(exc.getCondition()) else None
+            broken.append((name, expr, f"Missing dependencies: {missing.replace('`', '')}" if missing else f"Invalid formula: {exc}"))
     aggs = [F.count(F.lit(1)).alias("rc")]
     for i, (name, expr, _) in enumerate(ok):
         calc, actual = F.expr(expr).cast("double"), F.col(name).cast("double")
@@ -251,7 +254,7 @@ def derived_metric_check(df: DataFrame, formulas: Mapping[str, str], tol: float
                for i, (n, _, _) in enumerate(ok)]
     entries += [F.struct(F.lit(n).alias("check_name"), F.lit(None).cast("bigint").alias("mismatched_rows"),
                          F.lit(None).cast("double").alias("max_delta"),
-                         F.lit(f"Missing dependencies: {', '.join(m)}").alias("error_message"))
+                         F.lit(m).alias("error_message"))
                 for n, _, m in broken]
     return one.select("rc", F.explode(F.array(*entries)).alias("r")).select(
         F.lit("derived").alias("validation_type"), "r.check_name",

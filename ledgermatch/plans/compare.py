@@ -60,11 +60,11 @@ def _row_counts(new: DataFrame, old: DataFrame, cols: list[str]) -> DataFrame:
     Each side is counted on its own first: copies are combined before any
     shuffle, and Catalyst drops a presentation sort under the count.
     """
-    def side(df, n_new, n_old):
+    def side(df, name, other):
         values = [F.when(F.isnan(c), None).otherwise(F.col(c)).alias(c) if isinstance(_dtype(df, c), FLOATING) else F.col(c) for c in cols]
         counted = df.select(*values).groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-        return counted.select(*cols, (F.col("__n") * n_new).alias("__new"), (F.col("__n") * n_old).alias("__old"))
-    both = side(new, 1, 0).unionByName(side(old, 0, 1))
+        return counted.select(*cols, F.col("__n").alias(name), F.lit(0).cast("bigint").alias(other))
+    both = side(new, "__new", "__old").unionByName(side(old, "__old", "__new"))
     return both.groupBy(*cols).agg(F.sum("__new").alias("__new"), F.sum("__old").alias("__old"))
 
 
@@ -72,13 +72,12 @@ def _paired(counts: DataFrame, keys: list[str], measures: list[str], new_name: s
     """Rows of repeated keys (or of an answer without keys) paired in the order
     of their measures. The window sees distinct rows only; a row that occurs
     n times takes n places."""
-    place = Window.partitionBy(*keys).orderBy(*[F.col(m).asc_nulls_last() for m in measures])
-    sides = []
-    for n, side in (("__new", new_name), ("__old", old_name)):
-        rows = counts.filter(F.col(n) > 0).withColumn("__end", F.sum(n).over(place.rowsBetween(Window.unboundedPreceding, 0)))
-        rows = rows.withColumn("__ord", F.explode(F.sequence(F.col("__end") - F.col(n) + 1, F.col("__end"))))
-        sides.append(rows.select(*keys, "__ord", *measures, F.lit(side).alias("__side")))
-    u = sides[0].unionByName(sides[1])
+    place = Window.partitionBy(*keys, "__side").orderBy(*[F.col(m).asc_nulls_last() for m in measures])
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(n).alias("n")) for n, s in (("__new", new_name), ("__old", old_name))])
+    rows = (counts.withColumn("__s", F.explode(sides)).select(*keys, *measures, F.col("__s.side").alias("__side"), F.col("__s.n").alias("__n"))
+            .filter(F.col("__n") > 0)
+            .withColumn("__end", F.sum("__n").over(place.rowsBetween(Window.unboundedPreceding, 0))))
+    u = rows.withColumn("__ord", F.explode(F.sequence(F.col("__end") - F.col("__n") + 1, F.col("__end"))))
     return u.groupBy(*keys, "__ord").agg(
         *[F.max(F.when(F.col("__side") == s, F.col(m))).alias(f"{m}_{s}") for m in measures for s in (new_name, old_name)],
         *[F.max(F.col("__side") == s).alias(f"in_{s}") for s in (new_name, old_name)])

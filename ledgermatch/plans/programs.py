@@ -49,7 +49,7 @@ def load_suite(text_or_path: str, default_critical: bool = False) -> list[Q.Quer
         with open(text_or_path) as fh:
             items = json.load(fh)
     return [Q.QuerySpec(i["name"], i["sql"].replace("`{table}`", "{table}"), bool(i.get("critical", default_critical)),
-                        tuple(i["keys"]) if i.get("keys") is not None else None, i.get("description", ""))
+                        tuple(i["keys"]) if i.get("keys") is not None else None)
             for i in items]
 
 
@@ -61,7 +61,8 @@ def migration_acceptance(spark: SparkSession, new: DataFrame, old: DataFrame,
     """
     cfg = cfg or RunConfig()
     suite = suite or Q.DEFAULT_SUITE
-    results = Q.run_suite(spark, suite, new, old, cfg.tolerance, cfg.date_filter_start, cfg.date_filter_end)
+    results = Q.run_suite(spark, suite, new, old, cfg.tolerance, cfg.date_filter_start, cfg.date_filter_end,
+                          isolate=True)
     out = {"results": results, "rows": Q.acceptance_rows(results),
            "decision": Q.acceptance_decision(results, cfg.tolerance)}
     return write_to(out, cfg)
@@ -88,7 +89,7 @@ def table_comparison(spark: SparkSession, new: DataFrame, old: DataFrame,
                                            F.col("target_count").cast("string").alias("target_value")),
         quantity_rows,
         Q.run_suite(spark, suite or Q.DEFAULT_SUITE, new, old, cfg.tolerance, cfg.date_filter_start,
-                    cfg.date_filter_end))
+                    cfg.date_filter_end, isolate=True))
     return write_to({"results": results, "quantity_detail": q, "summary": R.rollup(results)}, cfg)
 
 

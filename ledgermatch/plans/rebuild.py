@@ -46,6 +46,15 @@ class RuleError(ValueError):
     pass
 
 
+def _resolve(text: str, aliases: Mapping[str, Mapping[str, str]], prefix: str = "") -> str:
+    """``text`` with ``alias.column`` of a joined table (outside quotes) written
+    as the column's name in the joined result."""
+    def name(m):
+        column = aliases.get((m["alias"] or "").lower(), {}).get((m["column"] or "").lower())
+        return f"{prefix}`{column}`" if column else m.group()
+    return re.sub(r"'(?:[^'\\]|\\.)*'|\"[^\"]*\"|(?<![\w.`])`?(?P<alias>\w+)`?\.`?(?P<column>\w+)`?", name, text)
+
+
 class Rebuilder:
     def __init__(self, sources: Mapping[str, DataFrame], rules: Mapping[str, list], suffix: str = "_cal"):
         self.sources = dict(sources)
@@ -76,6 +85,7 @@ class Rebuilder:
         struct = self._rows("cte_structure", name)
         kind = str(struct[0].get("cte_type", "transform")).lower() if struct else "transform"
         joins = self._rows("join_logic", name)
+        names: dict[str, dict[str, str]] = {}     # table alias -> its columns' names in the joined result
         if kind == "union":
             parents = [p.strip() for p in str(struct[0]["parent_cte"]).split(",") if p.strip()]
             df = self.build(parents[0])
@@ -84,21 +94,20 @@ class Rebuilder:
         elif joins:
             df = None
             for j in joins:
-                df = self._join(df, j)
+                df = self._join(df, j, names)
         elif struct and struct[0].get("parent_cte"):
             df = self.build(str(struct[0]["parent_cte"]).strip())
         else:
             raise RuleError(f"no source, join or parent for {name}")
-        df = self._transform(df, name, struct[0].get("parent_cte") if struct and kind != "union" else None)
-        return df.drop(*{str(j[side]).strip() for j in joins for side in ("left_table", "right_table")})
+        return self._transform(df, name, struct[0].get("parent_cte") if struct and kind != "union" else None, names)
 
-    def _join(self, left: DataFrame | None, j: Mapping) -> DataFrame:
+    def _join(self, left: DataFrame | None, j: Mapping, aliases: dict[str, dict[str, str]]) -> DataFrame:
         """``left`` (what the CTE's joins gave so far, at first the left table)
         joined with the rule's right table.
 
-        The result has each column once by its plain name (a clashing right
-        column gets the suffix) and, for the CTE's own rules, each table as a
-        struct under its alias; the structs cost nothing unless read.
+        The result has each column once by its plain name; a clashing right
+        column gets the suffix. ``aliases`` remembers what each table's columns
+        are called, for later conditions and the CTE's own rules.
         """
         lt, rt = str(j["left_table"]).strip(), str(j["right_table"]).strip()
         how_text = str(j.get("join_type") or "INNER JOIN").strip().upper()
@@ -116,7 +125,10 @@ class Rebuilder:
             new = next(n for n in (c, c + self.suffix, f"{c}_{rt}") if n not in taken)
             names[c] = new
             taken.append(new)
-        tables = {rt: [(c, names[c]) for c in right.columns], **({lt: [(c, c) for c in left.columns]} if first else {})}
+        if first:
+            aliases[lt.lower()] = {c.lower(): c for c in left.columns}
+        known = dict(aliases)
+        aliases[rt.lower()] = {c.lower(): n for c, n in names.items()}
         m = _BETWEEN.match(cond)
         if how_text == "RANGE JOIN" and not m:
             raise RuleError(f"range join needs 'd BETWEEN start AND end', got {cond!r}")
@@ -124,12 +136,11 @@ class Rebuilder:
         if m and how == "inner":
             out = self._range_join(left, right.withColumnsRenamed(names), names, rt, *m.groups())
         if out is None:
-            l, r = (left.alias(lt) if first else left), right.alias(rt)
-            joined = l.join(r, F.expr(cond), how)
-            out = joined.select(*[F.col(f"{lt}.{c}" if first else c) for c in left.columns],
+            l = left.alias(lt if first else "__left")
+            joined = l.join(right.alias(rt), F.expr(cond if first else _resolve(cond, known, "__left.")), how)
+            out = joined.select(*[F.col(f"{lt if first else '__left'}.{c}") for c in left.columns],
                                 *[F.col(f"{rt}.{c}").alias(n) for c, n in names.items()])
-        return out.select("*", *[F.struct(*[F.col(f"`{n}`").alias(c) for c, n in cols]).alias(t)
-                                 for t, cols in tables.items() if t not in out.columns])
+        return out
 
     def _range_join(self, left, right, names, rt, p_alias, p, s_alias, s, e_alias, e) -> DataFrame | None:
         """A BETWEEN condition on dates or timestamps by days; None for other types."""
@@ -145,10 +156,13 @@ class Rebuilder:
             return range_join_points(points, spans, p, s, e).select(*left.columns, *right.columns)
         return None
 
-    def _transform(self, df: DataFrame, name: str, parent) -> DataFrame:
+    def _transform(self, df: DataFrame, name: str, parent, aliases: Mapping[str, Mapping[str, str]]) -> DataFrame:
         alias = str(parent).strip() if parent else name
-        df = rule_filter(df.alias(alias), self._rows("filter_logic", name))
-        cols = self._rows("column_mappings", name)
+
+        def resolved(rule, field):
+            return {**rule, field: _resolve(str(rule[field]), aliases)} if rule.get(field) else rule
+        df = rule_filter(df.alias(alias), [resolved(r, "filter_expression") for r in self._rows("filter_logic", name)])
+        cols = [resolved(r, "source_expression") for r in self._rows("column_mappings", name)]
         needs_agg = any(True for _ in self._rows("aggregation_rules", name))
         for r in cols:
             t = str(r.get("transformation_type", "")).lower()

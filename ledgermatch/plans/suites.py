@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch.operators.filters import date_window
-from ledgermatch.plans.compare import compare_cells, compare_scalar, summarize_cells
+from ledgermatch.plans.compare import NUMERIC, compare_cells, compare_scalar, summarize_cells
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,6 @@ class QuerySpec:
     sql: str
     critical: bool = False
     keys: tuple[str, ...] | None = None   # grouping columns of the answer, if known
-    description: str = ""
 
 
 # ---------------------------------------------------------------------------
@@ -32,21 +31,19 @@ class QuerySpec:
 # SQL (``{table}`` is the table; month truncation is written ``trunc(d,'MM')``).
 ACCEPTANCE_SUITE = [
     QuerySpec("total_subscription_count",
-              "SELECT SUM(subscription_count) as total_subscriptions FROM {table}", True, (),
-              "Total subscription count across all dimensions"),
+              "SELECT SUM(subscription_count) as total_subscriptions FROM {table}", True, ()),
     QuerySpec("total_acquisition_cancellation",
               "SELECT SUM(acquisition_count) as total_acquisitions, SUM(cancellation_count) as total_cancellations "
-              "FROM {table}", True, (), "Total acquisition and cancellation counts"),
+              "FROM {table}", True, ()),
     QuerySpec("subscription_by_date",
               "SELECT report_date, SUM(subscription_count) as total FROM {table} GROUP BY report_date "
-              "ORDER BY report_date", True, ("report_date",), "Subscription count by report date"),
+              "ORDER BY report_date", True, ("report_date",)),
     QuerySpec("subscription_by_masthead",
               "SELECT masthead, SUM(subscription_count) as total FROM {table} GROUP BY masthead ORDER BY masthead",
-              True, ("masthead",), "Subscription count by masthead (publication)"),
+              True, ("masthead",)),
     QuerySpec("row_count_and_date_range",
               "SELECT COUNT(*) as row_count, MIN(report_date) as min_date, MAX(report_date) as max_date, "
-              "COUNT(DISTINCT report_date) as distinct_dates FROM {table}", True, (),
-              "Total row count and date range coverage"),
+              "COUNT(DISTINCT report_date) as distinct_dates FROM {table}", True, ()),
 ]
 
 EXAMPLE_SUITE = [
@@ -105,10 +102,12 @@ def compare_query(spark: SparkSession, spec: QuerySpec, new: DataFrame, old: Dat
         b = run_query(spark, spec, old, start, end)
         if list(a.columns) != list(b.columns):
             raise ValueError(f"Column mismatch: {a.columns} vs {b.columns}")
-        if len(a.columns) == 1 and spec.keys == ():
+        # Without declared keys the columns that are not numbers identify a row.
+        keys = (list(spec.keys) if spec.keys is not None
+                else [f.name for f in a.schema.fields if not isinstance(f.dataType, NUMERIC)])
+        if len(a.columns) == 1 and not keys:
             out = compare_scalar(a, b, tol, spec.name)
         else:
-            keys = list(spec.keys) if spec.keys is not None else None
             out = summarize_cells(compare_cells(a, b, keys, tol), spec.name)
             out = out.select("*", F.lit(None).cast("string").alias("cdl_value"),
                              F.lit(None).cast("string").alias("target_value"))
@@ -119,19 +118,43 @@ def compare_query(spark: SparkSession, spec: QuerySpec, new: DataFrame, old: Dat
              F.when(F.col("passed"), 0).otherwise(1).cast("bigint")).alias("mismatched_rows"),
             "max_delta", "cdl_value", "target_value",
             F.when(F.col("passed"), F.lit(None)).otherwise(F.lit("Results do not match")).alias("error_message"))
-    except (PySparkException, ValueError) as exc:
+    except (PySparkException, ValueError, KeyError, IndexError) as exc:   # the last two: names in braces in the SQL text
         return _error_row(spark, spec, exc)
 
 
+def _run_alone(spark: SparkSession, spec: QuerySpec, result: DataFrame) -> DataFrame:
+    """The query's one result row, computed now; an error at run time becomes
+    a failed row of this query alone (R7)."""
+    from py4j.protocol import Py4JJavaError
+
+    from ledgermatch.sources.catalog import small_frame
+
+    try:
+        row = result.first()
+    except (PySparkException, Py4JJavaError) as exc:
+        return _error_row(spark, spec, exc)
+    return small_frame(spark, [tuple(row)], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in result.schema.fields))
+
+
 def run_suite(spark: SparkSession, suite: list[QuerySpec], new: DataFrame, old: DataFrame,
-              tol: float = 0.01, start=None, end=None) -> DataFrame:
+              tol: float = 0.01, start=None, end=None, isolate: bool = False) -> DataFrame:
     """All queries of a suite on both tables: one result row per query, plus
-    ``critical`` and the suite position ``ordinal``."""
+    ``critical`` and the suite position ``ordinal``.
+
+    With ``isolate`` each query runs at once and on its own, so one that fails
+    at run time is one failed row and later uses of the rows run nothing again.
+    """
     from ledgermatch.plans.results import union_all
 
-    return union_all([compare_query(spark, spec, new, old, tol, start, end).select(
-        "*", F.lit(bool(spec.critical)).alias("critical"), F.lit(i + 1).alias("ordinal"))
-        for i, spec in enumerate(suite)])
+    parts = []
+    for i, spec in enumerate(suite):
+        row = compare_query(spark, spec, new, old, tol, start, end)
+        row = _run_alone(spark, spec, row) if isolate else row
+        parts.append(row.select("*", F.lit(bool(spec.critical)).alias("critical"), F.lit(i + 1).alias("ordinal")))
+    if not parts:   # an empty suite has no rows
+        spec = QuerySpec("none", "")
+        return _error_row(spark, spec, ValueError("")).select("*", F.lit(False).alias("critical"), F.lit(0).alias("ordinal")).limit(0)
+    return union_all(parts)
 
 
 def acceptance_rows(results: DataFrame, cdl_table: str = "new", target_table: str = "old") -> DataFrame:
