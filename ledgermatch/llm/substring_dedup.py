@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ledgermatch.llm.text import whole_text
 from ledgermatch.llm.words import mix, numbers, utf8
-from ledgermatch.session import materialize
+from ledgermatch.session import materialize, release
 
 LENGTH, GRAM = 50, 20
 BLOCK_BYTES = 1 << 20         # bytes ranked at a time
@@ -322,24 +322,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              .where((F.col("least") < F.col("most")) & (F.col("size") >= length)))
     copies = materialize(keys.join(first, ["h", "h2", "size"]).where(F.col("id") > F.col("least")).select("id", "h").distinct(), "copies")
 
+    todo = src.join(copies, ["id", "h"], "left_anti")
     buckets = max(1, -(-total // BUCKET_BYTES))
-    notes = src.select("id", "text").mapInArrow(_notes(buckets, length, gram), NOTE)
+    notes = todo.select("id", "text").mapInArrow(_notes(buckets, length, gram), NOTE)
     marks = materialize(notes.groupBy("bucket").applyInArrow(_repeated, "id long, m long"), "marks")
     # A document's list is no longer than its own text.
     lists = marks.groupBy("id").agg(F.collect_set("m").alias("marks"))
-    todo = src.select("id", "h", "text").join(lists, "id").join(copies, ["id", "h"], "left_anti")
-    runs = materialize(todo.select("id", "h", "text", "marks").mapInArrow(_flagged_runs(length, gram), RUN), "runs")
+    flagged = todo.join(lists, "id").select("id", "h", "text", "marks")
+    runs = materialize(flagged.mapInArrow(_flagged_runs(length, gram), RUN), "runs")
+    release(marks)
 
-    classes = materialize(runs.groupBy("m", "s").agg(F.min("id").alias("id"), F.max("id").alias("most"), F.max("bytes").alias("bytes")), "classes")
+    classes = materialize(runs.groupBy("m", "s").agg(F.min("id").alias("id"), F.max("id").alias("most")), "classes")
     crowds = classes.groupBy("m").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
-    several = classes.join(crowds, "m").select("m", "s", "id", "bytes", "c")
+    strings = runs.where(F.col("bytes").isNotNull()).groupBy("m", "s").agg(F.max("bytes").alias("bytes"))
+    several = classes.drop("most").join(crowds, "m").join(strings, ["m", "s"])
     near = (several.where(F.col("c") <= crowd).drop("c").repartition(n_parts, "m").sortWithinPartitions("m")
             .mapInArrow(_compared(length, gram), "m long, s long, lo long, hi long"))
     windows = several.where(F.col("c") > crowd).drop("c").mapInArrow(_exploded(length, gram), "m long, w long, id long, s long, j long")
     least = windows.groupBy("m", "w").agg(F.min("id").alias("least"))
     far = (windows.join(least, ["m", "w"]).where(F.col("id") > F.col("least"))
            .select("m", "s", F.col("j").alias("lo"), F.col("j").alias("hi")))
-    partial = near.unionByName(far).groupBy("m", "s").agg(F.collect_list(F.struct("lo", "hi")).alias("windows"))
+    partial = materialize(near.unionByName(far).groupBy("m", "s").agg(F.collect_list(F.struct("lo", "hi")).alias("windows")), "partial")
     verdict = (classes.join(partial, ["m", "s"], "left").where((F.col("id") < F.col("most")) | F.col("windows").isNotNull())
                .select("m", "s", F.col("id").alias("least"), "windows"))
     found = (runs.select("m", "s", "id", "h", "first", "n").join(verdict, ["m", "s"])
@@ -349,9 +352,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              .select("id", "h", "first", F.explode("windows").alias("w"))
              .select("id", "h", (F.col("first") + F.col("w.lo")).alias("lo"), (F.col("first") + F.col("w.hi")).alias("hi")))
     by_doc = found.groupBy("id", "h").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi")).withColumn("copied", F.lit(False))
-    fate = by_doc.unionByName(copies.select("id", "h", F.lit(None).cast("array<bigint>").alias("lo"),
-                                            F.lit(None).cast("array<bigint>").alias("hi"), F.lit(True).alias("copied")))
-    fate = materialize(fate, "fate")
+    none = F.lit(None).cast("array<bigint>")
+    fate = materialize(by_doc.unionByName(copies.select("id", "h", none.alias("lo"), none.alias("hi"), F.lit(True).alias("copied"))), "fate")
+    for table in (keys, copies, runs, classes, partial):
+        release(table)
     out = (src.join(fate, ["id", "h"], "left").select("id", "no_id", "text", "copied", "lo", "hi")
            .mapInArrow(_removed(length), "id long, no_id boolean, n_bytes long, n_removed long, n_spans long, kept binary"))
     return out.select(F.when(~F.col("no_id"), F.col("id")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
