@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch.llm import bpe, exact_dedup, langid, mixing, near_dedup
+from ledgermatch.llm.arrow import small_batches
 from ledgermatch.llm.registry import public_bpe, table
 from ledgermatch.session import materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return langid.keep_identified(docs)
 
 
@@ -36,16 +38,19 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return near_dedup.near_dedup(docs, width=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.mixed(docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     ranks, pattern = public_bpe()
-    coded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern)
+    coded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks)
     return coded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -144,7 +144,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     return short.unionByName(joined).withColumnRenamed("id", id_col)
 
 
-def decode(coded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
+def decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """``coded`` with a binary column ``decoded``: the ids' raw bytes in order.
     A null ids cell decodes to no bytes."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema.fields) + ", decoded binary"
@@ -152,14 +152,15 @@ def decode(coded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids"
     def run(batches):
         import numpy as np
 
-        enc = _encoding(ranks_path, pattern)
+        with open(ranks_path, "rb") as f:
+            raw = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
         for b in slices(batches):
-            out = [enc.decode_bytes(np.frombuffer(x or b"", "<u4").tolist()) for x in b.column(ids_col).to_pylist()]
+            out = [b"".join(map(raw.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in b.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "decoded"])
     return coded.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Round trip as digests: id, n_tokens, ids_sha256, decoded_sha256."""
-    back = decode(encode(docs, ranks_path, pattern, id_col, text_col), ranks_path, pattern)
+    back = decode(encode(docs, ranks_path, pattern, id_col, text_col), ranks_path)
     return back.select(id_col, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

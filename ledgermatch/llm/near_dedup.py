@@ -98,7 +98,7 @@ def _trees(trees: int, depth: int, least: int):
     marks = (least, min(least + 1, depth), depth)
 
     def run(batches):
-        for b in (x.slice(lo, 500) for x in batches for lo in range(0, len(x), 500)):
+        for b in (x.slice(lo, 200) for x in batches for lo in range(0, len(x), 200)):
             m = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(len(b), trees, depth).astype(U64)
             h = np.broadcast_to(numbers(trees, 8), (len(b), trees)).copy()
             found = []

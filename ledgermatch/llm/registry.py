@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgermatch.llm import bpe, chat, class_lm, exact_dedup, fingerprint, langid, mixing, near_dedup, secrets, substring_dedup
+from ledgermatch.llm.arrow import small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
