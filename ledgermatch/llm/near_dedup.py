@@ -7,14 +7,17 @@ Documents with equal sets are one class. Each class has a signature of
 depth. Candidates are the nearest neighbours in this order (no others have a
 longer common prefix), and each class with its region's centre, which lies in
 the branch that is most crowded at the next depths. A region of up to
-``REACH`` + 1 classes is compared completely; in a denser one the descent goes
-deeper, so the work stays in proportion to the rows there.
+``REACH`` classes is compared completely in this way.
 
 Candidates are confirmed on whole sets. First each class is compared with the
 centre and the partner that it meets in most trees; links found make
 components. Then all candidates that are still in different components are
 compared. A pair inside a component needs no comparison: it cannot change the
-result.
+result. Last, every larger region (and one that lies in two partitions) is
+compared completely between the components that are left in it: its classes go
+to blocks, and each pair of blocks is compared by signatures and then by whole
+sets. The work there grows with the square of the classes of a region that
+holds several components.
 
 Least depth 4 in 24 trees: a pair at similarity 0.8 shares no region with a
 probability of (1 - 0.8^4)^24 = 3e-6.
@@ -42,6 +45,7 @@ SHINGLE = 4
 PERCENT = 80
 TREES, DEPTH, LEAST_DEPTH = 24, 6, 4
 REACH = 8             # rows before it in its region that a row is compared with, per tree
+BLOCK, BLOCK_SHINGLES = 1000, 1 << 20   # classes of a larger region, and their shingles, in a block
 HOPEFUL = 0.6         # share of equal minima below which a pair is not compared (five deviations below 0.8)
 U64 = np.uint64
 
@@ -92,6 +96,14 @@ def _signatures(width: int, trees: int, depth: int):
     return run
 
 
+def _prefixes(m: np.ndarray):
+    """The hashes of the first 1, 2, ... minima of each tree, from (rows, trees, depth) minima."""
+    h = np.broadcast_to(numbers(m.shape[1], 8), m.shape[:2]).copy()
+    for d in range(m.shape[2]):
+        h = mix(h * U64(0x9E3779B97F4A7C15) + m[:, :, d].astype(U64))
+        yield h
+
+
 def _trees(trees: int, depth: int, least: int):
     """mapInArrow: a row per tree: the hashes of the prefixes of the least
     depth, of one more, and of the full depth."""
@@ -99,11 +111,9 @@ def _trees(trees: int, depth: int, least: int):
 
     def run(batches):
         for b in (x.slice(lo, 200) for x in batches for lo in range(0, len(x), 200)):
-            m = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(len(b), trees, depth).astype(U64)
-            h = np.broadcast_to(numbers(trees, 8), (len(b), trees)).copy()
+            m = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(len(b), trees, depth)
             found = []
-            for d in range(depth):
-                h = mix(h * U64(0x9E3779B97F4A7C15) + m[:, :, d])
+            for d, h in enumerate(_prefixes(m)):
                 if d + 1 in marks:
                     found += [h.ravel().view(np.int64)] * marks.count(d + 1)
             again = pa.array(np.repeat(np.arange(len(b)), trees))
@@ -124,8 +134,8 @@ FOUND = "kind int, a binary, b binary, h1 long, h2 long, h3 long, n long"
 
 def _neighbours(percent: int, reach: int):
     """mapInArrow over a sorted partition. Kind 0: candidate pairs of a row and
-    the ``reach`` rows before it in its region; with more rows before it there,
-    the row just before it and those that share the next depth. Kind 1: the rows of regions
+    the ``reach`` rows before it in its region; with so many rows before it
+    there, the row just before it alone (``_across`` has the others). Kind 1: the rows of regions
     with several rows (and the partition's first and last row, whose region
     may go on in another partition)."""
     def rows(kind, a, b, *numbers_of):
@@ -147,9 +157,7 @@ def _neighbours(percent: int, reach: int):
             for d in range(1, min(reach, len(key) - 1) + 1):
                 at = np.arange(max(old, d), len(key))
                 at = at[(h[at] == h[at - d]) & _could_link(n[at], n[at - d], percent)]
-                # Deep in a crowded region only the next row, or rows of the same branch.
-                crowded = (at >= reach) & (h[at - reach] == h[at]) & (d > 1)
-                at = at[~crowded | (nums[1, at] == nums[1, at - d])]
+                at = at[~((at >= reach) & (h[at - reach] == h[at]) & (d > 1))]
                 x, y = key[at], key[at - d]
                 ok = x != y
                 yield rows(0, np.minimum(x, y)[ok], np.maximum(x, y)[ok])
@@ -193,6 +201,48 @@ def _confirm(percent: int):
     return run
 
 
+BLOCK_PAIR = "h1 long, i int, j int, a binary, b binary"
+
+
+def _across(percent: int, hopeful: float, trees: int, depth: int, least: int):
+    """applyInArrow over two blocks of a region: the pairs in different
+    components whose signatures agree enough, each in the first tree that has
+    it in a region."""
+    def run(t):
+        h1, i, j = (t.column(c)[0].as_py() for c in ("h1", "i", "j"))
+        key = np.array(t.column("key").to_pylist(), dtype=object)
+        comp = np.unique(np.array(t.column("comp").to_pylist(), dtype=object), return_inverse=True)[1]
+        n, block = t.column("n").to_numpy(), t.column("block").to_numpy()
+        m = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(t), trees, depth)
+        region = list(_prefixes(m[:, :, :least]))[-1]
+        before = region[:, : int(np.flatnonzero(region[0].view(np.int64) == h1)[0])]
+        m, one, other = m.reshape(len(t), -1), np.flatnonzero(block == i), np.flatnonzero(block == j)
+        a, b = [], []
+        for k, x in enumerate(one):
+            y = other[k + 1:] if i == j else other
+            y = y[(comp[y] != comp[x]) & _could_link(n[y], n[x], percent)]
+            y = y[~(before[y] == before[x]).any(axis=1)]
+            y = y[(m[y] == m[x]).mean(axis=1) >= hopeful]
+            a += [key[x]] * len(y)
+            b += list(key[y])
+        return pa.table({"h1": pa.array([h1] * len(a), pa.int64()), "i": pa.array([i] * len(a), pa.int32()),
+                         "j": pa.array([j] * len(a), pa.int32()), "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+    return run
+
+
+def _confirm_block(percent: int):
+    """cogrouped applyInArrow: the pairs of two blocks whose whole sets are similar enough."""
+    def run(pairs, sets):
+        of = dict(zip(sets.column("key").to_pylist(), (np.frombuffer(x, U64) for x in sets.column("set").to_pylist())))
+        ok = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+            x, y = of[a], of[b]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            ok.append(100 * both >= percent * (len(x) + len(y) - both))
+        return pairs.select(["a", "b"]).take(pa.array(np.flatnonzero(ok), pa.int64()))
+    return run
+
+
 def _hopeful(least: float):
     """mapInArrow: the pairs whose signatures agree in at least this share."""
     def run(batches):
@@ -222,10 +272,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     orders = (classes.mapInArrow(_trees(TREES, DEPTH, LEAST_DEPTH), TREE_ROW)
               .repartitionByRange(n_parts, "h1", "h2", "h3", "key").sortWithinPartitions("h1", "h2", "h3", "key"))
-    found = materialize(orders.mapInArrow(_neighbours(percent, REACH), FOUND), "found")
+    found = materialize(orders.mapInArrow(_neighbours(percent, REACH), FOUND).withColumn("pid", F.spark_partition_id()), "found")
     # A region's centre: in its most crowded branch of the next depth, the most
     # crowded branch below, the smallest class.
-    members = found.where(F.col("kind") == 1).select(F.col("a").alias("key"), "h1", "h2", "h3", "n")
+    members = found.where(F.col("kind") == 1).select(F.col("a").alias("key"), "h1", "h2", "h3", "n", "pid")
     leaf = members.groupBy("h1", "h2", "h3").agg(F.count(F.lit(1)).alias("c3"), F.min(F.struct("key", "n")).alias("k"))
     branch = leaf.groupBy("h1", "h2").agg(F.sum("c3").alias("c2"), F.max(F.struct("c3", "k")).alias("k"))
     centre = (branch.groupBy("h1").agg(F.sum("c2").alias("c"), F.max(F.struct("c2", "k")).alias("k")).where(F.col("c") > 1)
@@ -241,7 +291,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first_pairs = materialize(best.select(F.explode(F.array(F.struct("p.a", "p.b"), F.struct("q.a", "q.b"))).alias("p"))
                               .select("p.*").distinct(), "first-pairs")
 
-    involved = materialize(candidates.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    # Larger regions, and those in two partitions: their neighbours are not all pairs.
+    large = (members.groupBy("h1").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("total"), F.min("pid").alias("p"), F.max("pid").alias("q"))
+             .where((F.col("c") > REACH) | (F.col("p") != F.col("q")) & (F.col("c") > 1))
+             .select("h1", F.ceil(F.greatest(F.col("c") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
+    crowds = materialize(members.select("h1", "key").join(large, "h1"), "crowds")
+    involved = materialize(candidates.select(F.explode(F.array("a", "b")).alias("key")).unionByName(crowds.select("key")).distinct()
                            .join(classes, "key").select("key", "rep", "n", "sig"), "involved")
     # Whole sets of the involved classes only. (A class of null identifiers alone has no rep to read.)
     reps = involved.select("key", F.col("rep").alias("id"))
@@ -261,7 +316,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .join(here.select(F.col("key").alias("b"), F.col("comp").alias("cb")), "b").where(F.col("ca") != F.col("cb"))
              .select("a", "b").join(first_pairs, ["a", "b"], "left_anti"))
     second = materialize(_with_both(cross, involved, "sig").mapInArrow(_hopeful(HOPEFUL), "a binary, b binary"), "second-pairs")
-    all_links = materialize(links.unionByName(confirmed(second)), "all-links")
+    links = materialize(links.unionByName(confirmed(second)), "links")
+    # The components that are left in a larger region, block by block.
+    comp = components(links).withColumnRenamed("node", "key")
+    told = crowds.join(involved.select("key", "n", "sig").join(comp, "key", "left").withColumn("comp", F.coalesce("comp", "key")), "key")
+    several = told.groupBy("h1").agg(F.min("comp").alias("p"), F.max("comp").alias("q")).where(F.col("p") != F.col("q")).select("h1")
+    met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    blocks = (told.join(several, "h1", "left_semi").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+              .withColumn("with", met).withColumn("i", F.least("block", "with")).withColumn("j", F.greatest("block", "with"))
+              .select("h1", "i", "j", "block", "key", "comp", "n", "sig"))
+    at = ["h1", "i", "j"]
+    third = materialize(blocks.groupBy(*at).applyInArrow(_across(percent, HOPEFUL, TREES, DEPTH, LEAST_DEPTH), BLOCK_PAIR), "third-pairs")
+    wanted = (third.select(*[F.col(c).alias(f"{c}_") for c in at], F.explode(F.array("a", "b")).alias("key")).distinct().join(sets, "key"))
+    across = third.groupBy(*at).cogroup(wanted.groupBy(*[f"{c}_" for c in at])).applyInArrow(_confirm_block(percent), "a binary, b binary")
+    all_links = materialize(links.unionByName(across), "all-links")
     groups = components(all_links).withColumnRenamed("node", "key")
     smallest = (groups.join(classes.select("key", "rep"), "key").groupBy("comp").agg(F.min("rep").alias("component_id")))
     named = groups.join(smallest, "comp").select("key", "component_id")

@@ -240,6 +240,27 @@ def test_near_groups_chain_and_crowd(spark):
     assert by_text((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == by_text(brute.near(docs))
 
 
+@pytest.mark.parametrize("block, shingles", [(1000, 1 << 20), (100, 1 << 20), (1000, 20000)])
+def test_near_groups_in_a_template_crowd(spark, monkeypatch, block, shingles):
+    import random
+
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", shingles)
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    template = [word() for _ in range(175)]
+    docs = []
+    for k in range(300):                          # all share the template: 0.77 alike
+        text = template + [word() for _ in range(28)]
+        docs.append((2 * k, " ".join(text)))
+        if k < 40:                                # a planted partner, just above 0.8
+            docs.append((2 * k + 1, " ".join(text[:182] + [word() for _ in range(21)])))
+    want = brute.near(docs)
+    assert sum(i != c for i, _, c in want) == 40
+    got = near_dedup.near_groups(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert by_text((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == by_text(want)
+
+
 def test_near_query(spark, small):
     got = registry.op7_near_dedup(spark, SF).collect()
     assert by_text((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == by_text(brute.near(small))
