@@ -6,13 +6,13 @@ three subtables; each digest is added to one cell of each: the cell counts its
 digests and keeps the xor of the digests and of their check hashes. Two
 sketches subtract cell by cell, what both have cancels, and peeling cells that
 hold a single digest recovers the differing digests. If cells remain, both
-sketches are made again, larger and with other cell hashes. The likeness is
-common / (common + differing) digests.
+sketches are made again, larger and with other cell hashes, from the same
+digests. The likeness is common / (common + differing) digests.
 
-A text with more than ``BLOCKS`` paragraphs is sketched in runs of paragraphs,
-cut where a digest is divisible by a power of four, so that a sketch has about
-as many digests for a long text as for a short one; both texts of a comparison
-use the coarser cut of the two.
+The published sketch has the distinct paragraphs of the whole text, whatever
+their number. The larger ones of a text with more than ``BLOCKS`` paragraphs are
+made in parts by the digests' low bits, about ``PART`` digests each, and peeled
+part by part; this changes the work, not the digests that are compared.
 
 Defined results: null and empty texts have no paragraphs; two texts without
 paragraphs are alike (1.0). Repeated paragraphs count once. Next documents go
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from ledgermatch.llm.text import whole_text
 
 PARAGRAPH = r"(?<=[.!?])\\s+|\\n+"     # as an SQL string
-BLOCKS = 32                           # paragraphs of a text that are sketched one by one
+BLOCKS = 32                           # paragraphs whose larger sketches are made in one part
+PART = 16                             # paragraphs of a part above that
 BASE_WIDTH = 8                        # cells of a subtable of the published sketch
 ROUNDS = 10                           # peeling rounds
 
@@ -39,17 +40,16 @@ def digests_of(text: Column) -> Column:
     return F.transform(F.filter(F.split(text, PARAGRAPH.replace("\\\\", "\\")), lambda p: F.length(p) > 0), lambda p: F.xxhash64(p))
 
 
-def cut_for(n: str) -> str:
-    return f"cast(pow(4, greatest(0, ceil(log(4, greatest({n}, 1) / {BLOCKS}.0)))) as bigint)"
-
-
-def keys_of(d: str, q: str) -> str:
-    """Distinct digests of the runs of paragraphs that begin where a digest is
-    divisible by ``q`` (1: every paragraph)."""
-    heads = f"filter(sequence(0, size({d}) - 1), i -> i = 0 or pmod({d}[i], {q}) = 0)"
-    return (f"CASE WHEN size({d}) = 0 THEN cast(array() as array<bigint>) WHEN {q} = 1 THEN array_distinct({d}) ELSE "
-            f"array_distinct(transform(transform(array({heads}), b -> transform(b, (s, t) -> "
-            f"xxhash64(slice({d}, s + 1, coalesce(get(b, t + 1), size({d})) - s))))[0], x -> x)) END")
+def parts_of(keys: str, need: str) -> str:
+    """``keys`` in parts by their low bits, as many as ``need`` digests of both
+    texts ask for (in two steps, so that no part looks at all digests)."""
+    bits = f"(CASE WHEN {need} <= {2 * BLOCKS} THEN 0 ELSE cast(ceil(log2({need} / {2 * PART}.0)) as int) END)"
+    low = f"({bits} div 2)"
+    first = f"transform(sequence(0, cast(shiftleft(1, {low}) - 1 as int)), i -> filter({keys}, k -> (k & (shiftleft(1L, {low}) - 1)) = i))"
+    high = f"cast({bits} - {low} as int)"
+    second = (f"transform({first}, f -> transform(sequence(0, cast(shiftleft(1, {high}) - 1 as int)), "
+              f"i -> filter(f, k -> (shiftright(k, {low}) & (shiftleft(1L, {high}) - 1)) = i)))")
+    return f"CASE WHEN {need} <= {2 * BLOCKS} THEN array({keys}) ELSE flatten({second}) END"
 
 
 def _places(k: str, w: str, salt: int) -> str:
@@ -87,42 +87,44 @@ def peel(diff: str, w: str, salt: int) -> str:
 
 
 def with_sketch(df: DataFrame, d: str) -> DataFrame:
-    """``df`` with ``d``_q (the cut), ``d``_k (digests) and ``d``_c (cells of
-    the smallest sketch) for the digest array ``d``."""
-    df = df.withColumn(f"{d}_q", F.expr(cut_for(f"size({d})")))
-    df = df.withColumn(f"{d}_k", F.expr(keys_of(d, f"{d}_q")))
+    """``df`` with ``d``_k (distinct digests) and ``d``_c (cells of the smallest
+    sketch) for the digest array ``d``."""
+    df = df.withColumn(f"{d}_k", F.array_distinct(d))
     return df.withColumn(f"{d}_c", F.expr(cells(f"{d}_k", str(BASE_WIDTH), 0)))
 
 
 def published(d: str) -> Column:
-    """The fingerprint as text: number of digests, cut, and the cells in hexadecimal."""
-    return F.expr(f"concat_ws(':', size({d}_k), {d}_q, array_join(transform({d}_c, x -> concat_ws('.', hex(x.n), hex(x.k), hex(x.h))), ','))")
+    """The fingerprint as text: number of digests and the cells in hexadecimal."""
+    return F.expr(f"concat_ws(':', size({d}_k), array_join(transform({d}_c, x -> concat_ws('.', hex(x.n), hex(x.k), hex(x.h))), ','))")
 
 
 def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     """``df`` with ``out``: likeness of the sketched digest arrays ``a`` and
     ``b`` by subtracting and peeling, retrying larger until nothing is left."""
-    q, ka, kb, r = (f"__{out}_{x}" for x in ("q", "a", "b", "r"))
-    df = df.withColumn(q, F.greatest(f"{a}_q", f"{b}_q"))
-    for x, k in ((a, ka), (b, kb)):
-        df = df.withColumn(k, F.expr(f"CASE WHEN {x}_q = {q} THEN {x}_k ELSE {keys_of(x, q)} END"))
-    need = f"(size({ka}) + size({kb}))"
-    widths = [str(BASE_WIDTH), f"({BASE_WIDTH} + {need} div 2)", f"(24 + {need})", f"(64 + 2 * {need})"]
-    for salt, w in enumerate(widths):
-        ca, cb = (cells(k, w, salt) if salt else f"CASE WHEN {x}_q = {q} THEN {x}_c ELSE {cells(k, w, salt)} END"
-                  for x, k in ((a, ka), (b, kb)))
-        attempt = peel(minus(ca, cb), w, salt)
-        done = f"forall({r}.c, x -> x.n = 0 and x.k = 0 and x.h = 0)"
-        df = df.withColumn(r, F.expr(f"CASE WHEN {done} THEN {r} ELSE {attempt} END" if salt else attempt))
-    # What four sizes left (never seen) still counts as differing: three cells a digest.
-    differ = f"({r}.got + cast(ceil(aggregate({r}.c, 0, (t, x) -> t + abs(x.n)) / 3) as int))"
+    r, left, differ = (f"__{out}_{x}" for x in ("r", "left", "differ"))
+    need = f"(size({a}_k) + size({b}_k))"
+    done = "forall({0}.c, x -> x.n = 0 and x.k = 0 and x.h = 0)"
+    df = df.withColumn(r, F.expr(peel(minus(f"{a}_c", f"{b}_c"), str(BASE_WIDTH), 0)))
+    over = done.format(r)
+    parts = f"zip_with({parts_of(f'{a}_k', need)}, {parts_of(f'{b}_k', need)}, (x, y) -> named_struct('a', x, 'b', y))"
+    df = (df.withColumn(left, F.expr(f"CASE WHEN {over} THEN slice({parts}, 1, 0) ELSE {parts} END"))
+          .withColumn(differ, F.expr(f"CASE WHEN {over} THEN {r}.got ELSE 0 END")))
+    here = "(size(pr.a) + size(pr.b))"
+    for salt, w in enumerate((f"({BASE_WIDTH} + {here} div 2)", f"(24 + {here})", f"(64 + 2 * {here})"), 1):
+        attempt = peel(minus(cells("pr.a", w, salt), cells("pr.b", w, salt)), w, salt)
+        df = df.withColumn(r, F.expr(f"transform({left}, pr -> named_struct('pr', pr, 'r', {attempt}))"))
+        over = done.format("t.r")
+        df = (df.withColumn(differ, F.expr(f"{differ} + aggregate(filter({r}, t -> {over}), 0, (n, t) -> n + t.r.got)"))
+              .withColumn(left, F.expr(f"transform(filter({r}, t -> not {over}), t -> t.pr)")))
+    # What four sizes left (never seen) is compared by the digests themselves.
+    rest = f"aggregate({left}, 0, (n, t) -> n + size(array_except(t.a, t.b)) + size(array_except(t.b, t.a)))"
+    df = df.withColumn(differ, F.expr(f"{differ} + {rest}"))
     common = f"(({need} - {differ}) / 2)"
-    return df.withColumn(out, F.expr(f"CASE WHEN {need} = 0 THEN 1.0D ELSE cast(greatest(0, {common}) / greatest(1, {common} + {differ}) as double) END")) \
-        .drop(q, ka, kb, r)
+    return df.withColumn(out, F.expr(f"CASE WHEN {need} = 0 THEN 1.0D ELSE cast({common} / ({common} + {differ}) as double) END")).drop(r, left, differ)
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, d, next_text, and d's sketch; n and n's sketch of the next
+    """(id, text, next_text, and d's digests and sketch; n's of the next
     document): each row with its next document by descending identifier, after
     the last the first.
 
@@ -146,10 +148,10 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
               .select("id", "text", F.posexplode(F.array_compact(F.array(part, F.col("host")))).alias("guest", "part"))
               .repartition(n, "part").withColumn("d", digests_of(F.col("text"))))
     order = Window.partitionBy("part").orderBy("guest", F.col("id").desc_nulls_last(), "text")
-    parts = ["", "_q", "_k", "_c"]
+    parts = ["_k", "_c"]
     return (with_sketch(placed, "d").withColumn("next_text", F.lead("text").over(order))
             .withColumns({f"n{x}": F.lead(f"d{x}").over(order) for x in parts})
-            .where(F.col("guest") == 0).drop("guest", "part"))
+            .where(F.col("guest") == 0).drop("guest", "part", "d"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,7 +168,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - cut).cast("int")),
                                               F.substring(F.col("next_text"), F.lit(1), cut)))
-    sketched = [f"{d}{x}" for d in ("d", "n") for x in ("", "_q", "_k", "_c")]
+    sketched = [f"{d}{x}" for d in ("d", "n") for x in ("_k", "_c")]
     rows = rows.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *sketched, digests_of(F.col("edited")).alias("e"))
     rows = with_likeness(with_likeness(with_sketch(rows, "e"), "d", "e", "near_edited"), "d", "n", "near_next")
     return rows.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", published("d").alias("fingerprint"),

@@ -319,6 +319,22 @@ def test_fingerprints_of_long_texts_in_runs(spark):
     assert 0.5 < got[2]["near_next"] < 1.0 and got[1]["near_next"] == 0.0
 
 
+def test_fingerprints_count_paragraphs_of_any_number(spark):
+    docs = []
+    for n in (31, 32, 33, 34, 64, 65, 100, 236, 3000):
+        text = [f"line {i} of text {n}" for i in range(n)]
+        docs += [(10 * n + 1, "\n".join(text)), (10 * n, "\n".join("changed" + x if i % 20 == 7 else x for i, x in enumerate(text)))]
+    got = fingerprint.edited_likeness(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    want = [(i, round(brute.likeness(t, e), 9), round(brute.likeness(t, n), 9)) for i, t, e, n in _edited(docs)]
+    assert by_text((r["doc_id"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in got) == by_text(want)
+
+
+def test_fingerprint_query_compares_all_documents(spark, small):
+    got = {r["doc_id"]: r for r in registry.op9_fingerprint(spark, SF).collect()}
+    for i, t, e, n in _edited(small):
+        assert abs(got[i]["near_edited"] - brute.likeness(t, e)) < 1e-9 and abs(got[i]["near_next"] - brute.likeness(t, n)) < 1e-9
+
+
 def test_fingerprint_query(spark, small):
     got = {r["doc_id"]: r for r in registry.op9_fingerprint(spark, SF).collect()}
     for i, t, e, n in _edited(small):
