@@ -4,7 +4,9 @@ Documents are counted by (source, exact length). Each source gets whole
 repeats of itself and a remaining budget below its size. The budget is filled
 per length in proportion, then greedily from long to short, and the last few
 thousand words by a bounded-knapsack dynamic programme over the lengths still
-available. Of each length the planned number of documents is then selected in
+available, first up to the budget and then as far above it as is nearer. Of few
+documents all choices are tried; where only very long ones are left, the nearest
+is taken, or one above for which shorter ones are given back. Of each length the planned number of documents is then selected in
 a seeded hash order.
 
 Defined results: a null text has size 0 and takes nothing. Null is a source of
@@ -15,6 +17,8 @@ target 0. Empty tables give empty tables; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -29,6 +33,7 @@ CAP = 3                   # a target is at most so many times its source's size
 SEED = 20240229
 RESERVE = (4096, 200_000)  # least and most words left to the dynamic programme
 WORK = 10 ** 9             # lengths times words that it may look at
+FEW = 4096                 # choices of documents that are all tried
 BLOCK = 20000             # rows of one length that are ranked together
 
 
@@ -40,6 +45,12 @@ def fit_budget(sizes: list[int], counts: list[int], budget: int) -> list[int]:
         return list(counts)
     if not total:
         return [0] * len(sizes)
+    if len(sizes) <= FEW.bit_length() and math.prod(c + 1 for c in counts) <= FEW:
+        sums = np.zeros(1, np.int64)     # of all choices, the last size's count changing fastest
+        for s, c in zip(sizes, counts):
+            sums = (sums[:, None] + s * np.arange(c + 1)).ravel()
+        at = int(np.abs(sums - budget).argmin())
+        return [int(k) for k in np.unravel_index(at, [c + 1 for c in counts])]
     reserve = min(max(WORK // len(sizes), RESERVE[0]), RESERVE[1])
     # In proportion, but for what the dynamic programme fills.
     take = [c * max(0, budget - reserve) // total for c in counts]
@@ -49,24 +60,45 @@ def fit_budget(sizes: list[int], counts: list[int], budget: int) -> list[int]:
         more = min(counts[i] - take[i], max(0, left - reserve) // s)
         take[i] += more
         left -= more * s
+    open_sizes = [(s, i) for s, i in down if take[i] < counts[i]]
+    if left > 3 * reserve:
+        # All open lengths are above left - reserve: of them one document at most
+        # is nearest; or one above it, for which shorter ones are given back.
+        s, i = min(open_sizes, key=lambda x: abs(x[0] - left))
+        best, off = list(take), left
+        if abs(s - left) < off:
+            best[i], off = best[i] + 1, abs(s - left)
+        s, i = min(((s, i) for s, i in open_sizes if s > left), default=(0, 0))
+        if s and off:
+            back = fit_budget(sizes, take, s - left)
+            if abs(s - left - sum(b * x for b, x in zip(back, sizes))) < off:
+                best = [t - b for t, b in zip(take, back)]
+                best[i] += 1
+        return best
     # Bounded knapsack on the rest: reach[b] says that b words can be filled;
     # first[b] is the item that first reached b, so walking back uses each once.
-    items, room = [], left + min(left, RESERVE[0])   # a little above may be closer
-    for s, i in down:
-        n, k = min(counts[i] - take[i], room // s), 1
-        while n > 0:
-            k = min(k, n)
-            items.append((s * k, i, k))
-            n, k = n - k, k * 2
-    reach, first = np.zeros(room + 1, bool), np.full(room + 1, -1, np.int32)
-    reach[0] = True
-    for number, (w, _, _) in enumerate(items):
-        new = np.flatnonzero(reach[: room + 1 - w] & ~reach[w:]) + w
-        reach[new], first[new] = True, number
-        if reach[left]:
+    # First up to the budget; where that is not met, as far above it as is nearer.
+    at, room = 0, left
+    while True:
+        items = []
+        for s, i in open_sizes:
+            n, k = min(counts[i] - take[i], room // s), 1
+            while n > 0:
+                k = min(k, n)
+                items.append((s * k, i, k))
+                n, k = n - k, k * 2
+        reach, first = np.zeros(room + 1, bool), np.full(room + 1, -1, np.int32)
+        reach[0] = True
+        for number, (w, _, _) in enumerate(items):
+            new = np.flatnonzero(reach[: room + 1 - w] & ~reach[w:]) + w
+            reach[new], first[new] = True, number
+            if reach[left]:
+                break
+        found = np.flatnonzero(reach)
+        at = int(found[np.abs(found - left).argmin()])
+        if at == left or room > left:
             break
-    found = np.flatnonzero(reach)
-    at = int(found[np.abs(found - left).argmin()])
+        room = 2 * left - at
     while at:
         w, i, k = items[first[at]]
         take[i] += k

@@ -143,6 +143,21 @@ def test_fit_budget_is_exact_where_it_can_be():
         assert sum(s * k for s, k in zip(sizes, mixing.fit_budget(sizes, counts, budget))) == budget
 
 
+def test_fit_budget_takes_very_long_documents():
+    import itertools
+
+    assert mixing.fit_budget([1000000], [1], 900000) == [1]
+    assert mixing.fit_budget([1000000], [1], 400000) == [0]
+    assert mixing.fit_budget([1000000], [3], 2900000) == [3]
+    for sizes, counts in (([1000000], [3]), ([300000, 1000000], [1, 2]), ([2, 50000], [1, 2]), ([9000, 21000, 5000000], [2, 1, 1]), ([70000, 90000, 110000], [1, 1, 1])):
+        sums = {sum(s * k for s, k in zip(sizes, ks)) for ks in itertools.product(*(range(c + 1) for c in counts))}
+        for budget in range(1, max(sums), max(sums) // 37):
+            take = mixing.fit_budget(sizes, counts, budget)
+            got = sum(s * k for s, k in zip(sizes, take))
+            assert all(0 <= k <= c for k, c in zip(take, counts))
+            assert abs(got - budget) <= min(abs(x - budget) for x in sums), (sizes, counts, budget, take)
+
+
 def _targets(sizes, cap=3):
     names = sorted((k for k in sizes if k is not None)) + [None] * (None in sizes)
     weight = {k: (1, 2, 3)[i % 3] for i, k in enumerate(names)}
