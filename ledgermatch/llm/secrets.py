@@ -6,7 +6,11 @@ needs few tokens for its characters, a random string needs many. A run of key
 characters whose characters-per-token ratio under a public byte-level
 vocabulary is low is reported, unless it is a known digest (hex of a digest's
 length), an identifier (UUID, plain number, dotted or snake-case words, path)
-or lies in a span of a fixed pattern.
+or lies in a span of a fixed pattern. In a run that is readable on the whole
+(a path, host, name or key with a random string in it) the parts between / . -
+_ and = are scored by what they fall short of the ratio, and the stretches of
+parts with the highest sums are reported, if they are long enough and neither
+known digests nor identifiers.
 
 Defined results: null and empty texts have no spans. Texts are scanned whole;
 offsets are code points, end exclusive. Each input row gives one output row,
@@ -37,6 +41,26 @@ CANDIDATE_CHARS = 20      # shortest run of key characters that is tested
 CHARS_PER_TOKEN = 2.0     # runs at or below this ratio are random
 
 
+def _stretches(scores: list[float]) -> list[tuple[int, int]]:
+    """The maximal stretches of positive sum (Ruzzo and Tompa), as (first, end)."""
+    total, found = 0.0, []          # (sum before, sum after, first, end)
+    for k, x in enumerate(scores):
+        before, total = total, total + x
+        if x <= 0:
+            continue
+        now = (before, total, k, k + 1)
+        while found:
+            at = len(found) - 1
+            while at >= 0 and found[at][0] >= now[0]:
+                at -= 1
+            if at < 0 or found[at][1] >= now[1]:
+                break
+            now = (found[at][0], now[1], found[at][2], now[3])
+            del found[at:]
+        found.append(now)
+    return [x[2:] for x in found]
+
+
 def _scanner(ranks_path: str, pattern: str, ratio: float, least: int):
     def run(batches):
         enc = _encoding(ranks_path, pattern)
@@ -52,6 +76,23 @@ def _scanner(ranks_path: str, pattern: str, ratio: float, least: int):
             r"|/?(?>[A-Z]{2,15}|[A-Za-z][a-z]{0,14})[0-9]{0,4}(?>[._/=+-]++(?>[A-Z]{2,15}|[A-Za-z][a-z]{0,14})[0-9]{0,4})++[._/=+-]*"
         )
 
+        part = re.compile(r"[A-Za-z0-9+]+")
+        uuid = re.compile(r"(?<![A-Za-z0-9+])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9+])")
+
+        def inside(s):
+            """(first, end) of the random stretches of parts of a run."""
+            named = [m.span() for m in uuid.finditer(s)]
+            parts, scores, k = [m.span() for m in part.finditer(s)], [], 0
+            for lo, hi in parts:
+                while k < len(named) and named[k][1] <= lo:
+                    k += 1
+                skip = hi - lo in DIGEST_LENGTHS and known.fullmatch(s, lo, hi) or k < len(named) and named[k][0] <= lo
+                scores.append(-float(len(s)) * ratio if skip else ratio * len(enc.encode_ordinary(s[lo:hi])) - (hi - lo))
+            for first, end in _stretches(scores):
+                lo, hi = parts[first][0], parts[end - 1][1]
+                if hi - lo >= least and not identifier.fullmatch(s, lo, hi):
+                    yield lo, hi
+
         def spans(text):
             found = [(m.start(), 0, m.end()) for m in assign.finditer(text) if m.end(2) - m.start(2) >= LEAST_VALUE]
             found += [(m.start(), 1, m.end()) for m in access.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
@@ -69,6 +110,8 @@ def _scanner(ranks_path: str, pattern: str, ratio: float, least: int):
                     continue
                 if len(s) <= ratio * len(enc.encode_ordinary(s)):
                     added.append((lo, 3, hi))
+                else:
+                    added += [(lo + x, 3, lo + y) for x, y in inside(s)]
             return base, sorted(base + added)
 
         names = ["doc_id", "n_assign", "n_access", "n_hex", "n_random", "base", "spans"]

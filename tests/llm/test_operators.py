@@ -302,6 +302,33 @@ def test_secret_scan_cases(spark):
     assert all(got[i]["n_random"] == 0 for i in (1, 2, 3, 5, 6, 7, 8))
 
 
+def test_secrets_inside_readable_runs(spark):
+    import random
+
+    rng = random.Random(3)
+    ranks, pattern = registry.public_bpe()
+    fronts = ("", "/home/service/config/production/credentials/", "//files.example.com/download/", "//storage.internal.example.com/backups/monthly/archive/",
+              "production.database.connection.", "session_identifier_for_customer=", "customer-account-reference-")
+    docs, want = [], {}
+    for n in (24, 32, 40):
+        for front in fronts:
+            for back in ("", "/readme/contents.html"):
+                for _ in range(10):
+                    secret = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+                    want[len(docs)] = (4 + len(front), 4 + len(front) + n)
+                    docs.append((len(docs), f"see {front}{secret}{back} there"))
+    plain = ["https://files.example.com/download/documents/annual-report/contents.html", "/home/service/config/production/credentials/readme.txt",
+             "//example.com/commit/D41D8CD98F00B204E9800998ECF8427E/readme", "//files.example.com/download/documents/objects/9f8e7d6c-1234-4abc-9def-0123456789ab/contents.html"]
+    docs += [(len(docs) + k, t) for k, t in enumerate(plain)]
+    got = {r["doc_id"]: r for r in secrets.scan(spark.createDataFrame(docs, "doc_id long, text string"), ranks, pattern).collect()}
+    hit = 0
+    for i, (lo, hi) in want.items():
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[i]["spans"].split(",") if x.startswith("random")]
+        hit += any(s <= lo + 2 and e >= hi - 2 for s, e in spans)
+    assert hit >= 0.99 * len(want), (hit, len(want))
+    assert not any(got[i]["n_random"] for i, _ in docs[len(want):])
+
+
 def test_secret_query(spark, small):
     got = registry.op8_secret_scan(spark, SF).collect()
     assert by_text((r["doc_id"], r["base_sha256"]) for r in got) == by_text((i, brute.sha(brute.secrets(t))) for i, t in small)
