@@ -19,4 +19,26 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(body + CASE WHEN role = 'assistant' THEN 7 ELSE 14 + length(role) END)::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id""",
+    "op12_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(total)::HUGEINT AS lang_n FROM kept GROUP BY lang),
+cells AS (SELECT lang, source, term, count(*) AS n, any_value(total) AS total FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT x.lang, x.source, coalesce(s.n, 0)::HUGEINT AS group_n, l.v, l.lang_n FROM (SELECT DISTINCT lang, source FROM d) x
+      LEFT JOIN (SELECT lang, source, sum(n) AS n FROM cells GROUP BY lang, source) s USING (lang, source) LEFT JOIN langs l USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (group_n + 2 * v) AS p,
+        1 + (1000000000::HUGEINT * (k.total + 2)) // (lang_n + 2 * v) AS q
+      FROM g JOIN kept k USING (lang) LEFT JOIN cells c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+      LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+      WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY a.lang, a.source, b.source),
+terms AS (SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM pairs
+UNION ALL
+SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM terms)
+WHERE rank <= 10""",
 }

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import bpe, chat, class_lm, exact_dedup, fingerprint, langid, mixing, near_dedup, secrets, substring_dedup
+from ledgermatch.llm import (bpe, chat, class_lm, divergence, exact_dedup, fingerprint, langid, mixing, near_dedup, pieces, secrets,
+                             substring_dedup, whitening)
 from ledgermatch.llm.arrow import small_batches
 
 
@@ -68,5 +69,20 @@ def op10_language_id(spark, sf_dir):
     return langid.predict(docs, langid.fit(docs))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_piece_round_trip(spark, sf_dir):
+    import public_tokenizers
+
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_exact_dedup, op3_suffix_dedup, op4_chat_format, op5_source_mix, op6_class_lm, op7_near_dedup,
-                                   op8_secret_scan, op9_fingerprint, op10_language_id)}
+                                   op8_secret_scan, op9_fingerprint, op10_language_id, op11_embedding_whitening, op12_source_divergence,
+                                   op13_piece_round_trip)}
