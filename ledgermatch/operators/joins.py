@@ -1,8 +1,11 @@
 """Joins (J1-J8).
 
-The range join of an interval fact against dates or timestamps is planned as
-clip to their range + ``explode(sequence)`` + equi join, so its cost is the number
-of matching (interval, day) pairs and never intervals x days.
+The range join of an interval fact against a calendar is planned as clip to its
+range + ``explode(sequence)`` + equi join, so its cost is the number of matching
+(interval, day) pairs and never intervals x days. Where only totals per day are
+wanted, ``active_totals_sweep`` needs no row per day; against timestamps,
+intervals become dyadic blocks of days, and grouped counts over the pairs
+(``range_join_aggregate``) are made without the pairs.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import types as T
 
 from ledgermatch.functions.scalars import col_of
 from ledgermatch.operators.filters import interval_overlap
+from ledgermatch.operators.ordinals import running_total
 
 # Floating measures are summed as this decimal (then returned as DOUBLE), so a
 # reconciliation gives the same answer however the rows are partitioned. A sum
@@ -70,13 +74,140 @@ def range_join_calendar(df: DataFrame, cal: DataFrame, start_col: str, end_col:
     return cal.join(days, cal[date_col] == days["__day"]).drop("__day")
 
 
+def _bounds(points: DataFrame, point: str) -> tuple[_dt.date, int]:
+    """(first day, number of tree levels above the days) of the points."""
+    r = points.agg(F.min(F.to_date(point)).alias("lo"), F.max(F.to_date(point)).alias("hi")).first()
+    lo, hi = (r["lo"], r["hi"]) if r["lo"] else (_dt.date(1970, 1, 1), _dt.date(1970, 1, 1))
+    return lo, ((hi - lo).days + 1).bit_length()
+
+
+def _day_number(col, lo: _dt.date) -> Column:
+    return F.datediff(F.to_date(col_of(col)), _d(lo))
+
+
+def dyadic_cover(df: DataFrame, start_col: str, end_col: str, lo: _dt.date, levels: int) -> DataFrame:
+    """``df`` with a row per power-of-two block of days that make up its
+    interval: ``__level`` and ``__block``, the days from ``lo`` on with
+    ``day >> level = block``.
+
+    The blocks of an interval are disjoint and at most two on each level, so an
+    interval of n days has at most 2 log2(n) rows where one row per day would be
+    n. Intervals are clipped to the ``2^levels`` days from ``lo`` on; a null
+    end is open; inverted intervals have no block.
+    """
+    s = F.greatest(_day_number(start_col, lo), F.lit(0))
+    e = F.least(F.coalesce(_day_number(end_col, lo), F.lit((1 << levels) - 1)), F.lit((1 << levels) - 1)) + 1
+    # On level k the part that is left goes from low to high - 1; an odd end of it is a block of its own.
+    low, high = "shiftright(__s + shiftleft(1, k) - 1, k)", "shiftright(__e, k)"
+    taken = F.expr(f"""flatten(transform(sequence(0, {levels}), k -> CASE WHEN {low} >= {high} THEN array() ELSE filter(array(
+        CASE WHEN {low} % 2 = 1 THEN struct(k AS level, {low} AS block) END,
+        CASE WHEN {high} % 2 = 1 THEN struct(k AS level, {high} - 1 AS block) END), b -> b IS NOT NULL) END))""")
+    return (df.withColumn("__s", s).withColumn("__e", e).filter(F.col("__s") < F.col("__e"))
+              .withColumn("__b", F.explode(taken))
+              .withColumn("__level", F.col("__b.level")).withColumn("__block", F.col("__b.block")).drop("__s", "__e", "__b"))
+
+
+def dyadic_ancestors(df: DataFrame, point: str, lo: _dt.date, levels: int) -> DataFrame:
+    """``df`` with a row per block that holds the point's day, one on each level."""
+    return (df.withColumn("__day", _day_number(point, lo)).filter(F.col("__day").isNotNull())
+              .withColumn("__level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+              .withColumn("__block", F.expr("shiftright(__day, __level)")).drop("__day"))
+
+
+def _inside(point: str, start_col: str, end_col: str) -> Column:
+    return (F.col(point) >= F.col(start_col)) & (F.col(end_col).isNull() | (F.col(point) <= F.col(end_col)))
+
+
 def range_join_points(points: DataFrame, intervals: DataFrame, point: str, start_col: str, end_col: str) -> DataFrame:
-    """``point BETWEEN start AND end`` for timestamps: equi join on the day,
-    then the exact condition. A null end is open; clashing interval columns
-    must be renamed before."""
-    days = _interval_days(points, intervals, point, start_col, end_col)
-    joined = points.withColumn("__at", F.to_date(point)).join(days, F.col("__at") == F.col("__day")).drop("__at", "__day")
-    return joined.filter((F.col(point) >= F.col(start_col)) & (F.col(end_col).isNull() | (F.col(point) <= F.col(end_col))))
+    """``point BETWEEN start AND end`` for timestamps: intervals as dyadic
+    blocks of days, points as the blocks above them, an equi join on the block
+    (each pair meets in exactly one), then the exact condition. A null end is
+    open; clashing interval columns must be renamed before."""
+    lo, levels = _bounds(points, point)
+    spans = dyadic_cover(intervals, start_col, end_col, lo, levels)
+    joined = dyadic_ancestors(points, point, lo, levels).join(spans, ["__level", "__block"])
+    return joined.filter(_inside(point, start_col, end_col)).drop("__level", "__block")
+
+
+def range_join_aggregate(points: DataFrame, intervals: DataFrame, point: str, start_col: str, end_col: str,
+                         point_keys: dict[str, Column], interval_keys: dict[str, Column], measures: dict[str, tuple[str, Column | None]]) -> DataFrame:
+    """Grouped counts and sums over the pairs of a range join, without the pairs.
+
+    ``measures`` maps a name to ``("count", None)``, ``("points", column)`` or
+    ``("intervals", column)``: the number of pairs, or the sum of a column of
+    one side over all pairs. Both sides are summed first: points per block and
+    point key, intervals per block and interval key; a block with p points and
+    i intervals stands for p * i pairs. Only the first and last day of an
+    interval need single instants: they are joined by day on (instant, key)
+    totals. The rows joined grow with days, instants and keys, never with pairs.
+    """
+    lo, levels = _bounds(points, point)
+    pk, ik = {f"__p{i}": c for i, c in enumerate(point_keys.values())}, {f"__i{i}": c for i, c in enumerate(interval_keys.values())}
+    sums = {side: [(f"__{side}{i}", c) for i, (s, c) in enumerate(measures.values()) if s == side] for side in ("points", "intervals")}
+
+    def totals(df, keys, side):
+        return df.groupBy(*keys).agg(F.sum("__n").alias("__n"), *[F.sum(n).alias(n) for n, _ in sums[side]])
+
+    at = points.select(F.col(point).alias("__at"), *[c.alias(n) for n, c in pk.items()], F.lit(1).cast("bigint").alias("__n"),
+                       *[c.alias(n) for n, c in sums["points"]])
+    at = totals(at.filter(F.col("__at").isNotNull()), ["__at", *pk], "points")
+    span = intervals.select(F.col(start_col).alias("__from"), F.col(end_col).alias("__to"), *[c.alias(n) for n, c in ik.items()],
+                            F.lit(1).cast("bigint").alias("__n"), *[c.alias(n) for n, c in sums["intervals"]])
+    span = totals(span.filter(F.col("__from").isNotNull() & (F.col("__to").isNull() | (F.col("__from") <= F.col("__to")))),
+                  ["__from", "__to", *ik], "intervals")
+    day = lambda c: F.to_date(c)
+    # Whole days between the first and the last one, as blocks.
+    inner = span.withColumn("__a", F.date_add(day("__from"), 1)).withColumn("__z", F.date_sub(day("__to"), 1))
+    inner = totals(dyadic_cover(inner, "__a", "__z", lo, levels), ["__level", "__block", *ik], "intervals")
+    per_day = totals(at.withColumn("__day", day("__at")), ["__day", *pk], "points")
+    above = totals(dyadic_ancestors(per_day, "__day", lo, levels), ["__level", "__block", *pk], "points")
+    # The first and the last day, by instants.
+    ends = span.withColumn("__day", F.explode(F.array_distinct(F.array_compact(F.array(day("__from"), day("__to"))))))
+    edge = at.withColumn("__day", day("__at")).withColumnRenamed("__n", "__pn").join(ends.withColumnRenamed("__n", "__in"), "__day")
+    edge = edge.filter((F.col("__at") >= F.col("__from")) & (F.col("__to").isNull() | (F.col("__at") <= F.col("__to"))))
+    whole = above.withColumnRenamed("__n", "__pn").join(inner.withColumnRenamed("__n", "__in"), ["__level", "__block"])
+
+    def product(df):
+        out = []
+        for i, (name, (side, _)) in enumerate(measures.items()):
+            value = (F.col("__pn") * F.col("__in") if side == "count" else F.col(f"__points{i}") * F.col("__in") if side == "points"
+                     else F.col("__pn") * F.col(f"__intervals{i}"))
+            out.append(F.sum(value).alias(name))
+        return df.groupBy(*pk, *ik).agg(*out)
+
+    both = product(whole).unionByName(product(edge))
+    return both.groupBy(*[F.col(n).alias(k) for n, k in zip(pk, point_keys)], *[F.col(n).alias(k) for n, k in zip(ik, interval_keys)]).agg(
+        *[F.sum(m).alias(m) for m in measures])
+
+
+def active_totals_sweep(df: DataFrame, days: DataFrame, start_col: str, end_col: str, measures: dict[str, str],
+                        date_col: str = "report_date", count_col: str = "active_intervals") -> DataFrame:
+    """How many intervals are active on each day of ``days`` and the sums of
+    ``measures`` (new name -> column) over them, by a sweep (J1 + A1).
+
+    An interval adds its values on its first day and takes them back on the day
+    after its last one. The differences are summed per day, map-side first, and
+    a running total over the days gives the totals. Rows grow with intervals
+    plus days, never with their product. Intervals include both ends by date; a
+    null end never closes; inverted intervals do not count; a day without an
+    active interval has no row, as in the join.
+    """
+    first, after = F.to_date(col_of(start_col)), F.date_add(F.to_date(col_of(end_col)), 1)
+    spans = df.select(first.alias("__a"), after.alias("__z"), *[F.col(c).alias(f"__m{i}") for i, c in enumerate(measures.values())])
+    spans = spans.filter(F.col("__a").isNotNull() & (F.col("__z").isNull() | (F.col("__a") < F.col("__z"))))
+    ms = [f"__m{i}" for i in range(len(measures))]
+    zero = [F.lit(0).cast(spans.schema[m].dataType).alias(m) for m in ms]
+    opened = spans.select(F.col("__a").alias("__day"), F.lit(1).cast("bigint").alias("__n"), *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in ms])
+    closed = spans.filter(F.col("__z").isNotNull()).select(F.col("__z").alias("__day"), F.lit(-1).cast("bigint").alias("__n"),
+                                                           *[(-F.coalesce(F.col(m), F.lit(0))).alias(m) for m in ms])
+    wanted = days.select(F.col(date_col).alias("__day"), F.lit(0).cast("bigint").alias("__n"), *zero).distinct()
+    flagged = [d.withColumn("__wanted", F.lit(w)) for d, w in ((opened, False), (closed, False), (wanted, True))]
+    per_day = flagged[0].unionByName(flagged[1]).unionByName(flagged[2]).groupBy("__day").agg(
+        F.sum("__n").alias("__n"), *[F.sum(m).alias(m) for m in ms], F.max("__wanted").alias("__wanted"))
+    names = {count_col: "__n", **dict(zip(measures, ms))}
+    total = running_total(per_day, [F.col("__day").asc()], {f"__t{i}": c for i, c in enumerate(names.values())})
+    return (total.filter(F.col("__wanted") & (F.col("__t0") > 0))
+            .select(F.col("__day").alias(date_col), *[F.col(f"__t{i}").alias(n) for i, n in enumerate(names)]))
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,

@@ -351,10 +351,35 @@ UNION ALL SELECT 'smf', 'report_date', true, count(report_date) FROM smf_new""")
 TOUCH = (f"(CAST({START} AS DATE) BETWEEN {LO} AND {HI} OR CAST({END} AS DATE) BETWEEN {LO} AND {HI})")
 TD = TENURE_DAYS
 
-_LINE_ORD = "row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity NULLS LAST, l_returnflag NULLS LAST)"
+_LINES_NEW = "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem"
+_HALVES = "SELECT l_quantity, l_linenumber / 2 AS half FROM {t}"
 _LINES_OLD = ("SELECT l_orderkey, l_linenumber, l_quantity + CASE WHEN l_orderkey % 101 = 0 THEN 1 ELSE 0 END AS l_quantity, l_returnflag "
               "FROM lineitem WHERE l_orderkey % 89 <> 0")
 
+def _multiset_compare(keys, measures, new, old, with_delta):
+    """Cells per column and status: rows of both sides cancel, the rest of a key
+    is paired in the order of its measures."""
+    order = _j(f"{m} NULLS LAST" for m in measures)
+    place = f"row_number() OVER ({'PARTITION BY ' + _j(keys) if keys else ''} ORDER BY {order})"
+    cols = _j([*keys, *measures])
+    on = " AND ".join([f"n.{k} IS NOT DISTINCT FROM o.{k}" for k in keys] + ["n.ord = o.ord"])
+    def status(m):
+        same = f"abs(n_{m} - o_{m}) <= {TOL}" if m in ("l_quantity", "half") else f"n_{m} = o_{m}"
+        return f"CASE WHEN o_ord IS NULL THEN 'only_new' WHEN n_ord IS NULL THEN 'only_old' WHEN {same} THEN 'match' ELSE 'mismatch' END"
+    delta = lambda m: f"abs(n_{m} - o_{m})" if with_delta else "NULL"
+    cells = " UNION ALL ".join(f"SELECT '{m}' AS column_name, {status(m)} AS status, 1 AS n, {delta(m)} AS delta FROM p "
+                               f"UNION ALL SELECT '{m}', 'match', n, 0 FROM (SELECT count(*) AS n FROM same)" for m in measures)
+    extra = ", CAST(sum(CAST(delta AS DECIMAL(20,4))) AS DOUBLE) AS delta_sum" if with_delta else ""
+    pick = _j(f"n.{m} AS n_{m}, o.{m} AS o_{m}" for m in measures)
+    return f"""WITH a AS (SELECT {cols} FROM ({new})), b AS (SELECT {cols} FROM ({old})),
+same AS (SELECT * FROM a INTERSECT ALL SELECT * FROM b),
+n AS (SELECT *, {place} AS ord FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)),
+o AS (SELECT *, {place} AS ord FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)),
+p AS (SELECT n.ord AS n_ord, o.ord AS o_ord, {pick} FROM n FULL JOIN o ON {on}),
+c AS ({cells})
+SELECT column_name, status, CAST(sum(n) AS BIGINT) AS cells{extra} FROM c GROUP BY ALL HAVING sum(n) > 0"""
+
+
 ORACLE_SQL: dict[str, str] = {
     # sources
     "load_base_touching": with_fixtures(f"SELECT * FROM sbf_new WHERE {TOUCH}"),
@@ -400,13 +425,8 @@ ORACLE_SQL: dict[str, str] = {
     "default_suite_rows": with_fixtures(
         "SELECT check_name, passed, total_rows, mismatched_rows, max_delta, cdl_value, target_value, critical FROM ds_all",
         suite_ctes("ds", EXAMPLES[:7])),
-    "grid_compare_duplicates": f"""WITH n AS (SELECT *, {_LINE_ORD} AS ord FROM lineitem), o AS (SELECT *, {_LINE_ORD} AS ord FROM ({_LINES_OLD})),
-p AS (SELECT n.ord AS n_ord, o.ord AS o_ord, n.l_quantity AS nq, o.l_quantity AS oq, n.l_returnflag AS nf, o.l_returnflag AS f2
-  FROM n FULL JOIN o ON n.l_orderkey = o.l_orderkey AND n.l_linenumber = o.l_linenumber AND n.ord = o.ord),
-c AS (SELECT 'l_quantity' AS column_name, n_ord, o_ord, abs(nq - oq) <= 0.01 AS same FROM p
-  UNION ALL SELECT 'l_returnflag', n_ord, o_ord, nf = f2 FROM p)
-SELECT column_name, CASE WHEN o_ord IS NULL THEN 'only_new' WHEN n_ord IS NULL THEN 'only_old' WHEN same THEN 'match' ELSE 'mismatch' END AS status,
-  count(*) AS cells FROM c GROUP BY ALL""",
+    "grid_compare_duplicates": _multiset_compare(["l_orderkey", "l_linenumber"], ["l_quantity", "l_returnflag"], _LINES_NEW, _LINES_OLD, False),
+    "grid_compare_keyless": _multiset_compare([], ["l_quantity", "half"], _HALVES.format(t="lineitem"), _HALVES.format(t=f"({_LINES_OLD})"), True),
     "grid_compare_no_keys": f"""WITH u AS (SELECT l_returnflag, l_linenumber, 1 AS n, 0 AS o FROM lineitem
   UNION ALL SELECT l_returnflag, l_linenumber, 0, 1 FROM ({_LINES_OLD}))
 SELECT l_returnflag, l_linenumber, CASE WHEN sum(n) = sum(o) THEN 'match' WHEN sum(o) = 0 THEN 'only_new' WHEN sum(n) = 0 THEN 'only_old'
@@ -414,9 +434,14 @@ SELECT l_returnflag, l_linenumber, CASE WHEN sum(n) = sum(o) THEN 'match' WHEN s
     "row_count_verdict": f"""SELECT 'query' AS validation_type, 'lineitem' AS check_name, a = b AS passed, a AS cdl_rows, b AS target_rows,
   abs(a - b) AS row_difference FROM (SELECT count(*) AS a FROM lineitem), (SELECT count(*) AS b FROM ({_LINES_OLD}))""",
     "range_join_timestamps": with_fixtures(
-        "SELECT l_returnflag, masthead, count(*) AS pairs FROM lineitem JOIN sbf_new ON l_shipdate BETWEEN dw_effective_start_datetime "
-        "AND dw_effective_end_datetime WHERE ratecard_price > 400000 AND is_paying_flag = 'Y' "
-        f"AND l_shipdate >= {LO} AND l_shipdate < {LO} + 7 GROUP BY ALL"),
+        "SELECT l_returnflag, masthead, count(*) AS pairs, sum(l_linenumber)::BIGINT AS line_numbers, sum(ratecard_price) AS ratecard_total "
+        "FROM lineitem JOIN sbf_new ON l_shipdate BETWEEN dw_effective_start_datetime AND dw_effective_end_datetime "
+        "WHERE is_paying_flag = 'Y' GROUP BY ALL"),
+    "range_join_instants": with_fixtures(
+        f"SELECT instant, masthead, dw_publication_id, {START}, {END} FROM (SELECT CAST(report_date AS TIMESTAMP) + INTERVAL 12 HOUR AS instant "
+        f"FROM cal WHERE day(report_date) = 1) p JOIN sbf_new ON instant >= {START} AND (instant <= {END} OR {END} IS NULL)"),
+    "active_intervals_sweep": with_fixtures(
+        "SELECT report_date, count(*) AS active_intervals, CAST(sum(ratecard_price) AS DOUBLE) AS ratecard_total FROM snap_new GROUP BY report_date"),
     "rebuild_two_joins": """SELECT n_name AS nation, count(o_orderkey) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
 LEFT JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 AND o_orderstatus <> 'P' GROUP BY n_name""",
     # joins, sets

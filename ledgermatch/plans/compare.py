@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from ledgermatch.functions.scalars import exceeds_abs_rel
 from ledgermatch.operators.joins import side_by_side
+from ledgermatch.operators.ordinals import running_total
+from ledgermatch.session import materialize
 
 FLOATING = (T.FloatType, T.DoubleType)
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -68,21 +70,62 @@ def _row_counts(new: DataFrame, old: DataFrame, cols: list[str]) -> DataFrame:
     return both.groupBy(*cols).agg(F.sum("__new").alias("__new"), F.sum("__old").alias("__old"))
 
 
-def _paired(counts: DataFrame, keys: list[str], measures: list[str], new_name: str, old_name: str) -> DataFrame:
+def _paired(rest: DataFrame, keys: list[str], measures: list[str], new_name: str, old_name: str) -> DataFrame:
     """Rows of repeated keys (or of an answer without keys) paired in the order
-    of their measures. The window sees distinct rows only; a row that occurs
-    n times takes n places."""
-    place = Window.partitionBy(*keys, "__side").orderBy(*[F.col(m).asc_nulls_last() for m in measures])
+    of their measures. A distinct row that occurs n times takes n places of its
+    key and side; places come from a running total over range partitions, so
+    the rows of one key are never sorted by one task."""
     sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(n).alias("n")) for n, s in (("__new", new_name), ("__old", old_name))])
-    rows = (counts.withColumn("__s", F.explode(sides)).select(*keys, *measures, F.col("__s.side").alias("__side"), F.col("__s.n").alias("__n"))
-            .filter(F.col("__n") > 0)
-            .withColumn("__end", F.sum("__n").over(place.rowsBetween(Window.unboundedPreceding, 0))))
-    u = rows.withColumn("__ord", F.explode(F.sequence(F.col("__end") - F.col("__n") + 1, F.col("__end"))))
+    rows = (rest.withColumn("__s", F.explode(sides)).select(*keys, *measures, F.col("__s.side").alias("__side"), F.col("__s.n").alias("__n"))
+            .filter(F.col("__n") > 0))
+    order = [F.col(c).asc_nulls_last() for c in [*keys, "__side", *measures]]
+    rows = running_total(rows, order, {"__end": "__n"})
+    group = [*keys, "__side"]
+    first = rows.groupBy(*group).agg(F.min(F.col("__end") - F.col("__n")).alias("__first")).withColumnsRenamed({c: f"__g_{c}" for c in group})
+    cond = None
+    for c in group:
+        same = rows[c].eqNullSafe(first[f"__g_{c}"])
+        cond = same if cond is None else cond & same
+    u = (rows.join(first, cond).withColumn("__ord", F.explode(F.sequence(F.col("__end") - F.col("__n") - F.col("__first") + 1, F.col("__end") - F.col("__first"))))
+         .select(*keys, *measures, "__side", "__ord"))
     return u.groupBy(*keys, "__ord").agg(
         *[F.max(F.when(F.col("__side") == s, F.col(m))).alias(f"{m}_{s}") for m in measures for s in (new_name, old_name)],
         *[F.max(F.col("__side") == s).alias(f"in_{s}") for s in (new_name, old_name)])
 
 
+def _aligned(counts: DataFrame, keys: list[str], measures: list[str], new_name: str, old_name: str) -> DataFrame:
+    """Both sides' rows next to each other: (keys, each measure of each side, in_<side>).
+
+    Rows that both sides have are paired with each other first. Of what is
+    left, a key's only row of each side is paired directly; keys with more are
+    paired by ``_paired``.
+    """
+    both = F.least("__new", "__old")
+    flags = {f"in_{new_name}": F.lit(True), f"in_{old_name}": F.lit(True)}
+    out = ([*keys] + [f"{m}_{s}" for m in measures for s in (new_name, old_name)] + [f"in_{new_name}", f"in_{old_name}"])
+    equal = (counts.filter(both > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), both)))
+             .select(*keys, *[F.col(m).alias(f"{m}_{s}") for m in measures for s in (new_name, old_name)])
+             .withColumns(flags).select(*out))
+    rest = (counts.withColumns({"__new": F.col("__new") - both, "__old": F.col("__old") - both})
+            .filter((F.col("__new") > 0) | (F.col("__old") > 0)))
+    if not keys:
+        return equal.unionByName(_paired(rest, keys, measures, new_name, old_name).select(*out))
+    per_key = rest.groupBy(*keys).agg(
+        F.sum("__new").alias("__new"), F.sum("__old").alias("__old"),
+        *[F.max(F.when(F.col(n) > 0, F.col(m))).alias(f"{m}_{s}") for m in measures for n, s in (("__new", new_name), ("__old", old_name))])
+    single = (F.col("__new") <= 1) & (F.col("__old") <= 1)
+    once = (per_key.filter(single).withColumns({f"in_{new_name}": F.col("__new") > 0, f"in_{old_name}": F.col("__old") > 0}).select(*out))
+    repeated = per_key.filter(~single).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    if not repeated.limit(1).count():
+        return equal.unionByName(once)
+    cond = None
+    for i, k in enumerate(keys):
+        c = rest[k].eqNullSafe(repeated[f"__k{i}"])
+        cond = c if cond is None else cond & c
+    again = _paired(rest.join(repeated, cond, "left_semi"), keys, measures, new_name, old_name)
+    return equal.unionByName(once).unionByName(again.select(*out))
+
+
 def compare_cells(new: DataFrame, old: DataFrame, keys: list[str] | None, tol: float = 0.01,
                   new_name: str = "new", old_name: str = "old") -> DataFrame:
     """Cell-by-cell comparison of two answers with the same columns.
@@ -90,8 +133,12 @@ def compare_cells(new: DataFrame, old: DataFrame, keys: list[str] | None, tol: f
     Rows are compared as multisets: a row on one side only is reported,
     however often its key or its copies occur. ``keys`` are the answer's
     grouping columns; when unknown (``None``), all non-floating columns act as
-    keys. Rows of a key that a side has more than once are paired by the order
-    of their measures (survey §4.3).
+    keys. Rows that both sides have cancel out first, as often as both have
+    them; what is left of a key that a side has more than once is paired by
+    the order of its measures (survey §4.3).
+
+    Not lazy for answers with measures: the distinct rows of both sides are
+    written once, and only if a key really repeats is anything ordered.
 
     Output: keys, ``column_name``, ``<new>_value``, ``<old>_value`` (strings),
     ``delta`` (double, numeric cells), ``status`` in match / mismatch /
@@ -109,21 +156,7 @@ def compare_cells(new: DataFrame, old: DataFrame, keys: list[str] | None, tol: f
         none = F.lit(None).cast("string")
         return counts.select(*keys, none.alias("column_name"), none.alias(f"{new_name}_value"), none.alias(f"{old_name}_value"),
                              F.lit(None).cast("double").alias("delta"), status.alias("status"))
-    if keys:
-        per_key = counts.groupBy(*keys).agg(
-            F.sum("__new").alias("__new"), F.sum("__old").alias("__old"),
-            *[F.max(F.when(F.col(n) > 0, F.col(m))).alias(f"{m}_{s}") for m in measures for n, s in (("__new", new_name), ("__old", old_name))])
-        single = (F.col("__new") <= 1) & (F.col("__old") <= 1)
-        once = per_key.filter(single).withColumns({f"in_{new_name}": F.col("__new") > 0, f"in_{old_name}": F.col("__old") > 0})
-        repeated = per_key.filter(~single).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
-        cond = None
-        for i, k in enumerate(keys):
-            c = counts[k].eqNullSafe(repeated[f"__k{i}"])
-            cond = c if cond is None else cond & c
-        again = _paired(counts.join(repeated, cond, "left_semi"), keys, measures, new_name, old_name)
-        pair = once.select(*again.drop("__ord").columns).unionByName(again.drop("__ord"))
-    else:
-        pair = _paired(counts, [], measures, new_name, old_name).drop("__ord")
+    pair = _aligned(materialize(counts, "answer-rows"), keys, measures, new_name, old_name)
     inn, ino = F.col(f"in_{new_name}"), F.col(f"in_{old_name}")
     cells = []
     for m in measures:
@@ -209,15 +242,22 @@ def reconcile_metrics(source: DataFrame, target: DataFrame, keys: list[str], met
 
 
 def metric_deltas(source: DataFrame, target: DataFrame, keys: list[str], metrics: list[str],
-                  source_name: str = "source", target_name: str = "cdl") -> DataFrame:
-    """Row-level view behind ``reconcile_metrics``: one row per (key, metric)."""
+                  source_name: str = "source", target_name: str = "cdl", above: float | None = None) -> DataFrame:
+    """Row-level view behind ``reconcile_metrics``: one row per (key, metric).
+
+    With ``above`` only differences beyond it become rows: they are filtered
+    inside each key's array, before it is exploded.
+    """
     pair = side_by_side(source, target, keys, metrics, agg="sum", new_name=source_name, old_name=target_name)
     rows = []
     for m in metrics:
         s, t = F.col(f"{m}_{source_name}"), F.col(f"{m}_{target_name}")
         rows.append(F.struct(F.lit(m).alias("column_name"), s.cast("double").alias("source_value"), t.cast("double").alias("cdl_value"),
                              _metric_delta(source, target, m, s, t).alias("delta")))
-    return pair.select(*keys, f"in_{source_name}", f"in_{target_name}", F.explode(F.array(*rows)).alias("r")) \
+    rows = F.array(*rows)
+    if above is not None:
+        rows = F.filter(rows, lambda r: r["delta"] > F.lit(above))
+    return pair.select(*keys, f"in_{source_name}", f"in_{target_name}", F.explode(rows).alias("r")) \
                .select(*keys, f"in_{source_name}", f"in_{target_name}", "r.*")
 
 

@@ -16,8 +16,9 @@ group-by if the CTE is listed in ``aggregation_rules``. A union CTE applies its
 own rules after the union (S22).
 
 Joins: the rules of a CTE are folded in order. ``d BETWEEN start AND end`` on
-dates or timestamps (casts to date allowed) uses the interval expansion of
-``operators.joins`` (no nested-loop join); any other condition is a Spark SQL
+dates or timestamps (casts to date allowed) uses the range joins of
+``operators.joins`` (no nested-loop join); a CTE that only counts or sums over
+such pairs is grouped without making them; any other condition is a Spark SQL
 boolean over the aliases, so equi conditions plan as hash or sort-merge joins.
 Filters and columns of the CTE may use the aliases of its tables. A condition is required: an empty one is
 an error, never a silent cross product (S10).
@@ -28,13 +29,14 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermatch.operators.aggregates import DIMENSION_TYPES, group_by_rules
+from ledgermatch.operators.aggregates import DIMENSION_TYPES, METRIC_TYPES, group_by_rules
 from ledgermatch.operators.filters import rule_filter
-from ledgermatch.operators.joins import range_join_calendar, range_join_points
+from ledgermatch.operators.joins import range_join_aggregate, range_join_calendar, range_join_points
 
 _OPERAND = r"(?:cast\(\s*)?(?:(\w+)\.)?(\w+)(?:\s+as\s+date\s*\))?"
 _BETWEEN = re.compile(rf"^\s*{_OPERAND}\s+between\s+{_OPERAND}\s+and\s+{_OPERAND}\s*$", re.IGNORECASE)
@@ -42,6 +44,12 @@ _HOW = {"INNER JOIN": "inner", "LEFT JOIN": "left", "LEFT OUTER JOIN": "left", "
         "FULL JOIN": "full_outer", "FULL OUTER JOIN": "full_outer", "RANGE JOIN": "inner"}
 
 
+# ``alias.column`` outside quotes; a quoted text matches without an alias
+_REFERENCE = re.compile(r"'(?:[^'\\]|\\.)*'|\"[^\"]*\"|(?<![\w.`])`?(?P<alias>\w+)`?\.`?(?P<column>\w+)`?")
+_COUNT_ALL = re.compile(r"^count\(\s*(?:\*|1)\s*\)$", re.IGNORECASE)
+_SUM_OF = re.compile(r"^sum\((?P<of>[^()]*(?:\([^()]*\)[^()]*)*)\)$", re.IGNORECASE)
+
+
 class RuleError(ValueError):
     pass
 
@@ -52,7 +60,7 @@ def _resolve(text: str, aliases: Mapping[str, Mapping[str, str]], prefix: str =
     def name(m):
         column = aliases.get((m["alias"] or "").lower(), {}).get((m["column"] or "").lower())
         return f"{prefix}`{column}`" if column else m.group()
-    return re.sub(r"'(?:[^'\\]|\\.)*'|\"[^\"]*\"|(?<![\w.`])`?(?P<alias>\w+)`?\.`?(?P<column>\w+)`?", name, text)
+    return _REFERENCE.sub(name, text)
 
 
 class Rebuilder:
@@ -85,6 +93,10 @@ class Rebuilder:
         struct = self._rows("cte_structure", name)
         kind = str(struct[0].get("cte_type", "transform")).lower() if struct else "transform"
         joins = self._rows("join_logic", name)
+        if len(joins) == 1 and kind != "union":
+            grouped = self._range_aggregate(name, joins[0])
+            if grouped is not None:
+                return grouped
         names: dict[str, dict[str, str]] = {}     # table alias -> its columns' names in the joined result
         if kind == "union":
             parents = [p.strip() for p in str(struct[0]["parent_cte"]).split(",") if p.strip()]
@@ -156,6 +168,65 @@ class Rebuilder:
             return range_join_points(points, spans, p, s, e).select(*left.columns, *right.columns)
         return None
 
+    def _range_aggregate(self, name: str, j: Mapping) -> DataFrame | None:
+        """A CTE that only groups the pairs of one range join on timestamps, by
+        columns and filters of one table each, with counts and sums: computed
+        without the pairs. None for any other CTE."""
+        m = _BETWEEN.match(str(j.get("join_condition") or ""))
+        how = _HOW.get(str(j.get("join_type") or "INNER JOIN").strip().upper())
+        if not m or how != "inner" or not self._rows("aggregation_rules", name):
+            return None
+        lt, rt = str(j["left_table"]).strip(), str(j["right_table"]).strip()
+        p_alias, p, s_alias, s, e_alias, e = m.groups()
+        sides = {lt.lower(): self.build(lt).alias(lt), rt.lower(): self.build(rt).alias(rt)}
+        if len(sides) < 2 or not (p_alias and s_alias and e_alias) or s_alias.lower() != e_alias.lower() \
+                or {p_alias.lower(), s_alias.lower()} != set(sides):
+            return None
+        point, span = p_alias.lower(), s_alias.lower()
+        kind = {f.name.lower(): f.dataType for f in sides[point].schema.fields}.get(p.lower())
+        if not isinstance(kind, (T.TimestampType, T.TimestampNTZType)) or re.search(r"\bcast\b", str(j["join_condition"]), re.I):
+            return None
+
+        def home(text: str) -> tuple[str, T.DataType] | None:
+            """The one table whose alias all of the text's columns carry, and its type there."""
+            named = {m["alias"].lower() for m in _REFERENCE.finditer(text) if m["alias"]}
+            side = next(iter(named)) if len(named) == 1 else None
+            try:
+                return (side, sides[side].select(F.expr(text).alias("x")).schema["x"].dataType) if side in sides else None
+            except PySparkException:   # a column without an alias that only the other table has
+                return None
+
+        for r in self._rows("filter_logic", name):
+            text = str(r.get("filter_expression") or "").strip()
+            if str(r.get("filter_type", "")).upper() != "WHERE" or not text:
+                continue
+            side = home(text)
+            if side is None:
+                return None
+            sides[side[0]] = sides[side[0]].filter(F.expr(text))
+        keys, measures = {point: {}, span: {}}, {}
+        for r in self._rows("column_mappings", name):
+            kind, column = str(r.get("transformation_type", "")).lower(), r["column_name"]
+            text = str(r.get("source_expression") or column).strip()
+            if kind in DIMENSION_TYPES:
+                side = home(text)
+                if side is None:
+                    return None
+                keys[side[0]][column] = F.expr(text)
+            elif kind in METRIC_TYPES:
+                total = _SUM_OF.match(text)
+                side = home(total["of"]) if total else None
+                if _COUNT_ALL.match(text):
+                    measures[column] = ("count", None)
+                elif side and isinstance(side[1], (T.IntegralType, T.DecimalType)):
+                    measures[column] = ("points" if side[0] == point else "intervals", F.expr(total["of"]))
+                else:
+                    return None
+        if not measures:
+            return None
+        out = range_join_aggregate(sides[point], sides[span], p, s, e, keys[point], keys[span], measures)
+        return out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c, (side, _) in measures.items() if side != "count"})
+
     def _transform(self, df: DataFrame, name: str, parent, aliases: Mapping[str, Mapping[str, str]]) -> DataFrame:
         alias = str(parent).strip() if parent else name
 
@@ -189,8 +260,6 @@ def reconcile_rebuild(spark, rebuilder: Rebuilder, target: DataFrame, keys: list
     expression), every metric becomes a failed result row carrying the error
     (S23) instead of aborting the run.
     """
-    from pyspark.errors import PySparkException
-
     from ledgermatch.plans.compare import reconcile_metrics
     from ledgermatch.sources.catalog import small_frame
 

@@ -410,6 +410,15 @@ def grid_compare_no_keys(spark, sf):
     return CMP.compare_cells(new, old, None, TOL).select("l_returnflag", "l_linenumber", "status")
 
 
+def grid_compare_keyless(spark, sf):
+    """L2, R10 without any key: rows of measures alone, compared as multisets and
+    paired by a distributed ordinal; cells and the sum of differences per column."""
+    new, old = (_lines(spark, sf, p).select("l_quantity", (F.col("l_linenumber") / 2).alias("half")) for p in (False, True))
+    cells = CMP.compare_cells(new, old, [], TOL)
+    return cells.groupBy("column_name", "status").agg(F.count(F.lit(1)).alias("cells"),
+                                                      F.sum(F.col("delta").cast("decimal(20,4)")).cast("double").alias("delta_sum"))
+
+
 def row_count_verdict(spark, sf):
     """Row counts of two answers before their cells."""
     return CMP.row_count_verdict(_lines(spark, sf, False), _lines(spark, sf, True), "lineitem")
@@ -421,18 +430,33 @@ RANGE_RULES = {
     "filter_logic": [{"cte_name": "shipped", "filter_type": "WHERE", "filter_expression": "sbf.is_paying_flag = 'Y'"}],
     "column_mappings": [{"cte_name": "shipped", "column_name": "l_returnflag", "transformation_type": "simple", "source_expression": "li.l_returnflag"},
                         {"cte_name": "shipped", "column_name": "masthead", "transformation_type": "simple", "source_expression": "sbf.masthead"},
-                        {"cte_name": "shipped", "column_name": "pairs", "transformation_type": "aggregation", "source_expression": "count(*)"}],
+                        {"cte_name": "shipped", "column_name": "pairs", "transformation_type": "aggregation", "source_expression": "count(*)"},
+                        {"cte_name": "shipped", "column_name": "line_numbers", "transformation_type": "aggregation", "source_expression": "sum(li.l_linenumber)"},
+                        {"cte_name": "shipped", "column_name": "ratecard_total", "transformation_type": "aggregation", "source_expression": "sum(sbf.ratecard_price)"}],
     "aggregation_rules": [{"cte_name": "shipped"}],
 }
 
 
 def range_join_timestamps(spark, sf):
-    """A BETWEEN rule on timestamps: shipments of the window within the
-    validity of large orders' intervals."""
-    lo, hi = (F.lit(str(d)).cast("timestamp_ntz") for d in (LO, LO + dt.timedelta(days=7)))
-    li = read_table(spark, sf, "lineitem").select("l_shipdate", "l_returnflag").filter((F.col("l_shipdate") >= lo) & (F.col("l_shipdate") < hi))
-    spans = sbf(spark, sf).filter("ratecard_price > 400000")
-    return Rebuilder({"li": li, "sbf": spans}, RANGE_RULES).build("shipped")
+    """A BETWEEN rule on timestamps: all shipments within the validity of
+    all intervals, counted and priced per return flag and masthead."""
+    li = read_table(spark, sf, "lineitem").select("l_shipdate", "l_returnflag", "l_linenumber")
+    return Rebuilder({"li": li, "sbf": sbf(spark, sf)}, RANGE_RULES).build("shipped")
+
+
+def active_intervals_sweep(spark, sf):
+    """J1 + A1: active intervals and their price on every day of the history."""
+    out = J.active_totals_sweep(sbf(spark, sf), cal(spark, sf), START, END, {"ratecard_total": "ratecard_price"})
+    return out.withColumn("ratecard_total", F.col("ratecard_total").cast("double"))
+
+
+def range_join_instants(spark, sf):
+    """J1 on timestamps, the pairs themselves: every interval that is valid at
+    noon of the first day of a month of the history."""
+    noon = (cal(spark, sf).filter(F.dayofmonth("report_date") == 1)
+            .select(F.col("report_date").cast("timestamp_ntz").alias("__d")).select((F.col("__d") + F.expr("INTERVAL 12 HOURS")).alias("instant")))
+    return J.range_join_points(noon, sbf(spark, sf).select(START, END, "masthead", "dw_publication_id"), "instant", START, END).select(
+        "instant", "masthead", "dw_publication_id", START, END)
 
 
 TWO_JOIN_RULES = {
@@ -474,7 +498,7 @@ def abs_rel_tolerance(spark, sf):
 
 
 def mismatch_sample_q(spark, sf):
-    d = CMP.metric_deltas(rebuild_final(spark, sf), old_layer(spark, sf), SHARED_DIMS, fx.LAYER_METRICS)
+    d = CMP.metric_deltas(rebuild_final(spark, sf), old_layer(spark, sf), SHARED_DIMS, fx.LAYER_METRICS, above=TOL)
     return CMP.mismatch_sample(d, SHARED_DIMS, TOL, 5).select(
         "column_name", "sample_rank", *SHARED_DIMS, "source_value", "cdl_value", "delta")
 
@@ -600,9 +624,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rebuild_final": rebuild_final,
     "rebuild_two_joins": rebuild_two_joins,
     "range_join_timestamps": range_join_timestamps,
+    "range_join_instants": range_join_instants,
+    "active_intervals_sweep": active_intervals_sweep,
     "default_suite_rows": default_suite_rows,
     "grid_compare_duplicates": grid_compare_duplicates,
     "grid_compare_no_keys": grid_compare_no_keys,
+    "grid_compare_keyless": grid_compare_keyless,
     "row_count_verdict": row_count_verdict,
     "acceptance_rows": acceptance_rows_q,
     "acceptance_decision": acceptance_decision_q,
