@@ -187,7 +187,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw)
     plan = plan.groupBy("m_id", "m_hash").agg(F.sum("copies").alias("m_copies"), F.count(F.lit(1)).alias("m_rows"))
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("d_id"),
                     F.xxhash64(whole_text(text_col)).alias("d_hash"))
-    joined = d.join(plan, d["d_id"].eqNullSafe(plan["m_id"]) & (d["d_hash"] == plan["m_hash"]))
-    # Rows that repeat identifier and text share their copies evenly.
-    times = F.ceil(F.col("m_copies") / F.col("m_rows")).cast("int")
-    return joined.select("row", F.explode(F.sequence(F.lit(1), times))).select("row.*")
+    joined = d.join(plan, d["d_id"].eqNullSafe(plan["m_id"]) & (d["d_hash"] == plan["m_hash"])).withColumns({
+        "times": F.floor(F.col("m_copies") / F.col("m_rows")).cast("int"), "rest": F.col("m_copies") % F.col("m_rows")})
+    # Rows that repeat identifier and text share their copies evenly; the first ``rest`` of them have one more.
+    uneven = joined.where(F.col("rest") > 0).select("row", "d_id", "d_hash", "times", "rest", F.monotonically_increasing_id().alias("nr"))
+    placed = place_in_order(materialize(uneven, "repeated-rows"), F.col("d_id"), F.col("d_hash"), F.col("nr"))
+    first = placed.groupBy("d_id", "d_hash").agg(F.min("place").alias("first")).select(F.col("d_id").alias("f_id"), F.col("d_hash").alias("f_hash"), "first")
+    shared = placed.join(first, placed["d_id"].eqNullSafe(first["f_id"]) & (placed["d_hash"] == first["f_hash"])).select(
+        "row", F.when(F.col("place") - F.col("first") < F.col("rest"), F.col("times") + 1).otherwise(F.col("times")).alias("times"))
+    taken = joined.where(F.col("rest") == 0).select("row", "times").unionByName(shared).where(F.col("times") > 0)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -185,7 +185,25 @@ def test_mix(odd, none, monkeypatch, block):
     assert by_text(map(tuple, got)) == by_text(map(tuple, mixing.mix(odd).collect()))
     assert mixing.mix(none).count() == 0
     mixed = mixing.mixed(odd)
-    assert mixed.columns == odd.columns and mixed.count() >= sum(r["copies"] for r in got)
+    want_rows = {}
+    for r in got:
+        want_rows[r["doc_id"], r["size"]] = want_rows.get((r["doc_id"], r["size"]), 0) + r["copies"]
+    have = {}
+    for r in mixed.collect():
+        k = (r["doc_id"], size(r["text"]))
+        have[k] = have.get(k, 0) + 1
+    assert mixed.columns == odd.columns and have == {k: c for k, c in want_rows.items() if c}
+
+
+def test_repeated_rows_share_their_copies_exactly(spark):
+    rows = [(1, "a b c d", "s")] * 7 + [(None, "e f", "s")] * 5 + [(2, "g h i", "t"), (3, "k", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want, have = {}, {}
+    for r in mixing.mix(docs).collect():
+        want[r["doc_id"]] = want.get(r["doc_id"], 0) + r["copies"]
+    for r in mixing.mixed(docs).collect():
+        have[r["doc_id"]] = have.get(r["doc_id"], 0) + 1
+    assert have == {k: c for k, c in want.items() if c}
 
 
 def test_mix_query_is_near_its_targets(spark):
