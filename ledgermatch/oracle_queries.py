@@ -7,7 +7,9 @@ window functions, tolerances as CASE expressions.
 
 from __future__ import annotations
 
-from ledgermatch.oracle import (EXCLUDE, HI, LO, MOVEMENT_METRICS, TENURE_DAYS, tenure_group_finance_sql,
+import re
+
+from ledgermatch.oracle import (_DIMS, EXCLUDE, HI, LO, MOVEMENT_METRICS, TENURE_DAYS, tenure_group_finance_sql,
                                 tenure_group_sql, with_fixtures)
 from ledgermatch.sources.fixtures import LAYER_DIMS, LAYER_METRICS
 
@@ -258,12 +260,12 @@ ROWCOUNT = ("SELECT 'quantity' AS validation_type, 'row_count' AS check_name, a
             "AS percent_diff FROM (SELECT (SELECT count(*) FROM layer_new) AS a, (SELECT count(*) FROM layer_old) AS b)")
 
 
-def _quantity_ctes():
+def _quantity_ctes(new="layer_new", old="layer_old"):
     def prof(src, tag):
         return (f"q{tag}", " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS dc, "
             f"count(*) FILTER (WHERE {c} IS NULL) / nullif(count(*), 0) AS nr FROM {src}" for c in QUANTITY_COLUMNS))
-    return [prof("layer_new", "n"), prof("layer_old", "o")]
+    return [prof(new, "n"), prof(old, "o")]
 
 
 QJOIN = "FROM qn JOIN qo ON qn.column_name = qo.column_name"
@@ -340,12 +342,122 @@ FROM (SELECT CASE WHEN grouping(validation_type) = 1 THEN NULL ELSE validation_t
                          + _agg_reconcile_ctes())
 
 
+_DIM_NAMES = [c for c in re.findall(r"AS (\w+)", _DIMS) if c != "VARCHAR"]
+SOURCE_COLUMNS = {
+    "sbf": ("sbf_new", [START, END, "subscription_tenure_start_datetime", "subscription_count", "ratecard_price"] + _DIM_NAMES),
+    "smf": ("smf_new", _DIM_NAMES + ["report_date", "movement_datetime", "subscription_tenure_start_datetime", "movement_type_code",
+                                     "subscription_movement_count_type", "subscription_movement_count_sub_type", "subscription_movement_count",
+                                     "incremental_subscription_movement_count", "fy_year", "fy_month_of_year", "fy_week_of_year"]),
+    "cal": ("cal", ["report_date", "last_day_of_week_date", "fy_year", "fy_month_of_year", "fy_week_of_year"]),
+}
+
+
+def _fill(src, cols):
+    """(column_name, populated, rows) of every column."""
+    one = _j(f"count({c}) AS p{i}" for i, c in enumerate(cols))
+    pairs = _j(f"{{'c': '{c}', 'p': p{i}}}" for i, c in enumerate(cols))
+    return f"SELECT u.c AS column_name, u.p AS populated, n AS rows FROM (SELECT n, unnest([{pairs}]) AS u FROM (SELECT count(*) AS n, {one} FROM {src}))"
+
+
+REQUIRED = [("cal", "report_date"), ("cal", "fy_year"), ("sbf", END), ("sbf", START), ("smf", "report_date"), ("smf", "brand_name")]
+
+
+def _required_ctes():
+    fills = [(f"fill_{a}", _fill(src, cols)) for a, (src, cols) in SOURCE_COLUMNS.items()]
+    every = " UNION ALL ".join(f"SELECT '{a}' AS table_alias, * FROM fill_{a}" for a in SOURCE_COLUMNS)
+    wanted = _j(f"('{a}', '{c}')" for a, c in REQUIRED)
+    return [*fills, ("have", every), ("required", f"SELECT * FROM (VALUES {wanted}) v(table_alias, column_name)")]
+
+
+def _sample_ctes(tag, suite):
+    """``{tag}_every``: all cells of a suite with the query's place and name and the row's key text."""
+    ctes, parts = [], []
+    for i, (name, body, keys, measures) in enumerate(suite):
+        p = f"{tag}{i}"
+        ctes += [(f"{p}_a", body.format(t="layer_new")), (f"{p}_b", body.format(t="layer_old")), (f"{p}_pair", _pair(p, keys, measures)),
+                 (f"{p}_cells", _cells(p, keys, measures))]
+        key = " || ', ' || ".join(f"'{k}=' || coalesce(CAST({k} AS VARCHAR), 'null')" for k in keys) or "''"
+        parts.append(f"SELECT {i + 1} AS ordinal, '{name}' AS check_name, {key} AS row_key, column_name, new_value, old_value, delta, status FROM {p}_cells")
+    ctes.append((f"{tag}_every", " UNION ALL ".join(parts)))
+    ctes.append((f"{tag}_bad", f"SELECT *, CAST(row_number() OVER (PARTITION BY ordinal ORDER BY delta DESC NULLS LAST, row_key, column_name) AS INTEGER) "
+                               f"AS sample_rank, count(*) OVER (PARTITION BY ordinal) AS total_mismatches FROM {tag}_every WHERE status <> 'match'"))
+    return ctes
+
+
+def _document():
+    cell = "concat_ws('|', row_key, column_name, coalesce(new_value, 'null'), coalesce(old_value, 'null'), status)"
+    body = f"""SELECT cq > 0 AND cq = cp AS migration_accepted, tq = tp AS all_queries_passed, 'new' AS cdl_table, 'old' AS target_table,
+  CAST({TOL} AS DOUBLE) AS tolerance, tq AS total, tp AS passed, cq AS critical_total, cq - cp AS critical_failed,
+  CASE WHEN cq > 0 THEN cp * 100.0::DOUBLE / cq ELSE 0.0 END AS critical_pass_rate,
+  coalesce((SELECT string_agg(t, ' / ' ORDER BY ordinal) FROM (
+    SELECT ordinal, check_name || ';Results do not match;' || any_value(total_mismatches) || ';' || string_agg({cell}, ';' ORDER BY sample_rank) AS t
+    FROM doc_bad WHERE sample_rank <= 5 GROUP BY ordinal, check_name)), '') AS failed_queries
+FROM (SELECT count(*) AS tq, count(*) FILTER (WHERE bad = 0) AS tp, count(*) AS cq, count(*) FILTER (WHERE bad = 0) AS cp
+  FROM (SELECT ordinal, count(*) FILTER (WHERE status <> 'match') AS bad FROM doc_every GROUP BY ordinal))"""
+    return with_fixtures(body, _sample_ctes("doc", ACCEPT))
+
+
+def _isolated():
+    by = [("rows_by_masthead", "SELECT masthead, count(*) AS n FROM {t} GROUP BY masthead", ("masthead",), [("n", "int")]),
+          ("days", "SELECT count(DISTINCT report_date) AS days FROM {t}", (), [("days", "int")]),
+          ACCEPT[0]]
+    places = {"rows_by_masthead": 1, "days": 4, "total_subscription_count": 5}
+    ctes = [c for i, q in enumerate(by) for c in compare_ctes(f"iso{i}", *q, "layer_new", "layer_old", q[0] != "days")]
+    rows = " UNION ALL ".join(
+        f"SELECT CAST({places[q[0]]} AS INTEGER) AS ordinal, check_name, passed, total_rows, mismatched_rows, cdl_value, target_value, critical, "
+        f"false AS execution_failed FROM iso{i}_res" for i, q in enumerate(by))
+    gone = " UNION ALL ".join(f"SELECT {n}, '{name}', false, NULL, NULL, NULL, NULL, {crit}, true"
+                              for n, name, crit in ((2, "masthead_as_number", "true"), (3, "no_such_column", "false")))
+    return with_fixtures(f"{rows} UNION ALL {gone}", ctes)
+
+
+def _windows_sql():
+    li = "SELECT CAST(l_shipdate AS DATE) AS day, l_orderkey, l_partkey, l_suppkey FROM lineitem"
+    cols = " UNION ALL ".join(f"SELECT lo, hi, '{c}' AS column_name, count(*) AS rows, count(DISTINCT {c}) AS exact_distinct, true AS within_bound "
+                              f"FROM w JOIN li ON day BETWEEN lo AND hi GROUP BY lo, hi" for c in ("l_orderkey", "l_partkey", "l_suppkey"))
+    return (f"WITH li AS ({li}), w AS (SELECT DISTINCT CAST(date_trunc('year', day) AS DATE) AS lo, make_date(year(day), 12, 31) AS hi FROM li "
+            f"UNION ALL SELECT min(day), max(day) FROM li UNION ALL SELECT {MONTH.replace(' AND ', ', ')}) {cols}")
+
+
+def _digest_sql():
+    text = lambda c: f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    digest = lambda cols: f"('0x' || substr(md5({' || '.join(map(text, cols))}), 1, 15))::BIGINT"
+    side = lambda s: (f"SELECT '{s}' AS side, CAST({digest(['report_date'])} % 64 AS INTEGER) AS level1, CAST({digest(SHARED)} % 64 AS INTEGER) AS level2, "
+                      f"{digest(SHARED + COUNT_COLUMNS)} AS h FROM layer_{s}")
+    per = _j(f"count(*) FILTER (side = '{s}') AS {s}_rows, coalesce(bit_xor(h) FILTER (side = '{s}'), 0)::BIGINT AS {s}_xor, "
+             f"coalesce(sum(h::HUGEINT) FILTER (side = '{s}'), 0) AS {s}_t" for s in ("new", "old"))
+    return with_fixtures(
+        f"SELECT CAST(CASE WHEN level2 IS NULL THEN 1 ELSE 2 END AS INTEGER) AS level, level1, level2, new_rows, old_rows, new_xor, old_xor, "
+        f"CAST(new_t AS VARCHAR) AS new_total, CAST(old_t AS VARCHAR) AS old_total, new_rows = old_rows AND new_xor = old_xor AND new_t = old_t AS same "
+        f"FROM (SELECT level1, level2, {per} FROM dg GROUP BY GROUPING SETS ((level1), (level1, level2)))",
+        [("dg", f"{side('new')} UNION ALL {side('old')}")])
+
+
+def _observed_sql():
+    cols = ["report_date", "masthead", "delivery_medium_type", "tenure_group", "subscription_count", "cancellation_count"]
+    values = [("rows", "count(*)")] + [(f"nulls:{c}", f"count(*) FILTER (WHERE {c} IS NULL)") for c in cols] \
+        + [(f"{f}:{c}", f"{f}({c})") for f in ("min", "max") for c in cols]
+    return with_fixtures("SELECT metric, v AS observed, v AS read_back, true AS same FROM (" + " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, CAST({e} AS VARCHAR) AS v FROM layer_old" for m, e in values) + ")")
+
+
+def _csv_rejects_sql():
+    day = f"day({START})"
+    per = " UNION ALL ".join(f"SELECT 'sbf', true, (SELECT count(*) FROM sbf_new), {name}, count(*) FROM sbf_new WHERE {day} = {d} HAVING count(*) > 0"
+                             for name, d in (("'start_text'", 13), ("'end_text'", 14), ("NULL", 21)))
+    return with_fixtures(
+        f"SELECT 'smf' AS source, false AS present, CAST(NULL AS BIGINT) AS rows, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS BIGINT) AS rejected "
+        f"UNION ALL SELECT 'cal', true, count(*), NULL, 0 FROM cal UNION ALL {per}")
+
+
 def _missing_columns():
-    return with_fixtures(f"""SELECT 'cal' AS table_alias, 'report_date' AS column_name, true AS present,
-  count(report_date) AS populated_rows FROM cal
-UNION ALL SELECT 'sbf', '{END}', true, count({END}) FROM sbf_new
-UNION ALL SELECT 'sbf', '{START}', true, count({START}) FROM sbf_new
-UNION ALL SELECT 'smf', 'report_date', true, count(report_date) FROM smf_new""")
+    return with_fixtures("SELECT table_alias, column_name, h.column_name IS NOT NULL AS present, h.populated AS populated_rows "
+                         "FROM required r LEFT JOIN have h USING (table_alias, column_name)", _required_ctes())
+
+
+def _required_minus_available():
+    return with_fixtures("SELECT table_alias, column_name, (SELECT max(rows) FROM have h WHERE h.table_alias = r.table_alias) AS source_rows "
+                         "FROM required r ANTI JOIN have h USING (table_alias, column_name)", _required_ctes())
 
 
 TOUCH = (f"(CAST({START} AS DATE) BETWEEN {LO} AND {HI} OR CAST({END} AS DATE) BETWEEN {LO} AND {HI})")
@@ -410,6 +522,25 @@ ORACLE_SQL: dict[str, str] = {
     "exclude_codes": with_fixtures(
         f"SELECT dw_source_system_code, dw_billing_system_code, masthead, {START}, {END} FROM sbf_new WHERE {EXCLUDE}"),
     "missing_columns": _missing_columns(),
+    "required_minus_available": _required_minus_available(),
+    "csv_rejects": _csv_rejects_sql(),
+    "write_observed": _observed_sql(),
+    "distinct_by_window": _windows_sql(),
+    "digest_diff_buckets": _digest_sql(),
+    "digest_compare_cells": with_fixtures("SELECT * FROM (" + _multiset_compare(SHARED, COUNT_COLUMNS, f"SELECT * FROM dc_new", "SELECT * FROM dc_old", False)
+                                          + ") WHERE status <> 'match'",
+                                          [("dc_new", f"SELECT {_j(SHARED + COUNT_COLUMNS)} FROM layer_new"),
+                                           ("dc_old", f"SELECT {_j(SHARED + COUNT_COLUMNS)} FROM layer_old")]),
+    "query_mismatch_sample": with_fixtures(
+        "SELECT check_name, sample_rank, row_key, column_name, new_value AS cdl_value, old_value AS target_value, delta, status, total_mismatches "
+        "FROM qs_bad WHERE sample_rank <= 10", _sample_ctes("qs", EXAMPLES)),
+    "acceptance_document": _document(),
+    "suite_isolated": _isolated(),
+    "quantity_where": with_fixtures(
+        f"SELECT qn.column_name, qn.dc AS cdl_distinct, qo.dc AS target_distinct, qn.dc = qo.dc AS distinct_match, qn.nr AS cdl_null_rate, "
+        f"qo.nr AS target_null_rate, abs(qn.nr - qo.nr) AS null_rate_difference, abs(qn.nr - qo.nr) <= {TOL} AS null_rate_match {QJOIN}",
+        [(f"qw_{s}", f"SELECT * FROM layer_{s} WHERE tenure_group = '0-180' AND dw_source_system_code = 'OTHER'") for s in ("new", "old")]
+        + _quantity_ctes("qw_new", "qw_old")),
     # suite, one side
     **{k: with_fixtures(ACCEPT[i][1].format(t="layer_new")) for k, i in [
         ("accept_total_subscription", 0), ("accept_total_acq_canc", 1), ("accept_by_date", 2),
@@ -458,6 +589,10 @@ LEFT JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 AND o_ordersta
     "only_in_new": with_fixtures(
         f"SELECT {_j(SHARED)} FROM (SELECT {_j(SHARED)}, 1 AS n, 0 AS o FROM layer_new UNION ALL "
         f"SELECT {_j(SHARED)}, 0, 1 FROM layer_old) u GROUP BY {_j(SHARED)} HAVING max(n) = 1 AND max(o) = 0"),
+    "colocated_only_in_new": with_fixtures(
+        f"SELECT {_j(SHARED)}, CAST(sum(subscription_count) FILTER (n = 1) AS BIGINT) AS subscription_count FROM (SELECT {_j(SHARED)}, subscription_count, "
+        f"1 AS n, 0 AS o FROM layer_new UNION ALL SELECT {_j(SHARED)}, subscription_count, 0, 1 FROM layer_old) u GROUP BY {_j(SHARED)} "
+        f"HAVING max(n) = 1 AND max(o) = 0"),
     "only_in_old": with_fixtures(
         f"SELECT {_j(SHARED)} FROM (SELECT {_j(SHARED)}, 1 AS n, 0 AS o FROM layer_new UNION ALL "
         f"SELECT {_j(SHARED)}, 0, 1 FROM layer_old) u GROUP BY {_j(SHARED)} HAVING max(n) = 0 AND max(o) = 1"),
@@ -566,26 +701,26 @@ def _describe(body: str) -> str:
 
 
 def _catalog() -> str:
-    parts = [f"SELECT '{name}' AS table_name, CAST(row_number() OVER () AS INTEGER) AS ordinal_position, "
-             f"column_name, {_SPARK_TYPE} AS data_type, \"null\" AS is_nullable FROM {_describe(body)} d"
-             for name, body in (("sbf", "SELECT * FROM sbf_new"), ("smf", "SELECT * FROM smf_new"),
-                                ("cal", "SELECT * FROM cal"))]
+    parts = [f"SELECT '{name}' AS table_name, ordinal_position, column_name, data_type, is_nullable, populated AS populated_rows, "
+             f"rows - populated AS null_rows FROM (SELECT CAST(row_number() OVER () AS INTEGER) AS ordinal_position, "
+             f"column_name, {_SPARK_TYPE} AS data_type, \"null\" AS is_nullable FROM {_describe(f'SELECT * FROM {src}')} d) "
+             f"JOIN ({with_fixtures(_fill(src, cols))}) f USING (column_name)" for name, (src, cols) in SOURCE_COLUMNS.items()]
     return " UNION ALL ".join(f"SELECT * FROM ({p}) t{i}" for i, p in enumerate(parts))
 
 
 def _schema_check(name: str) -> str:
     both = "n.column_name IS NOT NULL AND o.column_name IS NOT NULL"
-    mm = {"column_names": "count(*) FILTER (WHERE n.column_name IS NULL OR o.column_name IS NULL)",
-          "data_types": f"count(*) FILTER (WHERE {both} AND n.t <> o.t)",
-          "nullability": f"count(*) FILTER (WHERE {both} AND n.nl <> o.nl)"}[name]
+    differs = {"column_names": "(n.column_name IS NULL OR o.column_name IS NULL)", "data_types": f"({both} AND n.t <> o.t)",
+               "nullability": f"({both} AND n.nl <> o.nl)"}[name]
+    mm = f"count(*) FILTER (WHERE {differs})"
     msg = {"column_names": "printf('Column mismatch: %d in CDL only, %d in target only', cn, co)",
            "data_types": "printf('%d data type mismatches', mm)",
            "nullability": "printf('%d nullability mismatches', mm)"}[name]
-    n = f"SELECT column_name, column_type AS t, \"null\" AS nl FROM {_describe('SELECT * FROM layer_new')} a"
-    o = f"SELECT column_name, column_type AS t, \"null\" AS nl FROM {_describe('SELECT * FROM layer_old')} b"
+    n, o = (f"SELECT column_name, column_type AS t, \"null\" AS nl, populated FROM {_describe(f'SELECT * FROM {src}')} "
+            f"JOIN ({with_fixtures(_fill(src, cols))}) f USING (column_name)" for src, cols in (("layer_new", NEW_COLS), ("layer_old", OLD_COLS)))
     return (f"SELECT 'schema' AS validation_type, '{name}' AS check_name, mm = 0 AS passed, common AS total_rows, "
-            f"mm AS mismatched_rows, CASE WHEN mm > 0 THEN {msg} END AS error_message FROM ("
-            f"SELECT {mm} AS mm, count(*) FILTER (WHERE o.column_name IS NULL) AS cn, "
+            f"mm AS mismatched_rows, cells AS affected_cells, CASE WHEN mm > 0 THEN {msg} END AS error_message FROM ("
+            f"SELECT {mm} AS mm, CAST(coalesce(sum(coalesce(n.populated, 0) + coalesce(o.populated, 0)) FILTER (WHERE {differs}), 0) AS BIGINT) AS cells, count(*) FILTER (WHERE o.column_name IS NULL) AS cn, "
             f"count(*) FILTER (WHERE n.column_name IS NULL) AS co, count(*) FILTER (WHERE {both}) AS common "
             f"FROM ({n}) n FULL OUTER JOIN ({o}) o ON n.column_name = o.column_name) s")
 

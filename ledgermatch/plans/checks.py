@@ -81,8 +81,38 @@ def schema_checks(spark: SparkSession, new, old) -> DataFrame:
         F.when(F.col("r.mismatched_rows") > 0, F.col("r.msg")).alias("error_message"))
 
 
-def observed_nulls(new: DataFrame, old: DataFrame) -> DataFrame:
+def narrowed(df: DataFrame, where: str | None) -> DataFrame:
+    """The rows a check is asked for: ``where`` is a Spark SQL condition on the
+    table's columns, pushed into its scan; None is the whole table."""
+    return df if where is None else df.filter(F.expr(where))
+
+
+def column_fill(df: DataFrame) -> DataFrame:
+    """(column_name, populated_rows, null_rows) of every column, one aggregate."""
+    one = df.agg(F.count(F.lit(1)).alias("rc"), *[F.count(F.col(c)).alias(f"p{i}") for i, c in enumerate(df.columns)])
+    out = _stack(one, [(c, {"row_count": "rc", "populated_rows": f"p{i}"}) for i, c in enumerate(df.columns)])
+    return out.select("column_name", "populated_rows", (F.col("row_count") - F.col("populated_rows")).alias("null_rows"))
+
+
+def schema_checks_on_data(spark: SparkSession, new: DataFrame, old: DataFrame) -> DataFrame:
+    """R1-R3 with what is at stake: each check's row also has the number of
+    populated cells, on both sides, in the columns that it finds to differ."""
+    s = (schema_compare(spark, new, old)
+         .join(column_fill(new).select("column_name", F.col("populated_rows").alias("fill_new")), "column_name", "left")
+         .join(column_fill(old).select("column_name", F.col("populated_rows").alias("fill_old")), "column_name", "left"))
+    both = F.col("in_new") & F.col("in_old")
+    cells = F.coalesce("fill_new", F.lit(0)) + F.coalesce("fill_old", F.lit(0))
+    differs = {"column_names": ~both, "data_types": both & (F.col("new_type") != F.col("old_type")),
+               "nullability": both & (F.col("new_nullable") != F.col("old_nullable"))}
+    one = s.agg(*[F.coalesce(F.sum(F.when(c, cells)), F.lit(0)).alias(n) for n, c in differs.items()])
+    touched = one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("affected_cells")) for n in differs])).alias("r")).select("r.*")
+    return schema_checks(spark, new, old).join(F.broadcast(touched), "check_name")     # three rows
+
+
+def observed_nulls(new: DataFrame, old: DataFrame, where: str | None = None) -> DataFrame:
     """Observed nullability: does a column hold any null? One scan per side."""
+    new, old = narrowed(new, where), narrowed(old, where)
+
     def side(df):
         one = df.agg(*[F.max(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
         return _stack(one, [(c, {"has_null": f"n{i}"}) for i, c in enumerate(df.columns)])
@@ -95,7 +125,29 @@ def observed_nulls(new: DataFrame, old: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------- quantity ----
 
-def quantity_profile(df: DataFrame, columns: Iterable[str], approx: bool = False) -> DataFrame:
+def null_profile(df: DataFrame, columns: Iterable[str], where: str | None = None) -> DataFrame:
+    """Rows, null count and null rate of each column (A9): one plain aggregate,
+    without the row copies that exact distinct counts cost."""
+    cols = [c for c in columns if c in df.columns]
+    one = narrowed(df, where).agg(F.count(F.lit(1)).alias("rc"), *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
+    out = _stack(one, [(c, {"row_count": "rc", "null_count": f"n{i}"}) for i, c in enumerate(cols)])
+    return out.withColumn("null_rate", F.col("null_count") / F.nullif(F.col("row_count"), F.lit(0)))
+
+
+def _rates_match(rn, ro, tol: float):
+    return F.when(rn.isNull() & ro.isNull(), True).when(rn.isNull() | ro.isNull(), False).otherwise(F.abs(rn - ro) <= F.lit(tol))
+
+
+def null_rate_compare(new: DataFrame, old: DataFrame, columns=QUANTITY_KEY_COLUMNS, tol: float = 0.01, where: str | None = None) -> DataFrame:
+    """R6 alone, per column present on both sides."""
+    cols = [c for c in columns if c in new.columns and c in old.columns]
+    pair = side_by_side(null_profile(new, cols, where), null_profile(old, cols, where), ["column_name"], ["null_rate"], agg="max")
+    rn, ro = F.col("null_rate_new"), F.col("null_rate_old")
+    return pair.select("column_name", rn.alias("cdl_null_rate"), ro.alias("target_null_rate"),
+                       F.abs(rn - ro).alias("null_rate_difference"), _rates_match(rn, ro, tol).alias("null_rate_match"))
+
+
+def quantity_profile(df: DataFrame, columns: Iterable[str], approx: bool = False, where: str | None = None) -> DataFrame:
     """Rows, exact distinct count and null count of each column in ONE aggregate.
 
     Output: one row per column (``column_name``, ``row_count``,
@@ -104,6 +156,7 @@ def quantity_profile(df: DataFrame, columns: Iterable[str], approx: bool = False
     ``approx=True`` swaps in HyperLogLog++ (``approx_count_distinct``): one
     pass, fixed memory per column, about 5% error (A8 opt-in).
     """
+    df = narrowed(df, where)
     cols = [c for c in columns if c in df.columns]
     aggs = [F.count(F.lit(1)).alias("rc")]
     for i, c in enumerate(cols):
@@ -116,8 +169,9 @@ def quantity_profile(df: DataFrame, columns: Iterable[str], approx: bool = False
     return out.withColumn("null_rate", F.col("null_count") / F.nullif(F.col("row_count"), F.lit(0)))
 
 
-def row_count_check(new: DataFrame, old: DataFrame) -> DataFrame:
+def row_count_check(new: DataFrame, old: DataFrame, where: str | None = None) -> DataFrame:
     """Equal row counts; absolute and percent difference (percent of the new side)."""
+    new, old = narrowed(new, where), narrowed(old, where)
     pair = side_by_side(new.select(F.lit(1).alias("x")), old.select(F.lit(1).alias("x")), [], ["x"], agg="sum")
     a = F.coalesce(F.col("x_new"), F.lit(0)).cast("bigint")
     b = F.coalesce(F.col("x_old"), F.lit(0)).cast("bigint")
@@ -129,18 +183,17 @@ def row_count_check(new: DataFrame, old: DataFrame) -> DataFrame:
 
 
 def quantity_compare(new: DataFrame, old: DataFrame, columns=QUANTITY_KEY_COLUMNS, tol: float = 0.01,
-                     approx: bool = False) -> DataFrame:
+                     approx: bool = False, where: str | None = None) -> DataFrame:
     """R5 and R6 per column: distinct counts must be equal, null rates within ``tol``.
 
     Only columns present on both sides are checked (as the reference does).
     """
     cols = [c for c in columns if c in new.columns and c in old.columns]
-    pair = side_by_side(quantity_profile(new, cols, approx), quantity_profile(old, cols, approx), ["column_name"],
+    pair = side_by_side(quantity_profile(new, cols, approx, where), quantity_profile(old, cols, approx, where), ["column_name"],
                         ["distinct_count", "null_rate"], agg="max")
     dn, do = F.col("distinct_count_new"), F.col("distinct_count_old")
     rn, ro = F.col("null_rate_new"), F.col("null_rate_old")
-    rate_ok = F.when(rn.isNull() & ro.isNull(), True).when(rn.isNull() | ro.isNull(), False) \
-               .otherwise(F.abs(rn - ro) <= F.lit(tol))
+    rate_ok = _rates_match(rn, ro, tol)
     return pair.select("column_name", dn.alias("cdl_distinct"), do.alias("target_distinct"),
                        (dn == do).alias("distinct_match"), rn.alias("cdl_null_rate"), ro.alias("target_null_rate"),
                        F.abs(rn - ro).alias("null_rate_difference"), rate_ok.alias("null_rate_match"))
@@ -183,18 +236,19 @@ def missing_columns(required: DataFrame, available: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------ value-level checks ----
 
-def domain_violations(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
+def domain_violations(df: DataFrame, column: str, allowed: list[str], where: str | None = None) -> DataFrame:
     """Distinct non-null values outside the allowed set, with their row counts."""
-    return (df.filter(F.col(column).isNotNull() & ~F.col(column).isin(allowed))
+    return (narrowed(df, where).filter(F.col(column).isNotNull() & ~F.col(column).isin(allowed))
               .groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
               .select(F.lit(column).alias("column_name"), "value", "rows"))
 
 
-def non_negative(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def non_negative(df: DataFrame, columns: list[str] | None = None, where: str | None = None) -> DataFrame:
     """Columns whose name contains ``count`` must not be negative.
 
     One aggregate for all columns: negatives, min, max, mean and null rate.
     """
+    df = narrowed(df, where)
     cols = columns or [c for c in df.columns if "count" in c.lower()]
     aggs = [F.count(F.lit(1)).alias("rc")]
     for i, c in enumerate(cols):
@@ -206,8 +260,9 @@ def non_negative(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return out.withColumn("passed", F.col("negative_rows") == 0)
 
 
-def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: list[str], where: str | None = None) -> DataFrame:
     """Min, max, mean and null % after a lenient numeric parse, one aggregate."""
+    df = narrowed(df, where)
     aggs = [F.count(F.lit(1)).alias("rc")]
     for i, c in enumerate(columns):
         x = F.col(c).try_cast("double")
@@ -219,20 +274,21 @@ def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return out.withColumn("null_pct", F.col("null_count") * 100.0 / F.nullif(F.col("total_rows"), F.lit(0)))
 
 
-def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+def column_profile(df: DataFrame, columns: list[str], where: str | None = None) -> DataFrame:
     """Null % and exact distinct values per column (informational, always passes)."""
-    prof = quantity_profile(df, columns)
+    prof = quantity_profile(df, columns, where=where)
     return prof.select("column_name", F.col("row_count").alias("total_rows"), "null_count",
                        (F.col("null_count") * 100.0 / F.nullif(F.col("row_count"), F.lit(0))).alias("null_pct"),
                        "distinct_count")
 
 
-def derived_metric_check(df: DataFrame, formulas: Mapping[str, str], tol: float = 0.01) -> DataFrame:
+def derived_metric_check(df: DataFrame, formulas: Mapping[str, str], tol: float = 0.01, where: str | None = None) -> DataFrame:
     """Recompute each derived metric within the row and compare.
 
     A formula whose inputs or target are missing fails with a message (S15);
     a null recomputation against a value counts as a mismatch (S14).
     """
+    df = narrowed(df, where)
     ok, broken = [], []
     for name, expr in formulas.items():
         try:   # Catalyst knows functions, cases of names and types
@@ -263,9 +319,9 @@ def derived_metric_check(df: DataFrame, formulas: Mapping[str, str], tol: float
         F.coalesce(F.col("r.max_delta"), F.lit(0.0)).alias("max_delta"), "r.error_message")
 
 
-def dimension_values(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
+def dimension_values(new: DataFrame, old: DataFrame, keys: list[str], where: str | None = None) -> DataFrame:
     """R13 (re-aimed at values): distinct dimension tuples on each side and on one side only."""
-    pair = side_by_side(new, old, keys, [])
+    pair = side_by_side(narrowed(new, where), narrowed(old, where), keys, [])
     inn, ino = F.col("in_new"), F.col("in_old")
     return pair.agg(F.count_if(inn).alias("new_tuples"), F.count_if(ino).alias("old_tuples"),
                     F.count_if(inn & ino).alias("common_tuples"),

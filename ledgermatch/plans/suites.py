@@ -8,7 +8,7 @@ the query, where Catalyst pushes it into the scan).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,8 @@ class QuerySpec:
     sql: str
     critical: bool = False
     keys: tuple[str, ...] | None = None   # grouping columns of the answer, if known
+    aggs: tuple[tuple[str, str], ...] = ()     # (column, aggregate) of the answer, for a shared scan
+    groups: tuple[tuple[str, str], ...] = ()   # (column, expression) of its grouping columns
 
 
 # ---------------------------------------------------------------------------
@@ -73,8 +75,36 @@ EXAMPLE_SUITE = [
               "SUM(cancellation_count) as cancellations FROM {table} GROUP BY dw_source_system_code "
               "ORDER BY dw_source_system_code", keys=("dw_source_system_code",)),
 ]
+# The same queries as aggregates and groups, so that a suite can share its scans.
+ACCEPTANCE_PARTS = {
+    "total_subscription_count": ((("total_subscriptions", "sum(subscription_count)"),), ()),
+    "total_acquisition_cancellation": ((("total_acquisitions", "sum(acquisition_count)"), ("total_cancellations", "sum(cancellation_count)")), ()),
+    "subscription_by_date": ((("total", "sum(subscription_count)"),), (("report_date", "report_date"),)),
+    "subscription_by_masthead": ((("total", "sum(subscription_count)"),), (("masthead", "masthead"),)),
+    "row_count_and_date_range": ((("row_count", "count(*)"), ("min_date", "min(report_date)"), ("max_date", "max(report_date)"),
+               ("distinct_dates", "count(DISTINCT report_date)")), ()),
+}
+EXAMPLE_PARTS = {
+    "total_subscription_count": ((("total", "sum(subscription_count)"),), ()),
+    "total_acquisition_count": ((("total", "sum(acquisition_count)"),), ()),
+    "total_cancellation_count": ((("total", "sum(cancellation_count)"),), ()),
+    "subscription_by_masthead": ((("total_subscriptions", "sum(subscription_count)"),), (("masthead", "masthead"),)),
+    "subscription_by_date": ((("total_subscriptions", "sum(subscription_count)"),), (("report_date", "report_date"),)),
+    "acquisition_by_classification": ((("total_acquisitions", "sum(acquisition_count)"),), (("classification_level_1", "classification_level_1"),)),
+    "subscription_by_delivery_medium": ((("total_subscriptions", "sum(subscription_count)"),), (("delivery_medium_type", "delivery_medium_type"),)),
+    "average_subscription_by_offer_category": ((("avg_subscriptions", "avg(subscription_count)"),), (("offer_category_name", "offer_category_name"),)),
+    "total_rows_by_date_range": ((("row_count", "count(*)"),), (("month", "trunc(report_date, 'MM')"),)),
+    "subscription_movement_by_source_system": ((("total", "sum(subscription_count)"), ("acquisitions", "sum(acquisition_count)"), ("cancellations", "sum(cancellation_count)")), (("dw_source_system_code", "dw_source_system_code"),)),
+}
+
+
+def _with_parts(suite: list[QuerySpec], parts: dict) -> list[QuerySpec]:
+    return [replace(q, aggs=parts[q.name][0], groups=parts[q.name][1]) for q in suite]
+
+
+ACCEPTANCE_SUITE, EXAMPLE_SUITE = _with_parts(ACCEPTANCE_SUITE, ACCEPTANCE_PARTS), _with_parts(EXAMPLE_SUITE, EXAMPLE_PARTS)
 # The built-in default suite is the first seven examples, all treated as critical.
-DEFAULT_SUITE = [QuerySpec(q.name, q.sql, True, q.keys) for q in EXAMPLE_SUITE[:7]]
+DEFAULT_SUITE = [replace(q, critical=True) for q in EXAMPLE_SUITE[:7]]
 # ---------------------------------------------------------------------------
 
 
@@ -87,10 +117,7 @@ def run_query(spark: SparkSession, spec: QuerySpec, df: DataFrame, start=None, e
 def _error_row(spark: SparkSession, spec: QuerySpec, exc: Exception) -> DataFrame:
     msg = f"Query execution failed: {type(exc).__name__}: {exc}"
     from ledgermatch.sources.catalog import small_frame
-    return small_frame(
-        spark, [("query", spec.name, False, None, None, None, None, None, msg)],
-        "validation_type string, check_name string, passed boolean, total_rows bigint, mismatched_rows bigint, "
-        "max_delta double, cdl_value string, target_value string, error_message string")
+    return small_frame(spark, [("query", spec.name, False, None, None, None, None, None, msg)], RESULT_ROW)
 
 
 def compare_query(spark: SparkSession, spec: QuerySpec, new: DataFrame, old: DataFrame,
@@ -122,39 +149,61 @@ def compare_query(spark: SparkSession, spec: QuerySpec, new: DataFrame, old: Dat
         return _error_row(spark, spec, exc)
 
 
-def _run_alone(spark: SparkSession, spec: QuerySpec, result: DataFrame) -> DataFrame:
-    """The query's one result row, computed now; an error at run time becomes
-    a failed row of this query alone (R7)."""
-    from py4j.protocol import Py4JJavaError
+RESULT_ROW = ("validation_type string, check_name string, passed boolean, total_rows bigint, mismatched_rows bigint, max_delta double, "
+              "cdl_value string, target_value string, error_message string")
 
-    from ledgermatch.sources.catalog import small_frame
 
-    try:
-        row = result.first()
-    except (PySparkException, Py4JJavaError) as exc:
-        return _error_row(spark, spec, exc)
-    return small_frame(spark, [tuple(row)], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in result.schema.fields))
+def _empty(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], RESULT_ROW + ", critical boolean, ordinal int")
 
 
 def run_suite(spark: SparkSession, suite: list[QuerySpec], new: DataFrame, old: DataFrame,
-              tol: float = 0.01, start=None, end=None, isolate: bool = False) -> DataFrame:
+              tol: float = 0.01, start=None, end=None, isolate: bool = False, limit_sec: float | None = None) -> DataFrame:
     """All queries of a suite on both tables: one result row per query, plus
     ``critical`` and the suite position ``ordinal``.
 
-    With ``isolate`` each query runs at once and on its own, so one that fails
-    at run time is one failed row and later uses of the rows run nothing again.
+    Queries that name their aggregates share one scan of each table
+    (``plans.fused``); the others are compared one by one. With ``isolate`` the
+    queries run at once, those on their own at the same time as each other
+    (``plans.isolation``): one that fails at run time, or takes longer than
+    ``limit_sec`` seconds, is one failed row, and later uses of the rows run
+    nothing again. If the shared scan fails, its queries run on their own.
     """
+    from ledgermatch.plans.fused import FusedChecks, fits
+    from ledgermatch.plans.isolation import Failed, first_rows
     from ledgermatch.plans.results import union_all
+    from ledgermatch.sources.catalog import small_frame
 
-    parts = []
-    for i, spec in enumerate(suite):
-        row = compare_query(spark, spec, new, old, tol, start, end)
-        row = _run_alone(spark, spec, row) if isolate else row
-        parts.append(row.select("*", F.lit(bool(spec.critical)).alias("critical"), F.lit(i + 1).alias("ordinal")))
-    if not parts:   # an empty suite has no rows
-        spec = QuerySpec("none", "")
-        return _error_row(spark, spec, ValueError("")).select("*", F.lit(False).alias("critical"), F.lit(0).alias("ordinal")).limit(0)
-    return union_all(parts)
+    a, b = date_window(new, "report_date", start, end), date_window(old, "report_date", start, end)
+    shared = [i for i, q in enumerate(suite) if fits(q, a, b)]
+    alone = [i for i in range(len(suite)) if i not in shared]
+
+    def own(i: int) -> DataFrame:
+        row = compare_query(spark, suite[i], new, old, tol, start, end)
+        return row.select("*", F.lit(bool(suite[i].critical)).alias("critical"), F.lit(i + 1).alias("ordinal"))
+
+    def fused() -> DataFrame:
+        places = F.array(*[F.lit(i + 1) for i in shared])
+        return FusedChecks(a, b, [suite[i] for i in shared], tol).result_rows().withColumn("ordinal", F.element_at(places, F.col("ordinal")))
+
+    if not isolate:
+        parts = ([fused()] if shared else []) + [own(i) for i in alone]
+        return union_all(parts) if parts else _empty(spark)
+    rows = []
+    if shared:
+        answer = first_rows(spark, {"suite": fused}, limit_sec, many=True)["suite"]
+        if isinstance(answer, Failed):
+            alone = list(range(len(suite)))
+        else:
+            rows += [tuple(r) for r in answer]
+    answers = first_rows(spark, {str(i): (lambda i=i: own(i)) for i in alone}, limit_sec)
+    for i, answer in ((int(k), v) for k, v in answers.items()):
+        if isinstance(answer, Failed):
+            rows.append(("query", suite[i].name, False, None, None, None, None, None, f"Query execution failed: {answer.message}",
+                         bool(suite[i].critical), i + 1))
+        else:
+            rows.append(tuple(answer))
+    return small_frame(spark, rows, RESULT_ROW + ", critical boolean, ordinal int") if rows else _empty(spark)
 
 
 def acceptance_rows(results: DataFrame, cdl_table: str = "new", target_table: str = "old") -> DataFrame:
