@@ -10,6 +10,7 @@ and no others.
 
 from __future__ import annotations
 
+import re
 import threading
 import time
 import uuid
@@ -31,9 +32,14 @@ class Failed:
     timed_out: bool = False
 
 
+# an error condition and its message, wherever a chain of causes has it
+_CONDITION = re.compile(r"\[[A-Z][A-Z0-9_.]+\][^\n]*")
+
+
 def _one_line(exc: Exception) -> str:
-    condition = exc.getCondition() if isinstance(exc, PySparkException) else None
-    return f"{type(exc).__name__}: {condition or str(exc).strip().splitlines()[0]}"
+    text = str(exc).strip()
+    found = sorted(_CONDITION.findall(text), key=lambda c: c.startswith("[STAGE_MATERIALIZATION"))     # one that names several says least
+    return f"{type(exc).__name__}: {found[0] if found else text.splitlines()[0] if text else ''}"
 
 
 def first_rows(spark: SparkSession, queries: Mapping[str, Callable[[], DataFrame]], limit_sec: float | None = None,

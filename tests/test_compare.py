@@ -158,3 +158,49 @@ def test_reconciliation_is_one_shuffle(spark, tmp_path):
     assert sum("hashpartitioning(k1" in ln for ln in exchanges) == 1
     assert sum("SinglePartition" in ln for ln in exchanges) == 1
     assert "Join" not in plan
+
+
+def test_equal_rows_cancel_before_rows_are_paired(spark):
+    new = spark.createDataFrame([("k", 1.0), ("k", 5.0), ("q", 1.0), ("q", 5.0), ("q", 9.0)], "k string, v double")
+    old = spark.createDataFrame([("k", 5.0), ("q", 0.0), ("q", 1.0), ("q", 5.0)], "k string, v double")
+    got = sorted((r["k"], r["status"], r["new_value"], r["old_value"]) for r in CMP.compare_cells(new, old, ["k"], 0.01).collect())
+    assert got == [("k", "match", "5.0", "5.0"), ("k", "only_new", "1.0", None), ("q", "match", "1.0", "1.0"), ("q", "match", "5.0", "5.0"),
+                   ("q", "mismatch", "9.0", "0.0")]
+
+
+def test_pairing_with_a_hot_key_and_without_keys(spark):
+    import random
+
+    rnd = random.Random(2)
+    rows = [("hot" if k % 2 else f"k{k % 60}", round(rnd.random() * 50, 1), k % 4) for k in range(3000)]
+    other = [(a, v + (0.5 if k % 97 == 0 else 0.0), n) for k, (a, v, n) in enumerate(rows) if k % 71]
+    schema = "k string, v double, n int"
+    new, old = spark.createDataFrame(rows, schema).repartition(5), spark.createDataFrame(other, schema).repartition(3)
+
+    def expected(keys, pick):
+        groups = {}
+        for side, data in enumerate((rows, other)):
+            for r in data:
+                groups.setdefault(tuple(r[i] for i in keys), ([], []))[side].append(tuple(r[i] for i in pick))
+        out = {}
+        for a, b in groups.values():
+            rest_a, rest_b = list(a), list(b)
+            for x in a:
+                if x in rest_b:
+                    rest_a.remove(x)
+                    rest_b.remove(x)
+            same = len(a) - len(rest_a)
+            out["match"] = out.get("match", 0) + same * len(pick)
+            rest_a.sort(), rest_b.sort()
+            for x, y in zip(rest_a, rest_b):
+                for p, q in zip(x, y):
+                    s = "match" if abs(p - q) <= 0.01 else "mismatch"
+                    out[s] = out.get(s, 0) + 1
+            for s, n in (("only_new", len(rest_a) - len(rest_b)), ("only_old", len(rest_b) - len(rest_a))):
+                if n > 0:
+                    out[s] = out.get(s, 0) + n * len(pick)
+        return {s: n for s, n in out.items() if n}
+
+    count = lambda df: {r["status"]: r["count"] for r in df.groupBy("status").count().collect()}
+    assert count(CMP.compare_cells(new, old, ["k"], 0.01)) == expected([0], [1, 2])
+    assert count(CMP.compare_cells(new.select("v", "n"), old.select("v", "n"), [], 0.01)) == expected([], [1, 2])
