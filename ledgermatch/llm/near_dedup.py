@@ -14,10 +14,13 @@ centre and the partner that it meets in most trees; links found make
 components. Then all candidates that are still in different components are
 compared. A pair inside a component needs no comparison: it cannot change the
 result. Last, every larger region (and one that lies in two partitions) is
-compared completely between the components that are left in it: its classes go
-to blocks, and each pair of blocks is compared by signatures and then by whole
-sets. The work there grows with the square of the classes of a region that
-holds several components.
+compared completely between the components that are left in it. Its classes go
+to blocks with their sets; the largest component's classes meet only the blocks
+of the others. A task holds two blocks, counts all intersections exactly, and
+returns a link only where it joins two components that the task has not joined
+yet: fewer links than classes, however many pairs are alike. The comparisons
+there grow with the square of the classes outside the largest component, the
+rows shipped with that square over the block size.
 
 Least depth 4 in 24 trees: a pair at similarity 0.8 shares no region with a
 probability of (1 - 0.8^4)^24 = 3e-6.
@@ -25,9 +28,12 @@ probability of (1 - 0.8^4)^24 = 3e-6.
 Defined results: null and empty texts and texts without words have empty sets,
 no links and a component of their own. A text of fewer than four words has its
 whole word sequence as its one shingle. Rows that repeat an identifier stay rows
-of their own. A null identifier never names a group while a group has another;
-a group of null identifiers alone is compared by equal sets only. Empty tables give empty tables; other columns
-are ignored.
+of their own, whatever their texts: sets are matched by their own key, never by
+an identifier alone. A null identifier never names a group while the group has
+another; a group of null identifiers alone has a null name. ``near_dedup``
+keeps one row of each group: the smallest identifier's (nulls last), of equal
+ones the one with the smallest set key, of equal sets any one; rows without
+words all stay. Empty tables give empty tables; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +51,8 @@ SHINGLE = 4
 PERCENT = 80
 TREES, DEPTH, LEAST_DEPTH = 24, 6, 4
 REACH = 8             # rows before it in its region that a row is compared with, per tree
-BLOCK, BLOCK_SHINGLES = 1000, 1 << 20   # classes of a larger region, and their shingles, in a block
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20    # classes of a larger region, and their shingles, in a block
+COLUMNS = 4096        # shingles whose occurrences in two blocks are multiplied at a time
 HOPEFUL = 0.6         # share of equal minima below which a pair is not compared (five deviations below 0.8)
 U64 = np.uint64
 
@@ -80,13 +87,11 @@ def _signatures(width: int, trees: int, depth: int):
                 sets = shingle_sets(hashes, offsets, width)
                 n = np.array([len(s) for s in sets])
                 full = np.flatnonzero(n)
-                key = np.zeros((len(n), 2), U64)
+                key = set_key(sets)
                 minima = np.zeros((len(n), trees * depth), np.uint32)
                 if len(full):
                     u = np.concatenate(sets)
                     first = np.concatenate([[0], np.cumsum(n[full])[:-1]])
-                    key[full, 0] = np.add.reduceat(mix(u), first)
-                    key[full, 1] = np.add.reduceat(mix(u ^ U64(0xA5A5A5A5A5A5A5A5)), first) + n[full].astype(U64)
                     for k in range(trees * depth):
                         minima[full, k] = np.minimum.reduceat((u ^ turn[k]) * factor[k], first) >> U64(32)
                 yield pa.RecordBatch.from_arrays(
@@ -175,15 +180,43 @@ def _neighbours(percent: int, reach: int):
     return run
 
 
+def set_key(sets: list[np.ndarray]) -> np.ndarray:
+    """The 128-bit key of each set, zero for the empty set."""
+    n = np.array([len(s) for s in sets], np.int64)
+    full = np.flatnonzero(n)
+    key = np.zeros((len(n), 2), U64)
+    if len(full):
+        u = np.concatenate(sets)
+        first = np.concatenate([[0], np.cumsum(n[full])[:-1]])
+        key[full, 0] = np.add.reduceat(mix(u), first)
+        key[full, 1] = np.add.reduceat(mix(u ^ U64(0xA5A5A5A5A5A5A5A5)), first) + n[full].astype(U64)
+    return key
+
+
 def _sets(width: int):
     """mapInArrow: (key, set) with the sorted shingle hashes as bytes."""
     def run(batches):
         hasher = WordHasher()
         for b in batches:
-            for row, hashes, offsets in hasher.blocks(b.column("text")):
+            for _, hashes, offsets in hasher.blocks(b.column("text")):
+                sets = shingle_sets(hashes, offsets, width)
+                yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in set_key(sets)], pa.binary()),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "set"])
+    return run
+
+
+def _keyed(width: int, text: str):
+    """mapInArrow: the rows with their set's key and size in place of ``text``."""
+    def run(batches):
+        hasher = WordHasher()
+        for b in batches:
+            rest = [i for i, f in enumerate(b.schema.names) if f != text]
+            for row, hashes, offsets in hasher.blocks(b.column(text)):
                 sets = shingle_sets(hashes, offsets, width)
-                yield pa.RecordBatch.from_arrays([b.column("key").slice(row, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                                 names=["key", "set"])
+                part = b.slice(row, len(sets))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(i) for i in rest] + [pa.array([k.tobytes() for k in set_key(sets)], pa.binary()), pa.array([len(s) for s in sets], pa.int64())],
+                    names=[b.schema.names[i] for i in rest] + ["__key", "__n"])
     return run
 
 
@@ -201,45 +234,65 @@ def _confirm(percent: int):
     return run
 
 
-BLOCK_PAIR = "h1 long, i int, j int, a binary, b binary"
-
-
-def _across(percent: int, hopeful: float, trees: int, depth: int, least: int):
-    """applyInArrow over two blocks of a region: the pairs in different
-    components whose signatures agree enough, each in the first tree that has
-    it in a region."""
+def intersections(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``one`` shares with each of ``other``."""
+    sides = []
+    for sets in (one, other):
+        sides.append((np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+    shared = np.intersect1d(np.unique(sides[0][0]), np.unique(sides[1][0]), assume_unique=True)
+    found = np.zeros((len(one), len(other)), np.int64)
+    place = []
+    for u, row in sides:
+        at = np.minimum(np.searchsorted(shared, u), max(len(shared) - 1, 0))
+        here = shared[at] == u if len(shared) else np.zeros(len(u), bool)
+        by = np.argsort(at[here], kind="stable")
+        place.append((at[here][by], row[here][by]))
+    for lo in range(0, len(shared), COLUMNS):
+        part = []
+        for (at, row), n in zip(place, found.shape):
+            i, j = np.searchsorted(at, (lo, lo + COLUMNS))
+            m = np.zeros((n, min(COLUMNS, len(shared) - lo)), np.float32)
+            m[row[i:j], at[i:j] - lo] = 1
+            part.append(m)
+        found += np.rint(part[0] @ part[1].T).astype(np.int64)
+    return found
+
+
+LINK = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+
+def _join_blocks(percent: int):
+    """applyInArrow over two blocks of a region: links that join components."""
     def run(t):
-        h1, i, j = (t.column(c)[0].as_py() for c in ("h1", "i", "j"))
-        key = np.array(t.column("key").to_pylist(), dtype=object)
+        i, j = (t.column(c)[0].as_py() for c in ("i", "j"))
+        key, block = t.column("key").to_pylist(), t.column("block").to_numpy()
         comp = np.unique(np.array(t.column("comp").to_pylist(), dtype=object), return_inverse=True)[1]
-        n, block = t.column("n").to_numpy(), t.column("block").to_numpy()
-        m = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(t), trees, depth)
-        region = list(_prefixes(m[:, :, :least]))[-1]
-        before = region[:, : int(np.flatnonzero(region[0].view(np.int64) == h1)[0])]
-        m, one, other = m.reshape(len(t), -1), np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = [], []
-        for k, x in enumerate(one):
-            y = other[k + 1:] if i == j else other
-            y = y[(comp[y] != comp[x]) & _could_link(n[y], n[x], percent)]
-            y = y[~(before[y] == before[x]).any(axis=1)]
-            y = y[(m[y] == m[x]).mean(axis=1) >= hopeful]
-            a += [key[x]] * len(y)
-            b += list(key[y])
-        return pa.table({"h1": pa.array([h1] * len(a), pa.int64()), "i": pa.array([i] * len(a), pa.int32()),
-                         "j": pa.array([j] * len(a), pa.int32()), "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-    return run
-
-
-def _confirm_block(percent: int):
-    """cogrouped applyInArrow: the pairs of two blocks whose whole sets are similar enough."""
-    def run(pairs, sets):
-        of = dict(zip(sets.column("key").to_pylist(), (np.frombuffer(x, U64) for x in sets.column("set").to_pylist())))
-        ok = []
-        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
-            x, y = of[a], of[b]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            ok.append(100 * both >= percent * (len(x) + len(y) - both))
-        return pairs.select(["a", "b"]).take(pa.array(np.flatnonzero(ok), pa.int64()))
+        sets = [np.frombuffer(x, U64) for x in t.column("set").to_pylist()]
+        x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        if not len(x) or not len(y):
+            return LINK.empty_table()
+        both = intersections([sets[k] for k in x], [sets[k] for k in y])
+        n = np.array([len(s) for s in sets])
+        a, b = np.nonzero((100 * both >= percent * (n[x][:, None] + n[y][None, :] - both)) & (comp[x][:, None] != comp[y][None, :]))
+        a, b = x[a], y[b]
+        # One link per pair of components, then those of them that make a forest.
+        low, high = np.minimum(comp[a], comp[b]), np.maximum(comp[a], comp[b])
+        first = np.unique(low * (comp.max() + 1) + high, return_index=True)[1]
+        up = list(range(int(comp.max()) + 1))
+
+        def root(c):
+            while up[c] != c:
+                up[c] = up[up[c]]
+                c = up[c]
+            return c
+
+        out = []
+        for k in first.tolist():
+            p, q = root(low[k]), root(high[k])
+            if p != q:
+                up[p] = q
+                out.append((key[a[k]], key[b[k]]))
+        return pa.table({"a": pa.array([o[0] for o in out], pa.binary()), "b": pa.array([o[1] for o in out], pa.binary())})
     return run
 
 
@@ -260,9 +313,9 @@ def _with_both(pairs: DataFrame, table: DataFrame, col: str) -> DataFrame:
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", f"{col}_a", f"{col}_b")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-                percent: int = PERCENT) -> DataFrame:
-    """Per row: ``id_col``, n_shingles, component_id, kept."""
+def _told(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): per row id, n, key; per set that is not empty its key,
+    the smallest identifier (rep) and the key that names its component (comp)."""
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = materialize(src.mapInArrow(_signatures(width, TREES, DEPTH), "id long, n long, key binary, sig binary"), "signed")
@@ -292,18 +345,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                               .select("p.*").distinct(), "first-pairs")
 
     # Larger regions, and those in two partitions: their neighbours are not all pairs.
-    large = (members.groupBy("h1").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("total"), F.min("pid").alias("p"), F.max("pid").alias("q"))
-             .where((F.col("c") > REACH) | (F.col("p") != F.col("q")) & (F.col("c") > 1))
-             .select("h1", F.ceil(F.greatest(F.col("c") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
-    crowds = materialize(members.select("h1", "key").join(large, "h1"), "crowds")
+    large = (members.groupBy("h1").agg(F.count(F.lit(1)).alias("c"), F.min("pid").alias("p"), F.max("pid").alias("q"))
+             .where((F.col("c") > REACH) | (F.col("p") != F.col("q")) & (F.col("c") > 1)).select("h1"))
+    crowds = materialize(members.select("h1", "key", "n").join(large, "h1"), "crowds")
     involved = materialize(candidates.select(F.explode(F.array("a", "b")).alias("key")).unionByName(crowds.select("key")).distinct()
                            .join(classes, "key").select("key", "rep", "n", "sig"), "involved")
-    # Whole sets of the involved classes only. (A class of null identifiers alone has no rep to read.)
-    reps = involved.select("key", F.col("rep").alias("id"))
-    owners = signed.select("id", "key").join(reps, ["key", "id"], "left_semi").distinct()
-    texts = src.join(owners, "id")
-    sets = materialize(texts.select("key", "text").mapInArrow(_sets(width), "key binary, set binary")
-                       .dropDuplicates(["key"]), "sets")
+    # Whole sets of the involved classes only: the texts of their smallest
+    # identifiers (and those without one) are read again, and a set counts for
+    # the class whose key it has.
+    owners = involved.select(F.col("rep").alias("id")).where(F.col("id").isNotNull()).distinct()
+    nameless = involved.where(F.col("rep").isNull()).select("key")
+    own = src.join(owners, "id", "left_semi").mapInArrow(_sets(width), "key binary, set binary")
+    others = src.where(F.col("id").isNull()).mapInArrow(_sets(width), "key binary, set binary").join(nameless, "key", "left_semi")
+    sets = materialize(own.join(involved.select("key"), "key", "left_semi").unionByName(others).dropDuplicates(["key"]), "sets")
 
     def confirmed(pairs):
         return _with_both(pairs, sets, "set").mapInArrow(_confirm(percent), "a binary, b binary")
@@ -319,29 +373,53 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = materialize(links.unionByName(confirmed(second)), "links")
     # The components that are left in a larger region, block by block.
     comp = components(links).withColumnRenamed("node", "key")
-    told = crowds.join(involved.select("key", "n", "sig").join(comp, "key", "left").withColumn("comp", F.coalesce("comp", "key")), "key")
-    several = told.groupBy("h1").agg(F.min("comp").alias("p"), F.max("comp").alias("q")).where(F.col("p") != F.col("q")).select("h1")
-    met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    blocks = (told.join(several, "h1", "left_semi").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-              .withColumn("with", met).withColumn("i", F.least("block", "with")).withColumn("j", F.greatest("block", "with"))
-              .select("h1", "i", "j", "block", "key", "comp", "n", "sig"))
-    at = ["h1", "i", "j"]
-    third = materialize(blocks.groupBy(*at).applyInArrow(_across(percent, HOPEFUL, TREES, DEPTH, LEAST_DEPTH), BLOCK_PAIR), "third-pairs")
-    wanted = (third.select(*[F.col(c).alias(f"{c}_") for c in at], F.explode(F.array("a", "b")).alias("key")).distinct().join(sets, "key"))
-    across = third.groupBy(*at).cogroup(wanted.groupBy(*[f"{c}_" for c in at])).applyInArrow(_confirm_block(percent), "a binary, b binary")
-    all_links = materialize(links.unionByName(across), "all-links")
-    groups = components(all_links).withColumnRenamed("node", "key")
-    smallest = (groups.join(classes.select("key", "rep"), "key").groupBy("comp").agg(F.min("rep").alias("component_id")))
-    named = groups.join(smallest, "comp").select("key", "component_id")
-    of_class = classes.select("key", "rep").join(named, "key", "left").select("key", F.coalesce("component_id", "rep").alias("component_id"))
+    told = materialize(crowds.join(comp, "key", "left").withColumn("comp", F.coalesce("comp", "key")), "told")
+    per_comp = told.groupBy("h1", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    blocks_of = lambda c, s: F.ceil(F.greatest(c / BLOCK, s / BLOCK_SHINGLES)).cast("int")
+    regions = (per_comp.groupBy("h1").agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("c"), F.sum("s").alias("s"),
+                                          F.max(F.struct("c", "s", "comp")).alias("top")).where(F.col("comps") > 1)
+               .select("h1", F.col("top.comp").alias("top"), blocks_of(F.col("c") - F.col("top.c"), F.col("s") - F.col("top.s")).alias("few"),
+                       blocks_of(F.col("top.c"), F.col("top.s")).alias("many")))
+    within = lambda n: F.pmod(F.xxhash64("key"), n).cast("int")
+    inside = F.col("comp") == F.col("top")
+    # Blocks 0 to few - 1 are of the smaller components, the rest of the largest one; two blocks of the largest need not meet.
+    placed = (told.join(regions, "h1").withColumn("block", F.when(inside, F.col("few") + within(F.col("many"))).otherwise(within(F.col("few"))))
+              .withColumn("with", F.explode(F.sequence(F.lit(0), F.when(inside, F.col("few")).otherwise(F.col("few") + F.col("many")) - 1)))
+              .select("h1", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "key", "comp"))
+    across = placed.join(sets, "key").groupBy("h1", "i", "j").applyInArrow(_join_blocks(percent), "a binary, b binary")
+    groups = components(materialize(links.unionByName(across), "all-links")).withColumnRenamed("node", "key")
+    named = classes.select("key", "rep").join(groups, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    return signed.select("id", "n", "key"), named
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
+                percent: int = PERCENT) -> DataFrame:
+    """Per row: ``id_col``, n_shingles, component_id, kept."""
+    rows, classes = _told(docs, id_col, text_col, width, percent)
+    smallest = classes.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    of_class = classes.join(smallest, "comp").select("key", "component_id")
     # Hot classes are a skewed join, which adaptive execution splits.
-    out = signed.select("id", "n", "key").join(of_class, "key", "left").withColumn(
-        "component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
+    out = rows.join(of_class, "key", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """``docs`` with one document of each group, the smallest identifier's."""
-    kept = near_groups(docs, id_col, text_col, **kw).where("kept").select(F.col(id_col).alias("__kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["__kept"]), "left_semi")
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group."""
+    rows, classes = _told(docs, id_col, text_col, width, percent)
+    first = classes.groupBy("comp").agg(F.min(F.struct(F.col("rep").isNull().alias("nameless"), "rep", "key")).alias("w")).select("w.key", "w.rep")
+    winners = first.withColumnRenamed("rep", "__id").unionByName(
+        rows.where(F.col("n") == 0).select("key", F.col("id").alias("__id")).distinct()).withColumnRenamed("key", "__k")
+    again = rows.groupBy("id").agg((F.count(F.lit(1)) > 1).alias("__again")).withColumnRenamed("id", "__i")
+    winners = materialize(winners.join(again, F.col("__id").eqNullSafe(F.col("__i"))).select("__id", "__k", "__again"), "winners")
+    # A row whose identifier occurs once is found by it, any other by its set as well.
+    once = winners.where(~F.col("__again")).select("__id")
+    plain = docs.join(once, docs[id_col].eqNullSafe(once["__id"]), "left_semi")
+    ids = winners.where("__again").select("__id").distinct()
+    repeated = docs.join(ids, docs[id_col].eqNullSafe(ids["__id"]), "left_semi").withColumn("__text", F.col(text_col).cast("string"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", __key binary, __n long"
+    keyed = repeated.mapInArrow(_keyed(width, "__text"), schema)
+    chosen = winners.where("__again").select("__id", "__k").distinct()
+    keyed = keyed.join(chosen, keyed[id_col].eqNullSafe(chosen["__id"]) & (keyed["__key"] == chosen["__k"]), "left_semi")
+    one = keyed.where(F.col("__n") > 0).dropDuplicates([id_col, "__key"]).unionByName(keyed.where(F.col("__n") == 0))
+    return plain.unionByName(one.drop("__key", "__n"))
