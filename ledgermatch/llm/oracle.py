@@ -7,6 +7,17 @@ ORACLE_SQL = {
 WITH d AS (SELECT doc_id, {LOWER} AS norm FROM documents),
 r AS (SELECT *, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM r""",
+    "op7_near_dedup": f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT row, doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), i -> concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3]))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingles FROM d),
+e AS (SELECT row, len(shingles) AS n, unnest(shingles) AS x FROM s),
+links AS (SELECT a.row AS a, b.row AS b FROM e a JOIN e b ON a.x = b.x AND a.row < b.row GROUP BY a.row, b.row
+      HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT row, row FROM s UNION SELECT reach.a, both.b FROM reach JOIN both ON reach.b = both.a),
+c AS (SELECT r.a AS row, min(s.doc_id) AS component_id FROM reach r JOIN s ON s.row = r.b GROUP BY r.a)
+SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (row)""",
     "op4_chat_format": r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

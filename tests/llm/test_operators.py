@@ -294,6 +294,35 @@ def test_near_groups_in_a_template_crowd(spark, monkeypatch, block, shingles):
     assert by_text((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == by_text(want)
 
 
+def test_near_groups_with_repeated_and_null_identifiers(spark):
+    import random
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    a, b, c, d = ([word() for _ in range(200)] for _ in range(4))
+    near = lambda t, k: " ".join(t[:k] + [word()] + t[k + 1:])
+    docs = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a, 50)), (3, near(b, 70)), (3, near(b, 70)), (4, None), (4, ""), (None, " "),
+            (None, " ".join(c)), (None, near(c, 20)), (None, near(c, 90)), (None, near(c, 90)), (None, near(d, 30)), (9, " ".join(d)), (None, near(a, 120))]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(docs)], "doc_id long, text string, place int").repartition(3)
+    got = near_dedup.near_groups(df).collect()
+    assert by_text((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == by_text(brute.near(docs))
+    kept = near_dedup.near_dedup(df)
+    assert kept.columns == df.columns
+    left = {r["place"] for r in kept.collect()}
+    assert {5, 6, 7} <= left and {0, 1, 13} <= left and len(left) == 7 and len(left & {8, 9, 10, 11}) == 1
+
+
+def test_joined_blocks_count_exactly():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    one = [np.unique(rng.integers(0, 9000, n).astype(np.uint64)) for n in (1, 500, 4000, 7000)]
+    other = [np.unique(rng.integers(5000, 14000, n).astype(np.uint64)) for n in (3, 6000, 20)]
+    want = [[len(np.intersect1d(x, y)) for y in other] for x in one]
+    assert near_dedup.intersections(one, other).tolist() == want
+    assert near_dedup.intersections(one[:1], [np.array([99999], np.uint64)]).tolist() == [[0]]
+
+
 def test_near_query(spark, small):
     got = registry.op7_near_dedup(spark, SF).collect()
     assert by_text((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == by_text(brute.near(small))
