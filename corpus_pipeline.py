@@ -8,17 +8,20 @@ for the next one. All but the last return the columns of ``documents``:
 * language ID drops rows without an identified language (``und`` or a
   calibrated probability below 0.5);
 * exact dedup keeps the row with the largest identifier of each text;
-* near dedup (shingles of five words, similarity 0.8 or more) keeps the
-  smallest identifier of each group;
+* near dedup (shingles of five words, similarity 0.8 or more) keeps one row of
+  each group, the smallest identifier's;
 * source mixing returns each row as often as the mix takes it, 0 to 3 times;
 * the last stage returns doc_id, n_tokens, ids (little-endian unsigned 32-bit
   integers) and decoded_sha256 of the decoded bytes, one row per row of the mix.
 
 Empty tables pass through every stage; extra columns are carried to the last.
+Stages are to be chained through ``results``, which writes between them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,9 +69,17 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+def results(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Iterator[tuple[str, DataFrame]]:
+    """(stage, its result) for the stages applied to ``docs`` in turn. Each
+    result is written and read again: a stage reads its input several times, so
+    plans that are only chained would grow with every stage."""
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        yield name, docs
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to ``documents``; the last one's result."""
+    for _, docs in results(spark, table(spark, sf_dir, "documents"), sf_dir):
+        pass
     return docs
