@@ -7,17 +7,29 @@ ORACLE_SQL = {
 WITH d AS (SELECT doc_id, {LOWER} AS norm FROM documents),
 r AS (SELECT *, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM r""",
+    "op3_suffix_dedup": """
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+g AS (SELECT row, doc_id, p, substr(x, 2 * p + 1, 100) AS s FROM (SELECT row, doc_id, x, unnest(range(0, greatest(len(x) // 2 - 49, 0))) AS p FROM d)),
+least AS (SELECT s, min(doc_id) AS first FROM g GROUP BY s),
+hit AS (SELECT row, p, p > lag(p, 1, -99) OVER (PARTITION BY row ORDER BY p) + 50 AS opens FROM g JOIN least USING (s) WHERE first < doc_id),
+span AS (SELECT row, min(p) AS a, max(p) + 50 AS b FROM (SELECT *, sum(opens::INT) OVER (PARTITION BY row ORDER BY p) AS k FROM hit) GROUP BY row, k),
+edge AS (SELECT row, a, b FROM span UNION ALL SELECT row, len(x) // 2, len(x) // 2 FROM d),
+piece AS (SELECT row, lag(b, 1, 0) OVER (PARTITION BY row ORDER BY a, b) AS lo, a AS hi FROM edge),
+kept AS (SELECT row, string_agg(substr(x, 2 * lo + 1, 2 * (hi - lo)), '' ORDER BY lo, hi) AS x FROM piece JOIN d USING (row) GROUP BY row)
+SELECT d.doc_id, len(d.x) // 2 AS n_bytes, coalesce((SELECT sum(b - a) FROM span WHERE span.row = d.row), 0)::BIGINT AS n_removed,
+  (SELECT count(*) FROM span WHERE span.row = d.row) AS n_spans, sha256(unhex(kept.x)) AS kept_sha256 FROM d JOIN kept USING (row)""",
     "op7_near_dedup": f"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-s AS (SELECT row, doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), i -> concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3]))
-      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingles FROM d),
-e AS (SELECT row, len(shingles) AS n, unnest(shingles) AS x FROM s),
+x AS (SELECT DISTINCT row, concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3]) AS x FROM (SELECT row, w, unnest(range(1, len(w) - 2)) AS i FROM d WHERE len(w) >= 4)
+      UNION ALL SELECT row, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 3),
+s AS (SELECT row, doc_id, coalesce(n, 0) AS n FROM d LEFT JOIN (SELECT row, count(*) AS n FROM x GROUP BY row) USING (row)),
+e AS (SELECT row, n, x FROM x JOIN s USING (row)),
 links AS (SELECT a.row AS a, b.row AS b FROM e a JOIN e b ON a.x = b.x AND a.row < b.row GROUP BY a.row, b.row
       HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach(a, b) AS (SELECT row, row FROM s UNION SELECT reach.a, both.b FROM reach JOIN both ON reach.b = both.a),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT row, row FROM s UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
 c AS (SELECT r.a AS row, min(s.doc_id) AS component_id FROM reach r JOIN s ON s.row = r.b GROUP BY r.a)
-SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (row)""",
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (row)""",
     "op4_chat_format": r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
