@@ -86,7 +86,7 @@ def test_whitening_query(spark):
 def test_whitening_of_odd_rows(spark):
     rnd = random.Random(4)
     good = [(k, [rnd.gauss(0, 1), rnd.gauss(0, 3), rnd.gauss(5, 0.1)]) for k in range(40)]
-    good += [(100, good[0][1]), (None, good[1][1]), (7, [1e9, -4.0, 2.0])]
+    good += [(100, good[0][1]), (None, good[1][1]), (7, [1e4, -4.0, 2.0])]
     bad = [(200, None), (201, [1.0, None, 2.0]), (202, [1.0, float("nan"), 2.0]), (203, [float("inf"), 0.0, 0.0]), (204, []),
            (205, [1.0, 2.0]), (206, [1e300, 0.0, 0.0])]
     got = whitening.whiten(vectors(spark, good + bad)).collect()
@@ -94,6 +94,13 @@ def test_whitening_of_odd_rows(spark):
     assert len({r["identity_error"] for r in got}) == 1 and max(r["component"] for r in got) == 3
 
 
+def test_deviation_beyond_a_long_is_null(spark):
+    got = whitening.whiten(vectors(spark, [(1, [1e9, 1.0]), (2, [-1e9, 2.0]), (3, [0.0, 4.0]), (4, [0.0, 4.5])])).collect()
+    want = {i: sum((4 * x - s) ** 2 for x, s in zip(v, (4 * 10**6, 736 + 4 * 10**6))) for i, v in
+            ((i, [math.floor(64 * c) + 1000000 for c in v]) for i, v in [(1, [1e9, 1.0]), (2, [-1e9, 2.0]), (3, [0.0, 4.0]), (4, [0.0, 4.5])])}
+    assert {r["vec_id"]: r["deviation"] for r in got} == {i: d if d < 1 << 63 else None for i, d in want.items()}
+
+
 def test_whitening_without_components(spark):
     assert whitening.whiten(vectors(spark, [])).count() == 0
     assert whitening.whiten(vectors(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])])).count() == 0     # one distinct vector
