@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 from ledgermatch.llm.text import whole_text
 
 PARAGRAPH = r"(?<=[.!?])\\s+|\\n+"     # as an SQL string
-BLOCKS = 32                           # paragraphs whose larger sketches are made in one part
-PART = 16                             # paragraphs of a part above that
+BLOCKS = 8                            # paragraphs whose larger sketches are made in one part
+PART = 4                              # paragraphs of a part above that
 BASE_WIDTH = 8                        # cells of a subtable of the published sketch
-ROUNDS = 10                           # peeling rounds
+FIRST_WIDTH = 4                       # cells that a part's subtable has beyond half its digests
+ROUNDS = (5, 4, 6, 10)                # peeling rounds of the published sketch and of the three of a part
 
 
 def digests_of(text: Column) -> Column:
@@ -40,16 +41,26 @@ def digests_of(text: Column) -> Column:
     return F.transform(F.filter(F.split(text, PARAGRAPH.replace("\\\\", "\\")), lambda p: F.length(p) > 0), lambda p: F.xxhash64(p))
 
 
-def parts_of(keys: str, need: str) -> str:
-    """``keys`` in parts by their low bits, as many as ``need`` digests of both
-    texts ask for (in two steps, so that no part looks at all digests)."""
-    bits = f"(CASE WHEN {need} <= {2 * BLOCKS} THEN 0 ELSE cast(ceil(log2({need} / {2 * PART}.0)) as int) END)"
-    low = f"({bits} div 2)"
-    first = f"transform(sequence(0, cast(shiftleft(1, {low}) - 1 as int)), i -> filter({keys}, k -> (k & (shiftleft(1L, {low}) - 1)) = i))"
-    high = f"cast({bits} - {low} as int)"
-    second = (f"transform({first}, f -> transform(sequence(0, cast(shiftleft(1, {high}) - 1 as int)), "
-              f"i -> filter(f, k -> (shiftright(k, {low}) & (shiftleft(1L, {high}) - 1)) = i)))")
-    return f"CASE WHEN {need} <= {2 * BLOCKS} THEN array({keys}) ELSE flatten({second}) END"
+def with_parts(df: DataFrame, a: str, b: str, over: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the digests of ``a`` and ``b`` in parts by their low
+    bits, as many as their number asks for (in two steps, so that no part looks
+    at all digests), each with its size n; none where ``over`` holds.
+
+    The numbers of parts are columns of their own: inside a lambda they would
+    be worked out again for every digest.
+    """
+    need = f"(size({a}_k) + size({b}_k))"
+    bits, low, first, second = (f"__{out}_{x}" for x in ("bits", "low", "first", "second"))
+    df = df.withColumn(bits, F.expr(f"CASE WHEN {over} OR {need} <= {2 * BLOCKS} THEN 0 ELSE cast(ceil(log2(cast({need} as double) / {2 * PART}D)) as int) END"))
+    df = df.withColumn(low, F.expr(f"cast({bits} div 2 as int)"))
+    df = df.withColumns({first: F.expr(f"cast(shiftleft(1, {low}) as int)"), second: F.expr(f"cast(shiftleft(1, {bits} - {low}) as int)")})
+
+    def split(keys: str) -> str:
+        one = f"transform(sequence(0, {first} - 1), i -> filter({keys}, k -> pmod(k, {first}) = i))"
+        return (f"flatten(transform({one}, f -> transform(sequence(0, {second} - 1), "
+                f"i -> filter(f, k -> pmod(shiftright(k, {low}), {second}) = i))))")
+    parts = f"zip_with({split(f'{a}_k')}, {split(f'{b}_k')}, (x, y) -> named_struct('a', x, 'b', y, 'n', size(x) + size(y)))"
+    return df.withColumn(out, F.expr(f"CASE WHEN {over} THEN array() ELSE {parts} END")).drop(bits, low, first, second)
 
 
 def _places(k: str, w: str, salt: int) -> str:
@@ -62,7 +73,7 @@ def cells(keys: str, w: str, salt: int) -> str:
     tables = []
     for j in range(3):
         placed = f"transform({keys}, k -> struct(cast(pmod(xxhash64(k, {3 * salt + j}), {w}) as int) AS i, k AS k, xxhash64(k, -1) AS h))"
-        tables.append(f"transform(array({placed}), p -> transform(sequence(0, cast({w} as int) - 1), c -> aggregate(filter(p, x -> x.i = c), "
+        tables.append(f"transform(array({placed}), p -> transform(sequence(0, {w} - 1), c -> aggregate(filter(p, x -> x.i = c), "
                       f"{zero}, (a, x) -> named_struct('n', a.n + 1, 'k', a.k ^ x.k, 'h', a.h ^ x.h))))[0]")
     return f"concat({', '.join(tables)})"
 
@@ -71,19 +82,18 @@ def minus(a: str, b: str) -> str:
     return f"zip_with({a}, {b}, (a, b) -> named_struct('n', a.n - b.n, 'k', a.k ^ b.k, 'h', a.h ^ b.h))"
 
 
-def peel(diff: str, w: str, salt: int) -> str:
-    """(c, got): the cells left and the number of digests recovered. A step
-    finds the single cells (p) or takes their digests out; after a search
-    without a find (z = 1 and p empty) nothing changes any more."""
+def peel(diff: str, w: str, salt: int, rounds: int, when: str = "true") -> str:
+    """(c, got): the cells left after ``rounds`` rounds (none unless ``when``)
+    and the number of digests recovered. A round takes the digests of all
+    single cells out. Every round copies the cells, so rounds are few; what
+    they leave goes to a larger sketch."""
     pure = (f"array_distinct(transform(filter(s.c, x -> abs(x.n) = 1 and xxhash64(x.k, -1) = x.h), x -> "
             f"struct(x.n AS n, x.k AS k, x.h AS h, {_places('x.k', w, salt)})))")
-    taken = ("transform(s.c, (x, c) -> aggregate(s.p, x, (a, p) -> if(p.i0 = c or p.i1 = c or p.i2 = c, "
-             "named_struct('n', a.n - p.n, 'k', a.k ^ p.k, 'h', a.h ^ p.h), a)))")
-    none = "cast(array() as array<struct<n: int, k: bigint, h: bigint, i0: int, i1: int, i2: int>>)"
-    return (f"aggregate(sequence(1, {2 * ROUNDS}), named_struct('c', {diff}, 'got', 0, 'p', {none}, 'z', 0), (s, r) -> "
-            f"CASE WHEN size(s.p) > 0 THEN named_struct('c', {taken}, 'got', s.got + size(s.p), 'p', {none}, 'z', 0) "
-            f"WHEN s.z = 1 THEN s ELSE named_struct('c', s.c, 'got', s.got, 'p', {pure}, 'z', 1) END, "
-            "s -> named_struct('c', s.c, 'got', s.got))")
+    taken = ("transform(s.c, (x, c) -> aggregate(filter(p, p -> p.i0 = c or p.i1 = c or p.i2 = c), x, "
+             "(a, p) -> named_struct('n', a.n - p.n, 'k', a.k ^ p.k, 'h', a.h ^ p.h)))")
+    steps = f"sequence(1, {rounds})" if when == "true" else f"CASE WHEN {when} THEN sequence(1, {rounds}) ELSE array() END"
+    return (f"aggregate({steps}, named_struct('c', {diff}, 'got', 0), (s, r) -> transform(array({pure}), p -> "
+            f"if(size(p) = 0, s, named_struct('c', {taken}, 'got', s.got + size(p))))[0])")
 
 
 def with_sketch(df: DataFrame, d: str) -> DataFrame:
@@ -104,14 +114,12 @@ def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     r, left, differ = (f"__{out}_{x}" for x in ("r", "left", "differ"))
     need = f"(size({a}_k) + size({b}_k))"
     done = "forall({0}.c, x -> x.n = 0 and x.k = 0 and x.h = 0)"
-    df = df.withColumn(r, F.expr(peel(minus(f"{a}_c", f"{b}_c"), str(BASE_WIDTH), 0)))
+    df = df.withColumn(r, F.expr(peel(minus(f"{a}_c", f"{b}_c"), str(BASE_WIDTH), 0, ROUNDS[0], f"abs(size({a}_k) - size({b}_k)) <= {3 * BASE_WIDTH}")))
     over = done.format(r)
-    parts = f"zip_with({parts_of(f'{a}_k', need)}, {parts_of(f'{b}_k', need)}, (x, y) -> named_struct('a', x, 'b', y))"
-    df = (df.withColumn(left, F.expr(f"CASE WHEN {over} THEN slice({parts}, 1, 0) ELSE {parts} END"))
-          .withColumn(differ, F.expr(f"CASE WHEN {over} THEN {r}.got ELSE 0 END")))
-    here = "(size(pr.a) + size(pr.b))"
-    for salt, w in enumerate((f"({BASE_WIDTH} + {here} div 2)", f"(24 + {here})", f"(64 + 2 * {here})"), 1):
-        attempt = peel(minus(cells("pr.a", w, salt), cells("pr.b", w, salt)), w, salt)
+    df = with_parts(df, a, b, over, left).withColumn(differ, F.expr(f"CASE WHEN {over} THEN {r}.got ELSE 0 END"))
+    for salt, w in enumerate((f"({FIRST_WIDTH} + shiftright(pr.n, 1))", "(8 + pr.n)", "(64 + 2 * pr.n)"), 1):
+        df = df.withColumn(left, F.expr(f"transform({left}, pr -> named_struct('a', pr.a, 'b', pr.b, 'n', pr.n, 'w', {w}))"))
+        attempt = peel(minus(cells("pr.a", "pr.w", salt), cells("pr.b", "pr.w", salt)), "pr.w", salt, ROUNDS[salt])
         df = df.withColumn(r, F.expr(f"transform({left}, pr -> named_struct('pr', pr, 'r', {attempt}))"))
         over = done.format("t.r")
         df = (df.withColumn(differ, F.expr(f"{differ} + aggregate(filter({r}, t -> {over}), 0, (n, t) -> n + t.r.got)"))
@@ -133,7 +141,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
-    n = min(1000, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(1000, 8 * partitions)                     # several ranges a partition, so that these are alike in size
     splits = src.select(F.percentile_approx("id", [i / n for i in range(1, n)] or [0.5], 10 * n)).first()[0]
     splits = sorted(set(splits or []))
     cut = F.array(*[F.lit(s).cast("long") for s in splits]) if splits else F.array().cast("array<bigint>")
@@ -146,7 +155,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     guests = F.broadcast(spark.createDataFrame(hosts, "top long, host int"))
     placed = (src.join(guests, F.col("id").eqNullSafe(F.col("top")), "left")
               .select("id", "text", F.posexplode(F.array_compact(F.array(part, F.col("host")))).alias("guest", "part"))
-              .repartition(n, "part").withColumn("d", digests_of(F.col("text"))))
+              .repartition(partitions, "part").withColumn("d", digests_of(F.col("text"))))
     order = Window.partitionBy("part").orderBy("guest", F.col("id").desc_nulls_last(), "text")
     parts = ["_k", "_c"]
     return (with_sketch(placed, "d").withColumn("next_text", F.lead("text").over(order))
