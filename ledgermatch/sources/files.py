@@ -109,9 +109,11 @@ def reject_counts(sources: Mapping[str, CsvSource], expected: list[str]) -> Data
             continue
         s = sources[alias]
         total = s.rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("source", F.lit(alias))
-        per = s.rejects.groupBy("column_name").agg(F.count(F.lit(1)).alias("rejected")).withColumn("source", F.lit(alias))
-        parts.append(total.join(per, "source", "left").select("source", F.lit(True).alias("present"), "rows", "column_name",
-                                                              F.coalesce("rejected", F.lit(0)).cast("bigint").alias("rejected")))
+        per = s.rejects.groupBy("column_name").agg(F.count(F.lit(1)).alias("rejected"))
+        listed = per.agg(F.collect_list(F.struct("column_name", "rejected")).alias("rejects")).withColumn("source", F.lit(alias))   # a row per column
+        one = total.unionByName(listed, allowMissingColumns=True).groupBy("source").agg(F.max("rows").alias("rows"), F.max("rejects").alias("rejects"))
+        parts.append(one.select("source", "rows", F.explode_outer("rejects").alias("r")).select(
+            "source", F.lit(True).alias("present"), "rows", "r.column_name", F.coalesce("r.rejected", F.lit(0)).cast("bigint").alias("rejected")))
     spark = next(iter(sources.values())).rows.sparkSession if sources else SparkSession.active()
     absent = spark.createDataFrame([(a, False, None, None, None) for a in expected if a not in sources],
                                    "source string, present boolean, rows bigint, column_name string, rejected bigint")
