@@ -2,12 +2,17 @@
 
 Words (lower-cased A-Z, split at white space, one end token per text) are
 counted over all training documents. The ``VOCAB`` most frequent words get
-classes by exchange clustering: the ``CORE`` most frequent ones by exchange
-sweeps on their whole bigram counts, each other one by the same exchange gain
-on its counts of neighbouring classes. All remaining words, known or not, fall
-into classes of their spelling. The score is the sum over a text's tokens of
-log10 of class transition times word emission; a rare word's emission is its
-count plus 0.1 over its class.
+classes by exchange clustering. It starts from sequential exchange among the
+``CORE`` most frequent words and a first class for each other one by its core
+neighbours. Then sweeps move all vocabulary words on all bigrams of the corpus,
+those with rare words and text ends included: a pass over the encoded texts
+gives every word's counts of the classes before and after it, and each word
+goes to the class with the largest exchange gain. A sweep moves every other
+word, so that two words do not follow each other; the classes with the highest
+likelihood met are kept. All remaining words, known or not, fall into classes of
+their spelling. The score is the sum over a text's tokens of log10 of class
+transition times word emission; a rare word's emission is its count plus 0.1
+over its class.
 
 Bounded: the vocabulary, its bigram matrix and the class matrix, which the
 driver holds and tasks receive. Not bounded, and never gathered: the counts of
@@ -30,10 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermatch.llm.words import WordHasher, mix
-from ledgermatch.session import materialize
+from ledgermatch.session import materialize, release
 
 VOCAB = 50000        # words with a clustered class
-CORE = 1000          # words that the exchange sweeps move
+CORE = 1000          # words of the sequential exchange that the sweeps start from
+BATCH_SWEEPS = 4     # sweeps over all vocabulary words, each over every other one
+HELD = 2_000_000     # context counts that a task holds before it sends them on
 CLASSES = 40         # clustered classes
 SHAPES = 8           # spelling classes of the rare words (the hashes' low three bits)
 ROWS = 1000          # encoded rows worked on together
@@ -224,6 +231,150 @@ def place_by_context(contexts: np.ndarray, pair: np.ndarray) -> np.ndarray:
     return (contexts[:, k:] @ after.T + contexts[:, :k] @ before.T).argmax(1)
 
 
+def _aligned_words(p, c, ends, size, n_classes):
+    """The words of a class stream: vocabulary places, size + spelling for rare words, the last number for text ends."""
+    inside = np.ones(len(c), bool)
+    inside[ends] = False
+    w = size + c - n_classes
+    w[inside] = np.where(p == size, w[inside], p)
+    return w
+
+
+def _word_contexts(classes, n_classes: int, size: int):
+    """mapInArrow: for every word (rare words by spelling) the counts of the
+    classes before it (0..) and after it (total..), and of itself after itself
+    (2 total), combined over a task's rows."""
+    total = n_classes + SHAPES + 1
+    width = 2 * total + 1
+
+    def merged(parts):
+        k, n = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(k, kind="stable")
+        k, n = k[order], n[order]
+        first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        return k[first], np.add.reduceat(n, first)
+
+    def run(batches):
+        parts, held = [], 0
+        for b, p, off in _streams(batches):
+            if not len(b):
+                continue
+            c, ends, _ = _class_stream(classes, n_classes, b, p, off, size)
+            w = _aligned_words(p, c, ends, size, n_classes)
+            c_before, w_before = np.append(total - 1, c[:-1]), np.append(size + SHAPES, w[:-1])
+            same = w == w_before
+            parts.append(_summed([w * width + c_before, w_before * width + total + c, w[same] * width + 2 * total]))
+            held += len(parts[-1][0])
+            if held > HELD:
+                parts = [merged(parts)]
+                held = len(parts[0][0])
+                if held > HELD // 2:
+                    yield _rows(parts[0], ["k", "n"])
+                    parts, held = [], 0
+        if parts:
+            yield _rows(merged(parts), ["k", "n"])
+    return run
+
+
+def _context_rows(batches, width: int):
+    """Per batch of (w, cells): the words and their dense context counts."""
+    for b in (x.slice(lo, 2000) for x in batches for lo in range(0, len(x), 2000)):
+        cells = b.column("cells")
+        x = np.zeros((len(b), width))
+        flat = cells.flatten()
+        row = np.repeat(np.arange(len(b)), np.diff(cells.offsets.to_numpy()))
+        x[row, flat.field("c").to_numpy()] = flat.field("n").to_numpy()
+        yield b.column("w").to_numpy(), x
+
+
+def class_of(w: np.ndarray, classes: np.ndarray, n_classes: int) -> np.ndarray:
+    """Classes of words numbered as in ``_aligned_words``."""
+    size = len(classes)
+    return np.where(w < size, np.append(classes, 0)[np.minimum(w, size)], n_classes + w - size)
+
+
+def _pair_counts(classes: np.ndarray, n_classes: int):
+    """mapInArrow over the words' contexts: a task's share of the class pair counts."""
+    total = n_classes + SHAPES + 1
+
+    def run(batches):
+        pair = np.zeros((total, total))
+        for w, x in _context_rows(batches, 2 * total + 1):
+            np.add.at(pair, class_of(w, classes, n_classes), x[:, total:2 * total])
+        a, b = np.indices(pair.shape)
+        yield _rows([a.ravel(), b.ravel(), pair.ravel()], ["a", "b", "n"])
+    return run
+
+
+def likelihood(pair: np.ndarray) -> float:
+    """The class bigram log likelihood, up to what the classes cannot change."""
+    return float(_xlogx(pair).sum() - _xlogx(pair.sum(1)).sum() - _xlogx(pair.sum(0)).sum())
+
+
+def best_class(pair: np.ndarray, n_classes: int, c: int, before: np.ndarray, after: np.ndarray, own: float) -> int:
+    """The class that raises the likelihood most for a word of class ``c``
+    with these context counts, all other words left where they are."""
+    r, lf = after.copy(), before.copy()
+    r[c] -= own
+    lf[c] -= own
+    rest = pair.copy()
+    rest[c, :] -= r
+    rest[:, c] -= lf
+    rest[c, c] -= own
+    tot_r, tot_l, diag = pair.sum(1)[:n_classes], pair.sum(0)[:n_classes], np.arange(n_classes)
+    tot_r[c] -= after.sum()
+    tot_l[c] -= before.sum()
+    row = _xlogx(rest[:n_classes] + r) - _xlogx(rest[:n_classes])
+    col = _xlogx(rest[:, :n_classes] + lf[:, None]) - _xlogx(rest[:, :n_classes])
+    corner = rest[diag, diag]
+    gain = (row.sum(1) - row[diag, diag] + col.sum(0) - col[diag, diag] + _xlogx(corner + r[:n_classes] + lf[:n_classes] + own) - _xlogx(corner)
+            - _xlogx(tot_r + after.sum()) + _xlogx(tot_r) - _xlogx(tot_l + before.sum()) + _xlogx(tot_l))
+    best = int(gain.argmax())
+    return best if gain[best] > gain[c] + 1e-9 else int(c)
+
+
+def _moves(classes: np.ndarray, n_classes: int, pair: np.ndarray, turn: int):
+    """mapInArrow over the words' contexts: (w, c) of the vocabulary words of this turn that change their class."""
+    total, size = n_classes + SHAPES + 1, len(classes)
+
+    def run(batches):
+        for w, x in _context_rows(batches, 2 * total + 1):
+            out = []
+            for i in np.flatnonzero((w < size) & (w % 2 == turn)):
+                c = int(classes[w[i]])
+                best = best_class(pair, n_classes, c, x[i, :total], x[i, total:2 * total], x[i, 2 * total])
+                if best != c:
+                    out.append((w[i], best))
+            moved = np.array(out, np.int64).reshape(-1, 2)
+            yield _rows([moved[:, 0], moved[:, 1]], ["w", "c"])
+    return run
+
+
+def sweep_all(learned: DataFrame, classes: np.ndarray, n_classes: int, sweeps: int) -> np.ndarray:
+    """Classes of all vocabulary words after batch exchange sweeps on all
+    bigrams. The driver holds the classes and the class pair counts only."""
+    size, width = len(classes), 2 * (n_classes + SHAPES + 1) + 1
+    best, top = classes, -np.inf
+    for s in range(sweeps + 1 if size and n_classes > 1 else 0):
+        counts = (learned.select("places", "rare").mapInArrow(_word_contexts(classes, n_classes, size), "k long, n long")
+                  .groupBy("k").agg(F.sum("n").alias("n")))
+        cells = F.collect_list(F.struct((F.col("k") % width).cast("int").alias("c"), "n")).alias("cells")   # at most ``width`` a word
+        contexts = materialize(counts.groupBy(F.expr(f"k div {width}").alias("w")).agg(cells), "contexts")
+        shares = contexts.mapInArrow(_pair_counts(classes, n_classes), "a long, b long, n double").groupBy("a", "b").agg(F.sum("n").alias("n")).toPandas()
+        pair = np.zeros((n_classes + SHAPES + 1,) * 2)
+        pair[shares["a"], shares["b"]] = shares["n"]
+        now = likelihood(pair)
+        if now <= top:
+            break
+        best, top = classes, now
+        if s < sweeps:
+            moved = contexts.mapInArrow(_moves(classes, n_classes, pair, s % 2), "w long, c long").toPandas()     # at most one row a word
+            classes = classes.copy()
+            classes[moved["w"]] = moved["c"]
+        release(contexts)
+    return best
+
+
 @dataclass
 class Model:
     vocab: Vocabulary
@@ -272,7 +423,7 @@ def _transitions(classes, n_classes, rare_count):
 
 
 def fit_and_encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 10,
-                   vocab_size: int = VOCAB, core: int = CORE, n_classes: int = CLASSES) -> tuple[Model, DataFrame, DataFrame]:
+                   vocab_size: int = VOCAB, core: int = CORE, n_classes: int = CLASSES, sweeps: int = BATCH_SWEEPS) -> tuple[Model, DataFrame, DataFrame]:
     """(model, encoded rows, counts of the rare words). Encoded rows: id,
     held_out, row (a number of its own), places, rare."""
     rest = F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
@@ -318,9 +469,10 @@ def fit_and_encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     words = (contexts.groupBy(F.expr(f"k div {2 * k}").alias("w"))
              .agg(F.collect_list(F.struct((F.col("k") % (2 * k)).cast("int").alias("c"), "n")).alias("cells"))
              .mapInPandas(place, "w long, c long").toPandas())     # at most one row per vocabulary word
-    # A word that never stands beside a core word has no evidence: the class of the largest total.
+    # A word that never stands beside a core word starts in the class of the largest total.
     classes[core:] = int(pair.sum(1).argmax()) if core else 0
     classes[words["w"]] = words["c"]
+    classes = sweep_all(learned, classes, k, sweeps)
 
     total = k + SHAPES + 1
     grid = np.zeros((total, total))
