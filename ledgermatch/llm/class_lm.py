@@ -9,14 +9,25 @@ those with rare words and text ends included: a pass over the encoded texts
 gives every word's counts of the classes before and after it, and each word
 goes to the class with the largest exchange gain. A sweep moves every other
 word, so that two words do not follow each other; the classes with the highest
-likelihood met are kept. All remaining words, known or not, fall into classes of
-their spelling. The score is the sum over a text's tokens of log10 of class
-transition times word emission; a rare word's emission is its count plus 0.1
-over its class.
-
-Bounded: the vocabulary, its bigram matrix and the class matrix, which the
-driver holds and tasks receive. Not bounded, and never gathered: the counts of
-rare words, which meet the texts' rare words in a join.
+likelihood met are kept. The number of classes grows with the logarithm of the
+distinct words.
+
+The words beyond the vocabulary are clustered where they are, in a table with a
+row per word: its counts of the classes before it. They start in classes of
+their spelling and are exchanged in turns, every other word a turn, against the
+class pair counts of the turn before. Words seen once stay with the unseen ones
+in the spelling classes. A class bigram has two maps of words to classes here:
+the word that follows counts by its class, the word before by its class if it
+is in the vocabulary and by its spelling if not.
+
+The score is the sum over a text's tokens of log10 of class transition times
+word emission; a word's emission is its count (plus 0.1 beyond the vocabulary)
+over the sum of its class.
+
+Bounded: the vocabulary, its bigram matrix and the class matrices, which the
+driver holds and tasks receive. Not bounded, and never gathered: the words
+beyond the vocabulary with their counts, contexts and classes, which meet the
+texts' words in a join.
 
 Defined results: null and empty texts are the end token alone. A null
 identifier is neither held out nor learned from. Each input row gives one
@@ -41,8 +52,9 @@ VOCAB = 50000        # words with a clustered class
 CORE = 1000          # words of the sequential exchange that the sweeps start from
 BATCH_SWEEPS = 4     # sweeps over all vocabulary words, each over every other one
 HELD = 2_000_000     # context counts that a task holds before it sends them on
-CLASSES = 40         # clustered classes
-SHAPES = 8           # spelling classes of the rare words (the hashes' low three bits)
+CLASSES = 2.0        # clustered classes for each doubling of the distinct words
+RARE_TURNS = 2       # exchange turns of the words beyond the vocabulary, each over every other one
+SHAPES = 8           # spelling classes (the hashes' low three bits)
 ROWS = 1000          # encoded rows worked on together
 SWEEPS = 6
 ADD_WORD, ADD_CLASS = 0.1, 0.5
@@ -382,7 +394,7 @@ class Model:
     n_classes: int             # clustered classes
     log_next: np.ndarray       # log10 P(class | class before)
     log_word: np.ndarray       # by place: log10 emission of a vocabulary word
-    log_rare: np.ndarray       # by shape: -log10 of the rare class' total
+    log_enter: np.ndarray      # [class before, class]: log_next less log10 of the class' emission total
     train_tokens: int
     distinct: int
     end_count: int
@@ -408,6 +420,142 @@ def _class_stream(model_classes, n_classes, b, p, off, rare_count):
     return out, ends, rare_hash
 
 
+def _rare_tokens(classes, n_classes: int, b, p, off, size: int):
+    """(hash, class before) of the rare words of a batch, in order, with the
+    stream's classes and end positions."""
+    c, ends, rare_hash = _class_stream(classes, n_classes, b, p, off, size)
+    inside = np.ones(len(c), bool)
+    inside[ends] = False
+    before = np.append(n_classes + SHAPES, c[:-1])[inside]
+    return rare_hash, before[p == size], c, ends
+
+
+def _rare_contexts(classes, n_classes: int, size: int):
+    """mapInArrow: counts of the classes before every rare word, combined over ``HELD`` tokens."""
+    def summed(parts):
+        h, g = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((g, h))
+        h, g = h[order], g[order]
+        first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])))
+        return _rows([h[first], g[first].astype(np.int32), np.diff(np.append(first, len(h)))], ["h", "g", "n"])
+
+    def run(batches):
+        parts, held = [], 0
+        for b, p, off in _streams(batches):
+            if not len(b):
+                continue
+            h, g, _, _ = _rare_tokens(classes, n_classes, b, p, off, size)
+            if len(h):
+                parts.append((h, g))
+                held += len(h)
+            if held > HELD:
+                yield summed(parts)
+                parts, held = [], 0
+        if parts:
+            yield summed(parts)
+    return run
+
+
+def enter_class(pair: np.ndarray, n_classes: int, shape: np.ndarray, now: np.ndarray, n: np.ndarray,
+                row: np.ndarray, g: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The class of each word after one exchange step against ``pair``: the
+    one of the clustered classes and the word's spelling class that gives the
+    highest likelihood with the word's counts taken out of its class ``now``
+    and put there. Word ``row`` has count ``x`` after class ``g``, in the order
+    of ``row``; every word has a cell."""
+    if not len(n):
+        return now
+    own = np.minimum(now, n_classes)                 # the last column is the word's spelling class
+    words, cells, first = np.arange(len(n)), np.arange(len(g)), np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    x = x.astype(float)
+    was = np.concatenate([pair[:, :n_classes][g], pair[g, n_classes + shape[row]][:, None]], 1)
+    was[cells, own[row]] -= x
+    total = np.concatenate([np.broadcast_to(pair.sum(0)[:n_classes], (len(n), n_classes)), pair.sum(0)[n_classes + shape][:, None]], 1)
+    total[words, own] -= n
+    gain = np.add.reduceat(_xlogx(was + x[:, None]) - _xlogx(was), first, axis=0) - _xlogx(total + n[:, None]) + _xlogx(total)
+    best = gain.argmax(1)
+    best = np.where(gain[words, best] > gain[words, own] + 1e-9, best, own)
+    return np.where(best == n_classes, n_classes + shape, best)
+
+
+def _rare_classes(batches, n_classes: int, turns: list[np.ndarray]):
+    """Per batch of rare words (h, n, cells): hashes, counts, classes after the
+    ``turns`` (the class pair counts before each) and the cells as (row, g, x).
+    Words seen once have no cells."""
+    for b in (x.slice(lo, 2000) for x in batches for lo in range(0, len(x), 2000)):
+        h, n = b.column("h").to_numpy().view(np.uint64), b.column("n").to_numpy()
+        col = b.column("cells")
+        flat, row = col.flatten(), np.repeat(np.arange(len(b)), np.diff(col.offsets.to_numpy()))
+        g, x = flat.field("g").to_numpy(), flat.field("n").to_numpy()
+        shape = rare_shape(h)
+        cls = n_classes + shape
+        for turn, pair in enumerate(turns):
+            moves = (n > 1) & ((h >> np.uint64(3)) % np.uint64(2) == np.uint64(turn % 2))
+            at, part = np.cumsum(moves) - 1, moves[row]
+            cls[moves] = enter_class(pair, n_classes, shape[moves], cls[moves], n[moves], at[row[part]], g[part], x[part])
+        yield h, n, cls, (row, g, x)
+
+
+def _rare_state(n_classes: int, turns: list[np.ndarray]):
+    """mapInArrow over the rare words: how their classes after the ``turns``
+    change the class pair counts, then (rows ``total`` and ``total`` + 1) the
+    count and the number of the words of each class."""
+    total = n_classes + SHAPES + 1
+
+    def run(batches):
+        out = np.zeros((total + 2, total))
+        for h, n, cls, (row, g, x) in _rare_classes(batches, n_classes, turns):
+            np.add.at(out, (g, cls[row]), x)
+            np.add.at(out, (g, n_classes + rare_shape(h)[row]), -x)
+            out[total] += np.bincount(cls, weights=n, minlength=total)
+            out[total + 1] += np.bincount(cls, minlength=total)
+        a, b = np.indices(out.shape)
+        yield _rows([a.ravel(), b.ravel(), out.ravel()], ["a", "b", "n"])
+    return run
+
+
+def _rare_table(n_classes: int, turns: list[np.ndarray]):
+    """mapInArrow: (h, n, c) of the rare words."""
+    def run(batches):
+        for h, n, cls, _ in _rare_classes(batches, n_classes, turns):
+            yield _rows([h, n, cls.astype(np.int32)], ["h", "n", "c"])
+    return run
+
+
+def enter_likelihood(pair: np.ndarray) -> float:
+    """The class bigram log likelihood, up to what the classes of words beyond
+    the vocabulary cannot change."""
+    return float(_xlogx(pair).sum() - _xlogx(pair.sum(0)).sum())
+
+
+def sweep_rare(learned: DataFrame, classes: np.ndarray, n_classes: int, grid: np.ndarray, n_turns: int):
+    """(rare words with count and class, class pair counts, count by class,
+    words by class) after exchange turns over all words beyond the vocabulary.
+    A word's class follows from its own row and the few class matrices of the
+    turns, so a turn writes nothing."""
+    size, total = len(classes), len(grid)
+    cells = F.collect_list(F.struct("g", "n"))       # at most ``total`` a word
+    contexts = materialize(
+        learned.select("places", "rare").mapInArrow(_rare_contexts(classes, n_classes, size), "h long, g int, n long")
+        .repartition("h").groupBy("h", "g").agg(F.sum("n").alias("n"))
+        .groupBy("h").agg(F.sum("n").alias("n"), cells.alias("cells"))
+        .withColumn("cells", F.when(F.col("n") > 1, F.col("cells")).otherwise(F.slice("cells", 1, 0))), "rare-contexts")
+
+    def state(turns):
+        rows = contexts.mapInArrow(_rare_state(n_classes, turns), "a long, b long, n double").groupBy("a", "b").agg(F.sum("n").alias("n")).toPandas()
+        out = np.zeros((total + 2, total))
+        out[rows["a"], rows["b"]] = rows["n"]
+        return grid + out[:total], out[total], out[total + 1]
+
+    turns, best = [], state([])
+    for _ in range(n_turns if n_classes > 1 else 0):
+        after = state([*turns, best[0]])
+        if enter_likelihood(after[0]) <= enter_likelihood(best[0]):
+            break
+        turns, best = [*turns, best[0]], after
+    return contexts.mapInArrow(_rare_table(n_classes, turns), "h long, n long, c int"), *best
+
+
 def _transitions(classes, n_classes, rare_count):
     """mapInArrow: counts of class pairs, the end class standing before a text."""
     total = n_classes + SHAPES + 1
@@ -423,9 +571,11 @@ def _transitions(classes, n_classes, rare_count):
 
 
 def fit_and_encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 10,
-                   vocab_size: int = VOCAB, core: int = CORE, n_classes: int = CLASSES, sweeps: int = BATCH_SWEEPS) -> tuple[Model, DataFrame, DataFrame]:
-    """(model, encoded rows, counts of the rare words). Encoded rows: id,
-    held_out, row (a number of its own), places, rare."""
+                   vocab_size: int = VOCAB, core: int = CORE, n_classes: int | None = None, sweeps: int = BATCH_SWEEPS,
+                   rare_turns: int = RARE_TURNS) -> tuple[Model, DataFrame, DataFrame]:
+    """(model, encoded rows, rare words with count n and class c). Encoded
+    rows: id, held_out, row (a number of its own), places, rare. Without
+    ``n_classes`` there are ``CLASSES`` for each doubling of the words."""
     rest = F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
     src = docs.select(F.col(id_col).alias("id"), rest.alias("rest"), F.col(text_col).cast("string").alias("text"))
     counts = materialize(src.where(F.col("rest") != 0).select("text").mapInArrow(_count_words, "h long, n long")
@@ -437,7 +587,7 @@ def fit_and_encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     order = np.argsort(h)
     vocab = Vocabulary(h[order], n[order], order.astype(np.int64))
     size, core = len(h), min(core, len(h))
-    k = max(1, min(n_classes, core))
+    k = max(1, min(round(CLASSES * np.log2(distinct + 1)) if n_classes is None else n_classes, core))
     encoded = materialize(
         src.select("id", F.coalesce(F.col("rest") == 0, F.lit(False)).alias("held_out"),
                    F.coalesce(F.col("rest") != 0, F.lit(False)).alias("learned"), "text")
@@ -479,26 +629,22 @@ def fit_and_encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     steps = (learned.select("places", "rare").mapInArrow(_transitions(classes, k, size), "k long, n long")
              .groupBy("k").agg(F.sum("n").alias("n")).toPandas())
     grid[steps["k"] // total, steps["k"] % total] = steps["n"]
+    rare, grid, rare_count, rare_words = sweep_rare(learned, classes, k, grid, rare_turns)
     smooth = grid + ADD_CLASS
     log_next = np.log10(smooth / smooth.sum(1, keepdims=True))
-    in_class = np.bincount(classes, weights=n, minlength=k) if size else np.zeros(k)
-    log_word = np.log10(n / in_class[classes]) if size else np.zeros(0)
-    # Rare words: every counted word but the end token and the vocabulary.
-    least = (int(n[-1]), int(h[-1].astype(np.int64))) if size else None
-    rare = counts.where(F.col("h") != END)
-    if least:
-        rare = rare.where((F.col("n") < least[0]) | ((F.col("n") == least[0]) & (F.col("h") > least[1])))
-    by_shape = rare.groupBy(F.expr(f"(pmod(h, {SHAPES}))").cast("int").alias("s")).agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
-    mass = np.full(SHAPES, ADD_WORD)
-    mass[by_shape["s"]] = by_shape["n"] + ADD_WORD * (by_shape["v"] + 1)
-    model = Model(vocab, classes, k, log_next, log_word, -np.log10(mass), train_tokens, distinct, end_count)
+    # Emission totals; an unseen word has a share in its spelling class.
+    mass = rare_count + ADD_WORD * rare_words
+    mass[:k] += np.bincount(classes, weights=n, minlength=k) if size else 0
+    mass[k:k + SHAPES] += ADD_WORD
+    log_word = np.log10(n / mass[classes]) if size else np.zeros(0)
+    log_enter = log_next[:, :k + SHAPES] - np.log10(np.maximum(mass[:k + SHAPES], ADD_WORD))
+    model = Model(vocab, classes, k, log_next, log_word, log_enter, train_tokens, distinct, end_count)
     return model, encoded, rare
 
 
 def _scorer(model: Model):
     """mapInArrow: per row one head line with what the vocabulary settles, and
-    a line per distinct rare word."""
+    a line per distinct rare word and class before it."""
     size, k = len(model.vocab.hashes), model.n_classes
     total = k + SHAPES + 1
     below = np.log10(model.train_tokens + 0.1 * (model.distinct + 1))
@@ -513,13 +659,12 @@ def _scorer(model: Model):
             rows = len(b)
             if not rows:
                 continue
-            c, ends, rare_hash = _class_stream(model.classes, k, b, p, off, size)
-            prev = np.concatenate([[total - 1], c[:-1]])
-            step = np.concatenate([[0.0], np.cumsum(model.log_next[prev, c])])
+            rare_hash, rare_before, c, ends = _rare_tokens(model.classes, k, b, p, off, size)
+            enter = model.log_next[np.append(total - 1, c[:-1]), c]
+            enter[(c >= k) & (c < k + SHAPES)] = 0.0       # into a rare word: its line
+            step = np.concatenate([[0.0], np.cumsum(enter)])
             first = np.concatenate([[0], ends[:-1] + 1])
             sums = lambda x: (s := np.concatenate([[0.0], np.cumsum(x)]))[off[1:]] - s[off[:-1]]
-            emit = word[p]
-            emit[p == size] = model.log_rare[rare_shape(rare_hash)]
             n_rare = sums((p == size).astype(float)).astype(np.int64)
             n = np.diff(off)
             row_id = b.column("row").to_numpy()
@@ -528,23 +673,23 @@ def _scorer(model: Model):
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), spread, b.column("id"), b.column("held_out"), pa.array(n + 1),
                  pa.array(n - n_rare + (model.end_count > 0)), pa.array(sums(base_word[p]) + base_end),
-                 pa.array(step[ends + 1] - step[first] + sums(emit)), pa.nulls(rows, pa.int64())], names=LINE.names)
+                 pa.array(step[ends + 1] - step[first] + sums(word[p])), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], names=LINE.names)
             if len(rare_hash):
                 owner = np.repeat(np.arange(rows), n_rare)
-                at = np.lexsort((rare_hash, owner))
-                o, r = owner[at], rare_hash[at]
-                new = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (r[1:] != r[:-1])))
+                at = np.lexsort((rare_before, rare_hash, owner))
+                o, r, g = owner[at], rare_hash[at], rare_before[at]
+                new = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (r[1:] != r[:-1]) | (g[1:] != g[:-1])))
                 tf = np.diff(np.append(new, len(r)))
                 m = len(new)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row_id[o[new]]), pa.array(r[new].view(np.int64)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()),
                      pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64()),
-                     pa.array(tf)], names=LINE.names)
+                     pa.array(g[new].astype(np.int32)), pa.array(tf)], names=LINE.names)
     return run
 
 
 LINE = pa.schema([("row", pa.int64()), ("h", pa.int64()), ("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-                  ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("tf", pa.int64())])
+                  ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("g", pa.int32()), ("tf", pa.int64())])
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sizes) -> DataFrame:
@@ -552,13 +697,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **siz
     base_score, score, perplexity (of the model, per token)."""
     model, encoded, rare = fit_and_encode(docs, id_col, text_col, **sizes)
     lines = encoded.drop("learned").mapInArrow(
-        _scorer(model), "row long, h long, id long, held_out boolean, n_tokens long, n_known long, base double, score double, tf long")
-    # The rare words meet their counts: rare words are spread thin, so no key is hot.
+        _scorer(model), "row long, h long, id long, held_out boolean, n_tokens long, n_known long, base double, score double, g int, tf long")
+    k = model.n_classes
+    enter = docs.sparkSession.createDataFrame(      # a few thousand rows: the square of the number of classes
+        [(g, c, float(x)) for (g, c), x in np.ndenumerate(model.log_enter)], "g int, c int, enter double")
+    # The rare words meet their counts and classes: rare words are spread thin, so no key is hot.
     log_more = F.when(F.col("tf").isNotNull(), F.col("tf") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.1)))
-    full = lines.join(rare, "h", "left").groupBy("row").agg(
+    met = (lines.join(rare, "h", "left").withColumn("c", F.coalesce("c", F.expr(f"cast({k} + pmod(h, {SHAPES}) as int)")))
+           .join(F.broadcast(enter), ["g", "c"], "left"))
+    full = met.groupBy("row").agg(
         F.max("id").alias("id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
         (F.sum("n_known") + F.coalesce(F.sum(F.when(F.col("n").isNotNull(), F.col("tf"))), F.lit(0))).alias("n_known"),
-        F.sum("base").alias("base"), F.sum("score").alias("score"), F.coalesce(F.sum(log_more), F.lit(0.0)).alias("more"))
+        F.sum("base").alias("base"), F.sum(F.coalesce("score", F.col("tf") * F.col("enter"))).alias("score"),
+        F.coalesce(F.sum(log_more), F.lit(0.0)).alias("more"))
     return full.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", "n_known",
         F.lit(model.train_tokens).cast("long").alias("train_tokens"), (F.col("base") + F.col("more")).alias("base_score"),

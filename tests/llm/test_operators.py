@@ -2,6 +2,7 @@
 
 import os
 import sys
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -303,6 +304,94 @@ def test_batch_sweeps_use_all_bigrams_and_raise_the_likelihood(spark):
     assert len(model.classes) == 60 and set(model.classes) <= {0, 1, 2}
 
 
+def test_enter_class_is_the_one_of_a_full_recount():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    k, words = 4, 30
+    total = k + class_lm.SHAPES + 1
+    shape = rng.integers(0, class_lm.SHAPES, words)
+    now = np.where(rng.random(words) < 0.5, rng.integers(0, k, words), k + shape)
+    x = rng.poisson(0.6, (words, total)).astype(float)
+    x[:, 0] += 1
+    fixed = rng.poisson(3, (total, total)).astype(float)
+
+    def pair(c):
+        out = fixed.copy()
+        np.add.at(out.T, c, x)
+        return out
+
+    row, g = np.nonzero(x)
+    got = class_lm.enter_class(pair(now), k, shape, now, x.sum(1), row, g, x[row, g])
+    for w in range(words):
+        tried = {}
+        for c in [*range(k), k + int(shape[w])]:
+            moved = now.copy()
+            moved[w] = c
+            tried[c] = class_lm.enter_likelihood(pair(moved))
+        assert tried[int(got[w])] >= max(tried.values()) - 1e-6
+
+
+def test_words_beyond_the_vocabulary_are_clustered_and_scores_follow_from_the_classes(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    groups = [[f"{g}{i}" for i in range(40)] for g in "abc"]
+    # Each group follows the one before it; a few words of each are frequent, and only these are in the vocabulary.
+    texts = [" ".join(groups[(s + j) % 3][int(40 * rng.random() ** 3)] for j in range(40)) for s in rng.integers(0, 3, 120)]
+    texts += ["a0 Unseen1 unseen2 b0", "", None, "once", texts[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sizes = dict(vocab_size=24, core=24, n_classes=3)
+    model, _, rare = class_lm.fit_and_encode(docs, **sizes)
+    k, end = model.n_classes, model.n_classes + class_lm.SHAPES
+    rare = {r["h"]: (r["n"], r["c"]) for r in rare.collect()}
+    hasher = class_lm.WordHasher(spelled=True)
+    place = {int(h): p for h, p in zip(model.vocab.hashes.view(np.int64), model.vocab.place)}
+
+    def hashes(t):
+        return hasher.words(np.frombuffer((t or "").encode(), np.uint8), np.zeros(1, np.int64))[0] if t else np.zeros(0, np.uint64)
+
+    import zlib
+    learned = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10]
+    count = Counter(int(x) for t in learned for x in hashes(t).view(np.int64))
+    assert {h: n for h, (n, _) in rare.items()} == {h: n for h, n in count.items() if h not in place}
+    assert all(c == k + h % class_lm.SHAPES for h, (n, c) in rare.items() if n == 1)
+
+    def tokens(t):
+        """(class before, class, emission) of a text's tokens."""
+        before, out = end, []
+        for x in hashes(t).view(np.int64):
+            x, s = int(x), int(x) % class_lm.SHAPES
+            if x in place:
+                c = before_next = int(model.classes[place[x]])
+                p = count[x]
+            else:
+                p, c = rare.get(x, (0, k + s))
+                p, before_next = p + class_lm.ADD_WORD, k + s
+            out.append((before, c, p))
+            before = before_next
+        return [*out, (before, end, None)]
+
+    pair, mass = np.full((end + 1, end + 1), class_lm.ADD_CLASS), np.zeros(end)
+    for t in learned:
+        for a, b, _ in tokens(t):
+            pair[a, b] += 1
+    for h, n in count.items():
+        mass[int(model.classes[place[h]]) if h in place else rare[h][1]] += n + (0 if h in place else class_lm.ADD_WORD)
+    mass[k:] += class_lm.ADD_WORD
+    step = np.log10(pair / pair.sum(1, keepdims=True))
+    got = {r["doc_id"]: r["score"] for r in class_lm.score(docs, **sizes).collect()}
+    for i, t in enumerate(texts):
+        want = sum(step[a, b] + (0 if p is None else np.log10(p / mass[b])) for a, b, p in tokens(t))
+        assert abs(got[i] - want) < 1e-6 * max(1, abs(want))
+
+    # Most words of a group share a class, each group another one.
+    of = [Counter(rare[int(h)][1] for h in hashes(" ".join(g)).view(np.int64) if int(h) in rare) for g in groups]
+    assert all(max(c.values()) >= 0.9 * sum(c.values()) for c in of) and len({c.most_common(1)[0][0] for c in of}) == 3
+    still = class_lm.score(docs, rare_turns=0, **sizes).agg(F.sum("score")).first()[0]
+    assert sum(got.values()) > still + 100
+
+
 # ------------------------------------------------------------------ 7 near dedup
 
 @pytest.mark.parametrize("reach", [8, 1])
