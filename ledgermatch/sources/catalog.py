@@ -33,8 +33,10 @@ def column_catalog(spark: SparkSession, tables: dict[str, DataFrame | T.StructTy
 
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A DataFrame from a handful of driver-side rows (schemas, rule tables),
-    shipped as one Arrow batch: no Python worker is involved."""
+    shipped as one Arrow batch: no Python worker is involved. The values stay
+    Python objects, so that a null among whole numbers is no NaN where the
+    session converts without Arrow."""
     import pandas as pd
 
     names = [f.split()[0] for f in schema.split(",")]
-    return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
+    return spark.createDataFrame(pd.DataFrame(rows, columns=names, dtype=object), schema)

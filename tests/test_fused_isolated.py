@@ -63,6 +63,18 @@ def test_free_sql_and_broken_queries_run_beside_the_shared_scan(spark, tables):
     assert Q.run_suite(spark, [], *tables).count() == 0 == Q.run_suite(spark, [], *tables, isolate=True).count()
 
 
+def test_result_rows_with_nulls_without_arrow(spark, tables):
+    arrow, key = spark.conf.get("spark.sql.execution.arrow.pyspark.enabled"), "spark.sql.execution.arrow.pyspark.enabled"
+    suite = [Q.ACCEPTANCE_SUITE[0], Q.QuerySpec("late", "SELECT sum(cast(masthead AS int)) AS s FROM {table}")]
+    spark.conf.set(key, "false")
+    try:
+        rows = by_name(Q.run_suite(spark, suite, *tables, isolate=True))
+    finally:
+        spark.conf.set(key, arrow)
+    assert rows["late"]["total_rows"] is None and rows["late"]["max_delta"] is None and rows["late"]["mismatched_rows"] is None
+    assert rows["total_subscription_count"]["cdl_value"] == str(sum(range(60))) and rows["total_subscription_count"]["max_delta"] is not None
+
+
 def test_a_shared_scan_that_fails_is_run_query_by_query(spark, tables):
     suite = [Q.ACCEPTANCE_SUITE[0], Q.QuerySpec("number", "SELECT sum(cast(masthead AS int)) AS s FROM {table}", keys=(), aggs=(("s", "sum(cast(masthead AS int))"),))]
     rows = by_name(Q.run_suite(spark, suite, *tables, isolate=True))
