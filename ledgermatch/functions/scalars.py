@@ -10,7 +10,7 @@ __all__ = [
     "tenure_group_finance", "fiscal_year", "fiscal_month", "fiscal_week",
     "week_ending_saturday", "percent_diff", "abs_diff", "within_tolerance",
     "exceeds_abs_rel", "concat_codes", "lenient_timestamp", "lenient_number",
-    "TENURE_GROUPS", "TENURE_GROUPS_FINANCE", "EXCLUDED_CODES",
+    "TENURE_GROUPS", "TENURE_GROUPS_FINANCE", "TENURE_STEPS", "EXCLUDED_CODES",
 ]
 
 # ---------------------------------------------------------------------------
@@ -56,6 +56,10 @@ def tenure_days(report_date, tenure_start) -> Column:
     return F.floor(micros / F.lit(MICROS_PER_DAY)).cast("bigint")
 
 
+# First day of each bucket of the two functions below.
+TENURE_STEPS = [0, 1, 181, 361, 541, 721, 183] + [365 * years + 1 for years in range(1, 8)]
+
+
 def tenure_group(days) -> Column:
     """Right-closed bins; 0 and below, and null, are CHECK (S3)."""
     d = col_of(days)

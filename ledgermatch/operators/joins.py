@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,64 @@ def range_join_calendar(df: DataFrame, cal: DataFrame, start_col: str, end_col:
     return cal.join(days, cal[date_col] == days["__day"]).drop("__day")
 
 
+def split_at_steps(df: DataFrame, cal: DataFrame, start_col: str, end_col: str, rising: Column | None = None, steps=(),
+                   date_col: str = "report_date", last_col: str = "__last") -> DataFrame:
+    """The intervals that touch the calendar's range, clipped to it: a row per
+    stretch of days, from ``date_col`` to ``last_col``.
+
+    ``rising`` is a whole number that grows by one with each ``date_col``; a new
+    stretch begins where it reaches one of ``steps``, so a bucket of it is the
+    same on all days of a stretch. Where it is null there is one stretch.
+    Intervals include both ends by date; a null end is open; inverted ones have
+    no row. Rows grow with intervals times steps, not with days.
+    """
+    r = cal.agg(F.min(F.to_date(date_col)).alias("lo"), F.max(F.to_date(date_col)).alias("hi")).first()
+    lo, hi = (r["lo"], r["hi"]) if r["lo"] else (_dt.date(1970, 1, 1), _dt.date(1970, 1, 1))
+    days = interval_overlap(df, start_col, end_col, lo, hi)
+    days = days.withColumns({date_col: F.greatest(F.to_date(col_of(start_col)), _d(lo)),
+                             last_col: F.least(F.coalesce(F.to_date(col_of(end_col)), _d(hi)), _d(hi))})
+    days = days.filter(F.col(date_col) <= F.col(last_col))
+    if rising is None or not steps:
+        return days
+    # One row per bucket that the interval meets; an outer bucket has no bound on that side.
+    bounds = [None, *sorted(set(steps)), None]
+    buckets = F.array(*[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(z).cast("bigint").alias("z")) for a, z in zip(bounds, bounds[1:])])
+    day = lambda value: F.date_add(date_col, (value - F.col("__value")).cast("int"))
+    rest = [c for c in days.columns if c not in (date_col, last_col)]
+    spans = days.withColumn("__value", rising).withColumn("__bucket", F.explode(buckets)).filter(
+        F.col("__value").isNotNull() | F.col("__bucket.a").isNull())
+    spans = spans.select(*rest, F.greatest(F.col(date_col), day(F.col("__bucket.a"))).alias(date_col),
+                         F.least(F.col(last_col), day(F.col("__bucket.z") - 1)).alias(last_col))
+    return spans.filter(F.col(date_col) <= F.col(last_col))
+
+
+def day_totals(spans: DataFrame, cal: DataFrame, keys: list[str], measures: dict[str, Column],
+               date_col: str = "report_date", last_col: str = "__last", count_col: str = "__n") -> DataFrame:
+    """The rows of ``cal`` with the number of spans per ``keys`` that hold its
+    day and the sums of ``measures`` (exact types; nulls read as 0) over them.
+
+    A span adds its values on its first day and takes them back after its last.
+    The differences are summed per key and day, map-side first; a running total
+    per key, at most one row per day, is kept until the key's next change. Rows
+    grow with spans plus the result, never with the days of all spans.
+    """
+    last_day = cal.agg(F.max(F.to_date(date_col)).alias("hi")).first()["hi"] or _dt.date(1970, 1, 1)
+    ms = [f"__m{i}" for i in range(len(measures))]
+    ends = F.array_compact(F.array(F.struct(F.col(date_col).alias("day"), F.lit(1).cast("bigint").alias("sign")),
+                                   F.when(F.col(last_col) < _d(last_day), F.struct(F.date_add(last_col, 1).alias("day"), F.lit(-1).cast("bigint").alias("sign")))))
+    events = spans.select(*keys, *[F.coalesce(c, F.lit(0)).alias(m) for m, c in zip(ms, measures.values())], F.explode(ends).alias("__x"))
+    signed = [F.when(F.col("__x.sign") > 0, F.col(m)).otherwise(-F.col(m)) for m in ms]
+    changes = events.groupBy(*keys, F.col("__x.day").alias("__day")).agg(
+        F.sum("__x.sign").alias("__n"), *[F.sum(c).alias(m) for m, c in zip(ms, signed)])
+    by_key = Window.partitionBy(*keys).orderBy("__day")
+    so_far = by_key.rowsBetween(Window.unboundedPreceding, 0)
+    held = changes.select(*keys, "__day", F.lead("__day").over(by_key).alias("__next"),
+                          *[F.sum(c).over(so_far).alias(c) for c in ["__n", *ms]]).filter(F.col("__n") > 0)
+    days = held.withColumn("__day", F.explode(F.sequence("__day", F.coalesce(F.date_sub("__next", 1), _d(last_day)))))
+    return cal.join(days, cal[date_col] == days["__day"]).select(
+        *cal.columns, *keys, F.col("__n").alias(count_col), *[F.col(m).alias(n) for m, n in zip(ms, measures)])
+
+
 def _bounds(points: DataFrame, point: str) -> tuple[_dt.date, int]:
     """(first day, number of tree levels above the days) of the points."""
     r = points.agg(F.min(F.to_date(point)).alias("lo"), F.max(F.to_date(point)).alias("hi")).first()

@@ -107,3 +107,66 @@ def test_ordinals_over_a_key_with_half_of_all_rows(spark):
     assert "Window" in plan and "windowspecdefinition(k" not in plan
     total = running_total(df.withColumn("w", F.lit(2)), order, {"t": "w"}).agg(F.max("t")).first()[0]
     assert total == 2 * len(rows)
+
+
+def test_day_totals_equal_the_expanded_calendar_join(spark, spans):
+    from ledgermatch.functions import scalars as S
+
+    _, _, _, i = spans
+    i = (i.withColumn("since", F.when(F.col("iid") % 11 == 0, None).otherwise(F.expr("s - make_dt_interval(iid * 17 % 900 - 20, iid % 3 * 7)")))
+          .withColumn("v", F.when(F.col("iid") % 5 == 0, None).otherwise(F.col("v").cast("decimal(18,2)")))
+          .withColumn("g", F.when(F.col("g") == "z", None).otherwise(F.col("g"))))
+    i = i.unionByName(i.limit(20))
+    # a calendar with gaps and one day twice
+    cal = spark.range(400).select(F.date_add(F.lit("2020-01-10").cast("date"), F.col("id").cast("int")).alias("report_date")).filter("dayofmonth(report_date) <> 20")
+    cal = cal.unionByName(cal.filter("report_date = DATE'2020-02-03'"))
+    tenure = S.tenure_days("report_date", "since")
+
+    def keyed(df):
+        d = S.tenure_days("report_date", "since")
+        return df.withColumns({"t": S.tenure_group(d), "f": S.tenure_group_finance(d)})
+    pairs_ = keyed(J.range_join_calendar(i, cal, "s", "e"))
+    want = pairs_.groupBy("report_date", "g", "t", "f").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v"))
+    got = J.day_totals(keyed(J.split_at_steps(i, cal, "s", "e", tenure, S.TENURE_STEPS)), cal, ["g", "t", "f"], {"v": F.col("v")}, count_col="n")
+    got = got.groupBy("report_date", "g", "t", "f").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    rows_ = lambda df: sorted(map(str, df.select("report_date", "g", "t", "f", "n", F.col("v").cast("decimal(38,2)")).collect()))
+    assert rows_(got) == rows_(want) and len(rows_(want)) > 500
+    plain = J.day_totals(J.split_at_steps(i, cal, "s", "e"), cal, ["g"], {}, count_col="n").groupBy("report_date", "g").agg(F.sum("n").alias("n"))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, pairs_.groupBy("report_date", "g").agg(F.count(F.lit(1)).alias("n")).collect()))
+    assert J.day_totals(J.split_at_steps(i.limit(0), cal, "s", "e"), cal, ["g"], {}).count() == 0
+
+
+def test_tenure_steps_are_all_days_on_which_a_bucket_begins(spark):
+    from ledgermatch.functions import scalars as S
+
+    days = spark.range(-30, 3000).select("id", S.tenure_group("id").alias("t"), S.tenure_group_finance("id").alias("f")).orderBy("id").collect()
+    assert {b["id"] for a, b in zip(days, days[1:]) if (a["t"], a["f"]) != (b["t"], b["f"])} == set(S.TENURE_STEPS)
+
+
+def test_layer_makes_no_row_per_interval_and_day(spark, tmp_path):
+    """500 open intervals of one group over 1000 days: 1000 rows, and no step has more than a few rows per interval or day."""
+    from ledgermatch.sources import fixtures as fx
+
+    n, days = 500, 1000
+    day = lambda k: f"timestampadd(DAY, {k}, timestamp_ntz'1995-01-01 00:00:00')"
+    spark.range(n).select(F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.lit(2.5).alias("o_totalprice"),
+                          F.when(F.col("id") == 1, F.expr(day(days - 1))).otherwise(F.expr(day(0))).alias("o_orderdate"),
+                          F.lit("5-LOW").alias("o_orderpriority")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(n).select(F.col("id").alias("c_custkey"), F.lit(3).alias("c_nationkey"), F.lit(1.0).alias("c_acctbal"),
+                          F.lit("BUILDING").alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1).select(F.lit(-1).cast("bigint").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit("N").alias("l_returnflag"),
+                          F.expr(day(0)).alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = fx.layer(spark, str(tmp_path))
+    sums = df.groupBy("report_date").agg(F.sum("subscription_count").alias("n"), F.sum("ratecard_amount").alias("r")).collect()
+    assert len(sums) == days and all(r["r"] == 2.5 * r["n"] and r["n"] in (n - 1, n) for r in sums)
+    out = df._jdf.queryExecution()
+    out.toRdd().count()
+
+    def nodes(p):
+        yield p
+        kids = ([p.executedPlan()] if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else
+                [p.plan()] if "QueryStageExec" in p.getClass().getSimpleName() else [])
+        for k in [*kids, *[p.children().apply(i) for i in range(p.children().size())]]:
+            yield from nodes(k)
+    made = [p.metrics().apply("numOutputRows").value() for p in nodes(out.executedPlan()) if p.metrics().contains("numOutputRows")]
+    assert made and max(made) < 20 * (n + days)
