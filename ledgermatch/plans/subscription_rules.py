@@ -6,6 +6,7 @@ DAG: ``sbf x cal -> sba_inner -> sba``; ``smf = cal -> sma_inner -> sma``;
 
 from __future__ import annotations
 
+from ledgermatch.functions.scalars import TENURE_STEPS
 from ledgermatch.sources.fixtures import LAYER_DIMS
 
 _EXCLUDE = ("concat(coalesce(dw_source_system_code, ''), coalesce(dw_billing_system_code, '')) "
@@ -104,6 +105,7 @@ def subscription_rules() -> dict[str, list[dict]]:
             _row_dims("sba_inner") + _simple("sba", "sba_inner") + _cols("sba", sba_metrics)
             + _row_dims("sma_inner") + _simple("sma", "sma_inner") + _cols("sma", sma_metrics)
             + _simple("final_select", "sbm") + _cols("final_select", final_metrics)),
+        "day_steps": [{"cte_name": "sba_inner", "column_name": "subscription_tenure_days", "steps": TENURE_STEPS}],
         "aggregation_rules": [{"cte_name": "sba"}, {"cte_name": "sma"}, {"cte_name": "final_select"}],
         "derived_metrics": [
             {"metric_name": "TotalAcquisition", "metric_type": "derived",

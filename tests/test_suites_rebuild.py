@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 
@@ -222,3 +223,34 @@ def test_suite_without_keys_shows_values(spark):
     got = {r["check_name"]: r for r in Q.run_suite(spark, suite, new, old).collect()}
     assert (got["total"]["cdl_value"], got["total"]["target_value"], got["total"]["max_delta"]) == ("3", "4", 1.0)
     assert (got["by_k"]["total_rows"], got["by_k"]["mismatched_rows"], got["by_k"]["max_delta"]) == (2, 1, 1.0)
+
+
+def test_calendar_rules_are_grouped_without_a_row_per_interval_and_day(spark):
+    from ledgermatch.plans.subscription_rules import subscription_rules
+    from ledgermatch.sources.fixtures import LAYER_DIMS
+
+    day = lambda k: dt.datetime(2019, 1, 1) + dt.timedelta(days=k)
+    texts = [d for d in LAYER_DIMS if d not in ("report_date", "tenure_group", "tenure_group_finance", "sunday_flag")]
+    sbf = [(day(k * 7 % 400), None if k % 5 == 0 else day(k * 7 % 400 + k % 90 - 2), None if k % 13 == 0 else day(-k * 31 % 900) - dt.timedelta(hours=k % 3),
+            1 + k % 2, None if k % 4 == 0 else Decimal(k), *[None if (k + i) % 6 == 0 else "ab"[(k >> i) % 2] for i in range(len(texts))]) for k in range(300)]
+    sbf = spark.createDataFrame(sbf + sbf[:9], "dw_effective_start_datetime timestamp_ntz, dw_effective_end_datetime timestamp_ntz, "
+                                "subscription_tenure_start_datetime timestamp_ntz, subscription_count bigint, ratecard_price decimal(18,2), "
+                                + ", ".join(f"{t} string" for t in texts))
+    cal = spark.range(400).selectExpr("date_add(DATE'2019-02-01', cast(id as int)) AS report_date", "1 AS fy_year").filter("dayofmonth(report_date) <> 9")
+    cal = cal.unionByName(cal.limit(3))
+    rules = subscription_rules()
+    swept = Rebuilder({"sbf": sbf, "cal": cal}, rules).build("sba")
+    joined = Rebuilder({"sbf": sbf, "cal": cal}, {k: v for k, v in rules.items() if k != "day_steps"}).build("sba")
+    assert swept.schema.simpleString() == joined.schema.simpleString()
+    assert sorted(map(str, swept.collect())) == sorted(map(str, joined.collect())) and joined.count() > 5000
+    # the days are made from totals, after the last window, not from intervals
+    plan = swept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and plan.index("explode(sequence(") < plan.index("Window")
+    assert "Window" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    # a calendar column of the parent, a count and other rules
+    for extra in ({"cte_name": "sba", "column_name": "fy_year", "transformation_type": "simple", "source_expression": "sba_inner.fy_year"},
+                  {"cte_name": "sba", "column_name": "n", "transformation_type": "aggregation", "source_expression": "count(*)"},
+                  {"cte_name": "sba", "column_name": "days", "transformation_type": "aggregation", "source_expression": "sum(sba_inner.subscription_tenure_days)"}):
+        more = {**rules, "column_mappings": [*rules["column_mappings"], extra]}
+        a, b = (Rebuilder({"sbf": sbf, "cal": cal}, {k: v for k, v in more.items() if k != "day_steps" or steps}).build("sba") for steps in (True, False))
+        assert a.schema.simpleString() == b.schema.simpleString() and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
