@@ -18,6 +18,9 @@ from ledgermatch.operators.joins import side_by_side
 from ledgermatch.operators.ordinals import running_total
 from ledgermatch.session import materialize
 
+# Rows that are nearly all distinct stay in a task's memory until they are counted:
+# a task counts this much of a file or a shuffle.
+TASK_BYTES = 16 << 20
 FLOATING = (T.FloatType, T.DoubleType)
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -156,7 +159,7 @@ def compare_cells(new: DataFrame, old: DataFrame, keys: list[str] | None, tol: f
         none = F.lit(None).cast("string")
         return counts.select(*keys, none.alias("column_name"), none.alias(f"{new_name}_value"), none.alias(f"{old_name}_value"),
                              F.lit(None).cast("double").alias("delta"), status.alias("status"))
-    pair = _aligned(materialize(counts, "answer-rows"), keys, measures, new_name, old_name)
+    pair = _aligned(materialize(counts, "answer-rows", task_bytes=TASK_BYTES), keys, measures, new_name, old_name)
     inn, ino = F.col(f"in_{new_name}"), F.col(f"in_{old_name}")
     cells = []
     for m in measures:

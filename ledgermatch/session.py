@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,16 +85,57 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+# How much of a file, and of a shuffle, one task reads.
+TASK_SIZES = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+_TASK_LOCK = threading.Lock()
+_TASK_HELD: dict[str, tuple[int, dict[str, str]]] = {}
+
+
+def size_bytes(text: str) -> int:
+    """Bytes of a size as Spark writes it (``64MB``, ``16m``, ``67108864b``)."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", text.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+@contextmanager
+def small_tasks(spark: SparkSession, most: int | None) -> Iterator[None]:
+    """Tasks that read at most ``most`` bytes each, for actions inside; smaller
+    settings of the session stay. Threads share it: the last one out restores."""
+    if most is None:
+        yield
+        return
+    key = session_key(spark)
+    with _TASK_LOCK:
+        users, before = _TASK_HELD.get(key, (0, {}))
+        if not users:
+            before = {k: v for k in TASK_SIZES if size_bytes(v := spark.conf.get(k)) > most}
+            for k in before:
+                spark.conf.set(k, f"{most}b")
+        _TASK_HELD[key] = (users + 1, before)
+    try:
+        yield
+    finally:
+        with _TASK_LOCK:
+            users, before = _TASK_HELD.pop(key)
+            if users > 1:
+                _TASK_HELD[key] = (users - 1, before)
+            else:
+                for k, v in before.items():
+                    spark.conf.set(k, v)
+
+
+def materialize(df: DataFrame, name: str, partition_by: str | None = None, task_bytes: int | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts the
-    lineage without depending on any single executor's disk."""
+    lineage without depending on any single executor's disk. With ``task_bytes``
+    a task of the write reads no more than that, whatever the table's size."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
     writer = df.write.mode("overwrite")
     before = spark.conf.get(CLEAN_UP, "false")
     spark.conf.set(CLEAN_UP, "true")   # the table replaces the shuffle files that made it
     try:
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        with small_tasks(spark, task_bytes):
+            (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     finally:
         spark.conf.set(CLEAN_UP, before)
     # read with the written schema: no footer-inference job, same column order

@@ -204,3 +204,31 @@ def test_pairing_with_a_hot_key_and_without_keys(spark):
     count = lambda df: {r["status"]: r["count"] for r in df.groupBy("status").count().collect()}
     assert count(CMP.compare_cells(new, old, ["k"], 0.01)) == expected([0], [1, 2])
     assert count(CMP.compare_cells(new.select("v", "n"), old.select("v", "n"), [], 0.01)) == expected([], [1, 2])
+
+
+def test_rows_are_counted_in_small_tasks(spark, tmp_path, monkeypatch):
+    """What one task holds does not grow with the answer: files and shuffles are
+    read in pieces of a bounded size, and the session's settings come back."""
+    from pyspark.sql import DataFrameWriter
+
+    from ledgermatch.session import TASK_SIZES, materialize, size_bytes
+
+    assert [size_bytes(t) for t in ("64MB", "16m", "67108864b", "100", "2gb")] == [64 << 20, 16 << 20, 64 << 20, 100, 2 << 30]
+    before = {k: spark.conf.get(k) for k in TASK_SIZES}
+    spark.range(0, 200_000, 1, 1).selectExpr("id k", "id * 2 v").write.option("parquet.block.size", 1 << 16).parquet(str(tmp_path / "t"))
+    new = spark.read.parquet(str(tmp_path / "t"))
+    old = new.filter("k % 1000 <> 0").withColumn("v", F.col("v") + F.when(F.col("k") % 700 == 1, 1).otherwise(0))
+    tasks = lambda df: len(df.inputFiles())
+    assert tasks(materialize(new, "t", task_bytes=1 << 16)) >= 4 * tasks(materialize(new, "t"))
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (seen.append([spark.conf.get(k) for k in TASK_SIZES]), write(self, *a, **b))[1])
+    cells = CMP.compare_cells(new, old, ["k"])
+    assert all(size_bytes(v) <= 16 << 20 for v in seen[0])
+    assert rows(cells.groupBy("status").count()) == [("match", 200_000 - 200 - 286), ("mismatch", 286), ("only_new", 200)]
+    spark.conf.set(TASK_SIZES[0], "4k")         # a smaller setting stays
+    try:
+        CMP.compare_cells(new, old, ["k"])
+        assert seen[-1][0] == "4k"
+    finally:
+        spark.conf.set(TASK_SIZES[0], before[TASK_SIZES[0]])
+    assert {k: spark.conf.get(k) for k in TASK_SIZES} == before
