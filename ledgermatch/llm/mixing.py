@@ -182,9 +182,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    plan = mix(docs, id_col, text_col, **kw).where(F.col("copies") > 0).select(
-        F.col(id_col).alias("m_id"), F.col("text_hash").alias("m_hash"), "copies").alias("m")
-    plan = plan.groupBy("m_id", "m_hash").agg(F.sum("copies").alias("m_copies"), F.count(F.lit(1)).alias("m_rows"))
+    plan = mix(docs, id_col, text_col, **kw).select(F.col(id_col).alias("m_id"), F.col("text_hash").alias("m_hash"), "copies").alias("m")
+    # Rows that are not taken count among those that share.
+    plan = plan.groupBy("m_id", "m_hash").agg(F.sum("copies").alias("m_copies"), F.count(F.lit(1)).alias("m_rows")).where(F.col("m_copies") > 0)
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("d_id"),
                     F.xxhash64(whole_text(text_col)).alias("d_hash"))
     joined = d.join(plan, d["d_id"].eqNullSafe(plan["m_id"]) & (d["d_hash"] == plan["m_hash"])).withColumns({
