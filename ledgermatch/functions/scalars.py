@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_of", "day_of_week", "sunday_flag", "tenure_days", "tenure_group",
+    "col_of", "day_of_week", "sunday_flag", "tenure_days", "tenure_step", "steps_reached", "tenure_group",
     "tenure_group_finance", "fiscal_year", "fiscal_month", "fiscal_week",
     "week_ending_saturday", "percent_diff", "abs_diff", "within_tolerance",
     "exceeds_abs_rel", "concat_codes", "lenient_timestamp", "lenient_number",
@@ -53,13 +53,36 @@ def tenure_days(report_date, tenure_start) -> Column:
     a = col_of(report_date).cast("timestamp_ntz")
     b = col_of(tenure_start).cast("timestamp_ntz")
     micros = F.timestamp_diff("MICROSECOND", b, a)
-    return F.floor(micros / F.lit(MICROS_PER_DAY)).cast("bigint")
+    # From a midnight on, whole days are calendar days, which cost far less.
+    return (F.when(b == F.to_date(b).cast("timestamp_ntz"), F.datediff(a, b))
+            .otherwise(F.floor(micros / F.lit(MICROS_PER_DAY)))).cast("bigint")
 
 
 # First day of each bucket of the two functions below.
 TENURE_STEPS = [0, 1, 181, 361, 541, 721, 183] + [365 * years + 1 for years in range(1, 8)]
 
 
+def steps_reached(value, steps) -> Column:
+    """How many of the rising ``steps`` are at or below ``value``; 0 for null."""
+    v, reached = col_of(value), F
+    for n in range(len(steps), 0, -1):
+        reached = reached.when(v >= steps[n - 1], n)
+    return reached.otherwise(0)
+
+
+def tenure_step(days) -> Column:
+    """The last of ``TENURE_STEPS`` at or below; -1 below the first and for null.
+
+    One small number for both buckets: ``tenure_group`` and
+    ``tenure_group_finance`` of it are those of ``days``, and two steps never
+    share both.
+    """
+    d, step = col_of(days), F
+    for first in sorted(TENURE_STEPS, reverse=True):
+        step = step.when(d >= first, first)
+    return step.otherwise(-1)
+
+
 def tenure_group(days) -> Column:
     """Right-closed bins; 0 and below, and null, are CHECK (S3)."""
     d = col_of(days)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermatch.functions.scalars import col_of
+from ledgermatch.functions.scalars import col_of, steps_reached
 from ledgermatch.operators.filters import interval_overlap
 from ledgermatch.operators.ordinals import running_total
 
@@ -93,16 +93,17 @@ def split_at_steps(df: DataFrame, cal: DataFrame, start_col: str, end_col: str,
     days = days.filter(F.col(date_col) <= F.col(last_col))
     if rising is None or not steps:
         return days
-    # One row per bucket that the interval meets; an outer bucket has no bound on that side.
-    bounds = [None, *sorted(set(steps)), None]
-    buckets = F.array(*[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(z).cast("bigint").alias("z")) for a, z in zip(bounds, bounds[1:])])
+    # One row per bucket that the interval meets, and no other; an outer bucket has no bound on that side.
+    steps = sorted(set(steps))
+    bound = lambda values: F.array(*[F.lit(v).cast("bigint") for v in values])
     day = lambda value: F.date_add(date_col, (value - F.col("__value")).cast("int"))
     rest = [c for c in days.columns if c not in (date_col, last_col)]
-    spans = days.withColumn("__value", rising).withColumn("__bucket", F.explode(buckets)).filter(
-        F.col("__value").isNotNull() | F.col("__bucket.a").isNull())
-    spans = spans.select(*rest, F.greatest(F.col(date_col), day(F.col("__bucket.a"))).alias(date_col),
-                         F.least(F.col(last_col), day(F.col("__bucket.z") - 1)).alias(last_col))
-    return spans.filter(F.col(date_col) <= F.col(last_col))
+    spans = days.withColumn("__value", rising)
+    spans = spans.withColumns({"__from": steps_reached(F.col("__value"), steps),
+                               "__to": steps_reached(F.col("__value") + F.datediff(last_col, date_col), steps)})
+    spans = spans.withColumn("__bucket", F.explode(F.sequence("__from", "__to")))
+    return spans.select(*rest, F.greatest(F.col(date_col), day(F.get(bound([None, *steps]), F.col("__bucket")))).alias(date_col),
+                        F.least(F.col(last_col), day(F.get(bound([*steps, None]), F.col("__bucket")) - 1)).alias(last_col))
 
 
 def day_totals(spans: DataFrame, cal: DataFrame, keys: list[str], measures: dict[str, Column],
@@ -117,9 +118,10 @@ def day_totals(spans: DataFrame, cal: DataFrame, keys: list[str], measures: dict
     """
     last_day = cal.agg(F.max(F.to_date(date_col)).alias("hi")).first()["hi"] or _dt.date(1970, 1, 1)
     ms = [f"__m{i}" for i in range(len(measures))]
-    ends = F.array_compact(F.array(F.struct(F.col(date_col).alias("day"), F.lit(1).cast("bigint").alias("sign")),
-                                   F.when(F.col(last_col) < _d(last_day), F.struct(F.date_add(last_col, 1).alias("day"), F.lit(-1).cast("bigint").alias("sign")))))
+    ends = F.array(*[F.struct(day.alias("day"), F.lit(sign).cast("bigint").alias("sign"))
+                     for day, sign in ((F.col(date_col), 1), (F.date_add(last_col, 1), -1))])
     events = spans.select(*keys, *[F.coalesce(c, F.lit(0)).alias(m) for m, c in zip(ms, measures.values())], F.explode(ends).alias("__x"))
+    events = events.filter((F.col("__x.sign") > 0) | (F.col("__x.day") <= _d(last_day)))
     signed = [F.when(F.col("__x.sign") > 0, F.col(m)).otherwise(-F.col(m)) for m in ms]
     changes = events.groupBy(*keys, F.col("__x.day").alias("__day")).agg(
         F.sum("__x.sign").alias("__n"), *[F.sum(c).alias(m) for m, c in zip(ms, signed)])

@@ -170,3 +170,55 @@ def test_layer_makes_no_row_per_interval_and_day(spark, tmp_path):
             yield from nodes(k)
     made = [p.metrics().apply("numOutputRows").value() for p in nodes(out.executedPlan()) if p.metrics().contains("numOutputRows")]
     assert made and max(made) < 20 * (n + days)
+
+
+def _made(df, node):
+    """Rows that the nodes of this kind gave in one run."""
+    out = df._jdf.queryExecution()
+    out.toRdd().count()
+
+    def nodes(p):
+        yield p
+        kids = ([p.executedPlan()] if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else
+                [p.plan()] if "QueryStageExec" in p.getClass().getSimpleName() else [])
+        for k in [*kids, *[p.children().apply(i) for i in range(p.children().size())]]:
+            yield from nodes(k)
+    return sum(p.metrics().apply("numOutputRows").value() for p in nodes(out.executedPlan()) if p.getClass().getSimpleName() == node)
+
+
+def test_split_makes_only_the_stretches(spark):
+    """200 intervals of 30 days and one open one: no row for a bucket that an interval does not meet."""
+    day = lambda k: f"timestampadd(DAY, {k}, timestamp_ntz'2020-01-01 00:00:00')"
+    i = spark.range(201).select(F.expr(day("id")).alias("s"), F.when(F.col("id") < 200, F.expr(day("id + 29"))).alias("e"),
+                                F.when(F.col("id") != 7, F.expr(day("-100"))).alias("since"))
+    cal = spark.range(900).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("report_date"))
+    out = J.split_at_steps(i, cal, "s", "e", F.datediff("report_date", "since").cast("bigint"), [200, 0, 500])
+    got = out.select("report_date", "__last", F.datediff("report_date", "since").alias("a"), F.datediff("__last", "since").alias("z")).collect()
+    assert all(r["a"] is None or sum(r["a"] >= x for x in (0, 200, 500)) == sum(r["z"] >= x for x in (0, 200, 500)) for r in got)
+    assert sum((r["__last"] - r["report_date"]).days + 1 for r in got) == 200 * 30 + 700
+    # Those that reach day 200 have two stretches, the open one has two as well.
+    assert len(got) == 201 + sum(k + 100 < 200 <= k + 129 for k in range(200) if k != 7) + 1
+    assert _made(out, "GenerateExec") == len(got)
+
+
+def test_tenure_step_stands_for_both_buckets(spark):
+    from ledgermatch.functions import scalars as S
+
+    days = spark.range(-30, 3000).select("id").union(spark.createDataFrame([(None,)], "id long"))
+    both = lambda c: [S.tenure_group(c).alias(f"t_{c}"), S.tenure_group_finance(c).alias(f"f_{c}")]
+    rows_ = days.withColumn("step", S.tenure_step("id")).select("step", *both("id"), *both("step")).collect()
+    assert all((r["t_id"], r["f_id"]) == (r["t_step"], r["f_step"]) for r in rows_) and len(rows_) == 3031
+    assert len({r["step"] for r in rows_}) == len({(r["t_id"], r["f_id"]) for r in rows_}) == len(S.TENURE_STEPS) + 1
+
+
+def test_tenure_days_from_midnights_and_other_instants(spark):
+    from datetime import date, datetime, timedelta
+
+    from ledgermatch.functions import scalars as S
+
+    starts = [datetime(2020, 3, 1, h, m) for h, m in ((0, 0), (18, 0), (0, 1), (23, 59))] + [datetime(1969, 12, 31), datetime(1960, 5, 5, 6), None]
+    rows_ = [(date(2020, 2, 27) + timedelta(days=k), s, datetime(2020, 2, 27, 12) + timedelta(days=k)) for s in starts for k in range(8)]
+    got = spark.createDataFrame(rows_, "d date, s timestamp_ntz, t timestamp_ntz").select(
+        "d", "s", "t", S.tenure_days("d", "s").alias("n"), S.tenure_days("t", "s").alias("m")).collect()
+    want = lambda a, s: None if s is None else (a - s) // timedelta(days=1)
+    assert len(got) == 56 and all(r["n"] == want(datetime.combine(r["d"], datetime.min.time()), r["s"]) and r["m"] == want(r["t"], r["s"]) for r in got)
