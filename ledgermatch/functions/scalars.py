@@ -54,7 +54,7 @@ def tenure_days(report_date, tenure_start) -> Column:
     b = col_of(tenure_start).cast("timestamp_ntz")
     micros = F.timestamp_diff("MICROSECOND", b, a)
     # From a midnight on, whole days are calendar days, which cost far less.
-    return (F.when(b == F.to_date(b).cast("timestamp_ntz"), F.datediff(a, b))
+    return (F.when(b == F.to_date(b).cast("timestamp_ntz"), F.datediff(col_of(report_date), b))
             .otherwise(F.floor(micros / F.lit(MICROS_PER_DAY)))).cast("bigint")
 
 

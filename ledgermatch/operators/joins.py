@@ -75,13 +75,14 @@ def range_join_calendar(df: DataFrame, cal: DataFrame, start_col: str, end_col:
 
 
 def split_at_steps(df: DataFrame, cal: DataFrame, start_col: str, end_col: str, rising: Column | None = None, steps=(),
-                   date_col: str = "report_date", last_col: str = "__last") -> DataFrame:
+                   date_col: str = "report_date", last_col: str = "__last", reached_col: str | None = None) -> DataFrame:
     """The intervals that touch the calendar's range, clipped to it: a row per
     stretch of days, from ``date_col`` to ``last_col``.
 
     ``rising`` is a whole number that grows by one with each ``date_col``; a new
     stretch begins where it reaches one of ``steps``, so a bucket of it is the
     same on all days of a stretch. Where it is null there is one stretch.
+    ``reached_col`` names a column for how many of the steps a stretch has reached.
     Intervals include both ends by date; a null end is open; inverted ones have
     no row. Rows grow with intervals times steps, not with days.
     """
@@ -92,7 +93,7 @@ def split_at_steps(df: DataFrame, cal: DataFrame, start_col: str, end_col: str,
                              last_col: F.least(F.coalesce(F.to_date(col_of(end_col)), _d(hi)), _d(hi))})
     days = days.filter(F.col(date_col) <= F.col(last_col))
     if rising is None or not steps:
-        return days
+        return days.withColumn(reached_col, F.lit(0)) if reached_col else days
     # One row per bucket that the interval meets, and no other; an outer bucket has no bound on that side.
     steps = sorted(set(steps))
     bound = lambda values: F.array(*[F.lit(v).cast("bigint") for v in values])
@@ -103,11 +104,13 @@ def split_at_steps(df: DataFrame, cal: DataFrame, start_col: str, end_col: str,
                                "__to": steps_reached(F.col("__value") + F.datediff(last_col, date_col), steps)})
     spans = spans.withColumn("__bucket", F.explode(F.sequence("__from", "__to")))
     return spans.select(*rest, F.greatest(F.col(date_col), day(F.get(bound([None, *steps]), F.col("__bucket")))).alias(date_col),
-                        F.least(F.col(last_col), day(F.get(bound([*steps, None]), F.col("__bucket")) - 1)).alias(last_col))
+                        F.least(F.col(last_col), day(F.get(bound([*steps, None]), F.col("__bucket")) - 1)).alias(last_col),
+                        *([F.col("__bucket").alias(reached_col)] if reached_col else []))
 
 
 def day_totals(spans: DataFrame, cal: DataFrame, keys: list[str], measures: dict[str, Column],
-               date_col: str = "report_date", last_col: str = "__last", count_col: str = "__n") -> DataFrame:
+               date_col: str = "report_date", last_col: str = "__last", count_col: str = "__n",
+               events: DataFrame | None = None, event_measures: dict[str, Column] | None = None) -> DataFrame:
     """The rows of ``cal`` with the number of spans per ``keys`` that hold its
     day and the sums of ``measures`` (exact types; nulls read as 0) over them.
 
@@ -115,23 +118,41 @@ def day_totals(spans: DataFrame, cal: DataFrame, keys: list[str], measures: dict
     The differences are summed per key and day, map-side first; a running total
     per key, at most one row per day, is kept until the key's next change. Rows
     grow with spans plus the result, never with the days of all spans.
+
+    ``events`` have the keys and one day each, in ``date_col``: the sums of
+    ``event_measures`` (whole numbers, not null) over those of the day are
+    added; a key with events only has rows too, with 0 for the spans.
     """
     last_day = cal.agg(F.max(F.to_date(date_col)).alias("hi")).first()["hi"] or _dt.date(1970, 1, 1)
     ms = [f"__m{i}" for i in range(len(measures))]
     ends = F.array(*[F.struct(day.alias("day"), F.lit(sign).cast("bigint").alias("sign"))
                      for day, sign in ((F.col(date_col), 1), (F.date_add(last_col, 1), -1))])
-    events = spans.select(*keys, *[F.coalesce(c, F.lit(0)).alias(m) for m, c in zip(ms, measures.values())], F.explode(ends).alias("__x"))
-    events = events.filter((F.col("__x.sign") > 0) | (F.col("__x.day") <= _d(last_day)))
-    signed = [F.when(F.col("__x.sign") > 0, F.col(m)).otherwise(-F.col(m)) for m in ms]
-    changes = events.groupBy(*keys, F.col("__x.day").alias("__day")).agg(
-        F.sum("__x.sign").alias("__n"), *[F.sum(c).alias(m) for m, c in zip(ms, signed)])
+    edges = spans.select(*keys, *[F.coalesce(c, F.lit(0)).alias(m) for m, c in zip(ms, measures.values())], F.explode(ends).alias("__x"))
+    edges = edges.filter((F.col("__x.sign") > 0) | (F.col("__x.day") <= _d(last_day)))
+    edges = edges.select(*keys, F.col("__x.day").alias("__day"), F.col("__x.sign").alias("__n"),
+                         *[F.when(F.col("__x.sign") > 0, F.col(m)).otherwise(-F.col(m)).alias(m) for m in ms])
+    es = []
+    if events is not None:
+        es = ["__e", *[f"__e{i}" for i in range(len(event_measures))]]
+        zeros = lambda names: [F.lit(0).cast("bigint").alias(n) for n in names]
+        single = events.filter(F.col(date_col) <= _d(last_day)).select(
+            *keys, F.col(date_col).alias("__day"), F.lit(0).cast("bigint").alias("__n"),
+            *[F.lit(0).cast(edges.schema[m].dataType).alias(m) for m in ms],
+            F.lit(1).cast("bigint").alias("__e"), *[c.alias(e) for e, c in zip(es[1:], event_measures.values())])
+        edges = edges.select("*", *zeros(es)).unionByName(single)
+    changes = edges.groupBy(*keys, "__day").agg(*[F.sum(c).alias(c) for c in ["__n", *ms, *es]])
     by_key = Window.partitionBy(*keys).orderBy("__day")
     so_far = by_key.rowsBetween(Window.unboundedPreceding, 0)
-    held = changes.select(*keys, "__day", F.lead("__day").over(by_key).alias("__next"),
-                          *[F.sum(c).over(so_far).alias(c) for c in ["__n", *ms]]).filter(F.col("__n") > 0)
-    days = held.withColumn("__day", F.explode(F.sequence("__day", F.coalesce(F.date_sub("__next", 1), _d(last_day)))))
+    held = changes.select(*keys, F.col("__day").alias("__since"), F.lead("__day").over(by_key).alias("__next"),
+                          *[F.sum(c).over(so_far).alias(c) for c in ["__n", *ms]], *es)
+    active, until = F.col("__n") > 0, F.coalesce(F.date_sub("__next", 1), _d(last_day))
+    if es:      # a day of events without a span stands alone
+        active, until = active | (F.col("__e") > 0), F.when(active, until).otherwise(F.col("__since"))
+    days = held.filter(active).withColumn("__day", F.explode(F.sequence("__since", until)))
+    first = F.col("__day") == F.col("__since")
     return cal.join(days, cal[date_col] == days["__day"]).select(
-        *cal.columns, *keys, F.col("__n").alias(count_col), *[F.col(m).alias(n) for m, n in zip(ms, measures)])
+        *cal.columns, *keys, F.col("__n").alias(count_col), *[F.col(m).alias(n) for m, n in zip(ms, measures)],
+        *[F.when(first, F.col(e)).otherwise(F.lit(0)).alias(n) for e, n in zip(es[1:], event_measures or ())])
 
 
 def _bounds(points: DataFrame, point: str) -> tuple[_dt.date, int]:

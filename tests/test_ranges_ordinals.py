@@ -222,3 +222,64 @@ def test_tenure_days_from_midnights_and_other_instants(spark):
         "d", "s", "t", S.tenure_days("d", "s").alias("n"), S.tenure_days("t", "s").alias("m")).collect()
     want = lambda a, s: None if s is None else (a - s) // timedelta(days=1)
     assert len(got) == 56 and all(r["n"] == want(datetime.combine(r["d"], datetime.min.time()), r["s"]) and r["m"] == want(r["t"], r["s"]) for r in got)
+
+
+def test_day_totals_with_events_equal_the_union_of_both(spark, spans):
+    _, _, _, i = spans
+    g = lambda c: F.when(F.col(c) % 4 == 0, None).otherwise(F.concat(F.lit("g"), (F.col(c) % 9).cast("string")))
+    i = i.withColumn("v", F.when(F.col("iid") % 5 == 0, None).otherwise(F.col("iid") - 30)).withColumn("g", g("iid"))
+    day = lambda k: F.date_add(F.lit("2019-12-01").cast("date"), k.cast("int"))
+    cal = spark.range(200).select(day(F.col("id") + 60).alias("report_date")).filter("dayofmonth(report_date) <> 20")
+    # on days before, in, in a gap of and after the calendar, some without a span of their key, twice and without a day
+    ev = spark.range(700).select(g("id").alias("g"), F.when(F.col("id") % 50 != 0, day(F.col("id") * 7 % 300)).alias("report_date"), "id")
+    ev = ev.unionByName(ev.limit(30)).unionByName(ev.limit(10).withColumn("g", F.lit("alone")))
+    got = J.day_totals(J.split_at_steps(i, cal, "s", "e"), cal, ["g"], {"v": F.col("v")}, count_col="n",
+                       events=ev, event_measures={"k": F.lit(1), "x": F.col("id")})
+    zero = F.lit(0).cast("bigint")
+    pairs_ = J.range_join_calendar(i, cal, "s", "e").select("report_date", "g", F.lit(1).alias("n"), "v", zero.alias("k"), zero.alias("x"))
+    both = pairs_.unionByName(ev.join(cal, "report_date").select("report_date", "g", zero.alias("n"), zero.alias("v"), F.lit(1).alias("k"), F.col("id").alias("x")))
+    want = both.groupBy("report_date", "g").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "k", "x")])
+    rows_ = lambda df: sorted(str(tuple(r)) for r in df.select("report_date", "g", "n", "v", "k", "x").collect())
+    assert rows_(got) == rows_(want) and len(rows_(want)) > 500
+    assert got.filter("n = 0 AND k > 0").count() and got.filter("g = 'alone'").count()
+
+
+def test_layer_groups_once_by_narrow_keys(spark):
+    """Two shuffles of groups, per key and day and per key, and none by the dimensions that follow from others."""
+    from ledgermatch.sources import fixtures as fx
+
+    plan = fx.layer(spark, "/root/testdata/sf0.001", damaged=True)._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.splitlines() if "hashpartitioning(" in line and "offer_category_name" in line]
+    assert len(keys) == 2 and not [k for k in keys if "classification_level_1" in k or "dw_" in k]
+
+
+def test_coded_dimensions_come_back(spark):
+    import itertools
+
+    from ledgermatch.sources import fixtures as fx
+
+    combos = list(itertools.product(*fx.CODED_DIMS.values()))
+    df = spark.createDataFrame(combos, ", ".join(f"{d} string" for d in fx.CODED_DIMS)).withColumns(
+        {"report_date": F.lit("2020-03-01").cast("date"), fx.TENURE_KEY: F.lit(0)})
+    coded = fx.with_dim_code(df).drop(*fx.CODED_DIMS)
+    assert coded.distinct().count() == len(combos)
+    assert sorted(map(str, fx.with_layer_dims(coded).select(*fx.CODED_DIMS).collect())) == sorted(map(str, df.select(*fx.CODED_DIMS).collect()))
+
+
+def test_layer_sums_prices_exactly(spark, tmp_path):
+    """Prices of either sign whose cents do not fit a whole number of 64 bits together."""
+    from decimal import Decimal
+
+    from ledgermatch.sources import fixtures as fx
+
+    prices = [9e15] * 150 + [-12.34, 0.01, -0.99]
+    rows_ = [(k, k, "O", p, "5-LOW") for k, p in enumerate(prices)]
+    spark.createDataFrame(rows_, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string").withColumn(
+        "o_orderdate", F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(len(prices)).select(F.col("id").alias("c_custkey"), F.lit(3).alias("c_nationkey"), F.lit(1.0).alias("c_acctbal"),
+                                    F.lit("BUILDING").alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1).select(F.lit(-1).cast("bigint").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit("N").alias("l_returnflag"),
+                          F.lit("1995-01-01 00:00:00").cast("timestamp_ntz").alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r["delivery_medium_type"]: r for r in fx.layer(spark, str(tmp_path)).collect()}
+    for medium, mine in ((None, prices[::3]), ("Web", [p for k, p in enumerate(prices) if k % 3])):
+        assert got[medium]["ratecard_amount"] == float(sum(Decimal(str(p)) for p in mine)) and got[medium]["subscription_count"] == len(mine)
